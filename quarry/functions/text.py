@@ -46,6 +46,10 @@ def non_blank(col: Column | str) -> Column:
     return F.length(F.trim(_c(col))) > 0
 
 
-def words(col: Column | str) -> Column:
-    """Array of the whitespace-separated tokens of the whole text, no empties."""
-    return F.filter(F.split(_c(col), WHITESPACE), lambda w: w != F.lit(""))
+def tokens(col: Column | str) -> Column:
+    """Array of whitespace-separated pieces of the whole text.
+
+    Leading or trailing blanks give empty pieces; drop them after ``explode``
+    (a plain filter stays in generated code, a lambda filter would not).
+    """
+    return F.split(_c(col), WHITESPACE)

@@ -1,0 +1,151 @@
+import json
+import os
+
+import pytest
+from pyspark.sql.types import (
+    ArrayType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+from conftest import rows, write_text
+from quarry.sources import (
+    read_delimited,
+    read_hive_text,
+    read_json,
+    read_lines,
+    read_split_text,
+    rows_frame,
+    schema_from_json,
+    schema_json,
+)
+
+PRODUCTS = StructType(
+    [
+        StructField("idProducto", IntegerType()),
+        StructField("descripcion", StringType()),
+        StructField("precio", FloatType()),
+        StructField("stock", IntegerType()),
+    ]
+)
+USERS = StructType(
+    [
+        StructField("idUser", IntegerType()),
+        StructField("genero", StringType()),
+        StructField("edad", IntegerType()),
+        StructField("ocupacion", IntegerType()),
+        StructField("codigoPostal", StringType()),
+    ]
+)
+MOVIES = StructType(
+    [StructField("idMovie", IntegerType()), StructField("titulo", StringType()), StructField("genero", StringType())]
+)
+
+
+def test_semicolon_header_inferred_blank_is_null_crlf(spark, scratch):
+    path = write_text(os.path.join(scratch, "ingresos.csv"), "id;revenue\n1;100\n2;\n3;250\n", newline="\r\n")
+    df = read_delimited(spark, path, sep=";", header=True, infer=True)
+    assert dict(df.dtypes) == {"id": "int", "revenue": "int"}
+    assert rows(df) == [(1, 100), (2, None), (3, 250)]
+
+
+def test_comma_header_inferred_dates_and_trimming(spark, scratch):
+    path = write_text(
+        os.path.join(scratch, "b.csv"),
+        'id,name,state\n1,"Brew, Inc",  MN\n2,Other,WI\n',
+    )
+    raw = read_delimited(spark, path, header=True, infer=True)
+    assert rows(raw, "state") == [("  MN",), ("WI",)]
+    trimmed = read_delimited(spark, path, header=True, infer=True, trim=True)
+    assert rows(trimmed, "name", "state") == [("Brew, Inc", "MN"), ("Other", "WI")]
+
+
+def test_hash_separated_declared_schema_crlf(spark, scratch):
+    text = "".join(f"{i}#item {i}#{i}.5#{i % 4}\n" for i in range(1, 101))
+    path = write_text(os.path.join(scratch, "products.txt"), text, newline="\r\n")
+    df = read_delimited(spark, path, sep="#", schema=PRODUCTS)
+    assert df.count() == 100
+    assert df.filter("stock IS NULL").count() == 0
+    assert df.schema == PRODUCTS
+
+
+def test_double_colon_lines_split_and_cast(spark, scratch):
+    users = write_text(os.path.join(scratch, "users.dat"), "1::F::1::10::48067\n2::M::56::16::07030\n")
+    movies = write_text(
+        os.path.join(scratch, "movies.dat"), "1::Toy Story (1995)::Animation\n2::Sense, and: Sensibility::Drama\n"
+    )
+    u = read_split_text(spark, users, "::", USERS)
+    assert rows(u) == [(1, "F", 1, 10, "48067"), (2, "M", 56, 16, "07030")]  # leading zero kept
+    m = read_split_text(spark, movies, "::", MOVIES)
+    assert rows(m, "titulo") == [("Sense, and: Sensibility",), ("Toy Story (1995)",)]
+    # no Python evaluation node in the plan
+    plan = u._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan
+
+
+def test_split_text_strict_and_lenient(spark, scratch):
+    path = write_text(os.path.join(scratch, "r.dat"), "1::2::x::4\n5::6\n")
+    schema = StructType([StructField(n, IntegerType()) for n in ["a", "b", "c", "d"]])
+    lenient = read_split_text(spark, path, "::", schema, strict=False)
+    assert rows(lenient) == [(1, 2, None, 4), (5, 6, None, None)]
+    with pytest.raises(Exception):
+        read_split_text(spark, path, "::", schema, strict=True).collect()
+
+
+def test_header_dropped_by_prefix(spark, scratch):
+    path = write_text(os.path.join(scratch, "h.csv"), "id;name\n1;a\n2;b\n")
+    assert rows(read_lines(spark, path, skip_prefix="id;")) == [("1;a",), ("2;b",)]
+
+
+def test_hive_text_table(spark, scratch):
+    path = write_text(os.path.join(scratch, "000000_0"), "1\x01Ana\x01Ventas\x012500.5\n2\x01José\x01IT\x013100.0\n")
+    schema = "id INT, nombre STRING, departamento STRING, salario DOUBLE"
+    assert rows(read_hive_text(spark, path, schema)) == [(1, "Ana", "Ventas", 2500.5), (2, "José", "IT", 3100.0)]
+
+
+def test_ragged_tab_rows(spark, scratch):
+    path = write_text(os.path.join(scratch, "p.txt"), "onlyone\nu1\tp1\nu2\tp2\n")
+    df = read_delimited(spark, path, sep="\t", schema="user STRING, password STRING")
+    assert rows(df) == [("onlyone", None), ("u1", "p1"), ("u2", "p2")]
+
+
+NESTED = StructType(
+    [
+        StructField(
+            "fields",
+            StructType(
+                [
+                    StructField("id", StringType()),
+                    StructField("premise_name", StringType()),
+                    StructField("type_description", StringType()),
+                    StructField("geolocation", ArrayType(DoubleType())),
+                ]
+            ),
+        ),
+        StructField("recordid", StringType()),
+    ]
+)
+
+
+def test_nested_json_declared_schema(spark, scratch):
+    docs = [
+        {"fields": {"id": "x1", "premise_name": "A", "type_description": "1 - Restaurant", "geolocation": [35.9, -78.9]}, "recordid": "r1"},
+        {"fields": {"id": "x2", "premise_name": "B", "type_description": "Food Stand"}, "recordid": "r2"},
+        {"fields": {"id": "x3", "premise_name": "C", "geolocation": [36.0]}, "recordid": "r3"},
+    ]
+    path = write_text(os.path.join(scratch, "d.json"), "\n".join(json.dumps(d) for d in docs) + "\n")
+    df = read_json(spark, path, NESTED)
+    assert df.schema == NESTED
+    assert rows(df, "fields.id", "fields.geolocation") == [("x1", [35.9, -78.9]), ("x2", None), ("x3", [36.0])]
+
+
+def test_rows_frame_and_schema_json_round_trip(spark):
+    schema = StructType([StructField("name", StringType(), True)])
+    df = rows_frame(spark, [["Jean"], ["Liz"], ["Pierre"], ["Lauric"]], schema)
+    assert df.count() == 4
+    assert rows_frame(spark, [], schema).count() == 0
+    assert schema_from_json(schema_json(df)) == schema

@@ -40,20 +40,29 @@ def round_half_up(col: Column | str, digits: int = 2, scale: int = FINE) -> Colu
     return F.round(to_decimal(col, scale), digits).cast("double")
 
 
-def exact_sum(col: Column | str, scale: int = CENTS) -> Column:
-    """Sum as decimal, returned as double. Null when every input is null."""
-    return F.sum(to_decimal(col, scale, 18)).cast("double")
+def units(col: Column | str, scale: int = CENTS) -> Column:
+    """Integer count of ``10**-scale`` units in the value (half away from zero)."""
+    return F.round(_c(col).cast("double") * F.lit(10**scale)).cast("long")
 
 
-def units(col: Column | str, scale: int = CENTS) -> Column:
-    """Integer count of ``10**-scale`` units in the value."""
-    return F.round(_c(col) * F.lit(10**scale)).cast("long")
+def exact_sum(col: Column | str, scale: int = CENTS, wide: bool = False) -> Column:
+    """Exact sum on a ``10**-scale`` grid, returned as double; null when every input is null.
+
+    The default adds 64-bit integer units, as fast as a floating sum: its range
+    is about 9.2e16 currency units at two places, and under ANSI mode an
+    overflow raises instead of wrapping. ``wide`` adds decimal(38) instead
+    (slower, for sums beyond that range).
+    """
+    if wide:
+        return F.sum(to_decimal(col, scale, 18)).cast("double")
+    return F.sum(units(col, scale)) / F.lit(10**scale)
 
 
-def mean_parts(col: Column | str, scale: int = CENTS) -> tuple[Column, Column]:
+def mean_parts(col: Column | str, scale: int = CENTS, wide: bool = False) -> tuple[Column, Column]:
     """Partial state of an exact mean: (sum of units, count of non-null)."""
     c = _c(col)
-    return F.sum(units(c, scale).cast("decimal(38,0)")), F.count(c)
+    u = units(c, scale)
+    return F.sum(u.cast("decimal(38,0)") if wide else u), F.count(c)
 
 
 def mean_from_parts(total: Column | str, n: Column | str, scale: int = CENTS, digits: int = 2) -> Column:
@@ -69,9 +78,9 @@ def mean_from_parts(total: Column | str, n: Column | str, scale: int = CENTS, di
     return F.when(n > 0, F.signum(total) * q / F.lit(10**digits))
 
 
-def exact_mean(col: Column | str, scale: int = CENTS, digits: int = 2) -> Column:
+def exact_mean(col: Column | str, scale: int = CENTS, digits: int = 2, wide: bool = False) -> Column:
     """Mean of a column rounded half up to ``digits`` places, order-independent."""
-    total, n = mean_parts(col, scale)
+    total, n = mean_parts(col, scale, wide)
     return mean_from_parts(total, n, scale, digits)
 
 

@@ -46,15 +46,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when nothing is configured (a bare local test session) is a fresh
-    scratch folder created.
+    is. Only a local-mode session with nothing configured (a bare test
+    session) gets a fresh scratch folder; a cluster session without the
+    setting is an error, since a machine-local folder would not survive the
+    loss of the machine that wrote it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for reliable checkpoints")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 200 * 1024**2) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run, from the input size and core count.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (at least three waves of the cores) so no reducer must hold more
+    than that in memory; adaptive execution coalesces the small ones and
+    splits skewed ones at run time.
+    """
+    partitions = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024**2),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }

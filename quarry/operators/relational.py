@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,13 +36,21 @@ def top_n(df: DataFrame, n: int, order: Sequence[Column | str], tiebreak: Sequen
     return df.orderBy(*_cols(order), *_cols(tiebreak)).limit(n)
 
 
-def rows_at_extreme(df: DataFrame, col: str, how: str = "max") -> DataFrame:
+def rows_at_extreme(df: DataFrame, col: str, how: str = "max", materialize: bool = False) -> DataFrame:
     """All rows whose ``col`` equals the global max (or min); ties kept.
 
     The extreme is a one-row global aggregate (partial per task, one final
     row), broadcast to the scan of ``df``; no window over the whole table, so
     nothing funnels into a single task.
+
+    ``df`` is read twice. For a base table that is cheap (the aggregate branch
+    reads one column). For a small relation derived by an expensive plan
+    (a daily aggregate of a fact table) pass ``materialize=True``: it is
+    persisted (memory, spilling to disk; lost blocks are recomputed from
+    lineage), so the fact table is scanned and aggregated once.
     """
+    if materialize:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     agg = {"max": F.max, "min": F.min}[how]
     ext = df.agg(agg(col).alias("__extreme"))
     return df.join(F.broadcast(ext), F.col(col) == F.col("__extreme"), "inner").drop("__extreme")

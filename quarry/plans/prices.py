@@ -19,10 +19,17 @@ from quarry.operators.relational import count_rows, rows_at_extreme, share_where
 CONVERTED_SCALE = 4
 
 
-def day_of_extreme(p: DataFrame, col: str, how: str, out: str, rounded: bool = True) -> DataFrame:
-    """(date, out): every day at the max/min of ``col``; compared unrounded, shown rounded."""
+def day_of_extreme(
+    p: DataFrame, col: str, how: str, out: str, rounded: bool = True, materialize: bool = True
+) -> DataFrame:
+    """(date, out): every day at the max/min of ``col``; compared unrounded, shown rounded.
+
+    A price table has one row per calendar day, so it is small whatever the
+    size of the facts it summarises; by default it is materialized once
+    instead of being aggregated from the facts twice.
+    """
     val = round_half_up(col) if rounded else F.col(col)
-    return rows_at_extreme(p, col, how).select("date", val.alias(out))
+    return rows_at_extreme(p, col, how, materialize).select("date", val.alias(out))
 
 
 def mean_of(p: DataFrame, col: str, out: str, scale: int = 2) -> DataFrame:

@@ -117,25 +117,25 @@ OUTPUTS: dict[str, Output] = {
         files=3,
         by=("l_partkey",),
     ),
-    "day_of_max_high": Output(lambda s: px.day_of_extreme(s.prices, "high", "max", "high"), files=1),
+    "day_of_max_high": Output(lambda s: px.day_of_extreme(s.prices, "high", "max", "high", materialize=False), files=1),
     "mean_close": Output(lambda s: px.mean_of(s.prices, "close", "mean_close"), files=1),
-    "day_of_max_volume": Output(lambda s: px.day_of_extreme(s.prices, "volume", "max", "max_volume", False), files=1),
-    "day_of_min_volume": Output(lambda s: px.day_of_extreme(s.prices, "volume", "min", "min_volume", False), files=1),
+    "day_of_max_volume": Output(lambda s: px.day_of_extreme(s.prices, "volume", "max", "max_volume", False, materialize=False), files=1),
+    "day_of_min_volume": Output(lambda s: px.day_of_extreme(s.prices, "volume", "min", "min_volume", False, materialize=False), files=1),
     "days_close_above": Output(lambda s: px.days_above(s.prices, "close", cat.CLOSE_ABOVE), files=4, by=("date",)),
     "pct_days_high_above": Output(
         lambda s: px.pct_above(s.prices, "high", cat.HIGH_ABOVE, "pct_days_high_above"), files=1
     ),
     "max_high_by_year": Output(lambda s: px.extreme_by_year(s.prices, "high", "max", "max_high"), files=1),
     "mean_close_by_month": Output(lambda s: px.mean_by_month(s.prices, "close", "mean_close"), files=1),
-    "eur_day_of_max_high": Output(lambda s: px.day_of_extreme(s.converted, "high_eur", "max", "high_eur"), files=1),
+    "eur_day_of_max_high": Output(lambda s: px.day_of_extreme(s.converted, "high_eur", "max", "high_eur", materialize=False), files=1),
     "eur_mean_close": Output(
         lambda s: px.mean_of(s.converted, "close_eur", "mean_close_eur", px.CONVERTED_SCALE), files=1
     ),
     "eur_day_of_max_volume": Output(
-        lambda s: px.day_of_extreme(s.converted, "volume", "max", "max_volume", False), files=1
+        lambda s: px.day_of_extreme(s.converted, "volume", "max", "max_volume", False, materialize=False), files=1
     ),
     "eur_day_of_min_volume": Output(
-        lambda s: px.day_of_extreme(s.converted, "volume", "min", "min_volume", False), files=1
+        lambda s: px.day_of_extreme(s.converted, "volume", "min", "min_volume", False, materialize=False), files=1
     ),
     "eur_days_close_above": Output(
         lambda s: px.days_above(s.converted, "close_eur", cat.CLOSE_ABOVE), files=3, by=("date",)

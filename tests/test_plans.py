@@ -72,3 +72,13 @@ def test_ratings_aggregate_before_join(spark):
     agg_pos = p.find("HashAggregate")
     join_pos = p.find("Join")
     assert 0 <= join_pos < agg_pos
+
+
+def test_daily_prices_are_aggregated_once_for_their_extreme(spark):
+    df = catalog.q_day_of_max_high(spark, SMOKE_DIR)
+    p = plan(df)
+    assert "InMemoryTableScan" in p
+    # the orders aggregate lives once, in the cached relation (printed inside
+    # the scan node), not in both branches
+    assert p.count("Exchange hashpartitioning") == 1
+    assert p.count("orders.parquet") == 1

@@ -30,8 +30,8 @@ RATING_BELOW = 45.0
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _stays_income(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return standins.stays(spark, d), standins.income(spark, d)
+def _joined(spark: SparkSession, d: str) -> DataFrame:
+    return revenue.stays_with_income(standins.stays(spark, d), standins.income(spark, d))
 
 
 def _converted(spark: SparkSession, d: str) -> DataFrame:
@@ -41,31 +41,31 @@ def _converted(spark: SparkSession, d: str) -> DataFrame:
 # ---- revenue -------------------------------------------------------------
 
 def q_revenue_by_country(spark, d):
-    return revenue.revenue_in(*_stays_income(spark, d), cc=COUNTRY)
+    return revenue.revenue_in(_joined(spark, d), cc=COUNTRY)
 
 
 def q_revenue_by_country_normalized(spark, d):
-    return revenue.revenue_in(*_stays_income(spark, d), cc=" f ", normalize=True, drop_null=True)
+    return revenue.revenue_in(_joined(spark, d), cc=" f ", normalize=True, drop_null=True)
 
 
 def q_top100_revenue(spark, d):
-    return revenue.top_revenue(*_stays_income(spark, d), n=TOP_STAYS)
+    return revenue.top_revenue(_joined(spark, d), n=TOP_STAYS)
 
 
 def q_top200_city_name_revenue(spark, d):
-    return revenue.revenue_by(*_stays_income(spark, d), by=("city", "name"), n=TOP_GROUPS)
+    return revenue.revenue_by(_joined(spark, d), by=("city", "name"), n=TOP_GROUPS)
 
 
 def q_top200_name_revenue(spark, d):
-    return revenue.revenue_by(*_stays_income(spark, d), by=("name",), n=TOP_GROUPS, drop_null=True)
+    return revenue.revenue_by(_joined(spark, d), by=("name",), n=TOP_GROUPS, drop_null=True)
 
 
 def q_city_revenue(spark, d):
-    return revenue.revenue_by(*_stays_income(spark, d), by=("city",), n=TOP_GROUPS)
+    return revenue.revenue_by(_joined(spark, d), by=("city",), n=TOP_GROUPS)
 
 
 def q_no_revenue(spark, d):
-    return revenue.no_revenue(*_stays_income(spark, d))
+    return revenue.no_revenue(_joined(spark, d))
 
 
 # ---- retail --------------------------------------------------------------

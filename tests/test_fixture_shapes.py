@@ -1,0 +1,126 @@
+"""Input shapes of the reference's jobs and shipped files (FIXTURES.md), built inline."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows, write_text
+from quarry.operators.conform import composite_id, conform, unite
+from quarry.operators.relational import count_rows
+from quarry.operators.replicate import midpoint, replicate
+from quarry.sources import read_delimited, read_json
+
+
+def test_headerless_comma_file_with_accents(spark, scratch):
+    path = write_text(os.path.join(scratch, "alumnos.csv"), "1,José Núñez,21,7.5\n2,Zoë Ångström,22,8.25\n")
+    df = read_delimited(spark, path, schema="id INT, nombre STRING, edad INT, nota DOUBLE")
+    assert rows(df, "nombre") == [("José Núñez",), ("Zoë Ångström",)]
+
+
+def test_header_with_unnamed_first_column(spark, scratch):
+    path = write_text(
+        os.path.join(scratch, "breweries.csv"),
+        ',name,city,state,id\n0,NorthGate Brewing ,Minneapolis, MN,0\n1,"Against the Grain, LLC",Louisville, KY,1\n',
+    )
+    df = read_delimited(spark, path, header=True, infer=True)
+    assert df.columns == ["_c0", "name", "city", "state", "id"]
+    assert rows(df, "state") == [(" KY",), (" MN",)]
+    assert rows(df.filter(F.col("id") == 1), "name") == [("Against the Grain, LLC",)]
+
+
+def test_birth_rates_blank_column_names_and_null_limit(spark, scratch):
+    path = write_text(
+        os.path.join(scratch, "rates.csv"),
+        "Year,State,Lower Confidence Limit,Upper Confidence Limit\n2003,Alabama,57.4,60.6\n2004,Alaska,,41.2\n",
+    )
+    df = read_delimited(spark, path, header=True, infer=True)
+    df = df.withColumnsRenamed({"Lower Confidence Limit": "lcl", "Upper Confidence Limit": "ucl"})
+    big = midpoint(replicate(df, 61), "lcl", "ucl", "col")
+    assert big.count() == 122
+    got = dict(big.select("State", "avg").distinct().collect())
+    assert got == {"Alabama": 59.0, "Alaska": None}
+    # the original column names with blanks also work directly
+    raw = read_delimited(spark, path, header=True, infer=True)
+    assert midpoint(raw, "Lower Confidence Limit", "Upper Confidence Limit").columns[-3:] == [
+        "avg",
+        "Lower Confidence Limit2",
+        "Upper Confidence Limit2",
+    ]
+
+
+def test_union_of_int_and_string_ids_needs_a_cast(spark):
+    wake = spark.createDataFrame([(1001, "Cafe")], "datasetId int, name string")
+    durham = spark.createDataFrame([("x1", "Grill")], "datasetId string, name string")
+    with pytest.raises(Exception):
+        wake.unionByName(durham).collect()  # ANSI: 'x1' cannot become a number
+    fixed = unite([wake.withColumn("datasetId", F.col("datasetId").cast("string")), durham])
+    assert rows(fixed) == [("1001", "Cafe"), ("x1", "Grill")]
+
+
+def test_lookup_with_repeated_names(spark):
+    stations = spark.createDataFrame([(i, f"s{i % 35}") for i in range(44)], "station_id int, name string")
+    assert stations.select("station_id").distinct().count() == 44
+    assert stations.select("name").distinct().count() == 35
+
+
+RESTAURANTS_CSV = """OBJECTID,HSISID,NAME,ADDRESS1,ADDRESS2,CITY,STATE,POSTALCODE,PHONENUMBER,RESTAURANTOPENDATE,FACILITYTYPE,PERMITID,X,Y,GEOCODESTATUS
+1,4092013748,Cafe One,1 Main St,,Raleigh,NC,27601,(919) 555-0100,2011-10-18,Restaurant,1,-78.6,35.8,M
+2,4092014046,Taco Two,2 Oak Ave,Suite 5,Cary,NC,27511,,2012-01-03,Food Stand,2,-78.7,35.7,M
+"""
+
+DURHAM = [
+    {"fields": {"id": "56060", "premise_name": "Grill Three", "premise_address1": "3 Elm", "premise_city": "Durham",
+                "premise_state": "NC", "premise_zip": "27701", "premise_phone": "(919) 555-0199",
+                "opening_date": "1994-09-01", "closing_date": None, "type_description": "1 - Restaurant",
+                "geolocation": [35.99, -78.9]},
+     "geometry": {"type": "Point"}, "record_timestamp": "2017-07-13", "recordid": "a1"},
+    {"fields": {"id": "58123", "premise_name": "Cart Four", "premise_city": "Durham", "premise_state": "NC",
+                "type_description": "Food Cart", "geolocation": [36.0]},
+     "geometry": None, "record_timestamp": "2017-07-13", "recordid": "a2"},
+]
+
+DURHAM_SCHEMA = (
+    "fields STRUCT<id: STRING, premise_name: STRING, premise_address1: STRING, premise_address2: STRING, "
+    "premise_city: STRING, premise_state: STRING, premise_zip: STRING, premise_phone: STRING, "
+    "opening_date: STRING, closing_date: STRING, type_description: STRING, geolocation: ARRAY<DOUBLE>>, "
+    "geometry STRUCT<type: STRING>, record_timestamp STRING, recordid STRING"
+)
+
+
+def test_conform_csv_and_json_then_union(spark, scratch):
+    csv = write_text(os.path.join(scratch, "wake.csv"), RESTAURANTS_CSV)
+    js = write_text(os.path.join(scratch, "durham.json"), "\n".join(json.dumps(d) for d in DURHAM) + "\n")
+    flat = read_delimited(spark, csv, header=True, infer=True)
+    wake = conform(
+        flat,
+        {
+            "datasetId": F.col("HSISID").cast("string"), "name": "NAME", "address1": "ADDRESS1", "address2": "ADDRESS2",
+            "city": "CITY", "state": "STATE", "zip": F.col("POSTALCODE").cast("string"), "tel": "PHONENUMBER",
+            "dateStart": F.col("RESTAURANTOPENDATE").cast("string"), "dateEnd": None, "type": "FACILITYTYPE",
+            "geoX": "X", "geoY": "Y", "county": F.lit("Wake"),
+        },
+    ).withColumn("id", composite_id(["state", "county", "datasetId"]))
+    nested = read_json(spark, js, DURHAM_SCHEMA)
+    durham = conform(
+        nested,
+        {
+            "datasetId": "fields.id", "name": "fields.premise_name", "address1": "fields.premise_address1",
+            "address2": "fields.premise_address2", "city": "fields.premise_city", "state": "fields.premise_state",
+            "zip": "fields.premise_zip", "tel": "fields.premise_phone", "dateStart": "fields.opening_date",
+            "dateEnd": "fields.closing_date", "type": F.get(F.split("fields.type_description", " - "), 1),
+            "geoX": F.get(F.col("fields.geolocation"), 0), "geoY": F.get(F.col("fields.geolocation"), 1),
+            "county": F.lit("Durham"),
+        },
+    ).withColumn("id", composite_id(["state", "county", "datasetId"]))
+    both = unite([wake.repartition(4), durham])
+    assert count_rows(both).first()[0] == 4
+    assert both.rdd.getNumPartitions() >= 4
+    got = {r["id"]: (r["type"], r["geoY"]) for r in both.collect()}
+    assert got == {
+        "NC_Wake_4092013748": ("Restaurant", 35.8),
+        "NC_Wake_4092014046": ("Food Stand", 35.7),
+        "NC_Durham_56060": ("Restaurant", -78.9),
+        "NC_Durham_58123": (None, None),  # no " - " and a one-element location
+    }

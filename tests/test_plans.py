@@ -82,3 +82,10 @@ def test_daily_prices_are_aggregated_once_for_their_extreme(spark):
     # the scan node), not in both branches
     assert p.count("Exchange hashpartitioning") == 1
     assert p.count("orders.parquet") == 1
+
+
+def test_marker_filter_turns_the_income_join_inner(spark):
+    inner = catalog.q_revenue_by_country(spark, SMOKE_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" not in inner
+    outer = catalog.q_no_revenue(spark, SMOKE_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" in outer

@@ -28,34 +28,38 @@ def _income(spark):
     return spark.createDataFrame([(1, 500.0), (2, 300.0), (3, None), (4, 500.0)], "id long, revenue double")
 
 
+def _joined(spark):
+    return revenue.stays_with_income(_stays(spark), _income(spark))
+
+
 def test_revenue_in_country_keeps_null_revenue(spark):
-    got = rows(revenue.revenue_in(_stays(spark), _income(spark), "es"), "id", "revenue")
+    got = rows(revenue.revenue_in(_joined(spark), "es"), "id", "revenue")
     assert got == [(1, 500.0), (4, 500.0)]
-    fr = rows(revenue.revenue_in(_stays(spark), _income(spark), "fr"), "id", "revenue")
+    fr = rows(revenue.revenue_in(_joined(spark), "fr"), "id", "revenue")
     assert fr == [(3, None)]  # DataFrame reading keeps the null
 
 
 def test_revenue_in_normalized_drops_blank(spark):
-    got = rows(revenue.revenue_in(_stays(spark), _income(spark), "es", normalize=True, drop_null=True), "id")
+    got = rows(revenue.revenue_in(_joined(spark), "es", normalize=True, drop_null=True), "id")
     assert got == [(1,), (2,), (4,)]
-    fr = revenue.revenue_in(_stays(spark), _income(spark), "FR", normalize=True, drop_null=True)
+    fr = revenue.revenue_in(_joined(spark), "FR", normalize=True, drop_null=True)
     assert fr.count() == 0
 
 
 def test_top_revenue_ties_and_nulls(spark):
-    got = [r["id"] for r in revenue.top_revenue(_stays(spark), _income(spark), n=4).collect()]
+    got = [r["id"] for r in revenue.top_revenue(_joined(spark), n=4).collect()]
     assert got == [1, 4, 2, 3]
 
 
 def test_revenue_by_city_name_and_by_city(spark):
-    by_pair = rows(revenue.revenue_by(_stays(spark), _income(spark), ("city", "name"), n=None))
+    by_pair = rows(revenue.revenue_by(_joined(spark), ("city", "name"), n=None))
     assert ("Paris", "Le Petit", None) in by_pair
-    by_city = dict(revenue.revenue_by(_stays(spark), _income(spark), ("city",), n=None).collect())
+    by_city = dict(revenue.revenue_by(_joined(spark), ("city",), n=None).collect())
     assert by_city == {"Madrid": 1000.0, "Sevilla": 300.0, "Paris": None}
 
 
 def test_no_revenue_is_unmatched_or_null(spark):
-    assert rows(revenue.no_revenue(_stays(spark), _income(spark)), "id") == [(3,), (5,)]
+    assert rows(revenue.no_revenue(_joined(spark)), "id") == [(3,), (5,)]
 
 
 def _sales(spark):

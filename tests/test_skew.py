@@ -64,7 +64,7 @@ def test_group_revenue_with_a_hot_city(spark):
         F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.lit("COLD")).alias("city"), F.lit("F").alias("cc"),
     )
     income = spark.range(3000).select(F.col("id"), F.lit(0.01).alias("revenue"))
-    got = dict(revenue.revenue_by(stays, income, ("city",), n=None).collect())
+    got = dict(revenue.revenue_by(revenue.stays_with_income(stays, income), ("city",), n=None).collect())
     assert got == {"HOT": 10.0, "COLD": 20.0}
 
 

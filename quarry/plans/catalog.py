@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quarry.operators.wordcount import word_count
 from quarry.plans import prices as px
@@ -31,7 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _joined(spark: SparkSession, d: str) -> DataFrame:
-    return revenue.stays_with_income(standins.stays(spark, d), standins.income(spark, d))
+    return standins.stays_with_income(spark, d)
 
 
 def _converted(spark: SparkSession, d: str) -> DataFrame:
@@ -250,8 +249,3 @@ def q_word_count(spark, d):
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
-
-
-def count_of(df: DataFrame) -> DataFrame:
-    """Row count of a result as a one-row table (for callers that want numbers)."""
-    return df.agg(F.count(F.lit(1)).alias("rows"))

@@ -49,13 +49,37 @@ def stays(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def income(spark: SparkSession, d: str) -> DataFrame:
+def income(spark: SparkSession, d: str, lineitem: DataFrame | None = None) -> DataFrame:
     """(id, revenue): one row per order that has lines; null revenue when none was returned."""
-    li = table(spark, d, "lineitem")
+    li = lineitem if lineitem is not None else table(spark, d, "lineitem")
     revenue = F.when(F.col("l_returnflag") == RETURNED, F.col("l_extendedprice"))
     return li.groupBy(F.col("l_orderkey").alias("id")).agg(exact_sum(revenue).alias("revenue"))
 
 
+def stays_with_income(
+    spark: SparkSession, d: str, orders: DataFrame | None = None, lineitem: DataFrame | None = None
+) -> DataFrame:
+    """(id, name, city, cc, revenue, has_income): every stay with its income, if any.
+
+    The same rows as ``revenue.stays_with_income(stays(...), income(...))``,
+    joined orders-first: orders meet their income on the order key (both
+    sides keyed by order, so tables bucketed by order key join without a
+    shuffle), then customer and nation. ``has_income`` is null when the order
+    has no lines.
+    """
+    o = orders if orders is not None else table(spark, d, "orders")
+    o = o.select(F.col("o_orderkey").alias("id"), "o_custkey", F.col("o_orderstatus").alias("cc"))
+    inc = income(spark, d, lineitem).withColumn("has_income", F.lit(True))
+    c = table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("name"), "c_nationkey")
+    n = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("city"))
+    return (
+        o.join(inc, "id", "left")
+        .join(c, F.col("o_custkey") == F.col("c_custkey"))
+        .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select("id", "name", "city", "cc", "revenue", "has_income")
+    )
+
+
 def prices(spark: SparkSession, d: str) -> DataFrame:
     """(date, open, high, low, close, volume) of order prices per order day.
 

@@ -31,3 +31,22 @@ def test_files_layout(spark, scratch):
     assert len(parts) == 1
     parts = [f for f in os.listdir(written["top200_city_name_revenue"]) if f.startswith("part-")]
     assert 1 <= len(parts) <= 4
+
+
+def test_colocated_run_joins_orders_and_income_without_shuffling_them(spark, scratch):
+    from quarry.plans.run import Shared
+    from quarry.plans import catalog as cat
+    from quarry.plans import revenue
+
+    s = Shared(spark, SMOKE_DIR, reliable=False, colocate=4)
+    joined = s.stays_income
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    # neither fact table is shuffled on the order key: the scans are bucketed
+    assert "Exchange hashpartitioning(l_orderkey" not in plan
+    assert "Exchange hashpartitioning(id" not in plan and "Exchange hashpartitioning(o_orderkey" not in plan
+    assert "Bucketed: true" in plan
+    got = revenue.revenue_in(joined, cat.COUNTRY)
+    want = cat.q_revenue_by_country(spark, SMOKE_DIR)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    written = run(spark, SMOKE_DIR, scratch, ["never_sold", "no_revenue"], colocate=4)
+    assert set(written) == {"never_sold", "no_revenue"}

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.operators.wordcount import word_count
 from quarry.plans import prices as px
 from quarry.plans import ratings as rt
-from quarry.plans import retail, revenue, standins, walkthrough
+from quarry.plans import retail, revenue, roundtrip, standins, walkthrough
 from quarry.sources.tables import table
 
 # Parameters of the questions on the test tables.
@@ -246,6 +246,28 @@ def q_word_count(spark, d):
     return word_count(table(spark, d, "documents"), "text")
 
 
+# ---- readers and writers on whole tables ---------------------------------
+
+def q_roundtrip_hash_separated(spark, d):
+    return roundtrip.hash_separated(spark, table(spark, d, "orders"))
+
+
+def q_roundtrip_semicolon_header(spark, d):
+    return roundtrip.semicolon_with_header(spark, table(spark, d, "customer"))
+
+
+def q_roundtrip_hive_text(spark, d):
+    return roundtrip.hive_text(spark, table(spark, d, "lineitem"))
+
+
+def q_roundtrip_double_colon(spark, d):
+    return roundtrip.double_colon_lines(spark, table(spark, d, "events"))
+
+
+def q_roundtrip_nested_json(spark, d):
+    return roundtrip.nested_json(spark, table(spark, d, "supplier"))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -240,6 +240,11 @@ SQL: dict[str, str] = {
     ),
     "parse_delimited": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
     "parse_dates": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS iso_date, CAST(o_orderdate AS DATE) AS named_date FROM orders",
+    "roundtrip_hash_separated": "SELECT * FROM orders",
+    "roundtrip_semicolon_header": "SELECT * FROM customer",
+    "roundtrip_hive_text": "SELECT * FROM lineitem",
+    "roundtrip_double_colon": "SELECT * FROM events",
+    "roundtrip_nested_json": _CONFORM_NESTED,
     "word_count": (
         "SELECT word, COUNT(*) AS occurrences FROM ("
         f"SELECT unnest(regexp_split_to_array(text, '{WORD_SPLIT}')) AS word FROM documents) w "

@@ -105,6 +105,11 @@ def supplier_documents(supplier: DataFrame) -> DataFrame:
 def conform_nested(documents: DataFrame) -> DataFrame:
     """Nested JSON documents parsed under a declared schema and flattened to the party schema."""
     parsed = documents.select(F.from_json("value", SUPPLIER_DOC_SCHEMA).alias("doc")).select("doc.*")
+    return flatten_suppliers(parsed)
+
+
+def flatten_suppliers(parsed: DataFrame) -> DataFrame:
+    """Parsed supplier documents (``fields`` struct, ``recordid``) to the party schema."""
     df = conform(
         parsed,
         {

@@ -179,3 +179,15 @@ def test_top_items_ties_after_rounding_broken_by_item(spark):
     # item 10 averages 4.00333..., item 11 exactly 4.0: equal once rounded
     got = [tuple(x) for x in rt.top_items(r, items, 2).collect()]
     assert got == [(10, "Toy Story", 4.0), (11, "Heat", 4.0)]
+
+
+def test_orders_first_join_equals_stays_then_income(spark):
+    from conftest import SMOKE_DIR
+    from quarry.plans import standins
+
+    a = standins.stays_with_income(spark, SMOKE_DIR)
+    b = revenue.stays_with_income(standins.stays(spark, SMOKE_DIR), standins.income(spark, SMOKE_DIR))
+    cols = ["id", "name", "city", "cc", "revenue", "has_income"]
+    assert a.columns == cols
+    key = lambda r: (r[0],)
+    assert sorted(map(tuple, a.select(cols).collect()), key=key) == sorted(map(tuple, b.select(cols).collect()), key=key)

@@ -1,6 +1,6 @@
 """One job that answers every question and writes each result.
 
-    python -m quarry.plans.run IN_DIR OUT_DIR [name ...]
+    python -m quarry.plans.run IN_DIR OUT_DIR [name ...] [--colocate N]
 
 Relations shared by several questions (stays joined to income, daily
 prices, converted prices) are computed once and checkpointed: written to the
@@ -222,14 +222,21 @@ def run(
 
 
 def main(argv: list[str]) -> int:
-    from quarry.session import build_session
-
-    if len(argv) < 3:
-        print(__doc__)
-        return 2
-    spark = build_session(app="quarry-run")
+    import argparse
+
+    from pyspark.sql import SparkSession
+
+    parser = argparse.ArgumentParser(prog="quarry.plans.run", description="Answer every question and write the results.")
+    parser.add_argument("in_dir")
+    parser.add_argument("out_dir")
+    parser.add_argument("names", nargs="*", help="only these outputs (default: all)")
+    parser.add_argument("--colocate", type=int, default=None, help="bucket orders and lineitem by order key first")
+    args = parser.parse_args(argv[1:])
+    # Under spark-submit the session (master, shuffle partitions, checkpoint
+    # folder) comes from the submit configuration; nothing is forced here.
+    spark = SparkSession.builder.appName("quarry-run").getOrCreate()
     try:
-        for name, path in run(spark, argv[1], argv[2], argv[3:] or None).items():
+        for name, path in run(spark, args.in_dir, args.out_dir, args.names or None, colocate=args.colocate).items():
             print(f"{name}\t{path}")
     finally:
         spark.stop()

@@ -86,3 +86,31 @@ def test_replicate_is_one_stage_without_join(spark):
     plan = replicate(spark.range(10), 61)._jdf.queryExecution().executedPlan().toString()
     assert "Generate" in plan
     assert "Join" not in plan and "Exchange" not in plan and "Union" not in plan
+
+
+def test_partitioned_writes_make_one_folder_per_value(spark, scratch):
+    from quarry.sinks import write_parquet
+
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "id int, k string")
+    out = os.path.join(scratch, "pq")
+    write_parquet(df, out, partition_by=["k"])
+    assert sorted(d for d in os.listdir(out) if d.startswith("k=")) == ["k=a", "k=b"]
+    assert spark.read.parquet(out).filter("k = 'a'").count() == 2
+    out2 = os.path.join(scratch, "csv")
+    write_csv(df, out2, partition_by=["k"])
+    assert sorted(d for d in os.listdir(out2) if d.startswith("k=")) == ["k=a", "k=b"]
+
+
+def test_checkpoint_dir_is_required_on_a_cluster():
+    from unittest import mock
+
+    from quarry.session import ensure_checkpoint_dir
+
+    sc = mock.Mock()
+    sc.getCheckpointDir.return_value = None
+    sc.master = "spark://cluster:7077"
+    sc.getConf.return_value.get.return_value = None
+    spark = mock.Mock(sparkContext=sc)
+    spark.conf.get.return_value = None
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(spark)

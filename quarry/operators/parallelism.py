@@ -13,11 +13,16 @@ def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
     otherwise tokenize or parse on a single core. A large input already has
     many more splits than cores and is returned untouched, so its rows are
     never shuffled just to be spread. Checking the partition count plans the
-    scan but runs no job. Streams are returned as they are.
+    scan but runs no job. Streams, and sessions that cannot report partition
+    counts, are returned as they are.
     """
     if df.isStreaming:
         return df
-    target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
+        tasks = df.rdd.getNumPartitions()
+    except Exception:  # a remote (Connect) session exposes no partition count
+        return df
+    if tasks >= target:
         return df
     return df.repartition(target)

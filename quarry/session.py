@@ -51,7 +51,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     setting is an error, since a machine-local folder would not survive the
     loss of the machine that wrote it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server's setting rules
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for reliable checkpoints")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

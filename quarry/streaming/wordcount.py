@@ -9,6 +9,7 @@ executor) resumes from the last committed batch without counting a file twice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quarry.operators.wordcount import word_count
@@ -48,3 +49,14 @@ def start_word_count(
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return writer.outputMode("update").foreachBatch(write_batch).start()
+
+
+def current_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(word, occurrences) as of the last batch written by the file sink.
+
+    Each ``batch=N`` folder holds the running totals of the words that
+    changed in batch N; a word's current total is the one from its latest
+    batch. One partitioned aggregate (``max_by``), partial per task.
+    """
+    batches = spark.read.parquet(path)
+    return batches.groupBy("word").agg(F.max_by("occurrences", "batch").alias("occurrences"))

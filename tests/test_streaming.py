@@ -1,7 +1,7 @@
 import os
 
 from conftest import write_text
-from quarry.streaming import start_word_count
+from quarry.streaming import current_counts, start_word_count
 
 
 def test_running_word_count_over_new_files(spark, scratch):
@@ -27,7 +27,9 @@ def test_file_sink_writes_changed_words_per_batch(spark, scratch):
     q = start_word_count(spark, src, os.path.join(scratch, "ckpt"), sink="parquet", path=out)
     try:
         q.processAllAvailable()
+        write_text(os.path.join(src, "b.txt"), "y z\n")
+        q.processAllAvailable()
     finally:
         q.stop()
-    got = dict(spark.read.parquet(out).select("word", "occurrences").collect())
-    assert got == {"x": 2, "y": 1}
+    # the second batch rewrites only the words it changed
+    assert dict(current_counts(spark, out).collect()) == {"x": 2, "y": 2, "z": 1}

@@ -33,6 +33,10 @@ def _joined(spark: SparkSession, d: str) -> DataFrame:
     return standins.stays_with_income(spark, d)
 
 
+def _by_customer(spark: SparkSession, d: str) -> DataFrame:
+    return standins.customer_income(spark, d)
+
+
 def _converted(spark: SparkSession, d: str) -> DataFrame:
     return px.convert(standins.prices(spark, d), standins.rates(spark, d))
 
@@ -52,15 +56,15 @@ def q_top100_revenue(spark, d):
 
 
 def q_top200_city_name_revenue(spark, d):
-    return revenue.revenue_by(_joined(spark, d), by=("city", "name"), n=TOP_GROUPS)
+    return revenue.revenue_by(_by_customer(spark, d), by=("city", "name"), n=TOP_GROUPS)
 
 
 def q_top200_name_revenue(spark, d):
-    return revenue.revenue_by(_joined(spark, d), by=("name",), n=TOP_GROUPS, drop_null=True)
+    return revenue.revenue_by(_by_customer(spark, d), by=("name",), n=TOP_GROUPS, drop_null=True)
 
 
 def q_city_revenue(spark, d):
-    return revenue.revenue_by(_joined(spark, d), by=("city",), n=TOP_GROUPS)
+    return revenue.revenue_by(_by_customer(spark, d), by=("city",), n=TOP_GROUPS)
 
 
 def q_no_revenue(spark, d):

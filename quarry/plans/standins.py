@@ -80,6 +80,35 @@ def stays_with_income(
     )
 
 
+def customer_income(
+    spark: SparkSession, d: str, orders: DataFrame | None = None, lineitem: DataFrame | None = None
+) -> DataFrame:
+    """(name, city, revenue, has_income): income summed per customer before the customer join.
+
+    For questions that group stays by customer attributes (name, nation):
+    orders with income are reduced to one exact partial sum per customer
+    key (partial aggregate first, so a customer with a third of all orders
+    is one row per task), and only those sums meet customer and nation. A
+    per-customer sum is null only when all its revenues are null, so summing
+    the partial sums per group equals summing the stays' revenues, nulls
+    included; ``revenue.revenue_by`` applies unchanged.
+    """
+    o = orders if orders is not None else table(spark, d, "orders")
+    o = o.select(F.col("o_orderkey").alias("id"), "o_custkey")
+    per_customer = (
+        o.join(income(spark, d, lineitem), "id", "inner")
+        .groupBy("o_custkey")
+        .agg(exact_sum("revenue").alias("revenue"))
+    )
+    c = table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("name"), "c_nationkey")
+    n = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("city"))
+    return (
+        per_customer.join(c, F.col("o_custkey") == F.col("c_custkey"))
+        .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select("name", "city", "revenue", F.lit(True).alias("has_income"))
+    )
+
+
 def prices(spark: SparkSession, d: str) -> DataFrame:
     """(date, open, high, low, close, volume) of order prices per order day.
 

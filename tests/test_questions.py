@@ -191,3 +191,17 @@ def test_orders_first_join_equals_stays_then_income(spark):
     assert a.columns == cols
     key = lambda r: (r[0],)
     assert sorted(map(tuple, a.select(cols).collect()), key=key) == sorted(map(tuple, b.select(cols).collect()), key=key)
+
+
+def test_per_customer_sums_equal_per_stay_sums(spark):
+    from conftest import SMOKE_DIR
+    from quarry.plans import standins
+
+    stays = standins.stays_with_income(spark, SMOKE_DIR)
+    customers = standins.customer_income(spark, SMOKE_DIR)
+    for by in (("city", "name"), ("name",), ("city",)):
+        for drop_null in (False, True):
+            a = revenue.revenue_by(stays, by, n=None, drop_null=drop_null)
+            b = revenue.revenue_by(customers, by, n=None, drop_null=drop_null)
+            key = lambda r: tuple(str(x) for x in r)
+            assert sorted(map(tuple, a.collect()), key=key) == sorted(map(tuple, b.collect()), key=key), (by, drop_null)

@@ -17,4 +17,4 @@ from quarry.functions.dates import (  # noqa: F401
     parse_date,
     year_of,
 )
-from quarry.functions.text import join_name, non_blank, normalized, part, split_literal, tokens  # noqa: F401
+from quarry.functions.text import join_name, normalized, part, split_literal, tokens  # noqa: F401

@@ -41,11 +41,6 @@ def normalized(col: Column | str) -> Column:
     return F.lower(F.trim(_c(col)))
 
 
-def non_blank(col: Column | str) -> Column:
-    """True when the string holds more than blanks."""
-    return F.length(F.trim(_c(col))) > 0
-
-
 def tokens(col: Column | str) -> Column:
     """Array of whitespace-separated pieces of the whole text.
 

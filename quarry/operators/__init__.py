@@ -9,7 +9,7 @@ from quarry.operators.relational import (  # noqa: F401
     top_n,
     without_value,
 )
-from quarry.operators.conform import composite_id, conform, parse_json_column, unite  # noqa: F401
+from quarry.operators.conform import composite_id, conform, unite  # noqa: F401
 from quarry.operators.replicate import midpoint, replicate  # noqa: F401
 from quarry.operators.wordcount import word_count  # noqa: F401
 from quarry.operators.parallelism import spread  # noqa: F401

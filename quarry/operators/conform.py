@@ -51,8 +51,3 @@ def unite(frames: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame
     for f in frames[1:]:
         result = result.unionByName(f, allowMissingColumns=allow_missing)
     return result
-
-
-def parse_json_column(df: DataFrame, col: str, schema: str, alias: str) -> DataFrame:
-    """Parse a JSON text column with a declared (nested) schema into a struct."""
-    return df.withColumn(alias, F.from_json(F.col(col), schema))

@@ -33,9 +33,18 @@ from quarry.sources.tables import table
 
 @dataclass
 class Output:
+    """A result and its file layout.
+
+    ``files`` is set only for results whose size is bounded whatever the
+    input (top-n, global, per-calendar-unit, per-segment or per-nation
+    aggregates); everything that grows with the input is written one file
+    per task, never squeezed through a few tasks or split by a hot key.
+    """
+
     build: Callable[["Shared"], DataFrame]
     files: int | None = None
     by: tuple[str, ...] = field(default_factory=tuple)
+    sort_within: tuple[str, ...] = field(default_factory=tuple)
 
 
 class Shared:
@@ -101,9 +110,9 @@ def _li(s: Shared) -> DataFrame:
 # Layouts follow the questions' own outputs: small results in one or two
 # files, keyed results hash-partitioned on their key.
 OUTPUTS: dict[str, Output] = {
-    "revenue_by_country": Output(lambda s: revenue.revenue_in(s.stays_income, cat.COUNTRY), files=2),
+    "revenue_by_country": Output(lambda s: revenue.revenue_in(s.stays_income, cat.COUNTRY)),
     "revenue_by_country_normalized": Output(
-        lambda s: revenue.revenue_in(s.stays_income, cat.COUNTRY, normalize=True, drop_null=True), files=2
+        lambda s: revenue.revenue_in(s.stays_income, cat.COUNTRY, normalize=True, drop_null=True)
     ),
     "top100_revenue": Output(lambda s: revenue.top_revenue(s.stays_income, cat.TOP_STAYS), files=2),
     "top200_city_name_revenue": Output(
@@ -113,23 +122,18 @@ OUTPUTS: dict[str, Output] = {
         lambda s: revenue.revenue_by(s.stays_income, ("name",), cat.TOP_GROUPS, drop_null=True), files=1
     ),
     "city_revenue": Output(lambda s: revenue.revenue_by(s.stays_income, ("city",), cat.TOP_GROUPS), files=1),
-    "no_revenue": Output(lambda s: revenue.no_revenue(s.stays_income), files=2, by=("city",)),
+    "no_revenue": Output(lambda s: revenue.no_revenue(s.stays_income)),
     "top_spender": Output(lambda s: retail.top_spender(s.t("orders"), "o_custkey", "o_totalprice"), files=1),
     "sold_report": Output(
         lambda s: retail.sold_report(
             _li(s), "l_partkey", s.t("part"), "p_partkey", "p_name", "l_quantity", "l_extendedprice"
         ),
-        files=4,
-        by=("p_partkey",),
     ),
     "never_sold": Output(
         lambda s: retail.never_sold(s.t("orders"), "o_orderkey", _li(s), "l_orderkey", ["o_orderkey", "o_custkey", "o_totalprice"]),
-        files=2,
     ),
     "lines_of_top10_stock": Output(
         lambda s: retail.facts_of_top_stock(_li(s), "l_partkey", s.t("part"), "p_partkey", "p_size", cat.TOP_STOCK),
-        files=3,
-        by=("l_partkey",),
     ),
     "day_of_max_high": Output(lambda s: px.day_of_extreme(s.prices, "high", "max", "high", materialize=False), files=1),
     "mean_close": Output(lambda s: px.mean_of(s.prices, "close", "mean_close"), files=1),
@@ -140,7 +144,9 @@ OUTPUTS: dict[str, Output] = {
         lambda s: px.pct_above(s.prices, "high", cat.HIGH_ABOVE, "pct_days_high_above"), files=1
     ),
     "max_high_by_year": Output(lambda s: px.extreme_by_year(s.prices, "high", "max", "max_high"), files=1),
-    "mean_close_by_month": Output(lambda s: px.mean_by_month(s.prices, "close", "mean_close"), files=1),
+    "mean_close_by_month": Output(
+        lambda s: px.mean_by_month(s.prices, "close", "mean_close"), files=1, sort_within=("year", "month")
+    ),
     "eur_day_of_max_high": Output(lambda s: px.day_of_extreme(s.converted, "high_eur", "max", "high_eur", materialize=False), files=1),
     "eur_mean_close": Output(
         lambda s: px.mean_of(s.converted, "close_eur", "mean_close_eur", px.CONVERTED_SCALE), files=1
@@ -164,12 +170,14 @@ OUTPUTS: dict[str, Output] = {
         lambda s: px.extreme_by_year(s.converted, "high_eur", "min", "min_high_eur"), files=1
     ),
     "eur_mean_close_by_month": Output(
-        lambda s: px.mean_by_month(s.converted, "close_eur", "mean_close_eur", px.CONVERTED_SCALE), files=1
+        lambda s: px.mean_by_month(s.converted, "close_eur", "mean_close_eur", px.CONVERTED_SCALE),
+        files=1,
+        sort_within=("year", "month"),
     ),
-    "mean_by_user": Output(lambda s: rt.mean_by_user(s.ratings, s.users), files=3, by=("user_id",)),
+    "mean_by_user": Output(lambda s: rt.mean_by_user(s.ratings, s.users)),
     "mean_by_segment": Output(lambda s: rt.mean_by_segment(s.ratings, s.users), files=1),
     "top10_items": Output(lambda s: rt.top_items(s.ratings, standins.items(s.spark, s.d), cat.TOP_ITEMS), files=1),
-    "party_union": Output(lambda s: walkthrough.party_union(s.t("customer"), s.t("supplier")), files=4),
+    "party_union": Output(lambda s: walkthrough.party_union(s.t("customer"), s.t("supplier"))),
     "word_count": Output(lambda s: word_count(s.t("documents"), "text")),
 }
 
@@ -205,7 +213,7 @@ def run(
         spec = OUTPUTS[name]
         df = spec.build(shared)
         path = os.path.join(out_dir, name)
-        write_csv(df, path, files=spec.files, by=spec.by)
+        write_csv(df, path, files=spec.files, by=spec.by, sort_within=spec.sort_within)
         df.createOrReplaceTempView(name)
         written[name] = path
     for name in wanted:
@@ -216,7 +224,7 @@ def run(
             spec = OUTPUTS[view]
             spec.build(shared).createOrReplaceTempView(view)
         path = os.path.join(out_dir, name)
-        write_csv(spark.sql(sql, args=args), path, files=1)
+        write_csv(spark.sql(sql, args=args), path)
         written[name] = path
     return written
 

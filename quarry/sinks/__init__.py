@@ -1,10 +1,18 @@
 """Writers with controlled file layout.
 
-``files`` bounds the number of output files without a shuffle (``coalesce``);
-``by`` hash-partitions the rows on columns first (``repartition(n, cols)``), so
-each file holds whole keys. ``partition_by`` writes one directory per value for
-readers that prune partitions. Output goes through Spark's commit protocol, so
-a task retried after a lost executor never leaves partial files behind.
+``files`` bounds the number of output files. By default the bound is a
+shuffle of the final rows (``repartition(n)``): only the result moves, and
+every stage before it keeps its full parallelism. ``narrow=True`` uses
+``coalesce(n)`` instead (no shuffle), which also shrinks the stage computing
+the rows to ``n`` tasks; use it only when that stage is small anyway. Give a
+file bound only to results whose size does not grow with the input (top-n,
+global or calendar aggregates); large results are written one file per task.
+
+``by`` hash-partitions the rows on columns first, so each file holds whole
+keys. ``sort_within`` orders the rows inside each file (a sorted result keeps
+its order in a single file). ``partition_by`` writes one directory per value
+for readers that prune partitions. Output goes through Spark's commit
+protocol, so a task retried after a lost executor never leaves partial files.
 """
 
 from __future__ import annotations
@@ -15,11 +23,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def layout(df: DataFrame, files: int | None = None, by: Sequence[str] = (), sort_within: Sequence[str] = ()) -> DataFrame:
+def layout(
+    df: DataFrame,
+    files: int | None = None,
+    by: Sequence[str] = (),
+    sort_within: Sequence[str] = (),
+    narrow: bool = False,
+) -> DataFrame:
     if by:
         df = df.repartition(files, *by) if files else df.repartition(*by)
     elif files:
-        df = df.coalesce(files)
+        df = df.coalesce(files) if narrow else df.repartition(files)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     return df
@@ -34,8 +48,10 @@ def write_csv(
     sep: str = ",",
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    sort_within: Sequence[str] = (),
+    narrow: bool = False,
 ) -> None:
-    w = layout(df, files, by).write.mode(mode).option("header", header).option("sep", sep)
+    w = layout(df, files, by, sort_within, narrow).write.mode(mode).option("header", header).option("sep", sep)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)

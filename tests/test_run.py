@@ -50,3 +50,21 @@ def test_colocated_run_joins_orders_and_income_without_shuffling_them(spark, scr
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     written = run(spark, SMOKE_DIR, scratch, ["never_sold", "no_revenue"], colocate=4)
     assert set(written) == {"never_sold", "no_revenue"}
+
+
+def test_only_bounded_results_get_a_file_bound():
+    growing = {
+        "revenue_by_country", "revenue_by_country_normalized", "no_revenue", "sold_report", "never_sold",
+        "lines_of_top10_stock", "mean_by_user", "party_union", "word_count",
+    }
+    for name in growing:
+        assert OUTPUTS[name].files is None and not OUTPUTS[name].by, name
+
+
+def test_sorted_result_keeps_its_order_in_one_file(spark, scratch):
+    written = run(spark, SMOKE_DIR, scratch, ["mean_close_by_month"], reliable=False)
+    parts = sorted(f for f in os.listdir(written["mean_close_by_month"]) if f.startswith("part-"))
+    assert len(parts) == 1
+    lines = open(os.path.join(written["mean_close_by_month"], parts[0])).read().splitlines()[1:]
+    keys = [tuple(int(x) for x in line.split(",")[:2]) for line in lines]
+    assert keys == sorted(keys) and len(keys) > 1

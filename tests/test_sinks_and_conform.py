@@ -114,3 +114,11 @@ def test_checkpoint_dir_is_required_on_a_cluster():
     spark.conf.get.return_value = None
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(spark)
+
+
+def test_file_bound_shuffles_only_the_result(spark):
+    df = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    wide = layout(df, files=1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange SinglePartition, REPARTITION_BY_NUM" in wide and "Coalesce" not in wide
+    narrow = layout(df, files=1, narrow=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce 1" in narrow

@@ -17,22 +17,26 @@ from quarry.functions.money import mean_from_parts, mean_parts
 from quarry.operators.relational import top_n
 
 
-def _parts(ratings: DataFrame, key: str) -> DataFrame:
+def rating_parts(ratings: DataFrame, key: str) -> DataFrame:
+    """(key, __s, __n): exact partial state of the mean rating per ``key``.
+
+    Shared by several questions; a job answering them can compute it once.
+    """
     s, n = mean_parts("rating")
     return ratings.groupBy(key).agg(s.alias("__s"), n.alias("__n"))
 
 
-def mean_by_user(ratings: DataFrame, users: DataFrame) -> DataFrame:
+def mean_by_user(ratings: DataFrame, users: DataFrame, parts: DataFrame | None = None) -> DataFrame:
     """(user_id, mean_rating) of users that exist and have ratings."""
-    parts = _parts(ratings, "user_id")
+    parts = parts if parts is not None else rating_parts(ratings, "user_id")
     return users.select("user_id").join(parts, "user_id", "inner").select(
         "user_id", mean_from_parts("__s", "__n").alias("mean_rating")
     )
 
 
-def mean_by_segment(ratings: DataFrame, users: DataFrame) -> DataFrame:
+def mean_by_segment(ratings: DataFrame, users: DataFrame, parts: DataFrame | None = None) -> DataFrame:
     """(segment, mean_rating): the mean over all ratings of the segment's users."""
-    parts = _parts(ratings, "user_id")
+    parts = parts if parts is not None else rating_parts(ratings, "user_id")
     return (
         users.join(parts, "user_id", "inner")
         .groupBy("segment")
@@ -42,7 +46,7 @@ def mean_by_segment(ratings: DataFrame, users: DataFrame) -> DataFrame:
 
 def top_items(ratings: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
     """(item_id, title, mean_rating) of the ``n`` items with the best rounded mean, ties by item."""
-    parts = _parts(ratings, "item_id")
+    parts = rating_parts(ratings, "item_id")
     means = items.join(parts, "item_id", "inner").select(
         "item_id", "title", mean_from_parts("__s", "__n").alias("mean_rating")
     )

@@ -68,3 +68,13 @@ def test_sorted_result_keeps_its_order_in_one_file(spark, scratch):
     lines = open(os.path.join(written["mean_close_by_month"], parts[0])).read().splitlines()[1:]
     keys = [tuple(int(x) for x in line.split(",")[:2]) for line in lines]
     assert keys == sorted(keys) and len(keys) > 1
+
+
+def test_colocated_tables_are_written_once_per_input(spark):
+    from quarry.plans.run import colocated_table
+
+    a = colocated_table(spark, SMOKE_DIR, "orders", "o_orderkey", 3)
+    files_a = sorted(a.inputFiles())
+    b = colocated_table(spark, SMOKE_DIR, "orders", "o_orderkey", 3)
+    assert sorted(b.inputFiles()) == files_a  # reused, not rewritten
+    assert len(files_a) <= 3 * spark.sparkContext.defaultParallelism

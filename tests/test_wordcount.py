@@ -34,3 +34,15 @@ def test_word_count_of_whole_long_text(spark):
 def test_word_count_of_empty_input(spark):
     df = spark.createDataFrame([], "value string")
     assert word_count(df).count() == 0
+
+
+def test_word_count_shape_of_a_short_poem(spark):
+    # 94 tokens over 12 lines, 85 distinct: 76 words once, 9 words twice
+    once = [f"w{i}" for i in range(76)]
+    twice = [f"r{i}" for i in range(9)] * 2
+    tokens = once + twice
+    lines = [" ".join(tokens[i::12]) for i in range(12)]
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
+    counts = word_count(df)
+    assert counts.count() == 85
+    assert counts.agg({"occurrences": "sum"}).first()[0] == 94

@@ -89,3 +89,11 @@ def test_marker_filter_turns_the_income_join_inner(spark):
     assert "LeftOuter" not in inner
     outer = catalog.q_no_revenue(spark, SMOKE_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftOuter" in outer
+
+
+def test_anti_join_side_is_deduplicated_before_its_shuffle(spark):
+    import re
+
+    p = plan(catalog.q_never_sold(spark, SMOKE_DIR))
+    # the lineitem keys pass a partial aggregate inside the map stage, before any exchange
+    assert re.search(r"Exchange hashpartitioning\(__fk.*\n\s*\+- \*\(\d+\) HashAggregate\(keys=\[__fk", p), p

@@ -14,14 +14,14 @@ from quarry.sources import read_delimited, read_json
 
 
 def test_headerless_comma_file_with_accents(spark, scratch):
-    path = write_text(os.path.join(scratch, "alumnos.csv"), "1,José Núñez,21,7.5\n2,Zoë Ångström,22,8.25\n")
+    path = write_text(os.path.join(scratch, "students.csv"), "1,José Núñez,21,7.5\n2,Zoë Ångström,22,8.25\n")
     df = read_delimited(spark, path, schema="id INT, nombre STRING, edad INT, nota DOUBLE")
     assert rows(df, "nombre") == [("José Núñez",), ("Zoë Ångström",)]
 
 
 def test_header_with_unnamed_first_column(spark, scratch):
     path = write_text(
-        os.path.join(scratch, "breweries.csv"),
+        os.path.join(scratch, "brewers.csv"),
         ',name,city,state,id\n0,NorthGate Brewing ,Minneapolis, MN,0\n1,"Against the Grain, LLC",Louisville, KY,1\n',
     )
     df = read_delimited(spark, path, header=True, infer=True)
@@ -51,11 +51,11 @@ def test_birth_rates_blank_column_names_and_null_limit(spark, scratch):
 
 
 def test_union_of_int_and_string_ids_needs_a_cast(spark):
-    wake = spark.createDataFrame([(1001, "Cafe")], "datasetId int, name string")
-    durham = spark.createDataFrame([("x1", "Grill")], "datasetId string, name string")
+    north = spark.createDataFrame([(1001, "Cafe")], "datasetId int, name string")
+    south = spark.createDataFrame([("x1", "Grill")], "datasetId string, name string")
     with pytest.raises(Exception):
-        wake.unionByName(durham).collect()  # ANSI: 'x1' cannot become a number
-    fixed = unite([wake.withColumn("datasetId", F.col("datasetId").cast("string")), durham])
+        north.unionByName(south).collect()  # ANSI: 'x1' cannot become a number
+    fixed = unite([north.withColumn("datasetId", F.col("datasetId").cast("string")), south])
     assert rows(fixed) == [("1001", "Cafe"), ("x1", "Grill")]
 
 
@@ -70,18 +70,18 @@ RESTAURANTS_CSV = """OBJECTID,HSISID,NAME,ADDRESS1,ADDRESS2,CITY,STATE,POSTALCOD
 2,4092014046,Taco Two,2 Oak Ave,Suite 5,Cary,NC,27511,,2012-01-03,Food Stand,2,-78.7,35.7,M
 """
 
-DURHAM = [
-    {"fields": {"id": "56060", "premise_name": "Grill Three", "premise_address1": "3 Elm", "premise_city": "Durham",
+NESTED_DOCS = [
+    {"fields": {"id": "56060", "premise_name": "Grill Three", "premise_address1": "3 Elm", "premise_city": "Southtown",
                 "premise_state": "NC", "premise_zip": "27701", "premise_phone": "(919) 555-0199",
                 "opening_date": "1994-09-01", "closing_date": None, "type_description": "1 - Restaurant",
                 "geolocation": [35.99, -78.9]},
      "geometry": {"type": "Point"}, "record_timestamp": "2017-07-13", "recordid": "a1"},
-    {"fields": {"id": "58123", "premise_name": "Cart Four", "premise_city": "Durham", "premise_state": "NC",
+    {"fields": {"id": "58123", "premise_name": "Cart Four", "premise_city": "Southtown", "premise_state": "NC",
                 "type_description": "Food Cart", "geolocation": [36.0]},
      "geometry": None, "record_timestamp": "2017-07-13", "recordid": "a2"},
 ]
 
-DURHAM_SCHEMA = (
+NESTED_SCHEMA = (
     "fields STRUCT<id: STRING, premise_name: STRING, premise_address1: STRING, premise_address2: STRING, "
     "premise_city: STRING, premise_state: STRING, premise_zip: STRING, premise_phone: STRING, "
     "opening_date: STRING, closing_date: STRING, type_description: STRING, geolocation: ARRAY<DOUBLE>>, "
@@ -90,20 +90,20 @@ DURHAM_SCHEMA = (
 
 
 def test_conform_csv_and_json_then_union(spark, scratch):
-    csv = write_text(os.path.join(scratch, "wake.csv"), RESTAURANTS_CSV)
-    js = write_text(os.path.join(scratch, "durham.json"), "\n".join(json.dumps(d) for d in DURHAM) + "\n")
+    csv = write_text(os.path.join(scratch, "flat.csv"), RESTAURANTS_CSV)
+    js = write_text(os.path.join(scratch, "nested.json"), "\n".join(json.dumps(d) for d in NESTED_DOCS) + "\n")
     flat = read_delimited(spark, csv, header=True, infer=True)
-    wake = conform(
+    north = conform(
         flat,
         {
             "datasetId": F.col("HSISID").cast("string"), "name": "NAME", "address1": "ADDRESS1", "address2": "ADDRESS2",
             "city": "CITY", "state": "STATE", "zip": F.col("POSTALCODE").cast("string"), "tel": "PHONENUMBER",
             "dateStart": F.col("RESTAURANTOPENDATE").cast("string"), "dateEnd": None, "type": "FACILITYTYPE",
-            "geoX": "X", "geoY": "Y", "county": F.lit("Wake"),
+            "geoX": "X", "geoY": "Y", "county": F.lit("North"),
         },
     ).withColumn("id", composite_id(["state", "county", "datasetId"]))
-    nested = read_json(spark, js, DURHAM_SCHEMA)
-    durham = conform(
+    nested = read_json(spark, js, NESTED_SCHEMA)
+    south = conform(
         nested,
         {
             "datasetId": "fields.id", "name": "fields.premise_name", "address1": "fields.premise_address1",
@@ -111,16 +111,16 @@ def test_conform_csv_and_json_then_union(spark, scratch):
             "zip": "fields.premise_zip", "tel": "fields.premise_phone", "dateStart": "fields.opening_date",
             "dateEnd": "fields.closing_date", "type": F.get(F.split("fields.type_description", " - "), 1),
             "geoX": F.get(F.col("fields.geolocation"), 0), "geoY": F.get(F.col("fields.geolocation"), 1),
-            "county": F.lit("Durham"),
+            "county": F.lit("South"),
         },
     ).withColumn("id", composite_id(["state", "county", "datasetId"]))
-    both = unite([wake.repartition(4), durham])
+    both = unite([north.repartition(4), south])
     assert count_rows(both).first()[0] == 4
     assert both.rdd.getNumPartitions() >= 4
     got = {r["id"]: (r["type"], r["geoY"]) for r in both.collect()}
     assert got == {
-        "NC_Wake_4092013748": ("Restaurant", 35.8),
-        "NC_Wake_4092014046": ("Food Stand", 35.7),
-        "NC_Durham_56060": ("Restaurant", -78.9),
-        "NC_Durham_58123": (None, None),  # no " - " and a one-element location
+        "NC_North_4092013748": ("Restaurant", 35.8),
+        "NC_North_4092014046": ("Food Stand", 35.7),
+        "NC_South_56060": ("Restaurant", -78.9),
+        "NC_South_58123": (None, None),  # no " - " and a one-element location
     }

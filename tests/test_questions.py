@@ -18,7 +18,7 @@ def _stays(spark):
             (2, "Hotel Sol", "Sevilla", " ES "),
             (3, "Le Petit", "Paris", "fr"),
             (4, "Hotel Mar", "Madrid", "es"),
-            (5, "Sin Ingresos", "Bilbao", "es"),
+            (5, "Hotel Vacío", "Bilbao", "es"),
         ],
         "id long, name string, city string, cc string",
     )

@@ -47,12 +47,12 @@ def test_tuple_text_fails_when_path_exists(spark, scratch):
 
 
 def test_conform_renames_constants_typed_nulls(spark):
-    df = spark.createDataFrame([(1, "Wake Cafe", "NC")], "HSISID int, NAME string, STATE string")
-    out = conform(df, {"datasetId": "HSISID", "name": "NAME", "state": "STATE", "county": F.lit("Wake"), "dateEnd": None})
+    df = spark.createDataFrame([(1, "North Cafe", "NC")], "HSISID int, NAME string, STATE string")
+    out = conform(df, {"datasetId": "HSISID", "name": "NAME", "state": "STATE", "county": F.lit("North"), "dateEnd": None})
     assert out.columns == ["datasetId", "name", "state", "county", "dateEnd"]
     assert dict(out.dtypes)["dateEnd"] == "string"
     withid = out.withColumn("id", composite_id(["state", "county", "datasetId"]))
-    assert withid.select("id").first()[0] == "NC_Wake_1"
+    assert withid.select("id").first()[0] == "NC_North_1"
 
 
 def test_composite_id_null_in_null_out(spark):

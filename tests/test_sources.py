@@ -47,7 +47,7 @@ MOVIES = StructType(
 
 
 def test_semicolon_header_inferred_blank_is_null_crlf(spark, scratch):
-    path = write_text(os.path.join(scratch, "ingresos.csv"), "id;revenue\n1;100\n2;\n3;250\n", newline="\r\n")
+    path = write_text(os.path.join(scratch, "revenue.csv"), "id;revenue\n1;100\n2;\n3;250\n", newline="\r\n")
     df = read_delimited(spark, path, sep=";", header=True, infer=True)
     assert dict(df.dtypes) == {"id": "int", "revenue": "int"}
     assert rows(df) == [(1, 100), (2, None), (3, 250)]
@@ -66,7 +66,7 @@ def test_comma_header_inferred_dates_and_trimming(spark, scratch):
 
 def test_hash_separated_declared_schema_crlf(spark, scratch):
     text = "".join(f"{i}#item {i}#{i}.5#{i % 4}\n" for i in range(1, 101))
-    path = write_text(os.path.join(scratch, "products.txt"), text, newline="\r\n")
+    path = write_text(os.path.join(scratch, "catalog.txt"), text, newline="\r\n")
     df = read_delimited(spark, path, sep="#", schema=PRODUCTS)
     assert df.count() == 100
     assert df.filter("stock IS NULL").count() == 0
@@ -74,9 +74,9 @@ def test_hash_separated_declared_schema_crlf(spark, scratch):
 
 
 def test_double_colon_lines_split_and_cast(spark, scratch):
-    users = write_text(os.path.join(scratch, "users.dat"), "1::F::1::10::48067\n2::M::56::16::07030\n")
+    users = write_text(os.path.join(scratch, "people.dat"), "1::F::1::10::48067\n2::M::56::16::07030\n")
     movies = write_text(
-        os.path.join(scratch, "movies.dat"), "1::Toy Story (1995)::Animation\n2::Sense, and: Sensibility::Drama\n"
+        os.path.join(scratch, "titles.dat"), "1::Toy Story (1995)::Animation\n2::Sense, and: Sensibility::Drama\n"
     )
     u = read_split_text(spark, users, "::", USERS)
     assert rows(u) == [(1, "F", 1, 10, "48067"), (2, "M", 56, 16, "07030")]  # leading zero kept
@@ -145,7 +145,7 @@ def test_nested_json_declared_schema(spark, scratch):
 
 def test_rows_frame_and_schema_json_round_trip(spark):
     schema = StructType([StructField("name", StringType(), True)])
-    df = rows_frame(spark, [["Jean"], ["Liz"], ["Pierre"], ["Lauric"]], schema)
+    df = rows_frame(spark, [["Ada"], ["Ben"], ["Cleo"], ["Dev"]], schema)
     assert df.count() == 4
     assert rows_frame(spark, [], schema).count() == 0
     assert schema_from_json(schema_json(df)) == schema

@@ -16,7 +16,7 @@ TEXT = (
 
 
 def test_word_count_matches_whitespace_tokenizer(spark, scratch):
-    path = write_text(os.path.join(scratch, "romeo.txt"), TEXT)
+    path = write_text(os.path.join(scratch, "poem.txt"), TEXT)
     got = dict(word_count(read_lines(spark, path), "value").collect())
     want = Counter(TEXT.split())  # ASCII whitespace only in this text
     assert got == dict(want)

@@ -91,3 +91,18 @@ def test_share_where_and_count_rows(spark):
     df = spark.createDataFrame([(x,) for x in [100.0, 600.0, 700.0, None]], "Close double")
     assert share_where(df, F.col("Close") > 500, "pct").collect()[0][0] == 50.0
     assert count_rows(df.filter(F.col("Close") > 500), "days").collect()[0][0] == 2
+
+
+def test_null_left_keys_survive_both_unmatched_forms(spark):
+    left = spark.createDataFrame([(1,), (None,), (3,)], "k long")
+    right = spark.createDataFrame([(1,)], "r long")
+    anti = sorted((r[0] for r in never_matched(left, right, F.col("k") == F.col("r")).collect()), key=str)
+    outer = sorted((r[0] for r in never_matched_outer(left, "k", right, "r").collect()), key=str)
+    assert anti == outer == sorted([None, 3], key=str)
+
+
+def test_rows_at_extreme_with_nan(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, 2.0)], "i int, v double")
+    # Spark orders NaN above every number, and joins NaN to NaN
+    assert rows(rows_at_extreme(df, "v", "max"), "i") == [(2,)]
+    assert rows(rows_at_extreme(df, "v", "min"), "i") == [(1,)]

@@ -124,3 +124,43 @@ def test_conform_csv_and_json_then_union(spark, scratch):
         "NC_South_56060": ("Restaurant", -78.9),
         "NC_South_58123": (None, None),  # no " - " and a one-element location
     }
+
+
+PRICES_CSV = """Date,Open,High,Low,Close,Volume,Adj Close
+2015-12-30,100.0,700.0,90.0,650.0,5,650.0
+2015-12-31,101.0,700.0,91.0,550.0,9,550.0
+2016-01-04,102.0,,92.0,610.0,5,610.0
+2016-01-05,103.0,480.0,93.0,590.0,7,590.0
+"""
+
+FX_CSV = """Date,Price,Open,High,Low,Change %
+"Dec 30, 2015",0.91,0.9,0.95,0.85,0.1%
+"Jan 04, 2016",0.81,0.8,0.9,0.7,-0.2%
+"not a date",1.0,1.0,1.0,1.0,0%
+"""
+
+
+def test_price_questions_from_csv_files(spark, scratch):
+    from quarry.functions.dates import MONTH_NAME_DAY, parse_date
+    from quarry.plans import prices as px
+
+    prices_path = write_text(os.path.join(scratch, "prices.csv"), PRICES_CSV)
+    fx_path = write_text(os.path.join(scratch, "fx.csv"), FX_CSV)
+    raw = read_delimited(spark, prices_path, header=True, infer=True)
+    assert dict(raw.dtypes)["Date"] == "date" and dict(raw.dtypes)["Volume"] == "int"
+    p = raw.select(
+        parse_date("Date").alias("date"),  # an inferred date parses as well
+        F.col("Open").alias("open"), F.col("High").alias("high"), F.col("Low").alias("low"),
+        F.col("Close").alias("close"), F.col("Volume").alias("volume"),
+    )
+    assert px.day_of_extreme(p, "high", "max", "high").count() == 2  # two days share the maximum
+    assert px.pct_above(p, "high", 500, "pct").first()[0] == 50.0  # null high counts in the base
+    assert rows(px.extreme_by_year(p, "high", "max", "mx")) == [(2015, 700.0), (2016, 480.0)]
+    fx_raw = read_delimited(spark, fx_path, header=True, infer=True)
+    fx = fx_raw.select(
+        parse_date("Date", MONTH_NAME_DAY).alias("date"),
+        F.col("Open").alias("open_rate"), F.col("High").alias("high_rate"), F.col("Low").alias("low_rate"),
+    )
+    conv = px.convert(p, fx)
+    assert conv.count() == 2  # the unparsable day and the days without a rate drop out
+    assert px.mean_of(conv, "close_eur", "m", px.CONVERTED_SCALE).first()[0] == round((650 * 0.9 + 610 * 0.8) / 2, 2)

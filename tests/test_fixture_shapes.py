@@ -164,3 +164,51 @@ def test_price_questions_from_csv_files(spark, scratch):
     conv = px.convert(p, fx)
     assert conv.count() == 2  # the unparsable day and the days without a rate drop out
     assert px.mean_of(conv, "close_eur", "m", px.CONVERTED_SCALE).first()[0] == round((650 * 0.9 + 610 * 0.8) / 2, 2)
+
+
+PRODUCT_SCHEMA = "idProducto INT, descripcion STRING, precio FLOAT, stock INT"
+SALES_SCHEMA = "fecha STRING, hora STRING, idCliente INT, producto INT, numero_items INT, dinero_total FLOAT"
+
+
+def test_shop_questions_from_hash_files(spark, scratch):
+    from quarry.plans import retail
+
+    products = write_text(
+        os.path.join(scratch, "catalog.txt"),
+        "".join(f"{i}#item {i}#{i}.25#{30 - i}\n" for i in range(1, 13)),
+        newline="\r\n",
+    )
+    sales = write_text(
+        os.path.join(scratch, "sales.txt"),
+        "2020-01-01#10:00#7#1#2#10.1\n2020-01-01#11:00#8#1#1#15.0\n2020-01-02#12:00#8#2#3#0.05\n2020-01-02#13:00#9#12#1#15.05\n",
+    )
+    p = read_delimited(spark, products, sep="#", schema=PRODUCT_SCHEMA)
+    t = read_delimited(spark, sales, sep="#", schema=SALES_SCHEMA)
+    assert [tuple(r) for r in retail.top_spender(t, "idCliente", "dinero_total").collect()] == [(8, 15.05)]
+    report = rows(retail.sold_report(t, "producto", p, "idProducto", "descripcion", "numero_items", "dinero_total"))
+    assert report == [(1, "item 1", 3.0, 25.1), (2, "item 2", 3.0, 0.05), (12, "item 12", 1.0, 15.05)]
+    unsold = retail.never_sold(p, "idProducto", t, "producto", ["idProducto"])
+    assert unsold.count() == 9
+    # top stock: products 1..10 (stock 29..20); product 12 is outside, so its sale is not listed
+    top = retail.facts_of_top_stock(t, "producto", p, "idProducto", "stock", 10)
+    assert rows(top, "producto") == [(1,), (1,), (2,)]
+
+
+def test_rating_questions_from_double_colon_files(spark, scratch):
+    from quarry.plans import ratings as rt
+    from quarry.sources import read_split_text
+
+    users = write_text(os.path.join(scratch, "people.dat"), "1::F::25::3::01234\n2::M::35::7::55555\n3::F::45::1::99999\n")
+    votes = write_text(
+        os.path.join(scratch, "votes.dat"), "1::10::5::978300760\n1::11::4::978300761\n2::10::3::978300762\n9::10::1::978300763\n"
+    )
+    titles = write_text(os.path.join(scratch, "titles.dat"), "10::Heat (1995)::Action|Crime\n11::Up: a story, told::Animation\n")
+    u = read_split_text(spark, users, "::", spark.createDataFrame([], "idUser INT, genero STRING, edad INT, ocupacion INT, codigoPostal STRING").schema)
+    r = read_split_text(spark, votes, "::", spark.createDataFrame([], "idUser_ratings INT, idPelicula INT, rating INT, tp INT").schema)
+    m = read_split_text(spark, titles, "::", spark.createDataFrame([], "idMovie INT, titulo STRING, genero STRING").schema)
+    ratings = r.select(F.col("idUser_ratings").alias("user_id"), F.col("idPelicula").alias("item_id"), "rating")
+    people = u.select(F.col("idUser").alias("user_id"), F.col("genero").alias("segment"))
+    items = m.select(F.col("idMovie").alias("item_id"), F.col("titulo").alias("title"))
+    assert dict(rt.mean_by_user(ratings, people).collect()) == {1: 4.5, 2: 3.0}
+    assert dict(rt.mean_by_segment(ratings, people).collect()) == {"F": 4.5, "M": 3.0}
+    assert [tuple(x) for x in rt.top_items(ratings, items, 10).collect()] == [(11, "Up: a story, told", 4.0), (10, "Heat (1995)", 3.0)]

@@ -212,3 +212,23 @@ def test_rating_questions_from_double_colon_files(spark, scratch):
     assert dict(rt.mean_by_user(ratings, people).collect()) == {1: 4.5, 2: 3.0}
     assert dict(rt.mean_by_segment(ratings, people).collect()) == {"F": 4.5, "M": 3.0}
     assert [tuple(x) for x in rt.top_items(ratings, items, 10).collect()] == [(11, "Up: a story, told", 4.0), (10, "Heat (1995)", 3.0)]
+
+
+def test_hotel_questions_from_semicolon_files(spark, scratch):
+    from quarry.plans import revenue
+
+    hotels_path = write_text(
+        os.path.join(scratch, "hotels.csv"),
+        "id;name;stars;rooms;city_hotel;cc1\n1;Hotel Ábaco;4;50;Madrid;es\n2;Hotel Sol;3;20;Sevilla; ES \n"
+        "3;Le Petit;2;10;Paris;fr\n4;Sin Datos;1;5;Bilbao;es\n",
+        newline="\r\n",
+    )
+    revenue_path = write_text(os.path.join(scratch, "revenue.csv"), "id;revenue\n1;500\n2;300\n3;\n", newline="\r\n")
+    h = read_delimited(spark, hotels_path, sep=";", header=True, infer=True)
+    i = read_delimited(spark, revenue_path, sep=";", header=True, infer=True)
+    stays = h.select("id", "name", F.col("city_hotel").alias("city"), F.col("cc1").alias("cc"))
+    joined = revenue.stays_with_income(stays, i)
+    assert rows(revenue.revenue_in(joined, "es"), "name") == [("Hotel Ábaco",)]
+    assert rows(revenue.revenue_in(joined, "es", normalize=True), "name") == [("Hotel Sol",), ("Hotel Ábaco",)]
+    assert [r["id"] for r in revenue.top_revenue(joined, 100).collect()] == [1, 2, 3]
+    assert rows(revenue.no_revenue(joined), "id") == [(3,), (4,)]  # null revenue and no revenue row

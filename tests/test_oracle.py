@@ -9,6 +9,11 @@ import __spark_entry__ as entry
 from conftest import SMOKE_DIR
 from quarry.sources.tables import TABLES
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT",
+    "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -43,6 +48,9 @@ def test_query_matches_oracle(spark, duck, name):
     res = duck.execute(entry.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
+    dtypes = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()}
+    for f in df.schema:
+        assert SPARK_TO_DUCK[f.dataType.simpleString()] == dtypes[f.name], (f.name, f.dataType, dtypes[f.name])
     assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(dcols, res.fetchall())
 
 

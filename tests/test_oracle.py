@@ -47,11 +47,12 @@ def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SMOKE_DIR)
     res = duck.execute(entry.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
+    drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
     dtypes = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()}
     for f in df.schema:
         assert SPARK_TO_DUCK[f.dataType.simpleString()] == dtypes[f.name], (f.name, f.dataType, dtypes[f.name])
-    assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(dcols, res.fetchall())
+    assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(dcols, drows)
 
 
 def test_entry_runs_with_stable_schema(spark):

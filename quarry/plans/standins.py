@@ -15,6 +15,11 @@ users      customer, ``c_mktsegment`` as the group              user_id = c_cust
 items      part                                                 item_id = p_partkey
 =========  ===================================================  ======================
 
+Two joined forms serve the revenue questions: ``stays_with_income`` (one row
+per stay, orders joined to their income first) and ``customer_income``
+(income summed per customer before the customer join, for questions that
+group by customer attributes).
+
 Partial aggregation happens before every shuffle: ``income``, ``prices`` and
 ``rates`` are grouped aggregates whose map side emits one row per key and
 task, so a day or an order holding a third of all rows is no hot partition.

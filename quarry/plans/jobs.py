@@ -149,3 +149,34 @@ def write_results(results: Mapping[str, DataFrame], out_dir: str) -> dict[str, s
         write_csv(df, path)
         written[name] = path
     return written
+
+
+JOBS = {
+    "hotels": (hotel_results, ("hotels_csv", "revenue_csv")),
+    "shop": (shop_results, ("products_txt", "sales_txt")),
+    "prices": (price_results, ("prices_csv", "fx_csv")),
+    "ratings": (rating_results, ("users_dat", "ratings_dat", "movies_dat")),
+    "wordcount": (word_counts, ("text_dir",)),
+}
+
+
+def main(argv: list[str]) -> int:
+    """``python -m quarry.plans.jobs JOB INPUT... OUT_DIR``; prints ``name<TAB>path`` per result."""
+    if len(argv) < 2 or argv[1] not in JOBS or len(argv) != len(JOBS[argv[1]][1]) + 3:
+        usage = "; ".join(f"{k} {' '.join(v[1])} OUT_DIR" for k, v in JOBS.items())
+        print(f"usage: python -m quarry.plans.jobs JOB INPUTS... OUT_DIR  ({usage})")
+        return 2
+    fn, _ = JOBS[argv[1]]
+    spark = SparkSession.builder.appName(f"quarry-{argv[1]}").getOrCreate()
+    try:
+        for name, path in write_results(fn(spark, *argv[2:-1]), argv[-1]).items():
+            print(f"{name}\t{path}")
+    finally:
+        spark.stop()
+    return 0
+
+
+if __name__ == "__main__":
+    import sys
+
+    sys.exit(main(sys.argv))

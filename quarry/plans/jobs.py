@@ -13,6 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarry.functions.dates import ISO_DAY, MONTH_NAME_DAY, parse_date
 from quarry.operators.wordcount import word_count
@@ -40,10 +41,6 @@ RATINGS_SCHEMA = "idUser_ratings INT, idPelicula INT, rating INT, tp INT"
 MOVIES_SCHEMA = "idMovie INT, titulo STRING, genero STRING"
 
 
-def _schema(spark: SparkSession, ddl: str):
-    return spark.createDataFrame([], ddl).schema
-
-
 def hotel_results(spark: SparkSession, hotels_path: str, revenue_path: str) -> dict[str, DataFrame]:
     """Hotels (``;``, header: id, name, …, city_hotel, cc1) and revenue (``;``, header: id, revenue)."""
     hotels = read_delimited(spark, hotels_path, sep=";", header=True, infer=True)
@@ -119,9 +116,9 @@ def price_results(spark: SparkSession, prices_path: str, fx_path: str) -> dict[s
 
 def rating_results(spark: SparkSession, users_path: str, ratings_path: str, movies_path: str) -> dict[str, DataFrame]:
     """Users, ratings and movies: text lines with ``::`` between fields."""
-    users = read_split_text(spark, users_path, "::", _schema(spark, USERS_SCHEMA))
-    votes = read_split_text(spark, ratings_path, "::", _schema(spark, RATINGS_SCHEMA))
-    movies = read_split_text(spark, movies_path, "::", _schema(spark, MOVIES_SCHEMA))
+    users = read_split_text(spark, users_path, "::", StructType.fromDDL(USERS_SCHEMA))
+    votes = read_split_text(spark, ratings_path, "::", StructType.fromDDL(RATINGS_SCHEMA))
+    movies = read_split_text(spark, movies_path, "::", StructType.fromDDL(MOVIES_SCHEMA))
     ratings = votes.select(
         F.col("idUser_ratings").alias("user_id"), F.col("idPelicula").alias("item_id"), "rating"
     )

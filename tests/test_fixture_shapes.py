@@ -5,6 +5,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from conftest import rows, write_text
 from quarry.operators.conform import composite_id, conform, unite
@@ -203,9 +204,9 @@ def test_rating_questions_from_double_colon_files(spark, scratch):
         os.path.join(scratch, "votes.dat"), "1::10::5::978300760\n1::11::4::978300761\n2::10::3::978300762\n9::10::1::978300763\n"
     )
     titles = write_text(os.path.join(scratch, "titles.dat"), "10::Heat (1995)::Action|Crime\n11::Up: a story, told::Animation\n")
-    u = read_split_text(spark, users, "::", spark.createDataFrame([], "idUser INT, genero STRING, edad INT, ocupacion INT, codigoPostal STRING").schema)
-    r = read_split_text(spark, votes, "::", spark.createDataFrame([], "idUser_ratings INT, idPelicula INT, rating INT, tp INT").schema)
-    m = read_split_text(spark, titles, "::", spark.createDataFrame([], "idMovie INT, titulo STRING, genero STRING").schema)
+    u = read_split_text(spark, users, "::", StructType.fromDDL("idUser INT, genero STRING, edad INT, ocupacion INT, codigoPostal STRING"))
+    r = read_split_text(spark, votes, "::", StructType.fromDDL("idUser_ratings INT, idPelicula INT, rating INT, tp INT"))
+    m = read_split_text(spark, titles, "::", StructType.fromDDL("idMovie INT, titulo STRING, genero STRING"))
     ratings = r.select(F.col("idUser_ratings").alias("user_id"), F.col("idPelicula").alias("item_id"), "rating")
     people = u.select(F.col("idUser").alias("user_id"), F.col("genero").alias("segment"))
     items = m.select(F.col("idMovie").alias("item_id"), F.col("titulo").alias("title"))

@@ -13,7 +13,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from quarry.functions.dates import ISO_DAY, MONTH_NAME_DAY, parse_date
 from quarry.operators.wordcount import word_count
@@ -116,9 +115,9 @@ def price_results(spark: SparkSession, prices_path: str, fx_path: str) -> dict[s
 
 def rating_results(spark: SparkSession, users_path: str, ratings_path: str, movies_path: str) -> dict[str, DataFrame]:
     """Users, ratings and movies: text lines with ``::`` between fields."""
-    users = read_split_text(spark, users_path, "::", StructType.fromDDL(USERS_SCHEMA))
-    votes = read_split_text(spark, ratings_path, "::", StructType.fromDDL(RATINGS_SCHEMA))
-    movies = read_split_text(spark, movies_path, "::", StructType.fromDDL(MOVIES_SCHEMA))
+    users = read_split_text(spark, users_path, "::", USERS_SCHEMA)
+    votes = read_split_text(spark, ratings_path, "::", RATINGS_SCHEMA)
+    movies = read_split_text(spark, movies_path, "::", MOVIES_SCHEMA)
     ratings = votes.select(
         F.col("idUser_ratings").alias("user_id"), F.col("idPelicula").alias("item_id"), "rating"
     )

@@ -61,7 +61,7 @@ def split_to_schema(
     df: DataFrame,
     col: str,
     sep: str,
-    schema: StructType,
+    schema: StructType | str,
     strict: bool = True,
 ) -> DataFrame:
     """Split a text column on a literal (possibly multi-character) separator and
@@ -71,6 +71,8 @@ def split_to_schema(
     value becomes null. A missing position, or a blank one in a non-string
     field, is null either way.
     """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
     parts = split_literal(col, sep)
     out: list[Column] = []
     for i, field in enumerate(schema.fields):
@@ -86,7 +88,7 @@ def split_to_schema(
 
 
 def read_split_text(
-    spark: SparkSession, path: str | Sequence[str], sep: str, schema: StructType, strict: bool = True
+    spark: SparkSession, path: str | Sequence[str], sep: str, schema: StructType | str, strict: bool = True
 ) -> DataFrame:
     """Text lines split on ``sep`` (e.g. ``::``) and cast to ``schema``; no Python per row."""
     return split_to_schema(spark.read.text(path), "value", sep, schema, strict)

@@ -39,7 +39,9 @@ def sold_report(
     Facts are aggregated per product first (partial + final), then joined; a
     product that sells a third of all lines is one row per task before the shuffle.
     """
-    aggs = [exact_sum(items).alias("items_sold")]
+    integral = dict(facts.dtypes).get(items) in ("tinyint", "smallint", "int", "bigint")
+    # counts of items stay integers; fractional quantities get the exact money sum
+    aggs = [(F.sum(items) if integral else exact_sum(items)).alias("items_sold")]
     if amount is not None:
         aggs.append(exact_sum(amount).alias("amount_sold"))
     sold = facts.groupBy(F.col(fact_key).alias("__key")).agg(*aggs)

@@ -33,7 +33,8 @@ def test_shop_job(spark, scratch):
     )
     r = jobs.shop_results(spark, products, sales)
     assert [tuple(x) for x in r["top_client"].collect()] == [(8, 15.05)]
-    assert rows(r["sold_items"]) == [(1, "item 1", 3.0), (2, "item 2", 3.0), (12, "item 12", 1.0)]
+    assert rows(r["sold_items"]) == [(1, "item 1", 3), (2, "item 2", 3), (12, "item 12", 1)]
+    assert dict(r["sold_items"].dtypes)["items_sold"] == "bigint"  # an integer count stays an integer
     assert r["never_sold"].count() == 9
     assert r["never_sold"].columns == ["idProducto", "descripcion", "precio"]
     assert rows(r["top_stock_sales"], "producto") == [(1,), (1,), (2,)]

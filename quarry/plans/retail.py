@@ -19,7 +19,7 @@ from quarry.operators.relational import facts_of_top_n, in_list, never_matched,
 def top_spender(facts: DataFrame, who: str, amount: str, n: int = 1) -> DataFrame:
     """(who, total_spent) of the ``n`` biggest spenders, ties by ``who``.
 
-    Sums are exact decimals, so ordering by the rounded sum is ordering by the sum.
+    Sums are exact (integer cents), so ordering by the rounded sum is ordering by the sum.
     """
     totals = facts.groupBy(who).agg(exact_sum(amount).alias("total_spent"))
     return top_n(totals, n, [F.desc_nulls_last("total_spent")], [who])

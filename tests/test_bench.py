@@ -17,3 +17,4 @@ def test_bench_prints_one_json_line():
     assert d["metric"] == "total_query_seconds" and d["unit"] == "sec" and d["sf"] == 0.001
     assert set(d["queries"]) == {"mean_close", "word_count"}
     assert abs(d["value"] - sum(d["queries"].values())) < 1e-3
+    assert d["errors"] == {}

@@ -57,9 +57,24 @@ def write_csv(
     w.csv(path)
 
 
+def _quoted(c):
+    """A string as Python writes it in a tuple: single quotes, or double quotes
+    when it holds a single quote and no double quote; backslashes doubled."""
+    body = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    single = F.concat(F.lit("'"), F.replace(body, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    double = F.concat(F.lit('"'), body, F.lit('"'))
+    return F.when(F.contains(c, F.lit("'")) & ~F.contains(c, F.lit('"')), double).otherwise(single)
+
+
 def write_tuple_text(df: DataFrame, path: str, files: int | None = None, mode: str = "errorifexists") -> None:
-    """Rows as ``(a, b, ...)`` text lines; by default fails when ``path`` exists."""
-    line = F.concat(F.lit("("), F.concat_ws(", ", *[F.col(c).cast("string") for c in df.columns]), F.lit(")"))
+    """Rows as tuple text lines, ``('7', 10.5)``: strings quoted, numbers bare,
+    nulls as ``None``; by default fails when ``path`` exists."""
+    fields = []
+    for name, typ in df.dtypes:
+        c = F.col(name)
+        text = _quoted(c) if typ == "string" else c.cast("string")
+        fields.append(F.coalesce(text, F.lit("None")))
+    line = F.concat(F.lit("("), F.concat_ws(", ", *fields), F.lit(",)" if len(fields) == 1 else ")"))
     layout(df.select(line.alias("value")), files).write.mode(mode).text(path)
 
 

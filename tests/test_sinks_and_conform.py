@@ -41,7 +41,12 @@ def test_tuple_text_fails_when_path_exists(spark, scratch):
     df = spark.createDataFrame([("7", 10.5)], "client string, total double")
     write_tuple_text(df, out, files=1)
     text = open(_parts(out)[0]).read().strip()
-    assert text == "(7, 10.5)"
+    assert text == "('7', 10.5)"  # as Python writes the tuple
+    other = os.path.join(scratch, "t2")
+    samples = ["O'Neil", 'say "hi"', "both ' and \"", "back\\slash"]
+    write_tuple_text(spark.createDataFrame([(x, None) for x in samples], "n string, v double").coalesce(1), other)
+    lines = sorted(open(_parts(other)[0]).read().splitlines())
+    assert lines == sorted(repr((x, None)) for x in samples)
     with pytest.raises(Exception):
         write_tuple_text(df, out)
 

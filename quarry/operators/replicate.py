@@ -30,11 +30,12 @@ def midpoint(df: DataFrame, lower: str = "lcl", upper: str = "ucl", mode: str =
         raise ValueError(f"mode must be one of {MODES}")
     if mode == "noop":
         return df
+    lo, up = (name.replace("`", "``") for name in (lower, upper))
     out = df.withColumns(
         {
-            "avg": F.expr(f"(`{lower}` + `{upper}`) / 2"),
-            f"{lower}2": F.col(lower),
-            f"{upper}2": F.col(upper),
+            "avg": F.expr(f"(`{lo}` + `{up}`) / 2"),
+            f"{lower}2": F.col(f"`{lo}`"),
+            f"{upper}2": F.col(f"`{up}`"),
         }
     )
     if mode == "full":

@@ -68,3 +68,20 @@ def test_share_rounds_half_up_and_empty_is_null(spark):
 @pytest.mark.parametrize("value,expected", [(Decimal("2.675"), 2.68), (Decimal("1.115"), 1.12)])
 def test_decimal_reference_rounding(value, expected):
     assert float(value.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)) == expected
+
+
+def test_wide_paths_equal_the_long_paths(spark):
+    df = spark.createDataFrame([("a", 1.25), ("a", 2.5), ("b", -0.01), ("b", None)], "k string, v double")
+    narrow = dict(df.groupBy("k").agg(exact_sum("v").alias("s")).collect())
+    wide = dict(df.groupBy("k").agg(exact_sum("v", wide=True).alias("s")).collect())
+    assert narrow == wide == {"a": 3.75, "b": -0.01}
+    m1 = dict(df.groupBy("k").agg(exact_mean("v").alias("m")).collect())
+    m2 = dict(df.groupBy("k").agg(exact_mean("v", wide=True).alias("m")).collect())
+    assert m1 == m2 == {"a": 1.88, "b": -0.01}
+
+
+def test_midpoint_with_awkward_column_names(spark):
+    from quarry.operators.replicate import midpoint
+
+    df = spark.createDataFrame([(1.0, 3.0)], "`lo`` w` double, `up x` double")
+    assert midpoint(df, "lo` w", "up x").first()["avg"] == 2.0

@@ -116,7 +116,7 @@ def colocated_table(spark: SparkSession, data_dir: str, name: str, key: str, buc
     session; across runs with a persistent metastore) it is reused, so the
     rewrite's shuffle is paid once for every later job on the same input.
     """
-    digest = hashlib.sha1(data_dir.rstrip("/").encode()).hexdigest()[:10]
+    digest = hashlib.sha1(str(data_dir).rstrip("/").encode()).hexdigest()[:10]
     table_name = f"colocated_{name}_{buckets}_{digest}"
     if spark.catalog.tableExists(table_name):
         return spark.table(table_name)

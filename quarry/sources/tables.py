@@ -44,4 +44,4 @@ def table(spark: SparkSession, data_dir: str, name: str, declared: bool = True)
     if name not in SCHEMAS:
         raise KeyError(f"unknown table {name!r}")
     reader = spark.read.schema(SCHEMAS[name]) if declared else spark.read
-    return reader.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    return reader.parquet(f"{str(data_dir).rstrip('/')}/{name}.parquet")

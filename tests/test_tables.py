@@ -20,3 +20,12 @@ def test_declared_schemas_equal_the_files(spark, data_dir):
 def test_unknown_table(spark):
     with pytest.raises(KeyError):
         table(spark, "/nowhere", "hotels")
+
+
+def test_data_dir_may_be_a_path_object(spark):
+    import pathlib
+
+    import __spark_entry__ as entry
+
+    df = entry.queries()["mean_close"](spark, pathlib.Path(DIRS[0]))
+    assert df.count() == 1

@@ -6,6 +6,7 @@ and returns a lazy DataFrame; nothing is collected here.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -209,7 +210,9 @@ def q_top10_items(spark, d):
 
 
 def q_users_below_threshold(spark, d):
-    return rt.below_threshold(spark, q_mean_by_user(spark, d), RATING_BELOW)
+    # a view name of its own per call: concurrent calls never replace each other's view
+    view = f"mean_by_user_{uuid.uuid4().hex[:12]}"
+    return rt.below_threshold(spark, q_mean_by_user(spark, d), RATING_BELOW, view=view)
 
 
 # ---- walkthrough and text -------------------------------------------------

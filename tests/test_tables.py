@@ -29,3 +29,12 @@ def test_data_dir_may_be_a_path_object(spark):
 
     df = entry.queries()["mean_close"](spark, pathlib.Path(DIRS[0]))
     assert df.count() == 1
+
+
+def test_resolved_tables_are_reused_until_asked_fresh(spark):
+    a = table(spark, DIRS[0], "orders")
+    assert table(spark, DIRS[0], "orders") is a
+    assert table(spark, DIRS[0] + "/", "orders") is a
+    b = table(spark, DIRS[0], "orders", fresh=True)
+    assert b is not a and table(spark, DIRS[0], "orders") is b
+    assert table(spark, DIRS[0], "orders", declared=False) is not b

@@ -8,7 +8,8 @@ Layout
 ``operators``  reusable relational building blocks (top-n, rows at an extreme,
                unmatched rows, shares, conforming and union, word count)
 ``plans``      the composite questions (hotel revenue, retail, prices, ratings,
-               walkthrough) over the test tables, plus the job runner
+               walkthrough) over the test tables, the job runner, and the
+               original jobs on their own file layouts (``plans.jobs``)
 ``streaming``  the word count over a growing directory of text files
 
 Library functions never build a session, never ``collect`` whole data and never

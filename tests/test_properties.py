@@ -1,7 +1,7 @@
 """Random inputs against brute-force Python."""
 
 from collections import Counter
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -70,3 +70,32 @@ def test_exact_sum_and_share_equal_decimal_arithmetic(spark, data):
         share = df.agg(share_pct(F.col("v") > 0).alias("p")).first()[0]
         hits = sum(1 for _, c in data if c is not None and c > 0)
         assert share == ((20000 * hits + len(data)) // (2 * len(data))) / 100
+
+
+SAFE_TEXT = st.text(alphabet=st.characters(whitelist_categories=("L", "N"), whitelist_characters=" -_'"), max_size=12)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(-10**9, 10**9)), SAFE_TEXT,
+                          st.one_of(st.none(), st.integers(-10**6, 10**6).map(lambda c: c / 100))), max_size=20))
+def test_delimited_lines_round_trip(spark, data):
+    from quarry.sources.delimited import join_fields, split_to_schema
+
+    df = spark.createDataFrame(data, "a bigint, b string, c double")
+    lines = df.select(join_fields(["a", "b", "c"], "::").alias("value"))
+    back = split_to_schema(lines, "value", "::", "a bigint, b string, c double")
+    got = sorted((tuple(r) for r in back.collect()), key=str)
+    # strings come back as written ('' stays ''), numbers and nulls exactly
+    assert got == sorted(data, key=str)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.integers(-10**12, 10**12), min_size=1, max_size=20))
+def test_round_half_up_equals_decimal_rounding(spark, micros):
+    from quarry.functions.money import round_half_up
+
+    values = [m / 10**6 for m in micros]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in df.select(round_half_up("v").alias("r")).collect()]
+    want = [float(Decimal(repr(v)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)) for v in values]
+    assert got == want

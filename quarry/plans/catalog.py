@@ -264,7 +264,8 @@ def q_roundtrip_semicolon_header(spark, d):
 
 
 def q_roundtrip_hive_text(spark, d):
-    return roundtrip.hive_text(spark, table(spark, d, "lineitem"))
+    # part, not lineitem: the reader check needs a whole real table, not the largest one
+    return roundtrip.hive_text(spark, table(spark, d, "part"))
 
 
 def q_roundtrip_double_colon(spark, d):

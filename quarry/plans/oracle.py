@@ -242,7 +242,7 @@ SQL: dict[str, str] = {
     "parse_dates": "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS iso_date, CAST(o_orderdate AS DATE) AS named_date FROM orders",
     "roundtrip_hash_separated": "SELECT * FROM orders",
     "roundtrip_semicolon_header": "SELECT * FROM customer",
-    "roundtrip_hive_text": "SELECT * FROM lineitem",
+    "roundtrip_hive_text": "SELECT * FROM part",
     "roundtrip_double_colon": "SELECT * FROM events",
     "roundtrip_nested_json": _CONFORM_NESTED,
     "word_count": (

@@ -9,4 +9,4 @@ from quarry.sources.delimited import (  # noqa: F401
     split_to_schema,
 )
 from quarry.sources.json import read_json  # noqa: F401
-from quarry.sources.rows import rows_frame, schema_from_json, schema_json  # noqa: F401
+from quarry.sources.rows import rows_frame, schema_from_json, schema_json, schema_tree  # noqa: F401

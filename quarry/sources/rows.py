@@ -13,6 +13,11 @@ def rows_frame(spark: SparkSession, rows: Iterable, schema: StructType | str) ->
     return spark.createDataFrame(list(rows), schema)
 
 
+def schema_tree(df: DataFrame) -> str:
+    """The schema as the indented tree ``printSchema`` shows, as text."""
+    return df.schema.treeString()
+
+
 def schema_json(df: DataFrame) -> str:
     """The schema as JSON text; ``schema_from_json`` reads it back."""
     return df.schema.json()

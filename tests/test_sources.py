@@ -22,6 +22,7 @@ from quarry.sources import (
     rows_frame,
     schema_from_json,
     schema_json,
+    schema_tree,
 )
 
 PRODUCTS = StructType(
@@ -149,3 +150,4 @@ def test_rows_frame_and_schema_json_round_trip(spark):
     assert df.count() == 4
     assert rows_frame(spark, [], schema).count() == 0
     assert schema_from_json(schema_json(df)) == schema
+    assert schema_tree(df).splitlines() == ["root", " |-- name: string (nullable = true)"]

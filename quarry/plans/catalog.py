@@ -279,3 +279,59 @@ def q_roundtrip_nested_json(spark, d):
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
+
+
+# The SURVEY §2 ids each registered query answers.
+SURVEY_IDS: dict[str, tuple[str, ...]] = {
+    "revenue_by_country": ("H1", "F1", "J1", "P1"),
+    "revenue_by_country_normalized": ("H1r", "F2", "F5", "F6"),
+    "top100_revenue": ("H2", "H2r", "O1", "O3", "O4"),
+    "top200_city_name_revenue": ("H3", "A2"),
+    "top200_name_revenue": ("H3r", "A10"),
+    "city_revenue": ("H3",),
+    "no_revenue": ("H4", "H4r", "J5", "J9", "F4", "X15"),
+    "top_spender": ("R1", "R1r", "A11", "O5"),
+    "sold_report": ("R2", "A1", "A3", "J2", "X1"),
+    "sold_items_only": ("R2r", "A10"),
+    "never_sold": ("R3", "J6"),
+    "never_sold_outer": ("R3r", "J9"),
+    "lines_of_top10_stock": ("R4", "J7", "O4"),
+    "lines_in_list": ("R4r", "F8"),
+    "day_of_max_high": ("N1", "J4", "A6", "X1"),
+    "day_of_max_volume": ("N3", "J4", "A6"),
+    "day_of_min_volume": ("N4", "J4", "A6"),
+    "mean_close": ("N2", "A5"),
+    "days_close_above": ("N5", "F3"),
+    "days_close_above_count": ("N5", "K5", "S9"),
+    "pct_days_high_above": ("N6", "A9", "S9"),
+    "max_high_by_year": ("N7", "A7", "X7"),
+    "mean_close_by_month": ("N8", "A8", "O2"),
+    "converted_prices": ("E0", "J3", "X3"),
+    "eur_day_of_max_high": ("E1", "J4"),
+    "eur_mean_close": ("E2", "A5"),
+    "eur_day_of_max_volume": ("E3", "J4"),
+    "eur_day_of_min_volume": ("E4", "J4"),
+    "eur_days_close_above": ("E5", "F3"),
+    "eur_pct_high_above": ("E6", "A9"),
+    "eur_max_high_by_year": ("E7", "A7", "O2"),
+    "eur_min_high_by_year": ("E8", "A7"),
+    "eur_mean_close_by_month": ("E9", "A8", "O2"),
+    "mean_by_user": ("M1", "A4", "J2"),
+    "mean_by_segment": ("M2", "A4"),
+    "top10_items": ("M3", "A4", "O4"),
+    "users_below_threshold": ("M4", "F9", "K6", "S11", "V1"),
+    "full_name": ("W2", "X8"),
+    "conform_flat": ("W3", "P2", "P3", "P6", "P7", "X8"),
+    "conform_nested": ("W5", "S7", "P11", "X9", "X10", "X11"),
+    "party_union": ("W6", "U2", "P8"),
+    "replicate_midpoint": ("W8", "U3", "X4", "P5"),
+    "self_union": ("W9", "U1", "X4"),
+    "parse_delimited": ("S4", "X13", "X14"),
+    "parse_dates": ("X5", "X6"),
+    "word_count": ("W10", "A12"),
+    "roundtrip_hash_separated": ("S3", "S6", "K1"),
+    "roundtrip_semicolon_header": ("S1", "S2", "K1"),
+    "roundtrip_hive_text": ("S13", "K1"),
+    "roundtrip_double_colon": ("S4",),
+    "roundtrip_nested_json": ("S7", "W5"),
+}

@@ -69,3 +69,22 @@ def test_every_function_the_readme_names_exists():
     assert len(names) > 30
     missing = sorted(n for n in names if not _resolve(n))
     assert not missing, missing
+
+
+def test_every_query_the_readme_names_is_registered():
+    import fnmatch
+
+    text = open(os.path.join(ROOT, "README.md"), encoding="utf-8").read()
+    table = text.split("## Coverage of SURVEY §2")[1].split("## Not built")[0]
+    names = []
+    for cell in re.findall(r"q: ([^|;]+)", table):
+        for token in cell.split(","):
+            token = token.strip().split(" ")[0]
+            if not token:
+                continue
+            base = re.sub(r"\((_\w+)\)", "", token)  # revenue_by_country(_normalized)
+            full = re.sub(r"\((_\w+)\)", r"\1", token)
+            names += [base, full] if base != full else [base]
+    assert len(names) > 40
+    unknown = sorted(n for n in names if not fnmatch.filter(QUERIES, n))
+    assert not unknown, unknown

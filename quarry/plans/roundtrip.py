@@ -4,7 +4,9 @@ read it back under a declared schema, and compare with the table.
 Each call writes to a fresh folder under the session's reliable checkpoint
 directory (``spark.checkpoint.dir``, a shared folder on a cluster), so runs
 never overwrite files another reader still uses. The write happens when the
-function is called; the returned read is lazy.
+function is called; the returned read is lazy, so the files must outlive it:
+they sit in the application's own checkpoint subfolder, which can be removed
+once the application has ended.
 """
 
 from __future__ import annotations

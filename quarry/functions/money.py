@@ -10,6 +10,9 @@ and rounds half away from zero with integer arithmetic.
 
 All helpers are built-in expressions: they stay inside whole-stage codegen and
 their aggregates split into partial and final steps (map-side combine).
+
+The integer-unit sums rely on ANSI mode (Spark 4's default, and set by
+``session.cluster_conf``): an overflow then raises instead of wrapping.
 """
 
 from __future__ import annotations
@@ -54,7 +57,7 @@ def exact_sum(col: Column | str, scale: int = CENTS, wide: bool = False) -> Colu
     (slower, for sums beyond that range).
     """
     if wide:
-        return F.sum(to_decimal(col, scale, 18)).cast("double")
+        return F.sum(to_decimal(col, scale, 38)).cast("double")
     return F.sum(units(col, scale)) / F.lit(10**scale)
 
 

@@ -86,6 +86,8 @@ def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 200
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # integer-unit money sums rely on overflow raising, never wrapping
+        "spark.sql.ansi.enabled": "true",
         # delete reliable checkpoint files once their DataFrames are gone
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }

@@ -85,3 +85,10 @@ def test_midpoint_with_awkward_column_names(spark):
 
     df = spark.createDataFrame([(1.0, 3.0)], "`lo`` w` double, `up x` double")
     assert midpoint(df, "lo` w", "up x").first()["avg"] == 2.0
+
+
+def test_integer_sums_raise_on_overflow_instead_of_wrapping(spark):
+    df = spark.createDataFrame([(9.0e16,), (9.0e16,)], "v double")  # 9e18 cents each
+    with pytest.raises(Exception):
+        df.agg(exact_sum("v").alias("s")).collect()
+    assert df.agg(exact_sum("v", wide=True).alias("s")).first()[0] == 1.8e17

@@ -25,7 +25,7 @@ from quarry.plans import prices as px
 from quarry.plans import ratings as rt
 from quarry.plans import retail, revenue
 from quarry.session import ensure_checkpoint_dir
-from quarry.sinks import write_csv
+from quarry.sinks import write_csv, write_tuple_text
 from quarry.sources.delimited import read_delimited, read_lines, read_split_text
 
 # The parameters the original jobs ask with.
@@ -149,12 +149,22 @@ def word_counts(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {"word_count": word_count(read_lines(spark, path), "value")}
 
 
-def write_results(results: Mapping[str, DataFrame], out_dir: str) -> dict[str, str]:
-    """Write each result as CSV with a header under ``out_dir/<name>``, one file per task."""
+def write_results(results: Mapping[str, DataFrame], out_dir: str, fmt: str = "csv") -> dict[str, str]:
+    """Write each result under ``out_dir/<name>``, one file per task.
+
+    ``fmt="csv"`` writes CSV with a header; ``fmt="tuples"`` writes one Python
+    tuple per line, as the line-by-line jobs saved their results (the folder
+    must not exist yet).
+    """
+    if fmt not in ("csv", "tuples"):
+        raise ValueError("fmt must be 'csv' or 'tuples'")
     written = {}
     for name, df in results.items():
         path = os.path.join(out_dir, name)
-        write_csv(df, path)
+        if fmt == "csv":
+            write_csv(df, path)
+        else:
+            write_tuple_text(df, path)
         written[name] = path
     return written
 

@@ -83,3 +83,18 @@ def test_word_count_job(spark, scratch):
     write_text(os.path.join(folder, "b.txt"), "be\tquick\n")
     r = jobs.word_counts(spark, folder)
     assert dict(r["word_count"].collect()) == {"to": 2, "be": 3, "or": 1, "not": 1, "quick": 1}
+
+
+def test_shop_results_as_tuple_text(spark, scratch):
+    import glob
+
+    import pytest
+
+    products = write_text(os.path.join(scratch, "products.txt"), "1#uno#1.5#5\n2#dos#2.5#9\n")
+    sales = write_text(os.path.join(scratch, "sales.txt"), "2020-01-01#10:00#7#1#2#10.5\n")
+    r = jobs.shop_results(spark, products, sales)
+    written = jobs.write_results({"top_client": r["top_client"]}, os.path.join(scratch, "out"), fmt="tuples")
+    lines = [line for f in glob.glob(os.path.join(written["top_client"], "part-*")) for line in open(f).read().splitlines()]
+    assert lines == ["(7, 10.5)"]
+    with pytest.raises(Exception):  # like the line-by-line jobs: an existing folder is an error
+        jobs.write_results({"top_client": r["top_client"]}, os.path.join(scratch, "out"), fmt="tuples")

@@ -109,7 +109,7 @@ def price_results(spark: SparkSession, prices_path: str, fx_path: str) -> dict[s
         "mean_close": px.mean_of(p, "close", "mean_close"),
         "max_volume_day": px.day_of_extreme(p, "volume", "max", "max_volume", False, materialize=False),
         "min_volume_day": px.day_of_extreme(p, "volume", "min", "min_volume", False, materialize=False),
-        "close_above": px.days_above(p, "close", CLOSE_ABOVE),
+        "close_above": px.days_above(raw, "Close", CLOSE_ABOVE),  # the full input rows, every column
         "pct_high_above": px.pct_above(p, "high", HIGH_ABOVE, "pct_days_high_above"),
         "max_high_by_year": px.extreme_by_year(p, "high", "max", "max_high"),
         "mean_close_by_month": px.mean_by_month(p, "close", "mean_close"),

@@ -56,6 +56,7 @@ def test_price_job(spark, scratch):
     assert len(r) == 17
     assert r["max_high_day"].count() == 2
     assert r["close_above"].count() == 2  # close > 600: 650 and 610
+    assert "Adj Close" in r["close_above"].columns  # the input rows as they are
     assert r["pct_high_above"].first()[0] == 50.0
     assert r["eur_mean_close"].first()[0] == 536.5
     assert rows(r["eur_min_high_by_year"]) == [(2015, 665.0), (2016, None)]  # 2016-01-04 has a rate but no high

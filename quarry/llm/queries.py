@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import functions as F
 
-from quarry.llm import best_fit, id_matrix, tokens
+from quarry.llm import best_fit, id_matrix, secrets, site_lines, tokens
 
 
 def read(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
@@ -24,9 +24,22 @@ def op5_id_matrix(spark: SparkSession, d: str) -> DataFrame:
     return id_matrix.pack_rows(read(spark, d, "documents"), tokens.default_path())
 
 
+def op7_secret_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Secrets in every whole text: base rules, further credential formats, and their spans."""
+    return secrets.digest(secrets.scan(read(spark, d, "documents")))
+
+
+def op9_site_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Every document without the lines that over a tenth of its source's documents hold."""
+    out = site_lines.drop_site_lines(read(spark, d, "documents"), F.col("source"), counts=("n_lines", "n_dropped"))
+    return out.select("doc_id", "text", "n_lines", "n_dropped")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op5_id_matrix": op5_id_matrix,
+    "op7_secret_scan": op7_secret_scan,
+    "op9_site_lines": op9_site_lines,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op9_site_lines": site_lines.SITE_LINES_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import best_fit, id_matrix, secrets, site_lines, tokens
+from quarry.llm import best_fit, id_matrix, secrets, site_lines, spaced_seeds, tokens
 
 
 def read(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return best_fit.pack_documents(read(spark, d, "documents"), tokens.default_path())
 
 
+def op2_spaced_seeds(spark: SparkSession, d: str) -> DataFrame:
+    """Every document and benchmark item that overlap, substitutions tolerated."""
+    return spaced_seeds.overlaps(read(spark, d, "documents"), read(spark, d, "benchmark"))
+
+
 def op5_id_matrix(spark: SparkSession, d: str) -> DataFrame:
     """Every document in packed rows of 1024 ids, with cumulative lengths and position resets."""
     return id_matrix.pack_rows(read(spark, d, "documents"), tokens.default_path())
@@ -37,6 +42,7 @@ def op9_site_lines(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_spaced_seeds": op2_spaced_seeds,
     "op5_id_matrix": op5_id_matrix,
     "op7_secret_scan": op7_secret_scan,
     "op9_site_lines": op9_site_lines,

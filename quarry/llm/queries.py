@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import best_fit, id_matrix, secrets, site_lines, spaced_seeds, tokens
+from quarry.llm import best_fit, id_matrix, page_text, secrets, site_lines, spaced_seeds, tokens
 
 
 def read(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,11 @@ def op7_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     return secrets.digest(secrets.scan(read(spark, d, "documents")))
 
 
+def op8_page_text(spark: SparkSession, d: str) -> DataFrame:
+    """The main text of every page."""
+    return page_text.extract(read(spark, d, "pages"))
+
+
 def op9_site_lines(spark: SparkSession, d: str) -> DataFrame:
     """Every document without the lines that over a tenth of its source's documents hold."""
     out = site_lines.drop_site_lines(read(spark, d, "documents"), F.col("source"), counts=("n_lines", "n_dropped"))
@@ -45,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_spaced_seeds": op2_spaced_seeds,
     "op5_id_matrix": op5_id_matrix,
     "op7_secret_scan": op7_secret_scan,
+    "op8_page_text": op8_page_text,
     "op9_site_lines": op9_site_lines,
 }
 

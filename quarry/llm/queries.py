@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import best_fit, id_matrix, page_text, secrets, site_lines, spaced_seeds, tokens
+from quarry.llm import best_fit, id_matrix, page_text, secrets, segment_lid, site_lines, spaced_seeds, tokens
 
 
 def read(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op2_spaced_seeds(spark: SparkSession, d: str) -> DataFrame:
     return spaced_seeds.overlaps(read(spark, d, "documents"), read(spark, d, "benchmark"))
 
 
+def op4_segment_lid(spark: SparkSession, d: str) -> DataFrame:
+    """The language of every document by segmentation-marginalised unigrams."""
+    return segment_lid.identify_documents(read(spark, d, "documents"))
+
+
 def op5_id_matrix(spark: SparkSession, d: str) -> DataFrame:
     """Every document in packed rows of 1024 ids, with cumulative lengths and position resets."""
     return id_matrix.pack_rows(read(spark, d, "documents"), tokens.default_path())
@@ -48,6 +53,7 @@ def op9_site_lines(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_spaced_seeds": op2_spaced_seeds,
+    "op4_segment_lid": op4_segment_lid,
     "op5_id_matrix": op5_id_matrix,
     "op7_secret_scan": op7_secret_scan,
     "op8_page_text": op8_page_text,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import best_fit, id_matrix, page_text, secrets, segment_lid, site_lines, spaced_seeds, tokens
+from quarry.llm import best_fit, context_tree, id_matrix, page_text, secrets, segment_lid, site_lines, spaced_seeds, tokens
 
 
 def read(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,11 @@ def op9_site_lines(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op10_context_tree(spark: SparkSession, d: str) -> DataFrame:
+    """Every document scored by context-tree weighting learnt from nine tenths of them."""
+    return context_tree.score(read(spark, d, "documents"), segment_lid.held_out(folds=10, fold=0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_spaced_seeds": op2_spaced_seeds,
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secret_scan": op7_secret_scan,
     "op8_page_text": op8_page_text,
     "op9_site_lines": op9_site_lines,
+    "op10_context_tree": op10_context_tree,
 }
 
 SQL: dict[str, str] = {"op9_site_lines": site_lines.SITE_LINES_SQL}

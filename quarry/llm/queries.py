@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import best_fit, context_tree, id_matrix, page_text, secrets, segment_lid, site_lines, spaced_seeds, tokens
+from quarry.llm import best_fit, context_tree, id_matrix, lattice, page_text, secrets, segment_lid, site_lines, spaced_seeds, tokens
 
 
 def read(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op2_spaced_seeds(spark: SparkSession, d: str) -> DataFrame:
     return spaced_seeds.overlaps(read(spark, d, "documents"), read(spark, d, "benchmark"))
 
 
+def op3_lattice(spark: SparkSession, d: str) -> DataFrame:
+    """Links and components of all vectors of a label at cosine 0.93 and above."""
+    return lattice.near_vectors(read(spark, d, "embeddings"))
+
+
 def op4_segment_lid(spark: SparkSession, d: str) -> DataFrame:
     """The language of every document by segmentation-marginalised unigrams."""
     return segment_lid.identify_documents(read(spark, d, "documents"))
@@ -58,6 +63,7 @@ def op10_context_tree(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_spaced_seeds": op2_spaced_seeds,
+    "op3_lattice": op3_lattice,
     "op4_segment_lid": op4_segment_lid,
     "op5_id_matrix": op5_id_matrix,
     "op7_secret_scan": op7_secret_scan,

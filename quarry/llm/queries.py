@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import best_fit, context_tree, id_matrix, lattice, page_text, secrets, segment_lid, site_lines, spaced_seeds, tokens
+from quarry.llm import best_fit, context_tree, id_matrix, lattice, page_text, secrets, segment_lid, shingle_tree, site_lines, spaced_seeds, tokens
 
 
 def read(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,11 @@ def op5_id_matrix(spark: SparkSession, d: str) -> DataFrame:
     return id_matrix.pack_rows(read(spark, d, "documents"), tokens.default_path())
 
 
+def op6_shingle_tree(spark: SparkSession, d: str) -> DataFrame:
+    """Near-duplicate components of all documents at a shingle Jaccard of 0.75 and above."""
+    return shingle_tree.near_documents(read(spark, d, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, d: str) -> DataFrame:
     """Secrets in every whole text: base rules, further credential formats, and their spans."""
     return secrets.digest(secrets.scan(read(spark, d, "documents")))
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lattice": op3_lattice,
     "op4_segment_lid": op4_segment_lid,
     "op5_id_matrix": op5_id_matrix,
+    "op6_shingle_tree": op6_shingle_tree,
     "op7_secret_scan": op7_secret_scan,
     "op8_page_text": op8_page_text,
     "op9_site_lines": op9_site_lines,

@@ -1,12 +1,12 @@
 from quarry.functions.money import (  # noqa: F401
     exact_mean,
     exact_sum,
+    exact_total,
     mean_from_parts,
     mean_parts,
     round_half_up,
     share_pct,
     to_decimal,
-    units,
 )
 from quarry.functions.dates import (  # noqa: F401
     ISO_DAY,

@@ -2,17 +2,16 @@
 
 Floating sums depend on the order rows meet each other, which changes with
 partitioning, so a mean over a thousand executors is not reproducible to the
-last bit, and rounding a double to cents depends on how the engine looks at the
-binary value (``round(1.005, 2)`` is 1.01 on Spark and 1.0 elsewhere). Every
-helper here therefore moves values onto a fixed decimal grid first, adds them as
-decimals or integers (associative, so any partitioning gives the same answer)
-and rounds half away from zero with integer arithmetic.
-
-All helpers are built-in expressions: they stay inside whole-stage codegen and
-their aggregates split into partial and final steps (map-side combine).
-
-The integer-unit sums rely on ANSI mode (Spark 4's default, and set by
-``session.cluster_conf``): an overflow then raises instead of wrapping.
+last bit. The helpers here add each value as the decimal number it prints as
+(``0.1`` is a tenth), at full precision, and round once, half away from zero,
+after the aggregate. No value is cut on the way: one that has more than
+``PLACES`` decimals, or is too large for the grid, raises.
+
+Most money has two decimals. Such a value is exactly a whole number of cents and
+is added as a 64-bit integer; any other value is added as a wide decimal, in the
+same pass, and the two sums are joined after the aggregate. All helpers are built-in expressions
+whose aggregates split into partial and final steps. Overflow raises whether or
+not ANSI mode is on.
 """
 
 from __future__ import annotations
@@ -20,71 +19,73 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Grid scales used throughout.
-CENTS = 2          # money columns of the inputs carry at most 2 decimals
-FINE = 6           # grid for arbitrary doubles before rounding them
+# Decimals and digits a value may have, and the widest sum that a mean can start from.
+PLACES = 18
+VALUE = f"decimal(35,{PLACES})"
+SUM = f"decimal(38,{PLACES})"
+MOST_CENTS = 9.0e15  # doubles of up to this many cents hold them exactly
 
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def to_decimal(col: Column | str, scale: int = CENTS, precision: int = 38) -> Column:
-    """The value on a decimal grid of ``scale`` places (half up)."""
-    return _c(col).cast(f"decimal({precision},{scale})")
-
+def to_decimal(col: Column | str, type_: str = VALUE) -> Column:
+    """The value as a decimal, unchanged; raises if it does not fit (NaN and infinities do not)."""
+    c = _c(col)
+    wide = c.cast("string").try_cast(type_)
+    same = F.coalesce(wide.cast("double") == c.cast("string").try_cast("double"), F.lit(False))
+    return F.when(c.isNull() | same, wide).otherwise(F.raise_error(F.concat(F.lit(f"value does not fit {type_}: "), c.cast("string"))))
 
-def round_half_up(col: Column | str, digits: int = 2, scale: int = FINE) -> Column:
-    """Round a double half away from zero to ``digits`` places, as a double.
 
-    The value is first read at ``scale`` places, so a product that lands one
-    unit in the last place below ``x.xx5`` still rounds up.
-    """
-    return F.round(to_decimal(col, scale), digits).cast("double")
+def round_half_up(col: Column | str, digits: int = 2) -> Column:
+    """Round half away from zero to ``digits`` places, as a double; 1.005 is read as it prints, so it gives 1.01."""
+    return F.round(to_decimal(col), digits).cast("double")
 
 
-def units(col: Column | str, scale: int = CENTS) -> Column:
-    """Integer count of ``10**-scale`` units in the value (half away from zero)."""
-    return F.round(_c(col).cast("double") * F.lit(10**scale)).cast("long")
-
+def exact_total(col: Column | str) -> Column:
+    """Exact sum as a decimal; null when every input is null."""
+    c = _c(col)
+    cents = F.round(c.cast("double") * F.lit(100.0))
+    whole = (cents / F.lit(100.0) == c) & (F.abs(cents) < MOST_CENTS)
+    n_whole, n_wide = F.count_if(whole), F.count_if(~whole)
+    wide = F.when(~whole, to_decimal(c))
+    error = F.raise_error(F.lit(f"sum does not fit {VALUE}")).cast(VALUE)
+    cent_sum = F.try_sum(F.when(whole, cents.cast("long")))
+    as_decimal = (cent_sum.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")).try_cast(VALUE)
+    zero = F.lit(0).cast(VALUE)
+    from_cents = F.when(n_whole > 0, F.coalesce(as_decimal, error)).otherwise(zero)
+    from_wide = F.when(n_wide > 0, F.coalesce(F.try_sum(wide).try_cast(VALUE), error)).otherwise(zero)
+    return F.when(n_whole + n_wide > 0, F.coalesce((from_cents + from_wide).try_cast(VALUE), error))
 
-def exact_sum(col: Column | str, scale: int = CENTS, wide: bool = False) -> Column:
-    """Exact sum on a ``10**-scale`` grid, returned as double; null when every input is null.
 
-    The default adds 64-bit integer units, as fast as a floating sum: its range
-    is about 9.2e16 currency units at two places, and under ANSI mode an
-    overflow raises instead of wrapping. ``wide`` adds decimal(38) instead
-    (slower, for sums beyond that range).
-    """
-    if wide:
-        return F.sum(to_decimal(col, scale, 38)).cast("double")
-    return F.sum(units(col, scale)) / F.lit(10**scale)
+def exact_sum(col: Column | str) -> Column:
+    """Exact sum, returned as double; null when every input is null."""
+    return exact_total(col).cast("double")
 
 
-def mean_parts(col: Column | str, scale: int = CENTS, wide: bool = False) -> tuple[Column, Column]:
-    """Partial state of an exact mean: (sum of units, count of non-null)."""
-    c = _c(col)
-    u = units(c, scale)
-    return F.sum(u.cast("decimal(38,0)") if wide else u), F.count(c)
+def mean_parts(col: Column | str) -> tuple[Column, Column]:
+    """Partial state of an exact mean: (exact sum, count of non-null)."""
+    return exact_total(col), F.count(_c(col))
 
 
-def mean_from_parts(total: Column | str, n: Column | str, scale: int = CENTS, digits: int = 2) -> Column:
-    """Exact mean from ``mean_parts``, rounded half away from zero.
+def mean_from_parts(total: Column | str, n: Column | str, digits: int = 2) -> Column:
+    """Exact mean from ``mean_parts`` (or sums of them), rounded half away from zero to ``digits`` places.
 
-    ``total / n`` units, rounded to ``digits`` places: with f = 10**(scale-digits)
-    the rounded value in 10**-digits steps is sign(total) * ((2|total| + n f) div (2 n f)).
-    Null for an empty group, like ``avg``.
+    In steps s = 10**-digits the rounded mean is sign(total) * ((2|total| + n s) div (2 n s)): one whole-number
+    division, so nothing is rounded before it. Null for an empty group, like ``avg``.
     """
-    total, n = _c(total), _c(n)
-    f = 10 ** (scale - digits)
-    q = F.call_function("div", F.abs(total) * 2 + n * f, n * (2 * f))
-    return F.when(n > 0, F.signum(total) * q / F.lit(10**digits))
+    total, n = _c(total).cast(VALUE), _c(n).cast("decimal(15,0)")
+    step = F.lit(f"{10**-digits:.{digits}f}").cast(f"decimal({digits + 1},{digits})")
+    one = (n * step).cast(f"decimal({15 + digits},{digits})")
+    q = F.call_function("div", F.abs(total) + F.abs(total) + one, one + one)
+    return F.when(n > 0, F.when(total < 0, -q).otherwise(q) / F.lit(float(10**digits)))
 
 
-def exact_mean(col: Column | str, scale: int = CENTS, digits: int = 2, wide: bool = False) -> Column:
+def exact_mean(col: Column | str, digits: int = 2) -> Column:
     """Mean of a column rounded half up to ``digits`` places, order-independent."""
-    total, n = mean_parts(col, scale, wide)
-    return mean_from_parts(total, n, scale, digits)
+    total, n = mean_parts(col)
+    return mean_from_parts(total, n, digits)
 
 
 def share_pct(cond: Column, digits: int = 2) -> Column:

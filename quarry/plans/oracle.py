@@ -1,8 +1,8 @@
 """Independent SQL for every registered question, in DuckDB's dialect.
 
 The tables are views over the same Parquet files. Money follows the same
-exact rules as ``quarry.functions.money`` (decimal sums; integer half-up
-rounding of means; doubles read at 6 places before rounding), written out in
+exact rules as ``quarry.functions.money`` (every double is the decimal it prints as; sums
+at 18 places; one rounding, half away from zero, after the aggregate), written out in
 plain SQL so the two engines share no code.
 """
 
@@ -13,27 +13,36 @@ from quarry.plans import catalog as cat
 WORD_SPLIT = r"[ \t\n\r\f]+"
 
 
+def _dec(x: str) -> str:
+    """A double as the decimal it prints as."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18))"
+
+
+def _dbl(x: str) -> str:
+    return f"CAST(CAST({x} AS VARCHAR) AS DOUBLE)"
+
+
 def _sum(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+    return _dbl(f"SUM({_dec(x)})")
 
 
 def _round(x: str) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,6)), 2) AS DOUBLE)"
+    return _dbl(f"ROUND({_dec(x)}, 2)")
 
 
-def _parts(x: str, scale: int = 2) -> tuple[str, str]:
-    return f"SUM(CAST(ROUND({x} * {10**scale}) AS BIGINT))", f"COUNT({x})"
+def _parts(x: str) -> tuple[str, str]:
+    return f"SUM({_dec(x)})", f"COUNT({x})"
 
 
-def _final(s: str, n: str, scale: int = 2) -> str:
-    f = 10 ** (scale - 2)
-    return (
-        f"CASE WHEN {n} > 0 THEN CAST(SIGN({s}) * ((2 * ABS({s}) + {n} * {f}) // (2 * {n} * {f})) AS DOUBLE) / 100 END"
-    )
+def _final(s: str, n: str) -> str:
+    """Half away from zero at two places, in whole numbers of 1e-18."""
+    u = f"CAST(REPLACE(CAST({s} AS VARCHAR), '.', '') AS HUGEINT)"
+    f = f"CAST({10**16} AS HUGEINT)"
+    return f"CASE WHEN {n} > 0 THEN CAST(SIGN({s}) * ((2 * ABS({u}) + {n} * {f}) // (2 * {n} * {f})) AS DOUBLE) / 100 END"
 
 
-def _mean(x: str, scale: int = 2) -> str:
-    return _final(*_parts(x, scale), scale)
+def _mean(x: str) -> str:
+    return _final(*_parts(x))
 
 
 def _share(cond: str) -> str:
@@ -101,10 +110,10 @@ def _by_year(rel: str, col: str, how: str, out: str) -> str:
     return f"SELECT CAST(year(date) AS INTEGER) AS year, {_round(f'{how}({col})')} AS {out} FROM {rel} GROUP BY 1"
 
 
-def _by_month(rel: str, col: str, out: str, scale: int) -> str:
+def _by_month(rel: str, col: str, out: str) -> str:
     return (
         f"SELECT CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, "
-        f"{_mean(col, scale)} AS {out} FROM {rel} GROUP BY 1, 2"
+        f"{_mean(col)} AS {out} FROM {rel} GROUP BY 1, 2"
     )
 
 
@@ -135,7 +144,7 @@ _TOP_STOCK = (
 )
 
 _SOLD = f"""WITH sold AS (
-  SELECT l_partkey AS k, {_sum('l_quantity')} AS items_sold, {_sum('l_extendedprice')} AS amount_sold
+  SELECT l_partkey AS k, {_sum('l_quantity')} AS items_sold, {_dbl(f"ROUND(SUM({_dec('l_extendedprice')}), 2)")} AS amount_sold
   FROM lineitem GROUP BY l_partkey)
 SELECT p.p_partkey, p.p_name, s.items_sold{{amount}} FROM part p JOIN sold s ON p.p_partkey = s.k"""
 
@@ -152,6 +161,10 @@ SQL: dict[str, str] = {
         "SELECT s.id, s.name, s.city, i.revenue FROM stays s JOIN income i ON s.id = i.id "
         f"ORDER BY i.revenue DESC NULLS LAST, s.id LIMIT {cat.TOP_STAYS}"
     ),
+    "top100_present_revenue": _rev(
+        "SELECT s.id, s.name, s.city, i.revenue FROM stays s JOIN income i ON s.id = i.id "
+        f"WHERE i.revenue IS NOT NULL ORDER BY i.revenue DESC, s.id LIMIT {cat.TOP_STAYS}"
+    ),
     "top200_city_name_revenue": _rev(
         f"SELECT s.city, s.name, {_sum('i.revenue')} AS total_revenue FROM stays s JOIN income i ON s.id = i.id "
         f"GROUP BY s.city, s.name ORDER BY total_revenue DESC NULLS LAST, s.city, s.name LIMIT {cat.TOP_GROUPS}"
@@ -169,8 +182,12 @@ SQL: dict[str, str] = {
     ),
     # retail
     "top_spender": (
+        f"SELECT o_custkey, {_dbl(f'ROUND(SUM({_dec('o_totalprice')}), 2)')} AS total_spent FROM orders GROUP BY o_custkey "
+        f"ORDER BY SUM({_dec('o_totalprice')}) DESC NULLS LAST, o_custkey LIMIT 1"
+    ),
+    "top_spender_unrounded": (
         f"SELECT o_custkey, {_sum('o_totalprice')} AS total_spent FROM orders GROUP BY o_custkey "
-        "ORDER BY total_spent DESC NULLS LAST, o_custkey LIMIT 1"
+        f"ORDER BY SUM({_dec('o_totalprice')}) DESC NULLS LAST, o_custkey LIMIT 1"
     ),
     "sold_report": _SOLD.format(amount=", s.amount_sold"),
     "sold_items_only": _SOLD.format(amount=""),
@@ -194,11 +211,11 @@ SQL: dict[str, str] = {
     "days_close_above_count": _px(f"SELECT COUNT(*) AS days FROM prices WHERE close > {cat.CLOSE_ABOVE}"),
     "pct_days_high_above": _px(f"SELECT {_share(f'high > {cat.HIGH_ABOVE}')} AS pct_days_high_above FROM prices"),
     "max_high_by_year": _px(_by_year("prices", "high", "MAX", "max_high")),
-    "mean_close_by_month": _px(_by_month("prices", "close", "mean_close", 2)),
+    "mean_close_by_month": _px(_by_month("prices", "close", "mean_close")),
     # converted prices
     "converted_prices": _eur("SELECT * FROM converted"),
     "eur_day_of_max_high": _eur(_extreme("converted", "high_eur", "MAX", "high_eur", True)),
-    "eur_mean_close": _eur(f"SELECT {_mean('close_eur', 4)} AS mean_close_eur FROM converted"),
+    "eur_mean_close": _eur(f"SELECT {_mean('close_eur')} AS mean_close_eur FROM converted"),
     "eur_day_of_max_volume": _eur(_extreme("converted", "volume", "MAX", "max_volume", False)),
     "eur_day_of_min_volume": _eur(_extreme("converted", "volume", "MIN", "min_volume", False)),
     "eur_days_close_above": _eur(f"SELECT * FROM converted WHERE close_eur > {cat.CLOSE_ABOVE}"),
@@ -207,7 +224,7 @@ SQL: dict[str, str] = {
     ),
     "eur_max_high_by_year": _eur(_by_year("converted", "high_eur", "MAX", "max_high_eur")),
     "eur_min_high_by_year": _eur(_by_year("converted", "high_eur", "MIN", "min_high_eur")),
-    "eur_mean_close_by_month": _eur(_by_month("converted", "close_eur", "mean_close_eur", 4)),
+    "eur_mean_close_by_month": _eur(_by_month("converted", "close_eur", "mean_close_eur")),
     # ratings
     "mean_by_user": _MEAN_BY_USER,
     "mean_by_segment": (

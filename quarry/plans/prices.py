@@ -15,26 +15,20 @@ from quarry.functions.dates import month_of, year_of
 from quarry.functions.money import exact_mean, round_half_up
 from quarry.operators.relational import count_rows, rows_at_extreme, share_where
 
-# Grid of converted prices (two-place prices times two-place rates).
-CONVERTED_SCALE = 4
 
-
-def day_of_extreme(
-    p: DataFrame, col: str, how: str, out: str, rounded: bool = True, materialize: bool = True
-) -> DataFrame:
+def day_of_extreme(p: DataFrame, col: str, how: str, out: str, rounded: bool = True) -> DataFrame:
     """(date, out): every day at the max/min of ``col``; compared unrounded, shown rounded.
 
-    A price table has one row per calendar day, so it is small whatever the
-    size of the facts it summarises; by default it is materialized once
-    instead of being aggregated from the facts twice.
+    Date and value are projected first, so a price table that summarises facts
+    is aggregated for this one column, once: both uses read the same exchange.
     """
     val = round_half_up(col) if rounded else F.col(col)
-    return rows_at_extreme(p, col, how, materialize).select("date", val.alias(out))
+    return rows_at_extreme(p.select("date", col), col, how).select("date", val.alias(out))
 
 
-def mean_of(p: DataFrame, col: str, out: str, scale: int = 2) -> DataFrame:
+def mean_of(p: DataFrame, col: str, out: str) -> DataFrame:
     """One-row table: exact mean of ``col`` rounded to cents."""
-    return p.agg(exact_mean(col, scale).alias(out))
+    return p.agg(exact_mean(col).alias(out))
 
 
 def days_above(p: DataFrame, col: str, threshold: float) -> DataFrame:
@@ -57,11 +51,11 @@ def extreme_by_year(p: DataFrame, col: str, how: str, out: str) -> DataFrame:
     return p.groupBy(year_of("date").alias("year")).agg(round_half_up(agg(col)).alias(out))
 
 
-def mean_by_month(p: DataFrame, col: str, out: str, scale: int = 2) -> DataFrame:
+def mean_by_month(p: DataFrame, col: str, out: str) -> DataFrame:
     """(year, month, out): exact rounded mean per calendar month, in calendar order."""
     return (
         p.groupBy(year_of("date").alias("year"), month_of("date").alias("month"))
-        .agg(exact_mean(col, scale).alias(out))
+        .agg(exact_mean(col).alias(out))
         .orderBy("year", "month")
     )
 

@@ -2,7 +2,7 @@
 
 ``ratings(user_id, item_id, rating)``, ``users(user_id, segment)``, ``items(item_id, title)``.
 
-Ratings are reduced to an exact partial state (sum of rating units, count) per
+Ratings are reduced to an exact partial state (sum of ratings, count) per
 user or item **before** any join: the fact table is shuffled as partial sums,
 a user with a third of all ratings is one row per task, and the join touches one
 row per user instead of every rating. The mean is finished after the join.
@@ -53,7 +53,6 @@ def top_items(ratings: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
     return top_n(means, n, [F.desc_nulls_last("mean_rating")], ["item_id"])
 
 
-def below_threshold(spark: SparkSession, means: DataFrame, threshold: float, view: str = "mean_by_user") -> DataFrame:
-    """SQL over a temp view with a bound parameter (no string pasting)."""
-    means.createOrReplaceTempView(view)
-    return spark.sql(f"SELECT * FROM {view} WHERE mean_rating < :t", args={"t": threshold})
+def below_threshold(spark: SparkSession, means: DataFrame, threshold: float) -> DataFrame:
+    """SQL over a named result, with a bound parameter (no string pasting); registers no view."""
+    return spark.sql("SELECT * FROM {means} WHERE mean_rating < :t", args={"t": threshold}, means=means)

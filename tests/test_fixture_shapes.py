@@ -164,7 +164,7 @@ def test_price_questions_from_csv_files(spark, scratch):
     )
     conv = px.convert(p, fx)
     assert conv.count() == 2  # the unparsable day and the days without a rate drop out
-    assert px.mean_of(conv, "close_eur", "m", px.CONVERTED_SCALE).first()[0] == round((650 * 0.9 + 610 * 0.8) / 2, 2)
+    assert px.mean_of(conv, "close_eur", "m").first()[0] == round((650 * 0.9 + 610 * 0.8) / 2, 2)
 
 
 PRODUCT_SCHEMA = "idProducto INT, descripcion STRING, precio FLOAT, stock INT"

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quarry.functions.money import exact_mean, exact_sum, round_half_up, share_pct
+from quarry.functions.money import exact_mean, exact_sum, exact_total, round_half_up, share_pct
 
 
 def _half_up(fr: Fraction, digits: int = 2) -> float:
@@ -70,14 +70,61 @@ def test_decimal_reference_rounding(value, expected):
     assert float(value.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)) == expected
 
 
-def test_wide_paths_equal_the_long_paths(spark):
-    df = spark.createDataFrame([("a", 1.25), ("a", 2.5), ("b", -0.01), ("b", None)], "k string, v double")
-    narrow = dict(df.groupBy("k").agg(exact_sum("v").alias("s")).collect())
-    wide = dict(df.groupBy("k").agg(exact_sum("v", wide=True).alias("s")).collect())
-    assert narrow == wide == {"a": 3.75, "b": -0.01}
-    m1 = dict(df.groupBy("k").agg(exact_mean("v").alias("m")).collect())
-    m2 = dict(df.groupBy("k").agg(exact_mean("v", wide=True).alias("m")).collect())
-    assert m1 == m2 == {"a": 1.88, "b": -0.01}
+def test_cents_and_other_decimals_add_up_exactly(spark):
+    df = spark.createDataFrame([("a", 1.25), ("a", 2.505), ("b", -0.01), ("b", None), ("c", 0.1), ("c", 0.004), ("c", 1e-18)], "k string, v double")
+    got = dict(df.groupBy("k").agg(exact_total("v").alias("s")).collect())
+    assert got == {"a": Decimal("3.755"), "b": Decimal("-0.01"), "c": Decimal("0.104000000000000001")}
+
+
+def test_nothing_is_rounded_before_the_aggregate(spark):
+    """Means and sums of values finer than a cent, as floating arithmetic gives them."""
+    def one(values, agg):
+        return spark.createDataFrame([(v,) for v in values], "v double").agg(agg.alias("r")).first()[0]
+
+    assert one([10.004, 10.004, 10.008], exact_mean("v")) == 10.01
+    assert one([9.12496] * 3, exact_mean("v")) == 9.12
+    assert one([9.1249996], exact_mean("v")) == 9.12
+    assert one([0.004] * 3, exact_sum("v")) == 0.012
+    assert spark.createDataFrame([(9.1249996,)], "v double").select(round_half_up("v")).first()[0] == 9.12
+
+
+def test_the_biggest_spender_is_found_on_unrounded_sums(spark):
+    from quarry.plans.retail import top_spender
+
+    sales = spark.createDataFrame([(1, 0.004)] * 10 + [(2, 0.01)], "client int, amount double")
+    assert tuple(top_spender(sales, "client", "amount").first()) == (1, 0.04)
+    sales = spark.createDataFrame([(1, 10.004), (2, 10.0)], "client int, amount double")
+    assert tuple(top_spender(sales, "client", "amount").first()) == (1, 10.0)
+    assert tuple(top_spender(sales, "client", "amount", digits=None).first()) == (1, 10.004)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.floats(min_value=-1e6, max_value=1e6).map(lambda v: round(v, 9)), min_size=1, max_size=20))
+def test_sums_and_means_equal_decimal_arithmetic(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    total, mean = df.agg(exact_total("v"), exact_mean("v")).first()
+    want = sum((Decimal(repr(v)) for v in values), Decimal(0))
+    assert total == want
+    assert mean == _half_up(Fraction(want) / len(values))
+
+
+def test_other_number_types(spark):
+    df = spark.createDataFrame([(1,)], "x int").selectExpr(
+        "CAST(10.1 AS FLOAT) f", "CAST(0.004 AS DECIMAL(38,10)) d", "9007199254740993 AS l", "CAST(7 AS TINYINT) t")
+    got = df.agg(*[exact_total(c) for c in ("f", "d", "l", "t")]).first()
+    assert tuple(got) == (Decimal("10.1"), Decimal("0.004"), Decimal(9007199254740993), Decimal(7))
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("values", [[9.0e16, 9.0e16], [1e30], [1e-20], [float("nan")], [float("inf")]])
+def test_what_does_not_fit_raises(spark, ansi, values):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception):
+            spark.createDataFrame([(v,) for v in values], "v double").agg(exact_sum("v").alias("s")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
 
 
 def test_midpoint_with_awkward_column_names(spark):
@@ -85,10 +132,3 @@ def test_midpoint_with_awkward_column_names(spark):
 
     df = spark.createDataFrame([(1.0, 3.0)], "`lo`` w` double, `up x` double")
     assert midpoint(df, "lo` w", "up x").first()["avg"] == 2.0
-
-
-def test_integer_sums_raise_on_overflow_instead_of_wrapping(spark):
-    df = spark.createDataFrame([(9.0e16,), (9.0e16,)], "v double")  # 9e18 cents each
-    with pytest.raises(Exception):
-        df.agg(exact_sum("v").alias("s")).collect()
-    assert df.agg(exact_sum("v", wide=True).alias("s")).first()[0] == 1.8e17

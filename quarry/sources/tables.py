@@ -4,17 +4,12 @@ Each table is read under its declared schema. Without one, every
 ``spark.read.parquet`` runs a job to read file footers before the query is
 even planned (one per table per query; at scale, over many files).
 
-A resolved table (its file listing and relation, no data) is kept per
-session and reused by every question that reads it, as a Spark user keeps
-``orders = spark.read.parquet(...)`` around. Listing a large table on object
-storage takes seconds; one job answering dozens of questions lists it once.
-``fresh=True`` lists the files again (after new files arrived).
+Every call lists the files anew, so files that arrived since the last call are read.
+A job that asks many questions of one table keeps the DataFrame, as ``plans.run.Shared`` does.
 """
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 
 # The table names of a data directory and their schemas.
@@ -44,22 +39,12 @@ SCHEMAS = {
 TABLES = tuple(SCHEMAS)
 
 
-_RESOLVED: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
-def table(
-    spark: SparkSession, data_dir: str, name: str, declared: bool = True, fresh: bool = False
-) -> DataFrame:
+def table(spark: SparkSession, data_dir: str, name: str, declared: bool = True) -> DataFrame:
     """Lazy scan; Catalyst prunes columns and pushes filters into the reader.
 
     ``declared=False`` infers the schema from the files instead.
     """
     if name not in SCHEMAS:
         raise KeyError(f"unknown table {name!r}")
-    path = f"{str(data_dir).rstrip('/')}/{name}.parquet"
-    resolved = _RESOLVED.setdefault(spark, {})
-    key = (path, declared)
-    if fresh or key not in resolved:
-        reader = spark.read.schema(SCHEMAS[name]) if declared else spark.read
-        resolved[key] = reader.parquet(path)
-    return resolved[key]
+    reader = spark.read.schema(SCHEMAS[name]) if declared else spark.read
+    return reader.parquet(f"{str(data_dir).rstrip('/')}/{name}.parquet")

@@ -31,10 +31,23 @@ def test_data_dir_may_be_a_path_object(spark):
     assert df.count() == 1
 
 
-def test_resolved_tables_are_reused_until_asked_fresh(spark):
-    a = table(spark, DIRS[0], "orders")
-    assert table(spark, DIRS[0], "orders") is a
-    assert table(spark, DIRS[0] + "/", "orders") is a
-    b = table(spark, DIRS[0], "orders", fresh=True)
-    assert b is not a and table(spark, DIRS[0], "orders") is b
-    assert table(spark, DIRS[0], "orders", declared=False) is not b
+def test_files_that_arrive_later_are_read(spark, scratch):
+    nation = table(spark, DIRS[0], "nation")
+    nation.write.parquet(f"{scratch}/nation.parquet")
+    n = table(spark, scratch, "nation").count()
+    nation.write.mode("append").parquet(f"{scratch}/nation.parquet")
+    assert table(spark, scratch, "nation").count() == 2 * n
+
+
+def test_no_job_runs_while_a_query_is_built(spark):
+    """But for the round trips, which write their files first."""
+    from quarry.plans.catalog import QUERIES
+
+    tracker = spark.sparkContext.statusTracker()
+    for name, query in QUERIES.items():
+        if not name.startswith("roundtrip_"):
+            spark.sparkContext.setJobGroup(f"build-{name}", name)
+            query(spark, DIRS[0])
+            assert not tracker.getJobIdsForGroup(f"build-{name}"), name
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not [t for t in spark.catalog.listTables() if t.isTemporary and t.name.startswith("mean_by_user_")]

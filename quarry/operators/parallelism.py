@@ -1,28 +1,14 @@
-"""Spread CPU-heavy row work of an under-partitioned input over the cluster."""
+"""Spread CPU-heavy row work of an input in few files over the cluster."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
-    """Round-robin repartition **only** when the input yields fewer tasks than
-    the session's default parallelism.
+def spread(df: DataFrame, tasks: int) -> DataFrame:
+    """Deal the rows round-robin over ``tasks`` tasks.
 
-    A small input in one file (one Parquet row group is one task) would
-    otherwise tokenize or parse on a single core. A large input already has
-    many more splits than cores and is returned untouched, so its rows are
-    never shuffled just to be spread. Checking the partition count plans the
-    scan but runs no job. Streams, and sessions that cannot report partition
-    counts, are returned as they are.
+    For an input in one small file (one Parquet row group is one task). The caller
+    decides: a large input has more splits than cores, and its rows should not move for this.
     """
-    if df.isStreaming:
-        return df
-    try:
-        target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
-        tasks = df.rdd.getNumPartitions()
-    except Exception:  # a remote (Connect) session exposes no partition count
-        return df
-    if tasks >= target:
-        return df
-    return df.repartition(target)
+    return df.repartition(tasks)

@@ -12,15 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.money import share_pct
 
-# Limit above which a top-n is not broadcast as a join side.
-MAX_BROADCAST_TOP_N = 100_000
-
 
 def _cols(cols: Iterable[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
@@ -36,21 +32,14 @@ def top_n(df: DataFrame, n: int, order: Sequence[Column | str], tiebreak: Sequen
     return df.orderBy(*_cols(order), *_cols(tiebreak)).limit(n)
 
 
-def rows_at_extreme(df: DataFrame, col: str, how: str = "max", materialize: bool = False) -> DataFrame:
+def rows_at_extreme(df: DataFrame, col: str, how: str = "max") -> DataFrame:
     """All rows whose ``col`` equals the global max (or min); ties kept.
 
     The extreme is a one-row global aggregate (partial per task, one final
     row), broadcast to the scan of ``df``; no window over the whole table, so
-    nothing funnels into a single task.
-
-    ``df`` is read twice. For a base table that is cheap (the aggregate branch
-    reads one column). For a small relation derived by an expensive plan
-    (a daily aggregate of a fact table) pass ``materialize=True``: it is
-    persisted (memory, spilling to disk; lost blocks are recomputed from
-    lineage), so the fact table is scanned and aggregated once.
+    nothing funnels into a single task. ``df`` is used twice; where it is an
+    aggregate and holds only its keys and ``col``, both uses read one exchange.
     """
-    if materialize:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     agg = {"max": F.max, "min": F.min}[how]
     ext = df.agg(agg(col).alias("__extreme"))
     return df.join(F.broadcast(ext), F.col(col) == F.col("__extreme"), "inner").drop("__extreme")
@@ -96,12 +85,10 @@ def facts_of_top_n(
 ) -> DataFrame:
     """Fact rows whose key is among the top ``n`` dimension rows.
 
-    A left semi join, so fact rows are never duplicated; the top-n side holds at
-    most ``n`` keys and is broadcast when ``n`` is within a fixed bound.
+    A left semi join, so fact rows are never duplicated. The top-n side holds at
+    most ``n`` keys; Spark broadcasts it by its measured size.
     """
     top = top_n(dim, n, order, tiebreak or [dim_key]).select(F.col(dim_key).alias("__top_key"))
-    if n <= MAX_BROADCAST_TOP_N:
-        top = F.broadcast(top)
     return facts.join(top, F.col(fact_key) == F.col("__top_key"), "left_semi")
 
 

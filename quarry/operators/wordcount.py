@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import tokens
-from quarry.operators.parallelism import spread
 
 
 def word_count(df: DataFrame, text_col: str = "value") -> DataFrame:
@@ -17,9 +16,8 @@ def word_count(df: DataFrame, text_col: str = "value") -> DataFrame:
     partial + final aggregate, so a word that holds a third of all tokens is
     one row per task before the shuffle, never a hot partition.
     """
-    texts = spread(df.select(text_col))
     return (
-        texts.select(F.explode(tokens(text_col)).alias("word"))
+        df.select(F.explode(tokens(text_col)).alias("word"))
         .filter(F.col("word") != F.lit(""))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("occurrences"))

@@ -6,7 +6,6 @@ and returns a lazy DataFrame; nothing is collected here.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,12 +29,12 @@ RATING_BELOW = 45.0
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _joined(spark: SparkSession, d: str) -> DataFrame:
-    return standins.stays_with_income(spark, d)
+def _joined(spark: SparkSession, d: str, drop_null: bool = False) -> DataFrame:
+    return standins.stays_with_income(spark, d, drop_null=drop_null)
 
 
-def _by_customer(spark: SparkSession, d: str) -> DataFrame:
-    return standins.customer_income(spark, d)
+def _by_customer(spark: SparkSession, d: str, drop_null: bool = False) -> DataFrame:
+    return standins.customer_income(spark, d, drop_null=drop_null)
 
 
 def _converted(spark: SparkSession, d: str) -> DataFrame:
@@ -49,19 +48,23 @@ def q_revenue_by_country(spark, d):
 
 
 def q_revenue_by_country_normalized(spark, d):
-    return revenue.revenue_in(_joined(spark, d), cc=" f ", normalize=True, drop_null=True)
+    return revenue.revenue_in(_joined(spark, d, drop_null=True), cc=" f ", normalize=True, drop_null=True)
 
 
 def q_top100_revenue(spark, d):
     return revenue.top_revenue(_joined(spark, d), n=TOP_STAYS)
 
 
+def q_top100_present_revenue(spark, d):
+    return revenue.top_revenue(_joined(spark, d, drop_null=True), n=TOP_STAYS, drop_null=True)
+
+
 def q_top200_city_name_revenue(spark, d):
     return revenue.revenue_by(_by_customer(spark, d), by=("city", "name"), n=TOP_GROUPS)
 
 
 def q_top200_name_revenue(spark, d):
-    return revenue.revenue_by(_by_customer(spark, d), by=("name",), n=TOP_GROUPS, drop_null=True)
+    return revenue.revenue_by(_by_customer(spark, d, drop_null=True), by=("name",), n=TOP_GROUPS, drop_null=True)
 
 
 def q_city_revenue(spark, d):
@@ -78,6 +81,10 @@ def q_top_spender(spark, d):
     return retail.top_spender(table(spark, d, "orders"), "o_custkey", "o_totalprice", n=1)
 
 
+def q_top_spender_unrounded(spark, d):
+    return retail.top_spender(table(spark, d, "orders"), "o_custkey", "o_totalprice", n=1, digits=None)
+
+
 def q_sold_report(spark, d):
     return retail.sold_report(
         table(spark, d, "lineitem"), "l_partkey", table(spark, d, "part"), "p_partkey", "p_name",
@@ -164,7 +171,7 @@ def q_eur_day_of_max_high(spark, d):
 
 
 def q_eur_mean_close(spark, d):
-    return px.mean_of(_converted(spark, d), "close_eur", "mean_close_eur", scale=px.CONVERTED_SCALE)
+    return px.mean_of(_converted(spark, d), "close_eur", "mean_close_eur")
 
 
 def q_eur_day_of_max_volume(spark, d):
@@ -192,7 +199,7 @@ def q_eur_min_high_by_year(spark, d):
 
 
 def q_eur_mean_close_by_month(spark, d):
-    return px.mean_by_month(_converted(spark, d), "close_eur", "mean_close_eur", scale=px.CONVERTED_SCALE)
+    return px.mean_by_month(_converted(spark, d), "close_eur", "mean_close_eur")
 
 
 # ---- ratings -------------------------------------------------------------
@@ -210,9 +217,7 @@ def q_top10_items(spark, d):
 
 
 def q_users_below_threshold(spark, d):
-    # a view name of its own per call: concurrent calls never replace each other's view
-    view = f"mean_by_user_{uuid.uuid4().hex[:12]}"
-    return rt.below_threshold(spark, q_mean_by_user(spark, d), RATING_BELOW, view=view)
+    return rt.below_threshold(spark, q_mean_by_user(spark, d), RATING_BELOW)
 
 
 # ---- walkthrough and text -------------------------------------------------
@@ -284,13 +289,15 @@ QUERIES: dict[str, Query] = {
 # The SURVEY §2 ids each registered query answers.
 SURVEY_IDS: dict[str, tuple[str, ...]] = {
     "revenue_by_country": ("H1", "F1", "J1", "P1"),
-    "revenue_by_country_normalized": ("H1r", "F2", "F5", "F6"),
-    "top100_revenue": ("H2", "H2r", "O1", "O3", "O4"),
+    "revenue_by_country_normalized": ("H1r", "F2", "F5"),
+    "top100_revenue": ("H2", "O1", "O3", "O4"),
+    "top100_present_revenue": ("H2r",),
     "top200_city_name_revenue": ("H3", "A2"),
     "top200_name_revenue": ("H3r", "A10"),
     "city_revenue": ("H3",),
     "no_revenue": ("H4", "H4r", "J5", "J9", "F4", "X15"),
-    "top_spender": ("R1", "R1r", "A11", "O5"),
+    "top_spender": ("R1", "A11", "O5"),
+    "top_spender_unrounded": ("R1r",),
     "sold_report": ("R2", "A1", "A3", "J2", "X1"),
     "sold_items_only": ("R2r", "A10"),
     "never_sold": ("R3", "J6"),
@@ -330,7 +337,7 @@ SURVEY_IDS: dict[str, tuple[str, ...]] = {
     "parse_dates": ("X5", "X6"),
     "word_count": ("W10", "A12"),
     "roundtrip_hash_separated": ("S3", "S6", "K1"),
-    "roundtrip_semicolon_header": ("S1", "S2", "K1"),
+    "roundtrip_semicolon_header": ("S1", "K1"),
     "roundtrip_hive_text": ("S13", "K1"),
     "roundtrip_double_colon": ("S4",),
     "roundtrip_nested_json": ("S7", "W5"),

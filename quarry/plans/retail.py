@@ -12,17 +12,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.money import exact_sum
-from quarry.operators.relational import facts_of_top_n, in_list, never_matched, never_matched_outer, top_n
+from quarry.functions.money import exact_sum, exact_total
+from quarry.operators.relational import facts_of_top_n, never_matched, never_matched_outer, top_n
 
 
-def top_spender(facts: DataFrame, who: str, amount: str, n: int = 1) -> DataFrame:
+def top_spender(facts: DataFrame, who: str, amount: str, n: int = 1, digits: int | None = 2) -> DataFrame:
     """(who, total_spent) of the ``n`` biggest spenders, ties by ``who``.
 
-    Sums are exact (integer cents), so ordering by the rounded sum is ordering by the sum.
+    Sums are exact, so the biggest spender does not depend on the order of the rows.
+    They are compared unrounded and shown rounded to ``digits`` places, or as they are with None.
     """
-    totals = facts.groupBy(who).agg(exact_sum(amount).alias("total_spent"))
-    return top_n(totals, n, [F.desc_nulls_last("total_spent")], [who])
+    totals = facts.groupBy(who).agg(exact_total(amount).alias("__total"))
+    shown = F.col("__total") if digits is None else F.round("__total", digits)
+    return top_n(totals, n, [F.desc_nulls_last("__total")], [who]).select(who, shown.cast("double").alias("total_spent"))
 
 
 def sold_report(
@@ -43,7 +45,7 @@ def sold_report(
     # counts of items stay integers; fractional quantities get the exact money sum
     aggs = [(F.sum(items) if integral else exact_sum(items)).alias("items_sold")]
     if amount is not None:
-        aggs.append(exact_sum(amount).alias("amount_sold"))
+        aggs.append(F.round(exact_total(amount), 2).cast("double").alias("amount_sold"))
     sold = facts.groupBy(F.col(fact_key).alias("__key")).agg(*aggs)
     cols = [product_key, title, "items_sold"] + (["amount_sold"] if amount is not None else [])
     return products.join(sold, F.col(product_key) == F.col("__key"), "inner").select(*cols)
@@ -78,11 +80,6 @@ def facts_of_top_stock(
 def facts_in_top_stock_list(
     facts: DataFrame, fact_key: str, products: DataFrame, product_key: str, stock: str, n: int = 10
 ) -> DataFrame:
-    """Same rows, as a membership test on the list of top-``n`` keys.
-
-    The list has at most ``n`` entries by construction; it becomes an ``In``
-    filter that the Parquet reader also uses to skip row groups.
-    """
-    top = top_n(products.select(product_key, stock), n, [F.desc_nulls_last(stock)], [product_key])
-    keys = [r[0] for r in top.select(product_key).take(n)]
-    return in_list(facts, fact_key, keys)
+    """Same rows, as SQL membership: the key is IN the top ``n``; a left semi join, no job before the query itself."""
+    top = top_n(products.select(product_key, stock), n, [F.desc_nulls_last(stock)], [product_key]).select(product_key)
+    return facts.sparkSession.sql(f"SELECT * FROM {{facts}} WHERE `{fact_key}` IN (SELECT * FROM {{top}})", facts=facts, top=top)

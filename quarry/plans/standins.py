@@ -40,53 +40,57 @@ PROPS_SCHEMA = "k INT"
 RETURNED = "R"
 
 
+def people(spark: SparkSession, d: str) -> DataFrame:
+    """(c_custkey, name, city): customers with their nation. Facts join this once, on the customer key,
+    and never meet the few nation keys."""
+    c = table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("name"), "c_nationkey")
+    n = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("city"))
+    return c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "name", "city")
+
+
 def stays(spark: SparkSession, d: str) -> DataFrame:
     """(id, name, city, cc): one row per order with its customer and nation."""
     o = table(spark, d, "orders").select(
         F.col("o_orderkey").alias("id"), "o_custkey", F.col("o_orderstatus").alias("cc")
     )
-    c = table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("name"), "c_nationkey")
-    n = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("city"))
-    return (
-        o.join(c, F.col("o_custkey") == F.col("c_custkey"))
-        .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("id", "name", "city", "cc")
-    )
+    return o.join(people(spark, d), F.col("o_custkey") == F.col("c_custkey")).select("id", "name", "city", "cc")
+
 
+def income(spark: SparkSession, d: str, lineitem: DataFrame | None = None, drop_null: bool = False) -> DataFrame:
+    """(id, revenue): one row per order that has lines; null revenue when none was returned.
 
-def income(spark: SparkSession, d: str, lineitem: DataFrame | None = None) -> DataFrame:
-    """(id, revenue): one row per order that has lines; null revenue when none was returned."""
+    ``drop_null`` leaves the orders of null revenue out; the scan then reads only lines that count.
+    """
     li = lineitem if lineitem is not None else table(spark, d, "lineitem")
+    if drop_null:
+        li = li.filter((F.col("l_returnflag") == RETURNED) & F.col("l_extendedprice").isNotNull())
     revenue = F.when(F.col("l_returnflag") == RETURNED, F.col("l_extendedprice"))
     return li.groupBy(F.col("l_orderkey").alias("id")).agg(exact_sum(revenue).alias("revenue"))
 
 
 def stays_with_income(
-    spark: SparkSession, d: str, orders: DataFrame | None = None, lineitem: DataFrame | None = None
+    spark: SparkSession, d: str, orders: DataFrame | None = None, lineitem: DataFrame | None = None, drop_null: bool = False
 ) -> DataFrame:
     """(id, name, city, cc, revenue, has_income): every stay with its income, if any.
 
     The same rows as ``revenue.stays_with_income(stays(...), income(...))``,
     joined orders-first: orders meet their income on the order key (both
     sides keyed by order, so tables bucketed by order key join without a
-    shuffle), then customer and nation. ``has_income`` is null when the order
+    shuffle), then customers with their nation. ``has_income`` is null when the order
     has no lines.
     """
     o = orders if orders is not None else table(spark, d, "orders")
     o = o.select(F.col("o_orderkey").alias("id"), "o_custkey", F.col("o_orderstatus").alias("cc"))
-    inc = income(spark, d, lineitem).withColumn("has_income", F.lit(True))
-    c = table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("name"), "c_nationkey")
-    n = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("city"))
+    inc = income(spark, d, lineitem, drop_null).withColumn("has_income", F.lit(True))
     return (
         o.join(inc, "id", "left")
-        .join(c, F.col("o_custkey") == F.col("c_custkey"))
-        .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(people(spark, d), F.col("o_custkey") == F.col("c_custkey"))
         .select("id", "name", "city", "cc", "revenue", "has_income")
     )
 
 
 def customer_income(
-    spark: SparkSession, d: str, orders: DataFrame | None = None, lineitem: DataFrame | None = None
+    spark: SparkSession, d: str, orders: DataFrame | None = None, lineitem: DataFrame | None = None, drop_null: bool = False
 ) -> DataFrame:
     """(name, city, revenue, has_income): income summed per customer before the customer join.
 
@@ -101,15 +105,12 @@ def customer_income(
     o = orders if orders is not None else table(spark, d, "orders")
     o = o.select(F.col("o_orderkey").alias("id"), "o_custkey")
     per_customer = (
-        o.join(income(spark, d, lineitem), "id", "inner")
+        o.join(income(spark, d, lineitem, drop_null), "id", "inner")
         .groupBy("o_custkey")
         .agg(exact_sum("revenue").alias("revenue"))
     )
-    c = table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("name"), "c_nationkey")
-    n = table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("city"))
     return (
-        per_customer.join(c, F.col("o_custkey") == F.col("c_custkey"))
-        .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+        per_customer.join(people(spark, d), F.col("o_custkey") == F.col("c_custkey"))
         .select("name", "city", "revenue", F.lit(True).alias("has_income"))
     )
 

@@ -1,15 +1,5 @@
 from quarry.operators.parallelism import spread
 
 
-def test_spread_only_under_partitioned_inputs(spark):
-    target = spark.sparkContext.defaultParallelism
-    small = spark.range(100).coalesce(1)
-    assert spread(small).rdd.getNumPartitions() == target
-    wide = spark.range(1000).repartition(target * 2)
-    assert spread(wide) is wide
-    assert spread(small, min_tasks=1) is small
-
-
-def test_spread_leaves_streams_alone(spark, scratch):
-    stream = spark.readStream.format("text").load(scratch)
-    assert spread(stream) is stream
+def test_spread_deals_rows_over_the_tasks(spark):
+    assert spread(spark.range(100).coalesce(1), 5).rdd.getNumPartitions() == 5

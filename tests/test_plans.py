@@ -52,10 +52,31 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_returnflag:string>" in p
 
 
-def test_in_list_is_pushed_to_parquet(spark):
-    df = catalog.q_lines_in_list(spark, SMOKE_DIR)
-    p = df._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [In(l_partkey, [" in p
+def test_in_list_is_a_semi_join(spark):
+    p = plan(catalog.q_lines_in_list(spark, SMOKE_DIR))
+    assert "LeftSemi" in p and "TakeOrderedAndProject" in p
+
+
+@pytest.mark.parametrize("name", ["revenue_by_country_normalized", "top200_name_revenue", "top100_present_revenue"])
+def test_dropped_revenue_is_never_read(spark, name):
+    p = catalog.QUERIES[name](spark, SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(l_returnflag,R)" in p
+
+
+@pytest.mark.parametrize("name", ["city_revenue", "top100_revenue", "no_revenue"])
+def test_facts_never_meet_the_nation_keys(spark, name):
+    """Customers get their nation before the facts join: of the two join keys only the customer's has facts on a side."""
+    p = catalog.QUERIES[name](spark, SMOKE_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    lines = p.splitlines()
+    at = next(i for i, line in enumerate(lines) if "Join" in line and "nationkey" in line)
+    depth = len(lines[at]) - len(lines[at].lstrip(" :+-"))
+    below = [line for line in lines[at + 1 :]]
+    own = []
+    for line in below:
+        if len(line) - len(line.lstrip(" :+-")) <= depth:
+            break
+        own.append(line)
+    assert any("c_nationkey" in line for line in own) and not any("orderkey" in line for line in own)
 
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
@@ -77,10 +98,16 @@ def test_ratings_aggregate_before_join(spark):
 def test_daily_prices_are_aggregated_once_for_their_extreme(spark):
     df = catalog.q_day_of_max_high(spark, SMOKE_DIR)
     p = plan(df)
-    # both branches (the one-row extreme and the rows joined to it) read the
-    # cached daily table; its own plan, the orders aggregate, runs once to fill it
-    assert p.count("InMemoryTableScan") >= 2
-    assert "BroadcastHashJoin" in p
+    # both branches (the one-row extreme and the rows joined to it) read one exchange of the daily aggregate
+    assert "BroadcastHashJoin" in p and "InMemoryTableScan" not in p
+    assert p.count("ReusedExchange") >= 1 and p.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("name", [n for n in catalog.QUERIES if "day_of_" in n])
+def test_extremes_scan_each_fact_table_once_and_keep_nothing(spark, name):
+    p = plan(catalog.QUERIES[name](spark, SMOKE_DIR))
+    assert p.count("FileScan") == (2 if name.startswith("eur_") else 1) and "ReusedExchange" in p
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
 def test_marker_filter_turns_the_income_join_inner(spark):

@@ -30,6 +30,8 @@ from quarry.sources.json import read_json
 # The separators of the delimited formats.
 HASH_SEP = "#"
 SEMICOLON_SEP = ";"
+# How the files write a null, so that an empty string stays one.
+NULL = "\\N"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -39,29 +41,29 @@ def scratch(spark: SparkSession, name: str) -> str:
 def hash_separated(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Headerless ``#`` file under a declared schema."""
     path = scratch(spark, "hash")
-    write_csv(df, path, header=False, sep=HASH_SEP)
-    return read_delimited(spark, path, sep=HASH_SEP, schema=df.schema)
+    write_csv(df, path, header=False, sep=HASH_SEP, null=NULL)
+    return read_delimited(spark, path, sep=HASH_SEP, schema=df.schema, null=NULL, multiline=True)
 
 
 def semicolon_with_header(spark: SparkSession, df: DataFrame) -> DataFrame:
     """``;`` file with a header line, read under a declared schema."""
     path = scratch(spark, "semicolon")
-    write_csv(df, path, header=True, sep=SEMICOLON_SEP)
-    return read_delimited(spark, path, sep=SEMICOLON_SEP, header=True, schema=df.schema)
+    write_csv(df, path, header=True, sep=SEMICOLON_SEP, null=NULL)
+    return read_delimited(spark, path, sep=SEMICOLON_SEP, header=True, schema=df.schema, null=NULL, multiline=True)
 
 
 def hive_text(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Hive's default text table layout (``\\x01``, no header)."""
     path = scratch(spark, "hive")
-    write_csv(df, path, header=False, sep=HIVE_TEXT_SEP)
-    return read_hive_text(spark, path, df.schema)
+    write_csv(df, path, header=False, sep=HIVE_TEXT_SEP, null=NULL)
+    return read_hive_text(spark, path, df.schema, null=NULL, multiline=True)
 
 
 def double_colon_lines(spark: SparkSession, df: DataFrame, sep: str = "::") -> DataFrame:
     """Plain text lines joined with a multi-character separator, split back in one projection."""
     path = scratch(spark, "lines")
-    df.select(join_fields(df.columns, sep).alias("value")).write.text(path)
-    return read_split_text(spark, path, sep, df.schema)
+    df.select(join_fields(df.columns, sep, escaped=True).alias("value")).write.text(path)
+    return read_split_text(spark, path, sep, df.schema, escaped=True)
 
 
 def nested_json(spark: SparkSession, supplier: DataFrame) -> DataFrame:

@@ -50,8 +50,15 @@ def write_csv(
     partition_by: Sequence[str] = (),
     sort_within: Sequence[str] = (),
     narrow: bool = False,
+    null: str = "",
 ) -> None:
+    """CSV files. Values keep their blanks; those with separators, quotes or line breaks are quoted.
+
+    Null is written as ``null``. With the default, a blank, the reader cannot tell null from an empty string.
+    """
     w = layout(df, files, by, sort_within, narrow).write.mode(mode).option("header", header).option("sep", sep)
+    w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    w = w.option("escape", '"').option("nullValue", null).option("emptyValue", '""').option("lineSep", "\n")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
@@ -78,11 +85,13 @@ def write_tuple_text(df: DataFrame, path: str, files: int | None = None, mode: s
     layout(df.select(line.alias("value")), files).write.mode(mode).text(path)
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> DataFrame:
+    """Parquet files; returns the DataFrame that reads them back (pruned columns, pushed filters)."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ an extra time before the job starts, which at scale is a full pass.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,8 @@ from quarry.functions.text import split_literal
 
 # The separator of Hive's default text table format.
 HIVE_TEXT_SEP = "\x01"
+# How escaped lines write a null.
+ESCAPED_NULL = "\\N"
 
 
 def read_delimited(
@@ -26,15 +28,20 @@ def read_delimited(
     schema: StructType | str | None = None,
     infer: bool = False,
     trim: bool = False,
+    null: str = "",
+    multiline: bool = False,
 ) -> DataFrame:
     """CSV-family reader.
 
     With ``schema`` the file is read under it (no inference pass). With
     ``header`` and ``infer`` the types are inferred, as an option only.
     ``trim`` drops blanks around values (CSV keeps leading blanks otherwise).
-    A blank field is null; CRLF line ends are accepted.
+    A blank field is null unless ``null`` names another marker; CRLF line ends are
+    accepted. ``multiline`` reads quoted values that hold line breaks; such files are not split between tasks.
     """
-    reader = spark.read.option("sep", sep).option("header", header)
+    reader = spark.read.option("sep", sep).option("header", header).option("escape", '"').option("nullValue", null)
+    if multiline:
+        reader = reader.option("multiLine", True).option("lineSep", "\n")
     if trim:
         reader = reader.option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
     if schema is not None:
@@ -44,9 +51,20 @@ def read_delimited(
     return reader.csv(path)
 
 
-def read_hive_text(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+def read_typed(spark: SparkSession, path: str | Sequence[str], types: Mapping[str, str], sep: str = ",") -> DataFrame:
+    """A file with a header line, all columns kept; those named in ``types`` are cast to the declared type.
+
+    No inference pass; a value that is not of its declared type raises, and blanks are null. Other columns are strings.
+    """
+    df = read_delimited(spark, path, sep=sep, header=True)
+    return df.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in df.columns])
+
+
+def read_hive_text(
+    spark: SparkSession, path: str, schema: StructType | str, null: str = "", multiline: bool = False
+) -> DataFrame:
     """A Hive text table directory (``\\x01``-separated, no header)."""
-    return read_delimited(spark, path, sep=HIVE_TEXT_SEP, schema=schema)
+    return read_delimited(spark, path, sep=HIVE_TEXT_SEP, schema=schema, null=null, multiline=multiline)
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], skip_prefix: str | None = None) -> DataFrame:
@@ -63,13 +81,14 @@ def split_to_schema(
     sep: str,
     schema: StructType | str,
     strict: bool = True,
+    escaped: bool = False,
 ) -> DataFrame:
     """Split a text column on a literal (possibly multi-character) separator and
     cast each position to the declared field type, in one projection.
 
     ``strict`` casts raise on a bad value (as ``int(x)`` would); otherwise a bad
     value becomes null. A missing position, or a blank one in a non-string
-    field, is null either way.
+    field, is null either way. ``escaped`` undoes what ``join_fields(escaped=True)`` wrote.
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
@@ -77,6 +96,8 @@ def split_to_schema(
     out: list[Column] = []
     for i, field in enumerate(schema.fields):
         raw = F.get(parts, i)
+        if escaped:
+            raw = F.when(raw != F.lit(ESCAPED_NULL), _unescaped(raw, sep))
         typ = field.dataType.simpleString()
         if typ == "string":
             val = raw
@@ -88,12 +109,35 @@ def split_to_schema(
 
 
 def read_split_text(
-    spark: SparkSession, path: str | Sequence[str], sep: str, schema: StructType | str, strict: bool = True
+    spark: SparkSession, path: str | Sequence[str], sep: str, schema: StructType | str, strict: bool = True, escaped: bool = False
 ) -> DataFrame:
     """Text lines split on ``sep`` (e.g. ``::``) and cast to ``schema``; no Python per row."""
-    return split_to_schema(spark.read.text(path), "value", sep, schema, strict)
+    return split_to_schema(spark.read.text(path), "value", sep, schema, strict, escaped)
+
+
+def _escapes(sep: str) -> list[tuple[str, str]]:
+    return [("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"), (sep[0], "\\s")]
 
 
-def join_fields(cols: Sequence[str], sep: str) -> Column:
-    """Inverse of ``split_to_schema``: one text line; null fields become empty."""
+def _escaped(c: Column, sep: str) -> Column:
+    for plain, code in _escapes(sep):
+        c = F.replace(c, F.lit(plain), F.lit(code))
+    return c
+
+
+def _unescaped(c: Column, sep: str) -> Column:
+    for plain, code in reversed(_escapes(sep)):
+        c = F.replace(c, F.lit(code), F.lit(plain))
+    return c
+
+
+def join_fields(cols: Sequence[str], sep: str, escaped: bool = False) -> Column:
+    """Inverse of ``split_to_schema``: one text line.
+
+    Null fields become empty, and values must hold neither separator nor line break; with
+    ``escaped`` any value survives: backslash, line breaks and the separator's first character are
+    written as two characters, null as ``\\N``.
+    """
+    if escaped:
+        return F.concat_ws(sep, *[F.coalesce(_escaped(F.col(c).cast("string"), sep), F.lit(ESCAPED_NULL)) for c in cols])
     return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])

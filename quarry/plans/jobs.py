@@ -6,9 +6,8 @@ FIXTURES.md), answers every question of that job and returns
 are the same functions the registered queries run on the test tables.
 
 A relation several questions share (hotels joined to revenue, the daily and
-converted price tables, the per-user means) is checkpointed once, to the
-session's reliable checkpoint folder, instead of being re-read and
-re-parsed from the text inputs for every question.
+converted price tables, sales, the per-user ratings) is parsed once and kept as Parquet in the
+session's shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -23,10 +22,10 @@ from quarry.functions.dates import ISO_DAY, MONTH_NAME_DAY, parse_date
 from quarry.operators.wordcount import word_count
 from quarry.plans import prices as px
 from quarry.plans import ratings as rt
-from quarry.plans import retail, revenue
-from quarry.session import ensure_checkpoint_dir
+from quarry.plans import retail, revenue, views
+from quarry.session import kept, require_ansi
 from quarry.sinks import write_csv, write_tuple_text
-from quarry.sources.delimited import read_delimited, read_lines, read_split_text
+from quarry.sources.delimited import read_delimited, read_lines, read_split_text, read_typed
 
 # The parameters the original jobs ask with.
 SPAIN = "es"
@@ -44,19 +43,32 @@ SALES_SCHEMA = "fecha STRING, hora STRING, idCliente INT, producto INT, numero_i
 USERS_SCHEMA = "idUser INT, genero STRING, edad INT, ocupacion INT, codigoPostal STRING"
 RATINGS_SCHEMA = "idUser_ratings INT, idPelicula INT, rating INT, tp INT"
 MOVIES_SCHEMA = "idMovie INT, titulo STRING, genero STRING"
-
-
-def _shared(spark: SparkSession, df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+# Types of the columns of inputs with a header that are not strings.
+HOTEL_TYPES = {"id": "bigint"}
+INCOME_TYPES = {"id": "bigint", "revenue": "double"}
+PRICE_TYPES = {"Open": "double", "High": "double", "Low": "double", "Close": "double", "Adj Close": "double", "Volume": "bigint"}
+RATE_TYPES = {"Price": "double", "Open": "double", "High": "double", "Low": "double"}
+
+# Output files of the results that the original jobs bound or deal by a key.
+LAYOUTS: dict[str, dict] = {
+    "top_hotels": {"files": 1}, "top_city_hotels": {"files": 1}, "top_hotel_names": {"files": 1}, "top_cities": {"files": 1},
+    "top_client": {"files": 1}, "sold_report": {"files": 4, "by": ("idProducto",)}, "never_sold": {"files": 2},
+    "top_stock_sales": {"files": 3, "by": ("producto",)},
+    "max_high_day": {"files": 1}, "mean_close": {"files": 1}, "max_volume_day": {"files": 1}, "min_volume_day": {"files": 1},
+    "pct_high_above": {"files": 1}, "max_high_by_year": {"files": 1}, "mean_close_by_month": {"files": 3, "by": ("month",)},
+    "eur_max_high_day": {"files": 1}, "eur_mean_close": {"files": 1}, "eur_max_volume_day": {"files": 1},
+    "eur_min_volume_day": {"files": 1}, "eur_close_above": {"files": 3, "by": ("date",)}, "eur_pct_high_above": {"files": 1},
+    "eur_max_high_by_year": {"files": 1}, "eur_min_high_by_year": {"files": 1}, "eur_mean_close_by_month": {"files": 3, "by": ("month",)},
+    "top_movies": {"files": 1},
+}
 
 
 def hotel_results(spark: SparkSession, hotels_path: str, revenue_path: str) -> dict[str, DataFrame]:
     """Hotels (``;``, header: id, name, …, city_hotel, cc1) and revenue (``;``, header: id, revenue)."""
-    hotels = read_delimited(spark, hotels_path, sep=";", header=True, infer=True)
-    income = read_delimited(spark, revenue_path, sep=";", header=True, infer=True)
+    hotels = read_typed(spark, hotels_path, HOTEL_TYPES, sep=";")
+    income = read_typed(spark, revenue_path, INCOME_TYPES, sep=";")
     stays = hotels.select("id", "name", F.col("city_hotel").alias("city"), F.col("cc1").alias("cc"))
-    joined = _shared(spark, revenue.stays_with_income(stays, income.select("id", "revenue")))
+    joined = kept(revenue.stays_with_income(stays, income.select("id", "revenue")), "hotels")
     return {
         "spain": revenue.revenue_in(joined, SPAIN),
         "spain_normalized": revenue.revenue_in(joined, SPAIN, normalize=True, drop_null=True),
@@ -70,8 +82,8 @@ def hotel_results(spark: SparkSession, hotels_path: str, revenue_path: str) -> d
 
 def shop_results(spark: SparkSession, products_path: str, sales_path: str) -> dict[str, DataFrame]:
     """Products and transactions: ``#``-separated, no header, declared layouts."""
-    products = read_delimited(spark, products_path, sep="#", schema=PRODUCTS_SCHEMA)
-    sales = read_delimited(spark, sales_path, sep="#", schema=SALES_SCHEMA)
+    products = kept(read_delimited(spark, products_path, sep="#", schema=PRODUCTS_SCHEMA), "products")
+    sales = kept(read_delimited(spark, sales_path, sep="#", schema=SALES_SCHEMA), "sales")
     return {
         "top_client": retail.top_spender(sales, "idCliente", "dinero_total"),
         "sold_report": retail.sold_report(
@@ -85,43 +97,31 @@ def shop_results(spark: SparkSession, products_path: str, sales_path: str) -> di
 
 def price_results(spark: SparkSession, prices_path: str, fx_path: str) -> dict[str, DataFrame]:
     """Daily prices (CSV, header, ``yyyy-MM-dd``) and exchange rates (CSV, header, ``MMM dd, yyyy``)."""
-    raw = read_delimited(spark, prices_path, header=True, infer=True)
-    p = raw.select(
-        parse_date("Date", ISO_DAY).alias("date"),
-        F.col("Open").alias("open"),
-        F.col("High").alias("high"),
-        F.col("Low").alias("low"),
-        F.col("Close").alias("close"),
-        F.col("Volume").alias("volume"),
-    )
-    fx_raw = read_delimited(spark, fx_path, header=True, infer=True)
-    fx = fx_raw.select(
-        parse_date("Date", MONTH_NAME_DAY).alias("date"),
-        F.col("Open").alias("open_rate"),
-        F.col("High").alias("high_rate"),
-        F.col("Low").alias("low_rate"),
-    )
-    p = _shared(spark, p)
-    eur = _shared(spark, px.convert(p, fx))
-    s = px.CONVERTED_SCALE
+    raw = kept(read_typed(spark, prices_path, PRICE_TYPES), "prices")
+    p = raw.withColumnsRenamed({c: c.lower() for c in ("Date", "Open", "High", "Low", "Close", "Volume")}).withColumn(
+        "date", parse_date("date", ISO_DAY))
+    fx_raw = read_typed(spark, fx_path, RATE_TYPES)
+    fx = fx_raw.withColumnsRenamed({"Date": "date", "Open": "open_rate", "High": "high_rate", "Low": "low_rate"}).withColumn(
+        "date", parse_date("date", MONTH_NAME_DAY))
+    eur = kept(px.convert(p, fx), "converted")  # every column of both files
     return {
-        "max_high_day": px.day_of_extreme(p, "high", "max", "high", materialize=False),
+        "max_high_day": px.day_of_extreme(p, "high", "max", "high"),
         "mean_close": px.mean_of(p, "close", "mean_close"),
-        "max_volume_day": px.day_of_extreme(p, "volume", "max", "max_volume", False, materialize=False),
-        "min_volume_day": px.day_of_extreme(p, "volume", "min", "min_volume", False, materialize=False),
+        "max_volume_day": px.day_of_extreme(p, "volume", "max", "max_volume", False),
+        "min_volume_day": px.day_of_extreme(p, "volume", "min", "min_volume", False),
         "close_above": px.days_above(raw, "Close", CLOSE_ABOVE),  # the full input rows, every column
         "pct_high_above": px.pct_above(p, "high", HIGH_ABOVE, "pct_days_high_above"),
         "max_high_by_year": px.extreme_by_year(p, "high", "max", "max_high"),
         "mean_close_by_month": px.mean_by_month(p, "close", "mean_close"),
-        "eur_max_high_day": px.day_of_extreme(eur, "high_eur", "max", "high_eur", materialize=False),
-        "eur_mean_close": px.mean_of(eur, "close_eur", "mean_close_eur", s),
-        "eur_max_volume_day": px.day_of_extreme(eur, "volume", "max", "max_volume", False, materialize=False),
-        "eur_min_volume_day": px.day_of_extreme(eur, "volume", "min", "min_volume", False, materialize=False),
+        "eur_max_high_day": px.day_of_extreme(eur, "high_eur", "max", "high_eur"),
+        "eur_mean_close": px.mean_of(eur, "close_eur", "mean_close_eur"),
+        "eur_max_volume_day": px.day_of_extreme(eur, "volume", "max", "max_volume", False),
+        "eur_min_volume_day": px.day_of_extreme(eur, "volume", "min", "min_volume", False),
         "eur_close_above": px.days_above(eur, "close_eur", CLOSE_ABOVE),
         "eur_pct_high_above": px.pct_above(eur, "high_eur", HIGH_ABOVE, "pct_days_high_eur_above"),
         "eur_max_high_by_year": px.extreme_by_year(eur, "high_eur", "max", "max_high_eur"),
         "eur_min_high_by_year": px.extreme_by_year(eur, "high_eur", "min", "min_high_eur"),
-        "eur_mean_close_by_month": px.mean_by_month(eur, "close_eur", "mean_close_eur", s),
+        "eur_mean_close_by_month": px.mean_by_month(eur, "close_eur", "mean_close_eur"),
     }
 
 
@@ -135,12 +135,13 @@ def rating_results(spark: SparkSession, users_path: str, ratings_path: str, movi
     )
     people = users.select(F.col("idUser").alias("user_id"), F.col("genero").alias("segment"))
     items = movies.select(F.col("idMovie").alias("item_id"), F.col("titulo").alias("title"))
-    by_user = _shared(spark, rt.mean_by_user(ratings, people))
+    parts = kept(rt.rating_parts(ratings, "user_id"), "user_ratings")
+    by_user = rt.mean_by_user(ratings, people, parts)
     return {
         "mean_by_user": by_user,
-        "mean_by_gender": rt.mean_by_segment(ratings, people),
+        "mean_by_gender": rt.mean_by_segment(ratings, people, parts),
         "top_movies": rt.top_items(ratings, items, TOP_MOVIES),
-        "users_below": rt.below_threshold(spark, by_user, RATING_BELOW, view="mean_by_user"),
+        "users_below": rt.below_threshold(spark, by_user, RATING_BELOW),
     }
 
 
@@ -150,7 +151,9 @@ def word_counts(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 
 def write_results(results: Mapping[str, DataFrame], out_dir: str, fmt: str = "csv") -> dict[str, str]:
-    """Write each result under ``out_dir/<name>``, one file per task.
+    """Write each result under ``out_dir/<name>`` in the files of ``LAYOUTS``, else one per task.
+
+    Every result is also a temp view of its name, for SQL over it (``views.query``).
 
     ``fmt="csv"`` writes CSV with a header; ``fmt="tuples"`` writes one Python
     tuple per line, as the line-by-line jobs saved their results (the folder
@@ -159,10 +162,11 @@ def write_results(results: Mapping[str, DataFrame], out_dir: str, fmt: str = "cs
     if fmt not in ("csv", "tuples"):
         raise ValueError("fmt must be 'csv' or 'tuples'")
     written = {}
+    views.register(results)
     for name, df in results.items():
         path = os.path.join(out_dir, name)
         if fmt == "csv":
-            write_csv(df, path)
+            write_csv(df, path, **LAYOUTS.get(name, {}))
         else:
             write_tuple_text(df, path)
         written[name] = path
@@ -186,6 +190,7 @@ def main(argv: list[str]) -> int:
         return 2
     fn, _ = JOBS[argv[1]]
     spark = SparkSession.builder.appName(f"quarry-{argv[1]}").getOrCreate()
+    require_ansi(spark)
     try:
         for name, path in write_results(fn(spark, *argv[2:-1]), argv[-1]).items():
             print(f"{name}\t{path}")

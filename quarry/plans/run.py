@@ -3,8 +3,8 @@
     python -m quarry.plans.run IN_DIR OUT_DIR [name ...] [--colocate N]
 
 Relations shared by several questions (stays joined to income, daily
-prices, converted prices) are computed once and checkpointed: written to the
-session's reliable checkpoint directory (``spark.checkpoint.dir``, a shared
+prices, converted prices) are computed once and kept as Parquet under the
+session's checkpoint directory (``spark.checkpoint.dir``, a shared
 folder on a cluster), which cuts their lineage. A lost executor then costs a
 re-read of those files, not a re-run of the lineitem aggregation for every
 question. Each result is written through Spark's commit protocol with the
@@ -15,9 +15,9 @@ recomputing it.
 
 from __future__ import annotations
 
-import hashlib
 import os
 import sys
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
@@ -28,7 +28,8 @@ from quarry.plans import catalog as cat
 from quarry.plans import prices as px
 from quarry.plans import ratings as rt
 from quarry.plans import retail, revenue, standins, walkthrough
-from quarry.session import ensure_checkpoint_dir
+from quarry.plans.roundtrip import NULL
+from quarry.session import ensure_checkpoint_dir, kept, require_ansi
 from quarry.sinks import write_bucketed, write_csv
 from quarry.sources.delimited import read_delimited
 from quarry.sources.tables import table
@@ -75,7 +76,7 @@ class Shared:
     def _keep(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._cache:
             df = make()
-            self._cache[name] = df.checkpoint(eager=True) if self._reliable else df
+            self._cache[name] = kept(df, name) if self._reliable else df
         return self._cache[name]
 
     @property
@@ -111,15 +112,10 @@ class Shared:
 def colocated_table(spark: SparkSession, data_dir: str, name: str, key: str, buckets: int) -> DataFrame:
     """``name`` of ``data_dir`` as a table bucketed by ``key``, written once.
 
-    The table is registered under a name derived from the input folder and
-    the bucket count. When the catalog already has it (always within a
-    session; across runs with a persistent metastore) it is reused, so the
-    rewrite's shuffle is paid once for every later job on the same input.
+    Every call writes a copy of the files as they are now, under a name of its own; a run makes one
+    and asks all its questions of it.
     """
-    digest = hashlib.sha1(str(data_dir).rstrip("/").encode()).hexdigest()[:10]
-    table_name = f"colocated_{name}_{buckets}_{digest}"
-    if spark.catalog.tableExists(table_name):
-        return spark.table(table_name)
+    table_name = f"colocated_{name}_{uuid.uuid4().hex}"
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return write_bucketed(table(spark, data_dir, name), table_name, key, buckets, f"{root}/colocated/{table_name}")
 
@@ -156,10 +152,10 @@ OUTPUTS: dict[str, Output] = {
     "lines_of_top10_stock": Output(
         lambda s: retail.facts_of_top_stock(_li(s), "l_partkey", s.t("part"), "p_partkey", "p_size", cat.TOP_STOCK),
     ),
-    "day_of_max_high": Output(lambda s: px.day_of_extreme(s.prices, "high", "max", "high", materialize=False), files=1),
+    "day_of_max_high": Output(lambda s: px.day_of_extreme(s.prices, "high", "max", "high"), files=1),
     "mean_close": Output(lambda s: px.mean_of(s.prices, "close", "mean_close"), files=1),
-    "day_of_max_volume": Output(lambda s: px.day_of_extreme(s.prices, "volume", "max", "max_volume", False, materialize=False), files=1),
-    "day_of_min_volume": Output(lambda s: px.day_of_extreme(s.prices, "volume", "min", "min_volume", False, materialize=False), files=1),
+    "day_of_max_volume": Output(lambda s: px.day_of_extreme(s.prices, "volume", "max", "max_volume", False), files=1),
+    "day_of_min_volume": Output(lambda s: px.day_of_extreme(s.prices, "volume", "min", "min_volume", False), files=1),
     "days_close_above": Output(lambda s: px.days_above(s.prices, "close", cat.CLOSE_ABOVE), files=4, by=("date",)),
     "pct_days_high_above": Output(
         lambda s: px.pct_above(s.prices, "high", cat.HIGH_ABOVE, "pct_days_high_above"), files=1
@@ -168,15 +164,15 @@ OUTPUTS: dict[str, Output] = {
     "mean_close_by_month": Output(
         lambda s: px.mean_by_month(s.prices, "close", "mean_close"), files=1, sort_within=("year", "month")
     ),
-    "eur_day_of_max_high": Output(lambda s: px.day_of_extreme(s.converted, "high_eur", "max", "high_eur", materialize=False), files=1),
+    "eur_day_of_max_high": Output(lambda s: px.day_of_extreme(s.converted, "high_eur", "max", "high_eur"), files=1),
     "eur_mean_close": Output(
-        lambda s: px.mean_of(s.converted, "close_eur", "mean_close_eur", px.CONVERTED_SCALE), files=1
+        lambda s: px.mean_of(s.converted, "close_eur", "mean_close_eur"), files=1
     ),
     "eur_day_of_max_volume": Output(
-        lambda s: px.day_of_extreme(s.converted, "volume", "max", "max_volume", False, materialize=False), files=1
+        lambda s: px.day_of_extreme(s.converted, "volume", "max", "max_volume", False), files=1
     ),
     "eur_day_of_min_volume": Output(
-        lambda s: px.day_of_extreme(s.converted, "volume", "min", "min_volume", False, materialize=False), files=1
+        lambda s: px.day_of_extreme(s.converted, "volume", "min", "min_volume", False), files=1
     ),
     "eur_days_close_above": Output(
         lambda s: px.days_above(s.converted, "close_eur", cat.CLOSE_ABOVE), files=3, by=("date",)
@@ -191,7 +187,7 @@ OUTPUTS: dict[str, Output] = {
         lambda s: px.extreme_by_year(s.converted, "high_eur", "min", "min_high_eur"), files=1
     ),
     "eur_mean_close_by_month": Output(
-        lambda s: px.mean_by_month(s.converted, "close_eur", "mean_close_eur", px.CONVERTED_SCALE),
+        lambda s: px.mean_by_month(s.converted, "close_eur", "mean_close_eur"),
         files=1,
         sort_within=("year", "month"),
     ),
@@ -208,6 +204,13 @@ VIEW_QUERIES = {
 }
 
 
+# The other questions have no layout of their own: one file per task.
+OUTPUTS |= {
+    name: Output(lambda s, query=query: query(s.spark, s.d))
+    for name, query in cat.QUERIES.items() if name not in OUTPUTS and name not in VIEW_QUERIES
+}
+
+
 def run(
     spark: SparkSession,
     in_dir: str,
@@ -221,13 +224,14 @@ def run(
     Returns name -> path. Results are also registered as temp views under
     their names; SQL over the views (``VIEW_QUERIES``) is written the same way.
     ``colocate`` (a bucket count) first rewrites the order-keyed fact tables
-    bucketed by order key (once per input and bucket count, see
-    ``colocated_table``), for jobs that repeat over the same inputs.
+    bucketed by order key (see ``colocated_table``).
     """
     if reliable:
         ensure_checkpoint_dir(spark)
     shared = Shared(spark, in_dir, reliable=reliable, colocate=colocate)
     wanted = list(names) if names else list(OUTPUTS) + list(VIEW_QUERIES)
+    if unknown := [n for n in wanted if n not in OUTPUTS and n not in VIEW_QUERIES]:
+        raise ValueError(f"no such result: {', '.join(unknown)}")
     written: dict[str, str] = {}
     for name in wanted:
         if name not in OUTPUTS:
@@ -235,9 +239,10 @@ def run(
         spec = OUTPUTS[name]
         df = spec.build(shared)
         path = os.path.join(out_dir, name)
-        write_csv(df, path, files=spec.files, by=spec.by, sort_within=spec.sort_within)
+        write_csv(df, path, files=spec.files, by=spec.by, sort_within=spec.sort_within, null=NULL)
         # the view reads the written result: SQL over it never recomputes the question
-        read_delimited(spark, path, header=True, schema=df.schema).createOrReplaceTempView(name)
+        text = any(t == "string" for _, t in df.dtypes)
+        read_delimited(spark, path, header=True, schema=df.schema, null=NULL, multiline=text).createOrReplaceTempView(name)
         written[name] = path
     for name in wanted:
         if name not in VIEW_QUERIES:
@@ -266,6 +271,7 @@ def main(argv: list[str]) -> int:
     # Under spark-submit the session (master, shuffle partitions, checkpoint
     # folder) comes from the submit configuration; nothing is forced here.
     spark = SparkSession.builder.appName("quarry-run").getOrCreate()
+    require_ansi(spark)
     try:
         for name, path in run(spark, args.in_dir, args.out_dir, args.names or None, colocate=args.colocate).items():
             print(f"{name}\t{path}")

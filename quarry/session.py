@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.errors import PySparkAttributeError
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that hold from local[8] up to a large cluster. Values that depend on
 # the cluster (shuffle partitions, file split size) are arguments.
@@ -53,7 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # a remote (Connect) session: the server's setting rules
+    except PySparkAttributeError:  # a remote (Connect) session: the server's setting rules
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder for reliable checkpoints")
@@ -70,6 +72,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Write a relation that several questions share to the shared folder as Parquet, and read it from there.
+
+    Later questions read only the columns and rows they need, and a lost executor costs a re-read.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kept/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def require_ansi(spark: SparkSession) -> None:
+    """Runners refuse a session in which overflow and bad casts pass silently."""
+    if spark.conf.get("spark.sql.ansi.enabled", "true").lower() != "true":
+        raise RuntimeError("set spark.sql.ansi.enabled=true")
+
+
 def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 200 * 1024**2) -> dict[str, str]:
     """Shuffle and scan sizing for a cluster run, from the input size and core count.
 

@@ -26,17 +26,16 @@ def start_word_count(
     spark: SparkSession,
     directory: str,
     checkpoint: str,
-    sink: str = "memory",
-    name: str = "word_counts",
     path: str | None = None,
+    sink: str = "files",
+    name: str = "word_counts",
 ) -> StreamingQuery:
     """Start the running count.
 
-    ``sink="memory"`` keeps the full table under ``name`` (tests, small
-    vocabularies). Any other sink receives each micro-batch's changed words
-    (``update`` mode) through ``foreachBatch``, which overwrites one Parquet
-    folder per batch id under ``path``, so a replayed batch rewrites the same
-    folder instead of appending twice.
+    Each micro-batch's changed words (``update`` mode) go through ``foreachBatch``,
+    which overwrites one Parquet folder per batch id under ``path``, so a replayed batch rewrites the same
+    folder instead of appending twice. ``sink="memory"`` keeps the whole
+    vocabulary in the driver under ``name`` instead: for tests only.
     """
     counts = word_count_stream(spark, directory)
     writer = counts.writeStream.option("checkpointLocation", checkpoint)

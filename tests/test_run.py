@@ -1,3 +1,4 @@
+import pytest
 import os
 
 from conftest import SMOKE_DIR
@@ -70,11 +71,30 @@ def test_sorted_result_keeps_its_order_in_one_file(spark, scratch):
     assert keys == sorted(keys) and len(keys) > 1
 
 
-def test_colocated_tables_are_written_once_per_input(spark):
+def test_colocated_tables_hold_the_files_of_now(spark, scratch):
     from quarry.plans.run import colocated_table
+    from quarry.sources.tables import table
 
-    a = colocated_table(spark, SMOKE_DIR, "orders", "o_orderkey", 3)
-    files_a = sorted(a.inputFiles())
-    b = colocated_table(spark, SMOKE_DIR, "orders", "o_orderkey", 3)
-    assert sorted(b.inputFiles()) == files_a  # reused, not rewritten
-    assert len(files_a) <= 3 * spark.sparkContext.defaultParallelism
+    orders = table(spark, SMOKE_DIR, "orders")
+    orders.write.parquet(f"{scratch}/orders.parquet")
+    a = colocated_table(spark, scratch, "orders", "o_orderkey", 3).count()
+    orders.write.mode("append").parquet(f"{scratch}/orders.parquet")
+    assert colocated_table(spark, scratch, "orders", "o_orderkey", 3).count() == 2 * a
+
+
+def test_every_question_has_an_output():
+    from quarry.plans.catalog import QUERIES
+    from quarry.plans.run import OUTPUTS, VIEW_QUERIES
+
+    assert set(OUTPUTS) | set(VIEW_QUERIES) == set(QUERIES)
+
+
+def test_unknown_results_are_refused(spark, scratch):
+    with pytest.raises(ValueError, match="no_such"):
+        run(spark, SMOKE_DIR, scratch, ["lines_in_list", "no_such"], reliable=False)
+    assert not os.path.exists(os.path.join(scratch, "lines_in_list"))
+
+
+def test_results_without_a_layout_are_written(spark, scratch):
+    written = run(spark, SMOKE_DIR, scratch, ["lines_in_list", "conform_nested"], reliable=False)
+    assert spark.table("lines_in_list").count() > 0 and set(written) == {"lines_in_list", "conform_nested"}

@@ -8,7 +8,7 @@ def test_running_word_count_over_new_files(spark, scratch):
     src = os.path.join(scratch, "in")
     os.makedirs(src)
     write_text(os.path.join(src, "a.txt"), "to be or not\n  to be\n")
-    q = start_word_count(spark, src, os.path.join(scratch, "ckpt"), name="wc_test")
+    q = start_word_count(spark, src, os.path.join(scratch, "ckpt"), sink="memory", name="wc_test")
     try:
         q.processAllAvailable()
         assert dict(spark.table("wc_test").collect()) == {"to": 2, "be": 2, "or": 1, "not": 1}
@@ -24,7 +24,7 @@ def test_file_sink_writes_changed_words_per_batch(spark, scratch):
     os.makedirs(src)
     write_text(os.path.join(src, "a.txt"), "x y x\n")
     out = os.path.join(scratch, "out")
-    q = start_word_count(spark, src, os.path.join(scratch, "ckpt"), sink="parquet", path=out)
+    q = start_word_count(spark, src, os.path.join(scratch, "ckpt"), path=out)
     try:
         q.processAllAvailable()
         write_text(os.path.join(src, "b.txt"), "y z\n")

@@ -123,6 +123,6 @@ def overlaps(
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, how: Overlap = Overlap(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that overlap an item; all columns as they are."""
-    hit = overlaps(docs, benchmark, how, id_col, text_col).select(F.col("doc_id").alias("hit")).distinct()
-    kept = docs.alias("a").join(hit, F.col(f"a.{id_col}").eqNullSafe(F.col("hit")), "left_anti")
+    hit = overlaps(docs, benchmark, how, id_col, text_col).select(F.col("doc_id").alias("hit")).distinct().alias("b")
+    kept = docs.alias("a").join(hit, F.col(f"a.{id_col}").eqNullSafe(F.col("b.hit")), "left_anti")
     return kept.select(*[F.col(f"a.`{c}`") for c in docs.columns])

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMOKE_DIR
+from quarry.plans.catalog import QUERIES
 
 
 def _collect(spark, name):
@@ -11,7 +12,7 @@ def _collect(spark, name):
     return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_result_under_different_partitionings(spark, name):
     keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
     old = {k: spark.conf.get(k) for k in keys}

@@ -1,0 +1,26 @@
+"""Every text format gives back nulls, empty strings, blanks, line breaks, quotes and separators."""
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from quarry.plans import roundtrip
+
+FORMATS = [roundtrip.hash_separated, roundtrip.semicolon_with_header, roundtrip.hive_text, roundtrip.double_colon_lines]
+VALUES = [None, "", " ", "  padded ", "a\nb", "\n", 'q"uote', "a#b;c::d:e", "back\\slash", "\\n", "tab\tx", "été", "'", '""', "a\r\nb", ":", "x:"]
+
+
+@pytest.mark.parametrize("form", FORMATS)
+def test_values_survive(spark, form):
+    rows = [(i, v) for i, v in enumerate(VALUES)]
+    df = spark.createDataFrame(rows, "id long, v string")
+    assert sorted(tuple(r) for r in form(spark, df).collect()) == rows
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=" \n\\\"'#;:abé", max_size=6)), min_size=1, max_size=12))
+def test_any_text_survives(spark, values):
+    rows = [(i, v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "id long, v string")
+    for form in FORMATS:
+        assert sorted(tuple(r) for r in form(spark, df).collect()) == rows

@@ -33,6 +33,7 @@ from quarry.llm.tokens import cuts, encoded_batches, id_and_text
 
 # Pieces of one length that one task ranks, on average; the number of salts follows from it.
 GROUP_ROWS = 200_000
+LEAST_SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -165,7 +166,7 @@ def pack(items: DataFrame, cap: Capacity) -> DataFrame:
     histogram = [(r["length"], r["n"]) for r in items.groupBy("length").agg(F.count("*").alias("n")).collect()]
     if any(not 1 <= n <= cap.tokens for n, _ in histogram):
         raise ValueError("a piece has no length between 1 and the capacity")
-    salts = max(1, -(-sum(c for _, c in histogram) // GROUP_ROWS))
+    salts = max(LEAST_SALTS, -(-sum(c for _, c in histogram) // GROUP_ROWS))
     salted = items.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
     before = (
         salted.groupBy("length", "salt").agg(F.count("*").alias("n"))

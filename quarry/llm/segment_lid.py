@@ -42,7 +42,7 @@ KNOWN_WORDS = 400_000
 class Fit:
     """How the piece probabilities are fitted; ``docs`` bounds the labelled sample, per language, in expectation."""
 
-    docs: int = 400
+    docs: int = 200
     rounds: int = 4
     prior: float = 0.02
 
@@ -114,8 +114,9 @@ class Lattice:
         word = np.repeat(np.arange(len(words)), lengths)[start]
         self.first = ends - lengths + np.arange(len(words))  # every word has one node more than bytes
         self.last = self.first + lengths
-        self.source, self.target = start + word, start + word + n
-        self.word, self.length, self.lengths, self.nodes = word, n, lengths, int(lengths.sum()) + len(words)
+        self.source, self.target = (start + word).astype(np.int32), (start + word + n).astype(np.int32)
+        self.word, self.length, self.piece = word.astype(np.int32), n.astype(np.int32), self.piece.astype(np.int32)
+        self.lengths, self.nodes = lengths, int(lengths.sum()) + len(words)
 
     def _by_depth(self, node: np.ndarray) -> list[np.ndarray]:
         """Arcs grouped by their node's place in its word, and within that by node."""
@@ -133,7 +134,7 @@ class Lattice:
         return value
 
     def weights(self, theta: np.ndarray) -> np.ndarray:
-        return theta[self.piece] * (BYTE_SCALE ** self.length)[:, None]
+        return theta[self.piece] * (BYTE_SCALE ** self.length.astype(float))[:, None]
 
     def forward(self, weight: np.ndarray) -> np.ndarray:
         return self._pass(weight, self.first, self.target, self.source, False)
@@ -165,7 +166,7 @@ def fit(vocab: Vocabulary, words: list[bytes], counts: np.ndarray, how: Fit) ->
     """Piece probabilities per language (pieces x languages) from word counts (words x languages)."""
     short = [i for i, w in enumerate(words) if 0 < len(w) <= SHORT]
     theta = np.full((vocab.size, counts.shape[1]), 1.0 / vocab.size)
-    parts = [(Lattice(vocab, [words[i] for i in short[a : a + 20_000]]), counts[short[a : a + 20_000]]) for a in range(0, len(short), 20_000)]
+    parts = [(Lattice(vocab, [words[i] for i in short[a : a + 5_000]]), counts[short[a : a + 5_000]]) for a in range(0, len(short), 5_000)]
     for _ in range(how.rounds):
         expected = np.full_like(theta, how.prior)
         for lattice, c in parts:

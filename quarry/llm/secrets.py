@@ -144,9 +144,8 @@ def candidates(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
             for a, grams in enumerate(sorted(clause, key=sorted)):
                 asked += [(g, r.kind, len(query), c, a, len(grams)) for g in sorted(grams)]
     wanted = spark.createDataFrame(asked, "gram string, rule string, clauses int, clause int, alternative int, grams int")
-    low = F.lower("text")
-    present = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(g)), F.lit(g)) for g in sorted({x[0] for x in asked})]))
-    postings = texts.select("doc_id", F.explode(present).alias("gram"))
+    present = F.array_compact(F.array(*[F.when(F.contains(F.col("low"), F.lit(g)), F.lit(g)) for g in sorted({x[0] for x in asked})]))
+    postings = texts.select("doc_id", F.lower("text").alias("low")).select("doc_id", F.explode(present).alias("gram"))
     return (
         postings.join(F.broadcast(wanted), "gram")  # as many rows as the rules have trigrams
         .groupBy("doc_id", "rule", "clauses", "clause", "alternative", "grams").agg(F.countDistinct("gram").alias("n"))

@@ -8,7 +8,7 @@ documents link when 100 * intersection >= 75 * union. Steps:
    shingles: those of uncommon slots by hash, then ever more common ones. Linked sets share a shingle among the
    first n - ceil(0.75 n) + 1 of this order (prefix filter); these are joined by
    shingle. The sketch steers cost only: the filter is exact under any order.
-3. Every class in a shared bucket gets its count vector: shingles per hash group. The sum of coordinate minima of two vectors bounds
+3. Buckets with the same classes are one. Every class in a shared bucket gets its count vector: shingles per hash group. The sum of coordinate minima of two vectors bounds
    the sets' intersection from above.
 4. Each bucket's classes are compared with one of them, its centre, and links verified on the sets. Buckets whose classes
    are by then of one component hold no further news. In the others the
@@ -38,11 +38,14 @@ from quarry.llm.common import mix, stored, text_slices, word_hashes, word_spans
 from quarry.llm.components import components
 
 WORDS = 5
-GROUPS = 64          # coordinates of a count vector
+GROUPS = 512         # coordinates of a count vector, one byte each
+FULL = 255           # what a byte cannot exceed: such a coordinate bounds nothing
 SLOT_BITS = 20       # of the shingle sketch
 SKETCH_FAN_IN = 64   # sketches that one task adds up
 BROADCAST_IDS = 500_000  # document ids to reread, 8 bytes each; beyond it they are joined by a shuffle
 CHUNK = 512          # classes per chunk of a large bucket
+FINE = 2048          # groups of the finer counts that a pair is checked with before its sets are read
+SMALL = 8            # buckets of up to so many classes are one leaf: their pairs are bounded together
 LEAF = 16            # classes per R-tree leaf, and children per node
 
 
@@ -77,10 +80,10 @@ def shingle_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
             if b - a >= WORDS:
                 yield at + r, np.unique(grams[a : b - WORDS + 1])
             elif b > a:
-                short = np.uint64(b - a)
-                for k, x in enumerate(h[a:b]):
-                    short = mix(np.array([x * odd[k] + short], dtype=np.uint64))[0]
-                yield at + r, np.array([short], dtype=np.uint64)
+                short = np.array([b - a], dtype=np.uint64)
+                for k in range(b - a):
+                    short = mix(h[a + k : a + k + 1] * odd[k] + short)
+                yield at + r, short
             else:
                 yield at + r, np.zeros(0, np.uint64)
 
@@ -213,8 +216,12 @@ def shared_buckets(entries: DataFrame) -> DataFrame:
     return entries.repartition("key").sortWithinPartitions("key", "class").mapInArrow(run, "key long, class long")
 
 
+def _counted(grams: np.ndarray, groups: int) -> bytes:
+    return np.minimum(np.bincount((grams & np.uint64(groups - 1)).astype(np.int64), minlength=groups), FULL).astype(np.uint8).tobytes()
+
+
 def _sets(texts: DataFrame) -> DataFrame:
-    """(class, n, counts, grams): the set of each text, and its shingles per group."""
+    """(class, n, counts, fine, grams): the set of each text, and its shingles per group, coarse and fine (one byte a group)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,15 +229,28 @@ def _sets(texts: DataFrame) -> DataFrame:
                 sets = [g for _, g in shingle_sets(batch.column(1).slice(at, 500)) if len(g)]
                 if not sets:
                     continue
-                counts = [np.bincount((g & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32) for g in sets]
+                counts, fine = ([_counted(g, k) for g in sets] for k in (GROUPS, FINE))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([class_key(g) for g in sets], pa.int64()), pa.array([len(g) for g in sets], pa.int64()),
-                        pa.array(counts, pa.list_(pa.int32())), pa.array([g.view(np.int64) for g in sets], pa.list_(pa.int64())),
-                    ], ["class", "n", "counts", "grams"],
+                        pa.array(counts, pa.binary()), pa.array(fine, pa.binary()),
+                        pa.array([g.view(np.int64) for g in sets], pa.list_(pa.int64())),
+                    ], ["class", "n", "counts", "fine", "grams"],
                 )
 
-    return texts.mapInArrow(run, "class long, n long, counts array<int>, grams array<long>")
+    # a class has one row here unless ids repeat; then its pairs are found twice, and made distinct later
+    return texts.mapInArrow(run, "class long, n long, counts binary, fine binary, grams array<long>")
+
+
+def told_apart(buckets: DataFrame) -> DataFrame:
+    """``buckets`` (key, class) without those whose classes are the same as another's.
+
+    Two long texts with much in common share thousands of buckets; one says it all.
+    """
+    same = ["n", "low", "high", "mixed"]
+    members = buckets.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high"), F.bit_xor(F.xxhash64("class")).alias("mixed"))
+    return buckets.join(members.groupBy(*same).agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
 
 
 # ---- candidates -------------------------------------------------------------
@@ -287,30 +307,56 @@ def _tree_pairs(units: DataFrame, t: Threshold) -> DataFrame:
     """(a, b) classes of one unit (key, i, j) of different components whose vectors allow a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told, told_of = np.zeros(0, np.uint64), None  # pairs given for these chunks of buckets with one lowest class
+
+        def fresh(group: np.ndarray, a: np.ndarray, b: np.ndarray, remember: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal told, told_of
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+            if remember:
+                if told_of != tuple(group):
+                    told, told_of = np.zeros(0, np.uint64), tuple(group)
+                code = mix(pairs[:, 0].copy().view(np.uint64) ^ mix(pairs[:, 1].copy().view(np.uint64)))
+                new = ~np.isin(code, told)
+                pairs, told = pairs[new], np.concatenate([told, code[new]])
+            if len(pairs):
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+
         def out(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            key = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
+            key = np.stack([table.column(c).to_numpy() for c in ("low", "i", "j", "key")], axis=1)
             owner, part, n, half = (table.column(c).to_numpy() for c in ("class", "component", "n", "half"))
-            vectors = table.column("counts").combine_chunks().flatten().to_numpy().reshape(-1, GROUPS)
-            for r in np.split(np.arange(len(key)), np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1):
+            vectors = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, GROUPS).astype(np.int32)
+            vectors[vectors == FULL] = 1 << 20
+            first = np.append(0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1)
+            size = np.diff(np.append(first, len(key)))
+            room = np.repeat(first + size, size) - np.arange(len(key))  # members of the unit from here on
+            whole = np.repeat(size <= SMALL, size) & (half == 2)
+            for step in range(1, SMALL):
+                a = np.flatnonzero(whole & (room > step))
+                a = a[part[a] != part[a + step]]
+                for c in range(0, len(a), 20_000):
+                    x = a[c : c + 20_000]
+                    y = x + step
+                    keep = np.minimum(vectors[x], vectors[y]).sum(axis=1) >= t.least_overlap(n[x] + n[y])
+                    if keep.any():
+                        yield from fresh(key[x[0], :3], owner[x[keep]], owner[y[keep]], False)
+            for r in (np.arange(f, f + m) for f, m in zip(first, size) if not whole[f]):
                 left, right = r[half[r] != 1], r[half[r] != 0]
                 if not len(left) or not len(right):
                     continue
                 a, b = RTree(vectors[left], n[left]).joined(RTree(vectors[right], n[right]), t)
                 a, b = left[a], right[b]
                 keep = part[a] != part[b]
-                a, b = owner[a[keep]], owner[b[keep]]
-                if len(a):
-                    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+                if keep.any():
+                    yield from fresh(key[r[0], :3], owner[a[keep]], owner[b[keep]], True)
 
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            named = np.stack([batch.column(c).to_numpy() for c in range(3)], axis=1)
+            named = np.stack([batch.column(c).to_numpy() for c in range(4)], axis=1)
             begins = np.flatnonzero((named != named[-1]).any(axis=1))
             begins = int(begins[-1]) + 1 if len(begins) else 0
-            if held and (begins or any(held[-1].column(c)[0].as_py() != int(named[0, c]) for c in range(3))):
+            if held and (begins or any(held[-1].column(c)[0].as_py() != int(named[0, c]) for c in range(4))):
                 yield from out(pa.Table.from_batches([*held, batch.slice(0, begins)]))
                 held = []
             elif begins:
@@ -319,14 +365,15 @@ def _tree_pairs(units: DataFrame, t: Threshold) -> DataFrame:
         if held:
             yield from out(pa.Table.from_batches(held))
 
-    columns = ["key", "i", "j", "class", "component", "n", "half", "counts"]
-    ordered = units.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select(*columns)
+    # buckets of one family mostly have the same lowest class: chunk by chunk they come to one task, which gives a pair once
+    columns = ["low", "i", "j", "key", "class", "component", "n", "half", "counts"]
+    ordered = units.repartition("low", "i", "j").sortWithinPartitions("low", "i", "j", "key").select(*columns)
     return ordered.mapInArrow(run, "a long, b long")
 
 
 def _units(buckets: DataFrame) -> DataFrame:
     """``buckets`` (key, class, ...) dealt as pairs (i, j) of chunks; ``half`` is 0 or 1, or 2 where i = j."""
-    sizes = buckets.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    sizes = buckets.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"), F.min("class").alias("low"))
     mine = F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int")
     return (
         buckets.join(sizes, "key").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -335,21 +382,38 @@ def _units(buckets: DataFrame) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
-    """The pairs (a, b) of classes that link: by the bound on the count vectors, then by the sets."""
+def _bounded(pairs: DataFrame, t: Threshold) -> DataFrame:
+    """Pairs (a, n_a, fine_a, b, n_b, fine_b) whose fine counts allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                fine = [np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(-1, FINE) for c in (2, 5)]
+                bound = np.minimum(*fine).sum(axis=1, dtype=np.int64)
+                full = (fine[0] == FULL).any(axis=1) & (fine[1] == FULL).any(axis=1)
+                keep = full | (bound >= t.least_overlap(part.column(1).to_numpy() + part.column(4).to_numpy()))
+                yield pa.RecordBatch.from_arrays([pa.array(part.column(c).to_numpy()[keep]) for c in (0, 3)], ["a", "b"])
+
+    return pairs.mapInArrow(run, "a long, b long")
 
-    def side(x: str, column: str) -> DataFrame:
-        return sets.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col(column).alias(f"{column}_{x}"))
 
-    sizes = F.col("n_a") + F.col("n_b")
-    need = F.ceil(F.lit(t.part) * sizes / F.lit(float(t.part + t.whole)))
-    bound = F.aggregate(F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    near = pairs.distinct().join(side("a", "counts"), "a").join(side("b", "counts"), "b").where(bound >= need).select("a", "b")
+def _verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
+    """The pairs (a, b) of classes that link: by the bound on the fine counts, then by the sets."""
+
+    def joined(pairs: DataFrame, column: str) -> DataFrame:
+        few = pairs.count() <= BROADCAST_IDS
+        for x in ("a", "b"):  # the columns are large: only those of classes in a pair move
+            side = sets.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col(column).alias(f"{column}_{x}"))
+            asked = pairs.select(x).distinct()
+            pairs = pairs.join(side.join(F.broadcast(asked) if few else asked, x, "left_semi"), x)
+        return pairs
+
+    fine = joined(stored(pairs.distinct(), "shingle-pairs"), "fine").select("a", "n_a", "fine_a", "b", "n_b", "fine_b")
+    near = joined(stored(_bounded(fine, t).distinct(), "shingle-pairs"), "grams")
     both = F.size(F.array_intersect("grams_a", "grams_b"))
-    return (
-        near.join(side("a", "grams"), "a").join(side("b", "grams"), "b")
-        .where(F.lit(t.whole) * both >= F.lit(t.part) * (sizes - both)).select("a", "b")
-    )
+    union = F.col("n_a") + F.col("n_b") - both
+    return near.where(F.lit(t.whole) * both >= F.lit(t.part) * union).select("a", "b").distinct()
 
 
 def _joined_parts(buckets: DataFrame, links: DataFrame) -> DataFrame:
@@ -378,8 +442,9 @@ def near_documents(
         named.where("doc_id IS NOT NULL AND n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "shingle-classes"
     )
     buckets = stored(shared_buckets(_prefixes(texts, common, t)), "shingle-buckets")
+    buckets = stored(told_apart(buckets), "shingle-buckets")
     wanted = classes.join(buckets.select("class").distinct(), "class", "left_semi")
-    sets = stored(_sets(_rereads(texts, wanted.select(F.col("rep").alias("doc_id")), broadcast_ids)).dropDuplicates(["class"]), "shingle-sets")
+    sets = stored(_sets(_rereads(texts, wanted.select(F.col("rep").alias("doc_id")), broadcast_ids)), "shingle-sets")
 
     centre = buckets.groupBy("key").agg(F.min_by("class", F.xxhash64("class", "key")).alias("centre"))
     spokes = buckets.join(centre, "key").where("class <> centre").select(

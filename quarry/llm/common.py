@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Largest number of text bytes that one numpy pass handles; a longer single text is one pass of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -202,15 +202,20 @@ def weigh(depths: np.ndarray, contexts: np.ndarray, bytes_: np.ndarray, n: np.nd
     up = np.searchsorted(keys, ((np.maximum(level, 1) - 1).astype(np.uint64) << np.uint64(56)) | (context >> np.uint64(8)))
     kids = np.flatnonzero(level)
     rest = table.copy()
-    np.subtract.at(rest, up[kids], table[kids])
+    for a in range(0, len(kids), 2048):
+        np.subtract.at(rest, up[kids[a : a + 2048]], table[kids[a : a + 2048]])
 
     log10 = np.zeros((size, 1), dtype=np.float32)
     for bit in range(8):  # a decision for every prefix of ``bit`` bits; decisions are independent, so taken in groups
-        pair, left = (t.reshape(size, 1 << bit, 2, -1).sum(axis=3) for t in (table, rest))
-        one = np.concatenate(
-            [_mixture(pair[:, a : a + 32], left[:, a : a + 32], level, up, depth) for a in range(0, 1 << bit, 32)], axis=1
-        )
-        log10 = np.stack([log10 + np.log10(1 - one), log10 + np.log10(one)], axis=2).reshape(size, -1).astype(np.float32)
+        finer = np.empty((size, 1 << bit, 2), dtype=np.float32)
+        for a in range(0, 1 << bit, 16):
+            group = slice(a, a + 16)
+            pair, left = (t.reshape(size, 1 << bit, 2, -1)[:, group].sum(axis=3) for t in (table, rest))
+            one = _mixture(pair, left, level, up, depth)
+            finer[:, group, 0], finer[:, group, 1] = np.log10(1 - one), np.log10(one)
+        finer += log10[:, :, None]
+        log10 = finer.reshape(size, -1)
+    del table, rest
     child = np.full((int((level < depth).sum()) + 1, 256), -1, dtype=np.int32)
     child[up[kids], (context[kids] & np.uint64(255)).astype(np.int64)] = kids
     return Tree(depth, child, log10)

@@ -7,12 +7,14 @@ and the estimates of all depths are mixed by context-tree weighting: a node's we
 probability is half its own estimate plus half the product of what its children give.
 
 What is learnt covers all training texts: counts of (context, byte) and of words
-are partial sums per task, then summed by key. Contexts holding under ``share`` of all bytes are not nodes; what
-they held is coded by one more estimate at their parent. So there are at most
-``depth / share`` nodes at any corpus size; they reach the driver, which
-computes the mixtures, and go to the tasks as one table of log-probabilities.
+are partial sums per task, then summed by key. Every context is a node, however rare. The weighting runs
+level by level over stored tables of one row per context and decision: a group-by
+from the deepest contexts to the root, then a join from the root to the deepest.
+The texts to be scored bring their (context, byte) pairs along with no count, which changes no estimate,
+so that every pair of any text has its log-probability in one table. The ``heart`` most frequent pairs go to the tasks, the rest are joined by pair.
 The baseline's counts stay in a table: words of at least ``word_share`` of all tokens
 (at most ``1 / word_share`` of them) go to the tasks, the rest are joined by word.
+Sums of logarithms are taken as whole numbers, so no score depends on the order of rows or on ``heart``.
 
 Defined results: a null or wordless text holds the end alone; repeated and null
 ids are rows of their own (a null id neither trains nor is held out); an empty
@@ -31,21 +33,22 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from quarry.llm.common import lowered, stored, text_slices, word_hashes, word_spans
 
 CLOSE = 0x0A      # closes a text, and stands before its first byte
 END_WORD = 0x5EED  # the end token's key among the word hashes
+UNIT = 1 << 30     # log10 probabilities of pairs are whole numbers of 1 / UNIT
+FINE = 1 << 40     # parts of a logarithm's fraction while children are summed
 HELD_KEYS = 1_500_000  # distinct keys a counting task holds before it hands over partial sums
 
 
 @dataclass(frozen=True)
 class Shape:
-    """Depth of the tree and the least shares of a node and of a word that tasks know by heart."""
+    """Depth of the tree (at most 6), and how many pairs and which share of words tasks know by heart."""
 
     depth: int = 5
-    share: float = 1e-5
+    heart: int = 500_000
     word_share: float = 1e-6
 
 
@@ -192,7 +195,7 @@ def _mixture(pair: np.ndarray, rest: np.ndarray, level: np.ndarray, up: np.ndarr
 
 
 def weigh(depths: np.ndarray, contexts: np.ndarray, bytes_: np.ndarray, n: np.ndarray, depth: int) -> Tree:
-    """Context-tree weighting over the kept nodes' counts; ``contexts`` hold a node's bytes, latest highest."""
+    """Context-tree weighting in one process, which tests hold ``pair_logs`` to; ``contexts`` hold a node's bytes, latest highest."""
     named = (depths.astype(np.uint64) << np.uint64(56)) | contexts.astype(np.uint64)
     keys = np.union1d(named, np.zeros(1, np.uint64))  # the root is always there
     size, level = len(keys), (keys >> np.uint64(56)).astype(np.int64)
@@ -221,20 +224,73 @@ def weigh(depths: np.ndarray, contexts: np.ndarray, bytes_: np.ndarray, n: np.nd
     return Tree(depth, child, log10)
 
 
-def learn_tree(grams: DataFrame, shape: Shape) -> Tree:
-    """The weighted tree of stored gram counts (key, n); at most ``depth / share`` nodes reach the driver."""
-    d = shape.depth
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    level = F.explode(F.sequence(F.lit(0), F.lit(d)))
-    context = F.expr(f"shiftrightunsigned(key, 8 * ({d} - level) + 8)")
-    by_node = (
-        grams.select("key", "n", level.alias("level"))
-        .select("level", context.alias("context"), F.expr("int(key & 255)").alias("byte"), "n")
-        .groupBy("level", "context", "byte").agg(F.sum("n").alias("n"))
+def _log_gamma(x: Column) -> Column:
+    """Natural logarithm of the gamma function, by Stirling's series from ``x + 8`` on."""
+    y, product = x + 8, x
+    for k in range(1, 8):
+        product = product * (x + k)
+    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7)
+    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - F.log(product)
+
+
+def _kt(zeros: Column, ones: Column) -> Column:
+    """As ``_log_kt``, of columns."""
+    a, b = zeros.cast("double"), ones.cast("double")
+    kt = _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1) - math.log(math.pi)
+    return F.when(zeros + ones == 0, 0.0).otherwise(kt)
+
+
+def _decisions(pairs: DataFrame) -> DataFrame:
+    """The eight decisions of every pair: ``node``, the context followed by a one and the bits so far, and the next ``bit``."""
+    return pairs.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(7)))).select(
+        *pairs.columns,
+        F.expr("shiftleft(shiftrightunsigned(key, 8), 8) | shiftleft(1L, i) | shiftright(key & 255, 8 - i)").alias("node"),
+        F.expr("shiftright(key & 255, 7 - i) & 1").alias("bit"),
     )
-    held = by_node.withColumn("held", F.sum("n").over(Window.partitionBy("level", "context")))
-    kept = held.where(F.col("held") >= F.lit(shape.share * total)).select("level", "context", "byte", "n").toPandas()
-    return weigh(*(kept[c].to_numpy(dtype=np.int64) for c in ("level", "context", "byte", "n")), d)
+
+
+def pair_logs(pairs: DataFrame, depth: int) -> DataFrame:
+    """(key, seen, units): log10 of the weighted probability of each pair's byte after its context, in 1 / ``UNIT``.
+
+    ``pairs`` (key, n, seen) are stored and hold ``n``, the count in training, or 0.
+    """
+    up, half = F.expr("shiftleft(shiftrightunsigned(node, 16), 8) | (node & 255)"), math.log(0.5)
+    sums = [F.sum(c).alias(c) for c in ("zeros", "ones")]
+    counted = _decisions(pairs).select("node", (F.col("n") * (1 - F.col("bit"))).alias("zeros"), (F.col("n") * F.col("bit")).alias("ones"))
+    level = counted.groupBy("node").agg(*sums).withColumn("weighted", _kt(F.col("zeros"), F.col("ones"))).withColumn("stop", F.lit(1.0))
+    levels = [stored(level, "tree-level")]
+    for _ in range(depth):  # from the deepest nodes to the root
+        whole = F.floor("weighted")
+        above = (
+            levels[-1].select(up.alias("node"), "zeros", "ones", whole.alias("whole"), F.round((F.col("weighted") - whole) * FINE).cast("long").alias("part"))
+            .groupBy("node").agg(*sums, (F.sum("whole") + F.sum("part") / F.lit(float(FINE))).alias("split"))
+            .withColumn("own", _kt(F.col("zeros"), F.col("ones")))
+        )
+        weighted = half + F.greatest("own", "split") + F.log1p(F.exp(-F.abs(F.col("own") - F.col("split"))))
+        stop = 1 / (1 + F.exp(F.col("split") - F.col("own")))  # the share of the node's own estimate in its mixture
+        levels.append(stored(above.select("node", "zeros", "ones", weighted.alias("weighted"), stop.alias("stop")), "tree-level"))
+    estimate = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
+    own = [(F.col("stop") * estimate).alias("mine"), (1 - F.col("stop")).alias("go")]
+    mixed = levels[-1].select("node", *own).withColumnsRenamed({"mine": "fixed", "go": "share"})
+    for level in levels[-2::-1]:  # what the mixtures above a node leave to the estimate below it
+        below = level.select("node", up.alias("up"), *own).join(mixed.withColumnRenamed("node", "up"), "up")
+        mixed = stored(below.select("node", (F.col("fixed") + F.col("share") * F.col("mine")).alias("fixed"), (F.col("share") * F.col("go")).alias("share")), "tree-mixture")
+    one = F.least(F.greatest(F.col("fixed"), F.lit(1e-12)), F.lit(1 - 1e-12))
+    log = F.log10(F.when(F.col("bit") == 1, one).otherwise(1 - one))
+    bits = _decisions(pairs.select("key", "seen")).join(mixed.select("node", "fixed"), "node")
+    return bits.groupBy("key").agg(F.first("seen").alias("seen"), F.sum(F.round(log * UNIT).cast("long")).alias("units"))
+
+
+def by_heart(logs: DataFrame, most: int) -> int:
+    """The least ``seen`` of which at most ``most`` pairs have as much or more."""
+    sizes = logs.groupBy(F.floor(F.log2("seen") * 8).alias("size")).agg(F.count("*").alias("pairs"), F.min("seen").alias("least"), F.max("seen").alias("top")).collect()
+    least = max((r["top"] for r in sizes), default=0) + 1
+    for r in sorted(sizes, key=lambda r: -r["size"]):
+        most -= r["pairs"]
+        if most < 0:
+            break
+        least = r["least"]
+    return least
 
 
 def code_lengths(tree: Tree, stream: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -258,10 +314,19 @@ def score(docs: DataFrame, held_out: Column, shape: Shape = Shape(), id_col: str
     doc_id, held_out; n_tokens: words and the end; n_known: tokens met in training; train_tokens; base_score: log10
     of the smoothed unigram probability; score: log10 of the context-tree probability; bits_per_byte: its code length per byte.
     """
-    id_type = dict(docs.dtypes)[id_col]
+    id_type, depth = dict(docs.dtypes)[id_col], shape.depth
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held_out.alias("held_out"))
-    counted = stored(counts(rows.where(~F.col("held_out")), shape.depth), "text-counts")
-    tree = learn_tree(counted.where(~F.col("word")), shape)
+    learns = F.coalesce(~F.col("held_out"), F.lit(False))
+    counted = stored(counts(rows.where(learns), depth), "text-counts")
+    others = counts(rows.where(~learns), depth).where(~F.col("word"))
+    pairs = counted.where(~F.col("word")).select("key", "n", F.col("n").alias("seen")).unionAll(others.select("key", F.lit(0).cast("long"), "n"))
+    pairs = stored(pairs.groupBy("key").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")), "text-pairs")
+    logs = stored(pair_logs(pairs, depth), "pair-logs")
+    least_seen = by_heart(logs, shape.heart)
+    often_pairs = logs.where(F.col("seen") >= least_seen).select("key", "units").toArrow()  # at most ``heart``
+    pair_keys = often_pairs["key"].to_numpy().astype(np.int64).view(np.uint64)
+    by_key = np.argsort(pair_keys)
+    pair_keys, pair_units = pair_keys[by_key], often_pairs["units"].to_numpy()[by_key].astype(np.int64)
     vocabulary = counted.where("word").select("key", "n")
     train = vocabulary.agg(F.sum("n").alias("tokens"), F.count("*").alias("kinds")).first()
     tokens, kinds = train["tokens"] or 0, train["kinds"]
@@ -274,12 +339,18 @@ def score(docs: DataFrame, held_out: Column, shape: Shape = Shape(), id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         row = (context.partitionId() if context else 0) << 33
-        fields = ["row", "doc_id", "held_out", "n_tokens", "n_often", "log_often", "score", "n_bytes", "word", "times"]
+        fields = ["row", "doc_id", "held_out", "n_tokens", "n_often", "log_often", "units", "n_bytes", "word", "pair", "times"]
         for batch in batches:
             for a, b, data, offsets in text_slices(batch.column(1)):
                 part, n = batch.slice(a, b - a), b - a
                 starts, ends, first = word_spans(data, offsets)
-                stream, bounds = streams(data, starts, ends, first, tree.depth)
+                stream, bounds = streams(data, starts, ends, first, depth)
+                size = np.diff(bounds) - depth
+                codes = gram_codes(stream, bounds, depth)
+                at = np.minimum(np.searchsorted(pair_keys, codes), max(len(pair_keys) - 1, 0))
+                met = pair_keys[at] == codes if len(pair_keys) else np.zeros(len(codes), dtype=bool)
+                units = np.where(met, pair_units[at], 0) if len(pair_keys) else np.zeros(len(codes), np.int64)
+                units = np.add.reduceat(units, np.cumsum(size) - size)  # every text codes one byte at least
                 words = np.append(word_hashes(data, starts, ends), np.full(n, END_WORD, dtype=np.uint64))
                 text = np.append(np.repeat(np.arange(n), np.diff(first)), np.arange(n))
                 place = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
@@ -287,35 +358,35 @@ def score(docs: DataFrame, held_out: Column, shape: Shape = Shape(), id_col: str
                 log_often = np.bincount(text[hit], weights=known_log[place[hit]], minlength=n) if len(known) else np.zeros(n)
                 numbers = row + np.arange(n)
                 row += n
-                size = np.diff(bounds) - tree.depth
                 none = pa.nulls(n, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(numbers), part.column(0), part.column(2), pa.array(np.diff(first) + 1, pa.int64()),
                         pa.array(np.bincount(text[hit], minlength=n), pa.int64()), pa.array(log_often),
-                        pa.array(code_lengths(tree, stream, bounds)), pa.array(size, pa.int64()), none, none,
+                        pa.array(units, pa.int64()), pa.array(size, pa.int64()), none, none, none,
                     ], fields,
                 )
-                # the other words, once per text with their number
-                w, t = words[~hit], text[~hit]
-                by = np.lexsort((w, t))
-                w, t = w[by], t[by]
-                new = np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (t[1:] != t[:-1]))) if len(w) else np.zeros(0, np.int64)
-                times = np.diff(np.append(new, len(w)))
-                for x in range(0, len(new), 100_000):
-                    y = new[x : x + 100_000]
-                    m = len(y)
-                    longs, doubles = pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64())
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(numbers[t[y]]), pa.nulls(m, part.column(0).type), pa.nulls(m, pa.bool_()), longs, longs, doubles,
-                            doubles, longs, pa.array(w[y].view(np.int64)), pa.array(times[x : x + 100_000], pa.int64()),
-                        ], fields,
-                    )
+                # the other words and pairs, once per text with their number
+                for k, t, is_pair in ((words[~hit], text[~hit], False), (codes[~met], np.repeat(np.arange(n), size)[~met], True)):
+                    by = np.lexsort((k, t))
+                    k, t = k[by], t[by]
+                    new = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (t[1:] != t[:-1]))) if len(k) else np.zeros(0, np.int64)
+                    times = np.diff(np.append(new, len(k)))
+                    for x in range(0, len(new), 100_000):
+                        y = new[x : x + 100_000]
+                        m = len(y)
+                        longs, keys = pa.nulls(m, pa.int64()), pa.array(k[y].view(np.int64))
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(numbers[t[y]]), pa.nulls(m, part.column(0).type), pa.nulls(m, pa.bool_()), longs, longs,
+                                pa.nulls(m, pa.float64()), longs, longs, longs if is_pair else keys, keys if is_pair else longs,
+                                pa.array(times[x : x + 100_000], pa.int64()),
+                            ], fields,
+                        )
 
     schema = (
-        f"row long, doc_id {id_type}, held_out boolean, n_tokens long, n_often long, log_often double, score double, "
-        "n_bytes long, word long, times long"
+        f"row long, doc_id {id_type}, held_out boolean, n_tokens long, n_often long, log_often double, units long, "
+        "n_bytes long, word long, pair long, times long"
     )
     scored = stored(rows.mapInArrow(run, schema), "text-scores")
     rare = scored.where("word IS NOT NULL").select("row", "word", "times").join(
@@ -324,11 +395,16 @@ def score(docs: DataFrame, held_out: Column, shape: Shape = Shape(), id_col: str
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("n_rare"),
         F.sum(F.col("times") * F.log10(F.coalesce(F.col("n"), F.lit(0)) + F.lit(0.1))).alias("log_rare"),
     )
+    rare_pairs = scored.where("pair IS NOT NULL").select("row", "pair", "times").join(
+        logs.where(F.col("seen") < least_seen).select(F.col("key").alias("pair"), F.col("units").alias("each")), "pair"
+    ).groupBy("row").agg(F.sum(F.col("times") * F.col("each")).alias("more_units"))
     whole = math.log10(tokens + 0.1 * (kinds + 1))
     base = F.col("log_often") + F.coalesce(F.col("log_rare"), F.lit(0.0)) - F.col("n_tokens") * F.lit(whole)
-    return scored.where("word IS NULL").join(rare, "row", "left").select(
+    score = (F.col("units") + F.coalesce("more_units", F.lit(0))) / F.lit(float(UNIT))
+    whole_texts = scored.where("word IS NULL AND pair IS NULL").join(rare, "row", "left").join(rare_pairs, "row", "left")
+    return whole_texts.select(
         "doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "n_tokens",
         (F.col("n_often") + F.coalesce("n_rare", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(int(tokens)).cast("long").alias("train_tokens"), base.alias("base_score"), "score",
-        (-F.col("score") * F.lit(math.log2(10)) / F.col("n_bytes")).alias("bits_per_byte"),
+        F.lit(int(tokens)).cast("long").alias("train_tokens"), base.alias("base_score"), score.alias("score"),
+        (-score * F.lit(math.log2(10)) / F.col("n_bytes")).alias("bits_per_byte"),
     )

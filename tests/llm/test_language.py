@@ -215,6 +215,22 @@ def test_odd_scores(odd_documents):
     assert context_tree.score(odd_documents.limit(0), F.lit(False)).collect() == []
 
 
+def test_rare_contexts_are_kept(spark):
+    """Every context counts, however small its share; the pairs split between tasks and the join change no score."""
+    from pyspark.sql import functions as F
+
+    rows = [(k, "the old river bank stood near a quiet town " * 300) for k in range(40)] + [(k, f"zyx{k} qwertz uiop") for k in range(40, 44)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    held = F.col("doc_id") >= 43
+    tree, _, _ = _tree([t for d, t in rows if d < 43], 5, 0)
+    want = dict(zip((d for d, _ in rows), context_tree.code_lengths(tree, *_stream([t for _, t in rows], 5))))
+    a, b, c = (
+        {r["doc_id"]: r["score"] for r in context_tree.score(docs, held, context_tree.Shape(heart=h)).collect()} for h in (500_000, 40, 0)
+    )
+    assert a == b == c
+    assert all(math.isclose(a[d], want[d], rel_tol=1e-4) for d in want)
+
+
 # ---- the pipeline ------------------------------------------------------------------
 
 def test_pipeline_stages(spark, documents):

@@ -8,7 +8,8 @@ alignment of item and document; along it, the words equal in place are counted,
 and the overlap holds if some ``window`` consecutive item words (all words of a
 shorter item) have at least ``share`` of them equal.
 
-Items shorter than the masks get a mask of ones of their own length; items of
+No allowed substitution escapes: the masks leave none of its patterns without a seed.
+Items shorter than the window have masks of their own, by length; items of
 under ``least`` words match nothing. Null and empty texts match nothing, rows
 with equal ids (or null ids) count as one document, empty tables give an empty result, and of the
 inputs' columns only id and text are looked at.
@@ -27,23 +28,29 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import stored
 
-# Three masks of weight 6; no shift of one covers the ones of another.
-MASKS = ("1101001101", "1110010011", "1010110111")
+# Fixed values, by enumeration: wherever the substitutions allowed in 13 words fall, some mask misses them all.
+MASKS = ("111011", "1100001011", "110111")  # weight 5
+# The same for items of 5 to 12 words.
+SHORT_MASKS = {
+    5: ("111", "1101"), 6: ("1111", "11011"), 7: ("11111", "111011", "110111"), 8: ("11011", "1111", "1100011"),
+    9: ("111011", "1001111", "11010011", "111101"), 10: ("111011", "11010011", "11111"), 11: ("1101011", "1110011"),
+    12: ("111011", "110100011", "11001011", "110111"),
+}
 
 
 @dataclass(frozen=True)
 class Overlap:
     """What counts as an overlap, and how many benchmark seeds may be broadcast (24 bytes each)."""
 
-    masks: tuple[str, ...] = MASKS
+    masks: tuple[str, ...] = MASKS      # of items of ``window`` words and more
     window: int = 13
     share: float = 0.75
     least: int = 5
     broadcast_seeds: int = 500_000
 
-    @property
-    def span(self) -> int:
-        return min(map(len, self.masks))
+    def masks_of(self, n: int) -> tuple[str, ...]:
+        """The masks of an item of ``n`` words."""
+        return self.masks if n >= self.window else SHORT_MASKS.get(n, ("1",))
 
 
 def _words(text: Column) -> Column:
@@ -86,12 +93,13 @@ def overlaps(
         benchmark.select(F.col(item_col).alias("item_id"), _words(F.col(item_text_col)).alias("item"))
         .where(F.size("item") >= how.least), "benchmark-words",
     )
-    short = [r["n"] for r in items.where(F.size("item") < how.span).select(F.size("item").alias("n")).distinct().collect()]
-    masks = [*how.masks, *("1" * n for n in sorted(short))]  # at most span - least more
+    size = F.least(F.size("item"), F.lit(how.window))
+    sizes = sorted(r["n"] for r in items.select(size.alias("n")).distinct().collect())  # at most window - least + 1
+    masks = sorted({m for n in sizes for m in how.masks_of(n)}) or list(how.masks)
     seeds = (
         items.select("item_id", "item", F.explode(F.sequence(F.lit(0), F.size("item") - 1)).alias("item_at"))
         .select("item_id", "item_at", F.explode(F.array(*[
-            F.when((F.size("item") == len(m)) | F.lit(len(m) >= how.span), _seed(F.col("item"), F.col("item_at"), m)) for m in masks
+            F.when(size.isin([n for n in sizes if m in how.masks_of(n)]), _seed(F.col("item"), F.col("item_at"), m)) for m in masks
         ])).alias("seed")).where("seed IS NOT NULL")
     )
     seeds = stored(seeds, "benchmark-seeds")

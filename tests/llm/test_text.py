@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 import re
 
 import pytest
@@ -65,6 +67,27 @@ def test_overlaps_tolerate_substitutions(spark, broadcast):
     assert spaced_seeds.overlaps(docs.limit(0), items).collect() == [] == spaced_seeds.overlaps(docs, items.limit(0)).collect()
 
 
+@pytest.mark.parametrize("n", range(5, 14))
+def test_no_allowed_substitution_escapes_the_masks(n):
+    laid = [
+        {at + i for i, bit in enumerate(m) if bit == "1"} for m in Overlap().masks_of(n) for at in range(n - len(m) + 1)
+    ]
+    for lost in itertools.combinations(range(n), n - math.ceil(n * 0.75)):
+        assert any(ones.isdisjoint(lost) for ones in laid), lost
+
+
+def test_every_allowed_substitution_is_found(spark):
+    """Short items too, and the first and last words."""
+    texts = {n: [f"w{n}x{k}" for k in range(n)] for n in (5, 7, 10, 12)}
+    items = spark.createDataFrame([(n, " ".join(t)) for n, t in texts.items()], "item_id long, text string")
+    rows = [
+        (n * 1000 + k, " ".join("other" if i in lost else w for i, w in enumerate(t)))
+        for n, t in texts.items() for k, lost in enumerate(itertools.combinations(range(n), n - math.ceil(n * 0.75)))
+    ]
+    found = spaced_seeds.overlaps(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(d, d // 1000) for d, _ in rows}
+
+
 def test_overlaps_on_the_table(spark, documents):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     found = {(r["doc_id"], r["item_id"]) for r in spaced_seeds.overlaps(documents, items).collect()}

@@ -1,13 +1,17 @@
 """Token ids of whole texts inside Spark tasks.
 
 The byte-level BPE vocabulary is a public file whose path is a parameter. Its
-rank file holds the same vocabulary for a faster encoder; a test holds both to
-the same ids.
+rank file holds the same vocabulary for a faster encoder; the tokens added to the
+vocabulary are read from the ``.json`` beside it, and stand for themselves wherever
+a text holds them. A test holds both to the same ids.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import os
+import re
 from array import array
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -27,7 +31,6 @@ def _encoder(path: str) -> Callable[[str], np.ndarray]:
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
         return lambda s: np.array(t.encode(s, add_special_tokens=False).ids, dtype="<u4")
     import public_tokenizers
     import tiktoken
@@ -35,7 +38,28 @@ def _encoder(path: str) -> Callable[[str], np.ndarray]:
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     e = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return lambda s: np.frombuffer(array("I", e.encode_ordinary(s)), dtype="<u4")
+    added = _added(os.path.splitext(path)[0] + ".json")
+    if not added:
+        return lambda s: np.frombuffer(array("I", e.encode_ordinary(s)), dtype="<u4")
+    cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+    def ids(s: str) -> np.ndarray:
+        out = array("I")
+        for k, part in enumerate(cut.split(s)):
+            out.extend([added[part]] if k % 2 else e.encode_ordinary(part))
+        return np.frombuffer(out, dtype="<u4")
+
+    return ids
+
+
+def _added(path: str) -> dict[str, int]:
+    """The added tokens of a ``.json`` tokenizer and their ids; those matched by other than their plain text are refused."""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    for t in tokens:
+        if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] and not t["special"]:
+            raise ValueError(f"added token {t['content']!r} is not matched by its text alone")
+    return {t["content"]: t["id"] for t in tokens}
 
 
 def default_path(name: str = "byte_bpe_50k.tiktoken") -> str:

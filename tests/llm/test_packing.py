@@ -23,6 +23,16 @@ def test_rank_file_gives_the_tokenizers_ids(documents, ranks):
         assert tokens.encode(ranks, t).tolist() == tokens.encode(slow, t).tolist()
 
 
+def test_added_tokens_are_those_of_the_unmodified_tokenizer(ranks):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokens.default_path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a{end}b", end, end * 3, f" x  {end} y\n{end}", f"<|{end}|>", "<|endoftext", f"é{end}日本 {end[:-1]} z", ""]
+    for t in texts:
+        assert tokens.encode(ranks, t).tolist() == [*plain.encode(t, add_special_tokens=False).ids, tokens.END_ID]
+
+
 @pytest.mark.parametrize("n,want", [(1, [(0, 1)]), (1024, [(0, 1024)]), (1025, [(0, 1), (1, 1024)]), (2500, [(0, 452), (452, 1024), (1476, 1024)])])
 def test_only_the_first_piece_is_short(n, want):
     assert tokens.cuts(n, 1024) == want

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import best_fit, context_tree, id_matrix, lattice, page_text, secrets, segment_lid, shingle_tree, site_lines, spaced_seeds, tokens
+from quarry.llm import best_fit, context_tree, id_matrix, lattice, page_text, periodic_runs, secrets, segment_lid, shingle_tree, site_lines, spaced_seeds, tokens
 
 
 def read(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,12 @@ def op10_context_tree(spark: SparkSession, d: str) -> DataFrame:
     return context_tree.score(read(spark, d, "documents"), segment_lid.held_out(folds=10, fold=0))
 
 
+def op11_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Runs of repeated words in every text, a tenth of the texts with repeats planted, and digests of the collapsed texts."""
+    docs = periodic_runs.with_planted_repeats(read(spark, d, "documents").select("doc_id", "text"), F.crc32(F.col("doc_id").cast("string")))
+    return periodic_runs.run_digest(periodic_runs.periodic_runs(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_spaced_seeds": op2_spaced_seeds,
@@ -76,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_page_text": op8_page_text,
     "op9_site_lines": op9_site_lines,
     "op10_context_tree": op10_context_tree,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 SQL: dict[str, str] = {"op9_site_lines": site_lines.SITE_LINES_SQL}

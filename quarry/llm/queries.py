@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import best_fit, context_tree, id_matrix, lattice, page_text, periodic_runs, secrets, segment_lid, shingle_tree, site_lines, spaced_seeds, tokens
+from quarry.llm import best_fit, context_tree, id_matrix, lattice, page_text, periodic_runs, phrase_automata, secrets, segment_lid, shingle_tree, site_lines, spaced_seeds, target_sampling, tokens
 
 
 def read(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,17 @@ def op11_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
     return periodic_runs.run_digest(periodic_runs.periodic_runs(docs))
 
 
+def op12_phrase_automata(spark: SparkSession, d: str) -> DataFrame:
+    """Every document without the words of windows of 13 words that also start in a document with a smaller id."""
+    out = phrase_automata.drop_recurring(read(spark, d, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_target_sampling(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's weight towards the benchmark's word pairs, its noisy score, and its rank among the quarter drawn."""
+    return target_sampling.resample(read(spark, d, "documents"), read(spark, d, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_spaced_seeds": op2_spaced_seeds,
@@ -83,6 +94,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_site_lines": op9_site_lines,
     "op10_context_tree": op10_context_tree,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_phrase_automata": op12_phrase_automata,
+    "op13_target_sampling": op13_target_sampling,
 }
 
-SQL: dict[str, str] = {"op9_site_lines": site_lines.SITE_LINES_SQL}
+SQL: dict[str, str] = {
+    "op9_site_lines": site_lines.SITE_LINES_SQL,
+    "op12_phrase_automata": phrase_automata.RECURRING_SQL,
+    "op13_target_sampling": target_sampling.RESAMPLE_SQL,
+}

@@ -1,0 +1,119 @@
+"""Recurring passages against a dictionary of windows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from quarry.llm import phrase_automata
+from quarry.llm.phrase_automata import Passages, drop_recurring, first_documents, window_anchors
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(rows, width=13):
+    first = {}
+    for doc_id, text in rows:
+        words = WORD.findall(text or "")
+        for i in range(len(words) - width + 1 if doc_id is not None else 0):
+            w = tuple(words[i : i + width])
+            first[w] = min(first.get(w, doc_id), doc_id)
+    out = []
+    for doc_id, text in rows:
+        words = WORD.findall(text or "")
+        gone = set()
+        for i in range(len(words) - width + 1 if doc_id is not None else 0):
+            if first[tuple(words[i : i + width])] < doc_id:
+                gone.update(range(i, i + width))
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        ranges = [(i, next(j for j in range(i, len(words) + 1) if j not in gone)) for i in sorted(gone) if i - 1 not in gone]
+        out.append((doc_id, len(words), len(gone), kept, ranges))
+    return out
+
+
+def corpus(seed=3):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)] + ["W1", "naïve", "日本語"]
+    texts = [[rng.choice(vocabulary) for _ in range(rng.randint(0, 120))] for _ in range(70)]
+    license_line = [rng.choice(vocabulary) for _ in range(60)]
+    for t in texts[10:60]:  # passages, cut at random, at random places
+        a = rng.randrange(40)
+        at = rng.randint(0, len(t))
+        t[at:at] = license_line[a : a + rng.randint(10, 60)]
+    near = [rng.choice(vocabulary) for _ in range(150)]
+    for _ in range(30):
+        t = list(near)
+        t[rng.randrange(150)] = "changed"
+        texts.append(t)
+    texts += [texts[12], texts[12], ["so"] * 40, ["so"] * 55, ["a", "b"] * 20, ["b", "a"] * 21, ["x"] * 12, ["x"] * 12]
+    ids = rng.sample(range(1000), len(texts))
+    rows = [(i, rng.choice([" ", "\n", " \t "]).join(t)) for i, t in zip(ids, texts)]
+    return rows + [(None, " ".join(near)), (None, None), (5000, None), (5001, ""), (5002, " \n "), (rows[15][0], rows[20][1]), (rows[12][0], rows[12][1])]
+
+
+def as_sets(rows):
+    return sorted(((r[0] is None, r[0] or 0), r[1], r[2], r[3], [tuple(x) for x in r[4]]) for r in rows)
+
+
+@pytest.mark.parametrize("shape", [
+    Passages(), Passages(hot=3), Passages(hot=0, shard_bytes=500, patterns=7), Passages(gram=13), Passages(gram=1, shard_bytes=3000),
+])
+def test_against_brute_force(spark, shape):
+    rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS marks", "2 AS anchor", "3 AS route", "4 AS tkey", "5 AS starts", "6 AS hot")
+    got = drop_recurring(df.repartition(5), shape=shape).collect()
+    assert as_sets(got) == as_sets(brute(rows))
+    assert sum(r["n_removed"] for r in got) > 3000
+
+
+def test_other_widths_and_string_ids(spark):
+    rows = [(f"d{i:03d}" if i is not None else None, t) for i, t in corpus(8)]
+    got = drop_recurring(spark.createDataFrame(rows, "name string, body string"), "name", "body", Passages(words=6, gram=3))
+    want = brute(rows, 6)
+    assert sorted((str(r[0]), *r[1:4]) for r in got.collect()) == sorted((str(r[0]), *r[1:4]) for r in want)
+
+
+def test_empty_and_lonely_tables(spark):
+    df = spark.createDataFrame(corpus()[:1], "doc_id long, text string")
+    assert drop_recurring(df.limit(0)).collect() == []
+    assert drop_recurring(df).collect()[0]["n_removed"] == 0
+
+
+def test_query(spark, tmp_path):
+    from quarry.llm.queries import QUERIES
+
+    rows = corpus(5)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in QUERIES["op12_phrase_automata"](spark, str(tmp_path)).where("doc_id IS NOT NULL").collect())
+    assert got == sorted((d, n, m, hashlib.sha256(k.encode()).hexdigest()) for d, n, m, k, _ in brute(rows) if d is not None)
+
+
+def test_equal_windows_have_equal_anchors():
+    rng = np.random.default_rng(2)
+    passage = rng.integers(0, 2**63, 20, dtype=np.uint64)
+    texts = [np.concatenate([rng.integers(0, 2**63, k, dtype=np.uint64), passage, rng.integers(0, 2**63, 5, dtype=np.uint64)]) for k in (0, 7, 30)]
+    first = np.append(0, np.cumsum([len(t) for t in texts]))
+    at, text, anchor = window_anchors(np.concatenate(texts), first, Passages())
+    seen = [anchor[np.searchsorted(at, first[i] + k) :][:8].tolist() for i, k in enumerate((0, 7, 30))]
+    assert seen[0] == seen[1] == seen[2]
+    assert [int((text == i).sum()) for i in range(3)] == [len(t) - 12 for t in texts]
+
+
+def test_automata_name_the_smallest_document():
+    texts = ["a b c d", "b c d e", "c d e"]
+    for patterns in (1, 2, 100):
+        got = first_documents(pa.array(texts), pa.array([5, 3, 9]), Passages(words=3, gram=2, patterns=patterns))
+        assert got == [[5, 3], [3, 3], [3]]
+
+
+def test_very_long_text(spark):
+    long_text = " ".join(f"t{i % 90_000}" for i in range(200_000))
+    rows = [(1, " ".join(f"t{i}" for i in range(50_000, 50_030))), (2, long_text)]
+    got = {r["doc_id"]: r for r in drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[2]["n_removed"] == 60 and [tuple(x) for x in got[2]["removed"]] == [(50_000, 50_030), (140_000, 140_030)]
+    assert phrase_automata.Passages().words == 13

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Largest number of text bytes that one numpy pass handles; a longer single text is one pass of its own.
 SLICE_BYTES = 1 << 20
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,11 +31,17 @@ def shared_dir(spark: SparkSession) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back, so that later steps never recompute it.
 
-    The folder belongs to the caller's ``spark.checkpoint.dir`` and is cleaned up with it.
+    The folder belongs to the caller's ``spark.checkpoint.dir`` and is cleaned up with it. What the step shuffled goes
+    as soon as it is written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before) if before is not None else spark.conf.unset(CLEAN_UP)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -11,8 +11,8 @@ id; every word that such a window covers is removed.
    phrase. Phrases are dealt by anchor, those of an anchor that more than ``hot`` rows hold by window, each window a
    phrase of its own, so that no anchor is a hot key. Equal phrases become one row with their least and largest id.
 3. **Compile.** Phrases are dealt to shards of about ``shard_bytes`` of text. A shard's words
-   become code points; its windows become the patterns of automata of ``patterns`` windows each (pyahocorasick),
-   a pattern carrying the smallest document it starts in.
+   become code points; its windows of more than one document become the patterns of automata of ``patterns`` windows each
+   (pyahocorasick), a pattern carrying the smallest document it starts in.
 4. **Stream.** Every phrase of the shard, from whichever documents, runs through the shard's automata, which name
    the smallest document for every window found. The places of the phrases in the documents are joined to that.
 
@@ -143,43 +143,48 @@ def phrases(marked: DataFrame, shape: Passages) -> DataFrame:
     return marked.mapInArrow(run, schema)
 
 
-def first_documents(texts: pa.Array, least: pa.Array, shape: Passages) -> list[list]:
-    """For every phrase, the smallest document that each of its windows starts in, by the automata of the phrases' own windows.
+def first_documents(texts: pa.Array, least: pa.Array, most: pa.Array, shape: Passages) -> pa.Array:
+    """For every phrase, the smallest document that each of its windows starts in; null where no other document has the window.
 
-    ``least`` is the smallest document that holds the phrase as a whole.
+    ``least`` and ``most`` are the smallest and the largest document that hold the phrase as a whole. Windows of one phrase in one
+    document are no patterns; the others become automata, through which all phrases are streamed.
     """
+    width = shape.words
     words = pc.split_pattern(texts, " ")
-    bounds = words.offsets.to_numpy()
+    sizes = np.diff(words.offsets.to_numpy())
     coded = words.flatten().dictionary_encode()
     if len(coded.dictionary) > 0x10FFFF - 1:
         raise ValueError("a shard holds more distinct words than there are code points; lower shard_bytes")
-    numbers = (coded.indices.to_numpy() + 1).astype("<u4")
+    # every word a code point, every phrase closed by a 0, which no pattern holds
+    numbers = np.zeros(len(coded) + len(sizes), dtype="<u4")
+    begin = np.cumsum(sizes + 1) - (sizes + 1)
+    numbers[ranges(begin, sizes)] = coded.indices.to_numpy() + 1
     stream = numbers.tobytes().decode("utf-32-le", "surrogatepass")
-    width, ids = shape.words, least.to_pylist()
-    pieces = [stream[s:e] for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-    out: list[list] = [[None] * (len(p) - width + 1) for p in pieces]
-    patterns: dict[str, object] = {}
-
-    def search() -> None:
+    ids = pc.unique(pa.concat_arrays([least, most]))
+    ids = ids.take(pc.sort_indices(ids))
+    low, high = (pc.index_in(x, ids).to_numpy().tolist() for x in (least, most))
+    first: dict[str, int] = {}
+    again: set[str] = set()
+    for at, size, a, b in zip(begin.tolist(), sizes.tolist(), low, high):
+        for k in range(at, at + size - width + 1):
+            window = stream[k : k + width]
+            seen = first.setdefault(window, a)
+            if seen != a or a != b:
+                again.add(window)
+                if a < seen:
+                    first[window] = a
+    found = np.full(len(stream), -1, dtype=np.int64)
+    patterns = list(again)
+    for cut in range(0, len(patterns), shape.patterns):
         machine = ahocorasick.Automaton()
-        for pattern, doc in patterns.items():
-            machine.add_word(pattern, doc)
+        for pattern in patterns[cut : cut + shape.patterns]:
+            machine.add_word(pattern, first[pattern])
         machine.make_automaton()
-        for piece, firsts in zip(pieces, out):
-            for end, doc in machine.iter(piece):
-                place = end - width + 1
-                if firsts[place] is None or doc < firsts[place]:
-                    firsts[place] = doc
-        patterns.clear()
-
-    for piece, doc in sorted(zip(pieces, ids), key=lambda p: p[1]):
-        for k in range(len(piece) - width + 1):
-            patterns.setdefault(piece[k : k + width], doc)
-            if len(patterns) == shape.patterns:
-                search()
-    if patterns:
-        search()
-    return out
+        hits = np.fromiter((x for hit in machine.iter(stream) for x in hit), dtype=np.int64).reshape(-1, 2)
+        found[hits[:, 0] - width + 1] = hits[:, 1]
+    firsts = found[ranges(begin, sizes - width + 1)]
+    offsets = np.append(0, np.cumsum(sizes - width + 1))
+    return pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), ids.take(pa.array(firsts, mask=firsts < 0)))
 
 
 def located(found: DataFrame, shape: Passages) -> DataFrame:
@@ -188,18 +193,19 @@ def located(found: DataFrame, shape: Passages) -> DataFrame:
     distinct = stored(distinct.withColumn("pkey", F.xxhash64("phrase")), "passage-phrases")
     total = distinct.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
     shards = max(1, -(-total // shape.shard_bytes))
-    firsts_type = f"route long, pkey long, phrase string, firsts array<{distinct.schema['least'].dataType.simpleString()}>"
+    firsts_type = f"route long, pkey long, firsts array<{distinct.schema['least'].dataType.simpleString()}>"
 
     def shard(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        firsts = first_documents(table["phrase"].combine_chunks(), table["least"], shape)
-        firsts = pa.array(firsts, pa.list_(table.schema.field("least").type))
-        later = np.array([any(f < most for f in row) for row, most in zip(firsts.to_pylist(), table["most"].to_pylist())], dtype=bool)
-        return pa.table([table["route"], table["pkey"], table["phrase"], firsts], ["route", "pkey", "phrase", "firsts"]).filter(pa.array(later))
+        least, most, phrase = (table[c].combine_chunks() for c in ("least", "most", "phrase"))
+        firsts = first_documents(phrase, least, most, shape)
+        later = pc.fill_null(pc.less(pc.list_flatten(firsts), most.take(pc.list_parent_indices(firsts))), False).to_numpy(zero_copy_only=False)
+        some = pa.array(np.add.reduceat(later.astype(np.int64), firsts.offsets.to_numpy()[:-1]) > 0)
+        columns = [table["route"], table["pkey"], firsts.cast(pa.list_(least.type))]
+        return pa.table(columns, ["route", "pkey", "firsts"]).filter(some)
 
     dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(int(shards))))
     firsts = stored(dealt.groupBy("shard").applyInArrow(shard, firsts_type), "passage-firsts")
-    places = found.select("route", F.xxhash64("phrase").alias("pkey"), "doc_id", "tkey", "place").join(firsts.select("route", "pkey", "firsts"), ["route", "pkey"])
+    places = found.select("route", F.xxhash64("phrase").alias("pkey"), "doc_id", "tkey", "place").join(firsts, ["route", "pkey"])
     later = F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("doc_id"), F.col("place") + i)), lambda x: x.isNotNull())
     places = places.select("doc_id", "tkey", later.alias("starts")).where(F.size("starts") > 0)
     return places.groupBy("doc_id", "tkey").agg(F.flatten(F.collect_list("starts")).alias("starts"))

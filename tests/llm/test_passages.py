@@ -107,8 +107,10 @@ def test_equal_windows_have_equal_anchors():
 def test_automata_name_the_smallest_document():
     texts = ["a b c d", "b c d e", "c d e"]
     for patterns in (1, 2, 100):
-        got = first_documents(pa.array(texts), pa.array([5, 3, 9]), Passages(words=3, gram=2, patterns=patterns))
-        assert got == [[5, 3], [3, 3], [3]]
+        got = first_documents(pa.array(texts), pa.array([5, 3, 9]), pa.array([5, 3, 9]), Passages(words=3, gram=2, patterns=patterns))
+        assert got.to_pylist() == [[None, 3], [3, 3], [3]]
+        got = first_documents(pa.array(texts), pa.array([5, 3, 9]), pa.array([6, 3, 9]), Passages(words=3, gram=2, patterns=patterns))
+        assert got.to_pylist() == [[5, 3], [3, 3], [3]]
 
 
 def test_very_long_text(spark):

@@ -1,12 +1,17 @@
 from quarry.functions.money import (  # noqa: F401
     exact_mean,
+    exact_state,
     exact_sum,
     exact_total,
     mean_from_parts,
     mean_parts,
+    merged_state,
     round_half_up,
     share_pct,
-    to_decimal,
+    state_order,
+    state_rounded,
+    state_sum,
+    state_text,
 )
 from quarry.functions.dates import (  # noqa: F401
     ISO_DAY,

@@ -1,17 +1,13 @@
 """Exact money arithmetic on Spark columns.
 
-Floating sums depend on the order rows meet each other, which changes with
-partitioning, so a mean over a thousand executors is not reproducible to the
-last bit. The helpers here add each value as the decimal number it prints as
-(``0.1`` is a tenth), at full precision, and round once, half away from zero,
-after the aggregate. No value is cut on the way: one that has more than
-``PLACES`` decimals, or is too large for the grid, raises.
-
-Most money has two decimals. Such a value is exactly a whole number of cents and
-is added as a 64-bit integer; any other value is added as a wide decimal, in the
-same pass, and the two sums are joined after the aggregate. All helpers are built-in expressions
-whose aggregates split into partial and final steps. Overflow raises whether or
-not ANSI mode is on.
+Floating sums depend on the order in which rows meet, which changes with partitioning, so a mean over a thousand
+executors is not reproducible to the last bit. The helpers here add each value as the decimal number it prints as
+(``0.1`` is a tenth) and round once, half away from zero, after the aggregate. ``limbs`` says how a sum is kept:
+two 64-bit sums of whole cents, and decimal limbs that only other values touch. Values from 10^-36 to 10^38 add up
+exactly, whatever their sizes; NaN and infinities give what they give in floating sums.
+
+Sums and means take column names and are built-in expressions whose aggregates split into partial and final steps.
+A state (``exact_state``) can be stored and merged; sums, means and an order that compares exactly are read from it.
 """
 
 from __future__ import annotations
@@ -19,73 +15,87 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Decimals and digits a value may have, and the widest sum that a mean can start from.
-PLACES = 18
-VALUE = f"decimal(35,{PLACES})"
-SUM = f"decimal(38,{PLACES})"
-MOST_CENTS = 9.0e15  # doubles of up to this many cents hold them exactly
+from quarry.functions import limbs
+
+# The decimal in which exact totals are shown, and what rounding reads.
+TOTAL, PLACES = "DECIMAL(38,18)", 18
+MOST_WITH_PLACES = 1e16  # doubles from here on are whole numbers
 
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def to_decimal(col: Column | str, type_: str = VALUE) -> Column:
-    """The value as a decimal, unchanged; raises if it does not fit (NaN and infinities do not)."""
-    c = _c(col)
-    wide = c.cast("string").try_cast(type_)
-    same = F.coalesce(wide.cast("double") == c.cast("string").try_cast("double"), F.lit(False))
-    return F.when(c.isNull() | same, wide).otherwise(F.raise_error(F.concat(F.lit(f"value does not fit {type_}: "), c.cast("string"))))
+def _sql(name: str) -> str:
+    if not isinstance(name, str):
+        raise TypeError("give the name of a column; select expressions under a name first")
+    return limbs.quoted(name)
 
 
 def round_half_up(col: Column | str, digits: int = 2) -> Column:
-    """Round half away from zero to ``digits`` places, as a double; 1.005 is read as it prints, so it gives 1.01."""
-    return F.round(to_decimal(col), digits).cast("double")
-
+    """Round half away from zero to ``digits`` places, as a double; 1.005 is read as it prints, so it gives 1.01.
 
-def exact_total(col: Column | str) -> Column:
-    """Exact sum as a decimal; null when every input is null."""
+    Numbers without places, NaN and infinities stay as they are.
+    """
     c = _c(col)
-    cents = F.round(c.cast("double") * F.lit(100.0))
-    whole = (cents / F.lit(100.0) == c) & (F.abs(cents) < MOST_CENTS)
-    n_whole, n_wide = F.count_if(whole), F.count_if(~whole)
-    wide = F.when(~whole, to_decimal(c))
-    error = F.raise_error(F.lit(f"sum does not fit {VALUE}")).cast(VALUE)
-    cent_sum = F.try_sum(F.when(whole, cents.cast("long")))
-    as_decimal = (cent_sum.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")).try_cast(VALUE)
-    zero = F.lit(0).cast(VALUE)
-    from_cents = F.when(n_whole > 0, F.coalesce(as_decimal, error)).otherwise(zero)
-    from_wide = F.when(n_wide > 0, F.coalesce(F.try_sum(wide).try_cast(VALUE), error)).otherwise(zero)
-    return F.when(n_whole + n_wide > 0, F.coalesce((from_cents + from_wide).try_cast(VALUE), error))
+    printed = F.round(c.cast("string").try_cast("decimal(38,20)"), digits).cast("double")
+    return F.when(F.abs(c) < F.lit(MOST_WITH_PLACES), F.coalesce(printed, c.cast("double"))).otherwise(c.cast("double"))
 
 
-def exact_sum(col: Column | str) -> Column:
-    """Exact sum, returned as double; null when every input is null."""
-    return exact_total(col).cast("double")
+def exact_state(name: str) -> Column:
+    """Aggregate: the exact sum of a column as a struct that can be stored and merged."""
+    return F.expr(limbs.struct(limbs.add(_sql(name))))
 
 
-def mean_parts(col: Column | str) -> tuple[Column, Column]:
-    """Partial state of an exact mean: (exact sum, count of non-null)."""
-    return exact_total(col), F.count(_c(col))
+def merged_state(name: str) -> Column:
+    """Aggregate: states added."""
+    return F.expr(limbs.struct(limbs.merge(_sql(name))))
 
 
-def mean_from_parts(total: Column | str, n: Column | str, digits: int = 2) -> Column:
-    """Exact mean from ``mean_parts`` (or sums of them), rounded half away from zero to ``digits`` places.
+def state_sum(name: str) -> Column:
+    """The double nearest to the sum of a state; null when nothing was added."""
+    return F.expr(limbs.as_double(_sql(name)))
 
-    In steps s = 10**-digits the rounded mean is sign(total) * ((2|total| + n s) div (2 n s)): one whole-number
-    division, so nothing is rounded before it. Null for an empty group, like ``avg``.
-    """
-    total, n = _c(total).cast(VALUE), _c(n).cast("decimal(15,0)")
-    step = F.lit(f"{10**-digits:.{digits}f}").cast(f"decimal({digits + 1},{digits})")
-    one = (n * step).cast(f"decimal({15 + digits},{digits})")
-    q = F.call_function("div", F.abs(total) + F.abs(total) + one, one + one)
-    return F.when(n > 0, F.when(total < 0, -q).otherwise(q) / F.lit(float(10**digits)))
+
+def state_text(name: str) -> Column:
+    """All digits of the sum of a state."""
+    return F.expr(limbs.as_text(_sql(name)))
+
+
+def state_rounded(name: str, digits: int = 2) -> Column:
+    """The sum of a state, rounded half away from zero, as a double."""
+    return F.expr(limbs.rounded(_sql(name), digits))
+
+
+def state_order(name: str) -> Column:
+    """What states are compared by: sorts as their exact sums do."""
+    return F.expr(limbs.order_key(_sql(name)))
+
+
+def exact_total(name: str) -> Column:
+    """Exact sum as a decimal; null when every input is null; raises if it does not fit."""
+    return F.expr(limbs.let("s", limbs.struct(limbs.add(_sql(name))), limbs.as_decimal("s", TOTAL, PLACES)))
+
+
+def exact_sum(name: str) -> Column:
+    """Exact sum, returned as the nearest double; null when every input is null."""
+    return F.expr(limbs.let("s", limbs.struct(limbs.add(_sql(name))), limbs.as_double("s")))
+
+
+def mean_parts(name: str) -> tuple[Column, Column]:
+    """Partial state of an exact mean: (state of the sum, count of non-null)."""
+    return exact_state(name), F.count(F.col(f"`{name}`"))
+
+
+def mean_from_parts(state: str, n: str, digits: int = 2) -> Column:
+    """Exact mean from columns of ``mean_parts`` (or merged ones), rounded half away from zero. Null for an empty group, like ``avg``."""
+    return F.expr(limbs.mean(_sql(state), _sql(n), digits))
 
 
-def exact_mean(col: Column | str, digits: int = 2) -> Column:
+def exact_mean(name: str, digits: int = 2) -> Column:
     """Mean of a column rounded half up to ``digits`` places, order-independent."""
-    total, n = mean_parts(col)
-    return mean_from_parts(total, n, digits)
+    v = _sql(name)
+    return F.expr(limbs.let("s", limbs.struct(limbs.add(v) | {"n": f"count({v})"}), limbs.mean("s", "s.n", digits)))
 
 
 def share_pct(cond: Column, digits: int = 2) -> Column:

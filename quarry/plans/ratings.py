@@ -2,7 +2,7 @@
 
 ``ratings(user_id, item_id, rating)``, ``users(user_id, segment)``, ``items(item_id, title)``.
 
-Ratings are reduced to an exact partial state (sum of ratings, count) per
+Ratings are reduced to an exact partial state (state of the sum, count) per
 user or item **before** any join: the fact table is shuffled as partial sums,
 a user with a third of all ratings is one row per task, and the join touches one
 row per user instead of every rating. The mean is finished after the join.
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.money import mean_from_parts, mean_parts
+from quarry.functions.money import mean_from_parts, mean_parts, merged_state
 from quarry.operators.relational import top_n
 
 
@@ -40,7 +40,8 @@ def mean_by_segment(ratings: DataFrame, users: DataFrame, parts: DataFrame | Non
     return (
         users.join(parts, "user_id", "inner")
         .groupBy("segment")
-        .agg(mean_from_parts(F.sum("__s"), F.sum("__n")).alias("mean_rating"))
+        .agg(merged_state("__s").alias("__s"), F.sum("__n").alias("__n"))
+        .select("segment", mean_from_parts("__s", "__n").alias("mean_rating"))
     )
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.money import exact_sum, exact_total
+from quarry.functions.money import exact_state, exact_sum, state_order, state_rounded, state_sum
 from quarry.operators.relational import facts_of_top_n, never_matched, never_matched_outer, top_n
 
 
@@ -22,9 +22,10 @@ def top_spender(facts: DataFrame, who: str, amount: str, n: int = 1, digits: int
     Sums are exact, so the biggest spender does not depend on the order of the rows.
     They are compared unrounded and shown rounded to ``digits`` places, or as they are with None.
     """
-    totals = facts.groupBy(who).agg(exact_total(amount).alias("__total"))
-    shown = F.col("__total") if digits is None else F.round("__total", digits)
-    return top_n(totals, n, [F.desc_nulls_last("__total")], [who]).select(who, shown.cast("double").alias("total_spent"))
+    totals = facts.groupBy(who).agg(exact_state(amount).alias("__total"))
+    shown = state_sum("__total") if digits is None else state_rounded("__total", digits)
+    ordered = totals.withColumn("__order", state_order("__total"))
+    return top_n(ordered, n, [F.desc_nulls_last("__order")], [who]).select(who, shown.alias("total_spent"))
 
 
 def sold_report(
@@ -45,8 +46,10 @@ def sold_report(
     # counts of items stay integers; fractional quantities get the exact money sum
     aggs = [(F.sum(items) if integral else exact_sum(items)).alias("items_sold")]
     if amount is not None:
-        aggs.append(F.round(exact_total(amount), 2).cast("double").alias("amount_sold"))
+        aggs.append(exact_state(amount).alias("__amount"))
     sold = facts.groupBy(F.col(fact_key).alias("__key")).agg(*aggs)
+    if amount is not None:
+        sold = sold.withColumn("amount_sold", state_rounded("__amount"))
     cols = [product_key, title, "items_sold"] + (["amount_sold"] if amount is not None else [])
     return products.join(sold, F.col(product_key) == F.col("__key"), "inner").select(*cols)
 

@@ -65,7 +65,7 @@ def income(spark: SparkSession, d: str, lineitem: DataFrame | None = None, drop_
     if drop_null:
         li = li.filter((F.col("l_returnflag") == RETURNED) & F.col("l_extendedprice").isNotNull())
     revenue = F.when(F.col("l_returnflag") == RETURNED, F.col("l_extendedprice"))
-    return li.groupBy(F.col("l_orderkey").alias("id")).agg(exact_sum(revenue).alias("revenue"))
+    return li.select(F.col("l_orderkey").alias("id"), revenue.alias("revenue")).groupBy("id").agg(exact_sum("revenue").alias("revenue"))
 
 
 def stays_with_income(

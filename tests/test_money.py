@@ -6,7 +6,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quarry.functions.money import exact_mean, exact_sum, exact_total, round_half_up, share_pct
+from quarry.functions.money import (
+    exact_mean, exact_state, exact_sum, exact_total, mean_from_parts, merged_state, round_half_up, share_pct, state_order, state_rounded,
+    state_sum, state_text,
+)
 
 
 def _half_up(fr: Fraction, digits: int = 2) -> float:
@@ -103,7 +106,7 @@ def test_the_biggest_spender_is_found_on_unrounded_sums(spark):
 def test_sums_and_means_equal_decimal_arithmetic(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     total, mean = df.agg(exact_total("v"), exact_mean("v")).first()
-    want = sum((Decimal(repr(v)) for v in values), Decimal(0))
+    want = sum((Decimal(r[0]) for r in df.selectExpr("CAST(v AS STRING)").collect()), Decimal(0))
     assert total == want
     assert mean == _half_up(Fraction(want) / len(values))
 
@@ -116,17 +119,83 @@ def test_other_number_types(spark):
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
-@pytest.mark.parametrize("values", [[9.0e16, 9.0e16], [1e30], [1e-20], [float("nan")], [float("inf")]])
-def test_what_does_not_fit_raises(spark, ansi, values):
+@pytest.mark.parametrize("values", [[1e38], [1.2345678901234567e-30]])
+def test_what_has_no_place_raises(spark, ansi, values):
     before = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        with pytest.raises(Exception):
+        with pytest.raises(Exception, match="1E"):
             spark.createDataFrame([(v,) for v in values], "v double").agg(exact_sum("v").alias("s")).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
+def test_totals_that_do_not_fit_their_decimal_raise(spark):
+    for values in ([1e30], [1e-20], [float("nan")]):
+        with pytest.raises(Exception, match="does not fit"):
+            spark.createDataFrame([(v,) for v in values], "v double").agg(exact_total("v").alias("s")).collect()
+
+
+@pytest.mark.parametrize("values, total, mean", [
+    ([1.2345678901234567e-5, 1e30], "1000000000000000000000000000000.000012345678901234568", 5e29),
+    ([1.2345678901234567e-5] * 3, "0.000037037036703703704", 0.0),
+    ([9.0e16, 9.0e16, -0.01], "179999999999999999.99", 6e16),
+    ([1e30, -1e30, 0.005], "0.005", 0.0),
+    ([-1e-20, -0.01], "-0.01000000000000000001", -0.01),
+    ([1e37, 5e37, -5.9e37], "1000000000000000000000000000000000000", 3.333333333333333e35),
+    ([0.0, -0.0], "0", 0.0),
+])
+def test_values_of_all_sizes_add_up(spark, values, total, mean):
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(2)
+    state = df.agg(exact_state("v").alias("s"), F.count("v").alias("n"))
+    got = state.select(state_text("s"), state_sum("s"), mean_from_parts("s", "n")).first()
+    assert got[0] == total and got[1] == float(Decimal(total))
+    assert got[2] == pytest.approx(mean, rel=1e-15)
+    assert df.agg(exact_sum("v").alias("x"), exact_mean("v").alias("m")).first()[0] == float(Decimal(total))
+
+
+def test_nan_and_infinities_are_those_of_floating_sums(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([("a", nan), ("a", 1.0), ("b", inf), ("b", 2.5), ("c", inf), ("c", -inf), ("d", -inf)], "k string, v double")
+    got = {r["k"]: r for r in df.groupBy("k").agg(exact_sum("v").alias("s"), exact_mean("v").alias("m")).collect()}
+    assert got["b"]["s"] == got["b"]["m"] == inf and got["d"]["s"] == -inf
+    assert all(got[k][c] != got[k][c] for k in "ac" for c in "sm")
+
+
+def test_decimals_keep_their_last_digits(spark):
+    df = spark.sql("SELECT * FROM VALUES (12345678901234.0005BD), (0.0001BD) AS t(d)")
+    assert df.agg(exact_total("d")).first()[0] == Decimal("12345678901234.0006")
+    wide = spark.sql("SELECT * FROM VALUES (CAST('0.123456789012345678901234567890123456' AS DECIMAL(38,36))), (CAST('-0.5' AS DECIMAL(38,36))) AS t(d)")
+    assert wide.agg(exact_state("d").alias("s")).select(state_text("s")).first()[0] == "-0.376543210987654321098765432109876544"
+    long = spark.sql("SELECT CAST('99999999999999999999999999999999999999' AS DECIMAL(38,0)) AS d")
+    assert long.agg(exact_state("d").alias("s")).select(state_text("s")).first()[0] == "9" * 38
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.floats(min_value=-1e15, max_value=1e15).filter(lambda v: v == 0 or abs(v) > 1e-10), min_size=1, max_size=15))
+def test_states_merge_and_sort_as_exact_sums(spark, values):
+    df = spark.createDataFrame([(i % 4, v) for i, v in enumerate(values)], "k int, v double").selectExpr("k", "v", "CAST(v AS STRING) AS printed")
+    printed = [Decimal(r["printed"]) for r in df.collect()]
+    states = df.groupBy("k").agg(exact_state("v").alias("s"))
+    assert Decimal(states.agg(merged_state("s").alias("s")).select(state_text("s")).first()[0]) == sum(printed, Decimal(0))
+    sums = {k: sum(printed[k::4], Decimal(0)) for k in range(min(4, len(values)))}
+    ordered = [r["k"] for r in states.select("k", state_order("s").alias("o")).orderBy("o", "k").collect()]
+    assert ordered == sorted(sums, key=lambda k: (sums[k], k))
+    rounded = {r["k"]: r["r"] for r in states.select("k", state_rounded("s").alias("r")).collect()}
+    assert rounded == {k: float(x.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)) for k, x in sums.items()}
+
+
+def test_sums_take_names_only(spark):
+    with pytest.raises(TypeError):
+        exact_sum(F.col("v"))
+
+
+def test_rounding_leaves_numbers_without_places(spark):
+    values = [1e30, -1e16, 1.2345678901234567e-5, float("inf"), 9007199254740993.0, -0.005]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(round_half_up("v")).collect()]
+    assert got == [1e30, -1e16, 0.0, float("inf"), 9007199254740992.0, -0.01]
+
+
 def test_midpoint_with_awkward_column_names(spark):
     from quarry.operators.replicate import midpoint
 

@@ -48,3 +48,21 @@ def tokens(col: Column | str) -> Column:
     (a plain filter stays in generated code, a lambda filter would not).
     """
     return F.split(_c(col), WHITESPACE)
+
+
+# How text on one line writes a backslash and line breaks.
+BREAKS = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def join_breaks(c: Column) -> Column:
+    """The text on one line: a backslash and line breaks are written as two characters."""
+    for plain, code in BREAKS:
+        c = F.replace(c, F.lit(plain), F.lit(code))
+    return c
+
+
+def restore_breaks(c: Column) -> Column:
+    """Inverse of ``join_breaks``."""
+    for plain, code in reversed(BREAKS):
+        c = F.replace(c, F.lit(code), F.lit(plain))
+    return c

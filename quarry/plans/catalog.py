@@ -10,10 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from quarry.functions.money import exact_state, exact_sum, state_sum, state_text
+from quarry.functions.rounding import round_half_even
 from quarry.operators.wordcount import word_count
-from quarry.plans import prices as px
+from quarry.plans import partitioned, prices as px
 from quarry.plans import ratings as rt
-from quarry.plans import retail, revenue, roundtrip, standins, walkthrough
+from quarry.plans import retail, revenue, roundtrip, standins, views, walkthrough
 from quarry.sources.tables import table
 
 # Parameters of the questions on the test tables.
@@ -25,6 +29,8 @@ TOP_ITEMS = 10
 CLOSE_ABOVE = 450000.0
 HIGH_ABOVE = 400000.0
 RATING_BELOW = 45.0
+FIRST_MONTH, LAST_MONTH = "1995-01", "1995-06"
+BUSIEST_MONTHS = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -281,6 +287,62 @@ def q_roundtrip_nested_json(spark, d):
     return roundtrip.nested_json(spark, table(spark, d, "supplier"))
 
 
+def q_inferred_comma_separated(spark, d):
+    return roundtrip.inferred_comma_separated(spark, table(spark, d, "orders"))
+
+
+def q_headed_lines_income(spark, d):
+    return roundtrip.headed_lines(spark, standins.income(spark, d))
+
+
+def q_roundtrip_tuple_text(spark, d):
+    return roundtrip.tuple_lines(spark, table(spark, d, "events"))
+
+
+def q_stored_schema(spark, d):
+    return roundtrip.stored_schema(spark, table(spark, d, "part"))
+
+
+# ---- folders per month, views, exact numbers -------------------------------
+
+_LINE_COLS = ["l_orderkey", "l_quantity", "l_extendedprice"]
+
+
+def q_month_sales(spark, d):
+    facts = partitioned.by_month(spark, table(spark, d, "lineitem"), "l_shipdate", "ship_month", _LINE_COLS)
+    return partitioned.month_sales(facts, "ship_month", "l_quantity", "l_extendedprice", FIRST_MONTH, LAST_MONTH)
+
+
+def q_busiest_month_sales(spark, d):
+    facts = partitioned.by_month(spark, table(spark, d, "lineitem"), "l_shipdate", "ship_month", _LINE_COLS)
+    return partitioned.busiest_month_sales(
+        facts, "ship_month", "l_quantity", "l_extendedprice", table(spark, d, "orders"), "o_orderdate", BUSIEST_MONTHS
+    )
+
+
+def q_spending_of_users_below(spark, d):
+    spent = table(spark, d, "orders").groupBy("o_custkey").agg(exact_sum("o_totalprice").alias("total_spent"))
+    return views.answer(
+        spark, {"user_means": q_mean_by_user(spark, d), "user_spending": spent},
+        "SELECT m.user_id, m.mean_rating, s.total_spent FROM user_means m JOIN user_spending s ON m.user_id = s.o_custkey WHERE m.mean_rating < :below",
+        below=RATING_BELOW,
+    )
+
+
+def q_totals_of_all_sizes(spark, d):
+    # prices shifted by twenty places up and eighteen down, line by line: their sum has over thirty digits
+    shift = F.when(F.col("l_linenumber") % 3 == 0, "E20").when(F.col("l_linenumber") % 3 == 1, "E0").otherwise("E-18")
+    value = F.concat(F.col("l_extendedprice").cast("string"), shift).cast("double")
+    sums = table(spark, d, "lineitem").select("l_returnflag", value.alias("value")).groupBy("l_returnflag").agg(exact_state("value").alias("s"))
+    return sums.select("l_returnflag", state_text("s").alias("digits"), state_sum("s").alias("total"))
+
+
+def q_half_even_charges(spark, d):
+    charge = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", charge.alias("charge"), (F.col("l_extendedprice") / 8).alias("eighth"))
+    return lines.select("l_orderkey", "l_linenumber", round_half_even("charge").alias("charge"), round_half_even("eighth", 1).alias("eighth"))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
@@ -326,7 +388,16 @@ SURVEY_IDS: dict[str, tuple[str, ...]] = {
     "mean_by_user": ("M1", "A4", "J2"),
     "mean_by_segment": ("M2", "A4"),
     "top10_items": ("M3", "A4", "O4"),
-    "users_below_threshold": ("M4", "F9", "K6", "S11", "V1"),
+    "users_below_threshold": ("M4", "F9"),
+    "spending_of_users_below": ("F9", "K6", "S11", "V1"),
+    "inferred_comma_separated": ("S2", "K1"),
+    "headed_lines_income": ("S5", "F6", "F7"),
+    "roundtrip_tuple_text": ("K2",),
+    "stored_schema": ("K7", "W4"),
+    "month_sales": ("L2", "A1"),
+    "busiest_month_sales": ("L2", "J1"),
+    "totals_of_all_sizes": ("A1", "A10"),
+    "half_even_charges": ("X2",),
     "full_name": ("W2", "X8"),
     "conform_flat": ("W3", "P2", "P3", "P6", "P7", "X8"),
     "conform_nested": ("W5", "S7", "P11", "X9", "X10", "X11"),

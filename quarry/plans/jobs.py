@@ -36,6 +36,7 @@ TOP_MOVIES = 10
 CLOSE_ABOVE = 600.0
 HIGH_ABOVE = 500.0
 RATING_BELOW = 4.0
+MOST_RECORDS = 5_000_000
 
 # Declared layouts of the headerless inputs.
 PRODUCTS_SCHEMA = "idProducto INT, descripcion STRING, precio FLOAT, stock INT"
@@ -49,15 +50,16 @@ INCOME_TYPES = {"id": "bigint", "revenue": "double"}
 PRICE_TYPES = {"Open": "double", "High": "double", "Low": "double", "Close": "double", "Adj Close": "double", "Volume": "bigint"}
 RATE_TYPES = {"Price": "double", "Open": "double", "High": "double", "Low": "double"}
 
-# Output files of the results that the original jobs bound or deal by a key.
+# Output files of the results that the original jobs bound or deal by a key. Those that grow with the input
+# are dealt by the same keys, in files by size: a hot product is split.
 LAYOUTS: dict[str, dict] = {
     "top_hotels": {"files": 1}, "top_city_hotels": {"files": 1}, "top_hotel_names": {"files": 1}, "top_cities": {"files": 1},
-    "top_client": {"files": 1}, "sold_report": {"files": 4, "by": ("idProducto",)}, "never_sold": {"files": 2},
-    "top_stock_sales": {"files": 3, "by": ("producto",)},
+    "top_client": {"files": 1}, "sold_report": {"rebalance": ("idProducto",), "records": MOST_RECORDS}, "never_sold": {"rebalance": (), "records": MOST_RECORDS},
+    "top_stock_sales": {"rebalance": ("producto",), "records": MOST_RECORDS},
     "max_high_day": {"files": 1}, "mean_close": {"files": 1}, "max_volume_day": {"files": 1}, "min_volume_day": {"files": 1},
     "pct_high_above": {"files": 1}, "max_high_by_year": {"files": 1}, "mean_close_by_month": {"files": 3, "by": ("month",)},
     "eur_max_high_day": {"files": 1}, "eur_mean_close": {"files": 1}, "eur_max_volume_day": {"files": 1},
-    "eur_min_volume_day": {"files": 1}, "eur_close_above": {"files": 3, "by": ("date",)}, "eur_pct_high_above": {"files": 1},
+    "eur_min_volume_day": {"files": 1}, "eur_close_above": {"rebalance": ("date",), "records": MOST_RECORDS}, "eur_pct_high_above": {"files": 1},
     "eur_max_high_by_year": {"files": 1}, "eur_min_high_by_year": {"files": 1}, "eur_mean_close_by_month": {"files": 3, "by": ("month",)},
     "top_movies": {"files": 1},
 }

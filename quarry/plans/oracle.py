@@ -148,7 +148,60 @@ _SOLD = f"""WITH sold AS (
   FROM lineitem GROUP BY l_partkey)
 SELECT p.p_partkey, p.p_name, s.items_sold{{amount}} FROM part p JOIN sold s ON p.p_partkey = s.k"""
 
+def _half_even(x: str, digits: int) -> str:
+    """The double's exact value in whole numbers of 2^-90, rounded with ties to even."""
+    rest = f"(abs({x}) - floor(abs({x})))"
+    high = f"floor({rest} * 1073741824::DOUBLE)"
+    units = f"({high}::HUGEINT * 1152921504606846976::HUGEINT + floor(({rest} * 1073741824::DOUBLE - {high}) * 1152921504606846976::DOUBLE)::HUGEINT)"
+    one = f"{1 << 90}::HUGEINT"
+    scaled = f"({units} * {10**digits})"
+    whole = f"(floor(abs({x}))::HUGEINT * {10**digits} + {scaled} // {one})"
+    up = f"CASE WHEN 2 * ({scaled} % {one}) > {one} OR (2 * ({scaled} % {one}) = {one} AND {whole} % 2 = 1) THEN 1 ELSE 0 END"
+    return f"CASE WHEN {x} < 0 THEN -1 ELSE 1 END * ({whole} + {up})::DOUBLE / {10**digits}"
+
+
+def _month_sums(where: str) -> str:
+    return (
+        f"SELECT strftime(l_shipdate, '%Y-%m') AS ship_month, COUNT(*) AS lines, {_sum('l_quantity')} AS quantity, "
+        f"{_dbl(f'ROUND(SUM({_dec("l_extendedprice")}), 2)')} AS sales FROM lineitem WHERE {where} GROUP BY 1"
+    )
+
+
+def _cent_sum(remainder: int) -> str:
+    return f"COALESCE(SUM(CAST(ROUND(l_extendedprice * 100) AS HUGEINT)) FILTER (WHERE l_linenumber % 3 = {remainder}), 0)"
+
+
+_ALL_SIZES = f"""WITH cents AS (
+  SELECT l_returnflag, {_cent_sum(0)} AS up, {_cent_sum(1)} AS mid, {_cent_sum(2)} AS down FROM lineitem GROUP BY l_returnflag
+), digits AS (
+  SELECT l_returnflag, CAST(up AS VARCHAR) || lpad(CAST(mid // 100 AS VARCHAR), 18, '0') || '.' || lpad(CAST(mid % 100 AS VARCHAR), 2, '0')
+    || lpad(CAST(down AS VARCHAR), 18, '0') AS t FROM cents
+), shown AS (
+  SELECT l_returnflag, regexp_replace(ltrim(t, '0'), '[.]?0+$', '') AS digits FROM digits
+)
+SELECT l_returnflag, digits, CAST(digits AS DOUBLE) AS total FROM shown"""
+
 SQL: dict[str, str] = {
+    # folders per month, views, exact numbers, other readers
+    "month_sales": _month_sums(f"strftime(l_shipdate, '%Y-%m') BETWEEN '{cat.FIRST_MONTH}' AND '{cat.LAST_MONTH}'"),
+    "busiest_month_sales": _month_sums(
+        "strftime(l_shipdate, '%Y-%m') IN (SELECT strftime(o_orderdate, '%Y-%m') AS m FROM orders "
+        f"GROUP BY m ORDER BY COUNT(*) DESC, m LIMIT {cat.BUSIEST_MONTHS})"
+    ),
+    "spending_of_users_below": (
+        f"SELECT m.user_id, m.mean_rating, s.total_spent FROM ({_MEAN_BY_USER}) m JOIN "
+        f"(SELECT o_custkey, {_sum('o_totalprice')} AS total_spent FROM orders GROUP BY o_custkey) s ON m.user_id = s.o_custkey "
+        f"WHERE m.mean_rating < {cat.RATING_BELOW}"
+    ),
+    "totals_of_all_sizes": _ALL_SIZES,
+    "half_even_charges": (
+        f"SELECT l_orderkey, l_linenumber, {_half_even('(l_extendedprice * (CAST(1 AS DOUBLE) - l_discount))', 2)} AS charge, "
+        f"{_half_even('(l_extendedprice / 8)', 1)} AS eighth FROM lineitem"
+    ),
+    "inferred_comma_separated": "SELECT * FROM orders",
+    "headed_lines_income": f"WITH {INCOME}\nSELECT id, revenue FROM income",
+    "roundtrip_tuple_text": "SELECT * FROM events",
+    "stored_schema": "SELECT * FROM part",
     # revenue
     "revenue_by_country": _rev(
         f"SELECT s.id, s.name, s.city, i.revenue FROM stays s JOIN income i ON s.id = i.id WHERE s.cc = '{cat.COUNTRY}'"

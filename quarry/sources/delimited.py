@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quarry.functions.text import split_literal
+from quarry.functions.text import join_breaks, restore_breaks, split_literal
 
 # The separator of Hive's default text table format.
 HIVE_TEXT_SEP = "\x01"
@@ -30,6 +30,7 @@ def read_delimited(
     trim: bool = False,
     null: str = "",
     multiline: bool = False,
+    escaped: bool = False,
 ) -> DataFrame:
     """CSV-family reader.
 
@@ -37,7 +38,8 @@ def read_delimited(
     ``header`` and ``infer`` the types are inferred, as an option only.
     ``trim`` drops blanks around values (CSV keeps leading blanks otherwise).
     A blank field is null unless ``null`` names another marker; CRLF line ends are
-    accepted. ``multiline`` reads quoted values that hold line breaks; such files are not split between tasks.
+    accepted. Values that hold line breaks need one of two: ``escaped`` undoes in a projection what ``write_csv(escaped=True)``
+    wrote, so a large file is still split between tasks; ``multiline`` reads quoted breaks as they are, a file per task.
     """
     reader = spark.read.option("sep", sep).option("header", header).option("escape", '"').option("nullValue", null)
     if multiline:
@@ -48,7 +50,13 @@ def read_delimited(
         reader = reader.schema(schema)
     elif infer:
         reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+    df = reader.csv(path)
+    return restored(df) if escaped else df
+
+
+def restored(df: DataFrame) -> DataFrame:
+    """Every string column with its line breaks and backslashes back."""
+    return df.select(*[restore_breaks(F.col(f"`{c}`")).alias(c) if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
 def read_typed(spark: SparkSession, path: str | Sequence[str], types: Mapping[str, str], sep: str = ",") -> DataFrame:
@@ -61,10 +69,10 @@ def read_typed(spark: SparkSession, path: str | Sequence[str], types: Mapping[st
 
 
 def read_hive_text(
-    spark: SparkSession, path: str, schema: StructType | str, null: str = "", multiline: bool = False
+    spark: SparkSession, path: str, schema: StructType | str, null: str = "", multiline: bool = False, escaped: bool = False
 ) -> DataFrame:
     """A Hive text table directory (``\\x01``-separated, no header)."""
-    return read_delimited(spark, path, sep=HIVE_TEXT_SEP, schema=schema, null=null, multiline=multiline)
+    return read_delimited(spark, path, sep=HIVE_TEXT_SEP, schema=schema, null=null, multiline=multiline, escaped=escaped)
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], skip_prefix: str | None = None) -> DataFrame:
@@ -75,6 +83,19 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], skip_prefix: str
     return df
 
 
+def read_headed_lines(
+    spark: SparkSession, path: str | Sequence[str], header: str, sep: str, schema: StructType | str, strict: bool = True
+) -> DataFrame:
+    """Lines split on ``sep`` under ``schema``, without the header line that each of the files starts with.
+
+    A header line is one that starts with ``header``, in whichever file or part of one it comes, so files may be many and
+    split. A blank field is null, in string columns too, before it is cast. The prefix test reaches the scan as a filter.
+    """
+    lines = read_lines(spark, path, skip_prefix=header)
+    df = split_to_schema(lines, "value", sep, schema, strict)
+    return df.select(*[F.when(F.trim(F.col(f"`{c}`")) != "", F.col(f"`{c}`")).alias(c) if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes])
+
+
 def split_to_schema(
     df: DataFrame,
     col: str,
@@ -115,20 +136,12 @@ def read_split_text(
     return split_to_schema(spark.read.text(path), "value", sep, schema, strict, escaped)
 
 
-def _escapes(sep: str) -> list[tuple[str, str]]:
-    return [("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"), (sep[0], "\\s")]
-
-
 def _escaped(c: Column, sep: str) -> Column:
-    for plain, code in _escapes(sep):
-        c = F.replace(c, F.lit(plain), F.lit(code))
-    return c
+    return F.replace(join_breaks(c), F.lit(sep[0]), F.lit("\\s"))
 
 
 def _unescaped(c: Column, sep: str) -> Column:
-    for plain, code in reversed(_escapes(sep)):
-        c = F.replace(c, F.lit(code), F.lit(plain))
-    return c
+    return restore_breaks(F.replace(c, F.lit("\\s"), F.lit(sep[0])))
 
 
 def join_fields(cols: Sequence[str], sep: str, escaped: bool = False) -> Column:

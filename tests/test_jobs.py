@@ -99,3 +99,28 @@ def test_shop_results_as_tuple_text(spark, scratch):
     assert lines == ["(7, 10.5)"]
     with pytest.raises(Exception):  # like the line-by-line jobs: an existing folder is an error
         jobs.write_results({"top_client": r["top_client"]}, os.path.join(scratch, "out"), fmt="tuples")
+
+
+def test_results_that_grow_are_written_by_size(spark, scratch):
+    """A product with most of all sales is split over files; only bounded results have a stated number."""
+    import glob
+    import os
+
+    from pyspark.sql import functions as F
+
+    from quarry.plans.jobs import LAYOUTS, write_results
+
+    growing = {"sold_report", "never_sold", "top_stock_sales", "eur_close_above"}
+    assert all("rebalance" in LAYOUTS[n] and "files" not in LAYOUTS[n] and "by" not in LAYOUTS[n] for n in growing)
+    sales = spark.range(120_000).select(
+        F.when(F.col("id") % 10 < 8, 1).otherwise(F.col("id") % 50).alias("producto"), F.sha2(F.col("id").cast("string"), 256).alias("fecha"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        write_results({"top_stock_sales": sales.repartition(10)}, scratch + "/out")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+        spark.catalog.dropTempView("top_stock_sales")
+    sizes = [os.path.getsize(f) for f in glob.glob(scratch + "/out/top_stock_sales/part-*")]
+    assert len(sizes) >= 4 and max(sizes) < sum(sizes) / 2
+    assert spark.read.option("header", True).csv(scratch + "/out/top_stock_sales").count() == 120_000

@@ -11,7 +11,7 @@ id; every word that such a window covers is removed.
    phrase. Phrases are dealt by anchor, those of an anchor that more than ``hot`` rows hold by window, each window a
    phrase of its own, so that no anchor is a hot key. Equal phrases become one row with their least and largest id.
 3. **Compile.** Phrases are dealt to shards of about ``shard_bytes`` of text. A shard's words
-   become code points; its windows of more than one document become the patterns of automata of ``patterns`` windows each
+   become pairs of code points; its windows of more than one document become the patterns of automata of ``patterns`` windows each
    (pyahocorasick), a pattern carrying the smallest document it starts in.
 4. **Stream.** Every phrase of the shard, from whichever documents, runs through the shard's automata, which name
    the smallest document for every window found. The places of the phrases in the documents are joined to that.
@@ -43,6 +43,8 @@ from pyspark.sql.types import IntegerType, StructType
 from quarry.llm.common import _BASE, _SPACE, mix, stored, text_slices
 from quarry.llm.word_bytes import as_strings, exact_hashes, join_words, ranges, spans
 
+DIGIT = 128
+
 
 @dataclass(frozen=True)
 class Passages:
@@ -52,7 +54,7 @@ class Passages:
     gram: int = 5
     hot: int = 2000
     shard_bytes: int = 1 << 20
-    patterns: int = 50_000
+    patterns: int = 25_000
 
     def __post_init__(self) -> None:
         if not 0 < self.gram <= self.words:
@@ -153,13 +155,14 @@ def first_documents(texts: pa.Array, least: pa.Array, most: pa.Array, shape: Pas
     words = pc.split_pattern(texts, " ")
     sizes = np.diff(words.offsets.to_numpy())
     coded = words.flatten().dictionary_encode()
-    if len(coded.dictionary) > 0x10FFFF - 1:
+    if len(coded.dictionary) > 0x10FFFF - 2 * DIGIT:
         raise ValueError("a shard holds more distinct words than there are code points; lower shard_bytes")
-    # every word a code point, every phrase closed by a 0, which no pattern holds
-    numbers = np.zeros(len(coded) + len(sizes), dtype="<u4")
+    # every word two code points of different ranges, as automata search a node's followers one by one; every phrase closed by a 0
+    number = coded.indices.to_numpy().astype(np.int64)
     begin = np.cumsum(sizes + 1) - (sizes + 1)
-    numbers[ranges(begin, sizes)] = coded.indices.to_numpy() + 1
-    stream = numbers.tobytes().decode("utf-32-le", "surrogatepass")
+    points = np.zeros((len(coded) + len(sizes), 2), dtype="<u4")
+    points[ranges(begin, sizes)] = np.column_stack([2 * DIGIT + number // DIGIT, DIGIT + number % DIGIT])
+    stream = points.tobytes().decode("utf-32-le", "surrogatepass")
     ids = pc.unique(pa.concat_arrays([least, most]))
     ids = ids.take(pc.sort_indices(ids))
     low, high = (pc.index_in(x, ids).to_numpy().tolist() for x in (least, most))
@@ -167,13 +170,13 @@ def first_documents(texts: pa.Array, least: pa.Array, most: pa.Array, shape: Pas
     again: set[str] = set()
     for at, size, a, b in zip(begin.tolist(), sizes.tolist(), low, high):
         for k in range(at, at + size - width + 1):
-            window = stream[k : k + width]
+            window = stream[2 * k : 2 * (k + width)]
             seen = first.setdefault(window, a)
             if seen != a or a != b:
                 again.add(window)
                 if a < seen:
                     first[window] = a
-    found = np.full(len(stream), -1, dtype=np.int64)
+    found = np.full(len(points), -1, dtype=np.int64)
     patterns = list(again)
     for cut in range(0, len(patterns), shape.patterns):
         machine = ahocorasick.Automaton()
@@ -181,7 +184,7 @@ def first_documents(texts: pa.Array, least: pa.Array, most: pa.Array, shape: Pas
             machine.add_word(pattern, first[pattern])
         machine.make_automaton()
         hits = np.fromiter((x for hit in machine.iter(stream) for x in hit), dtype=np.int64).reshape(-1, 2)
-        found[hits[:, 0] - width + 1] = hits[:, 1]
+        found[(hits[:, 0] + 1) // 2 - width] = hits[:, 1]
     firsts = found[ranges(begin, sizes - width + 1)]
     offsets = np.append(0, np.cumsum(sizes - width + 1))
     return pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), ids.take(pa.array(firsts, mask=firsts < 0)))

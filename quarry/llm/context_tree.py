@@ -272,12 +272,13 @@ def pair_logs(pairs: DataFrame, depth: int) -> DataFrame:
     estimate = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
     own = [(F.col("stop") * estimate).alias("mine"), (1 - F.col("stop")).alias("go")]
     mixed = levels[-1].select("node", *own).withColumnsRenamed({"mine": "fixed", "go": "share"})
+    # the joins grow with the corpus: both sides are shuffled and sorted, whatever size the files of one seem to have
     for level in levels[-2::-1]:  # what the mixtures above a node leave to the estimate below it
-        below = level.select("node", up.alias("up"), *own).join(mixed.withColumnRenamed("node", "up"), "up")
+        below = level.select("node", up.alias("up"), *own).join(mixed.withColumnRenamed("node", "up").hint("merge"), "up")
         mixed = stored(below.select("node", (F.col("fixed") + F.col("share") * F.col("mine")).alias("fixed"), (F.col("share") * F.col("go")).alias("share")), "tree-mixture")
     one = F.least(F.greatest(F.col("fixed"), F.lit(1e-12)), F.lit(1 - 1e-12))
     log = F.log10(F.when(F.col("bit") == 1, one).otherwise(1 - one))
-    bits = _decisions(pairs.select("key", "seen")).join(mixed.select("node", "fixed"), "node")
+    bits = _decisions(pairs.select("key", "seen")).hint("merge").join(mixed.select("node", "fixed"), "node")
     return bits.groupBy("key").agg(F.first("seen").alias("seen"), F.sum(F.round(log * UNIT).cast("long")).alias("units"))
 
 
@@ -390,13 +391,13 @@ def score(docs: DataFrame, held_out: Column, shape: Shape = Shape(), id_col: str
     )
     scored = stored(rows.mapInArrow(run, schema), "text-scores")
     rare = scored.where("word IS NOT NULL").select("row", "word", "times").join(
-        vocabulary.where(F.col("n") < least).withColumnRenamed("key", "word"), "word", "left"
+        vocabulary.where(F.col("n") < least).withColumnRenamed("key", "word").hint("merge"), "word", "left"
     ).groupBy("row").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("n_rare"),
         F.sum(F.col("times") * F.log10(F.coalesce(F.col("n"), F.lit(0)) + F.lit(0.1))).alias("log_rare"),
     )
     rare_pairs = scored.where("pair IS NOT NULL").select("row", "pair", "times").join(
-        logs.where(F.col("seen") < least_seen).select(F.col("key").alias("pair"), F.col("units").alias("each")), "pair"
+        logs.where(F.col("seen") < least_seen).select(F.col("key").alias("pair"), F.col("units").alias("each")).hint("merge"), "pair"
     ).groupBy("row").agg(F.sum(F.col("times") * F.col("each")).alias("more_units"))
     whole = math.log10(tokens + 0.1 * (kinds + 1))
     base = F.col("log_often") + F.coalesce(F.col("log_rare"), F.lit(0.0)) - F.col("n_tokens") * F.lit(whole)

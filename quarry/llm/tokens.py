@@ -3,7 +3,8 @@
 The byte-level BPE vocabulary is a public file whose path is a parameter. Its
 rank file holds the same vocabulary for a faster encoder; the tokens added to the
 vocabulary are read from the ``.json`` beside it, and stand for themselves wherever
-a text holds them. A test holds both to the same ids.
+a text holds them. Its splitter gives up on runs of hundreds of thousands of blanks or letters, so a text with a run of
+``LONG_RUN`` characters goes through the ``.json`` tokenizer itself. A test holds both to the same ids.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 END_ID = 2  # closes every document
+LONG_RUN = 20_000
+_LONG = re.compile(r"\s{%d}|\S{%d}" % (LONG_RUN, LONG_RUN))
 
 
 @cache
@@ -32,6 +35,11 @@ def _encoder(path: str) -> Callable[[str], np.ndarray]:
 
         t = Tokenizer.from_file(path)
         return lambda s: np.array(t.encode(s, add_special_tokens=False).ids, dtype="<u4")
+    by_rank, whole = _rank_encoder(path), os.path.splitext(path)[0] + ".json"
+    return lambda s: _encoder(whole)(s) if len(s) >= LONG_RUN and _LONG.search(s) else by_rank(s)
+
+
+def _rank_encoder(path: str) -> Callable[[str], np.ndarray]:
     import public_tokenizers
     import tiktoken
 

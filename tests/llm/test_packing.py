@@ -165,3 +165,17 @@ def test_rows_give_every_id_back(odd_documents, documents, ranks, block):
             want[r["doc_id"]] += [(k, s, ids[s : s + n]) for k, (s, n) in enumerate(tokens.cuts(len(ids), 256))]
         assert {d: sorted(x) for d, x in back.items()} == {d: sorted(x) for d, x in want.items()}
     assert id_matrix.pack_rows(documents.limit(0), ranks).collect() == []
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "x" * 2_000_000, "日本" * 400_000 + " a" * 300_000 + "\t" * 400_000, "a" * 19_999 + " " * 19_999])
+def test_long_runs_are_encoded(ranks, text):
+    from tokenizers import Tokenizer
+
+    named = Tokenizer.from_file(ranks.replace(".tiktoken", ".json"))
+    assert tokens.encode(ranks, text).tolist() == [*named.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_long_runs_are_packed(spark, ranks):
+    df = spark.createDataFrame([(1, " " * 1_200_000), (2, "\n" * 600_000 + "end"), (3, "z" * 700_000)], "doc_id long, text string")
+    for pack in (best_fit.pack_documents, id_matrix.pack_rows):
+        assert pack(df, ranks).count() > 100

@@ -149,18 +149,19 @@ def near_vectors(
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every vector; vectors are compared within a label only."""
     v = F.col("v")
+    kept = "array<float>" if dict(vectors.dtypes)[vector_col] == "array<float>" else "array<double>"
     sound = (
         F.col("id").isNotNull() & F.col("label").isNotNull() & v.isNotNull() & (F.size(v) > 0)
         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
     )
     rows = vectors.select(
-        F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("v"), F.xxhash64(label_col).alias("group"),
+        F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kept).alias("v"), F.xxhash64(label_col).alias("group"),
         F.col(label_col).alias("label"),
     ).withColumn("sound", F.coalesce(sound, F.lit(False)))
     named = rows.where("sound").select("id", "group", "v", F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(1), "v").alias("k2"))
-    classes = stored(
-        named.groupBy("group", "k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("mult"), F.first("v").alias("v")), "vector-classes"
-    )
+    # equal vectors are a class; it has a number of its own, as an id may name several vectors
+    equal = named.groupBy("group", "k1", "k2").agg(F.min("id").alias("low"), F.count("*").alias("mult"), F.first("v").alias("v"))
+    classes = stored(equal.withColumn("rep", F.monotonically_increasing_id()), "vector-classes")
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,11 +229,11 @@ def near_vectors(
     links = stored(ordered.mapInArrow(link, "a long, b long, n long"), "vector-links")
     counts = links.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "rep")
     joined = components(links.where("b IS NOT NULL").select("a", "b"))
-    per_class = (
-        classes.select("group", "k1", "k2", "rep", "mult").join(counts, "rep", "left")
-        .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("group", "k1", "k2", (F.col("mult") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
-    )
+    placed = classes.select("group", "k1", "k2", "rep", "mult", "low").join(joined.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+        "part", F.coalesce("component", "rep"))
+    lowest = placed.groupBy("part").agg(F.min("low").alias("component"))
+    per_class = placed.drop("component").join(lowest, "part").join(counts, "rep", "left").select(
+        "group", "k1", "k2", (F.col("mult") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component")
     linked = named.select("id", "group", "k1", "k2").join(per_class, ["group", "k1", "k2"]).select("id", "n_links", "component")
     alone = rows.where(~F.col("sound")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
     return linked.unionByName(alone).select(

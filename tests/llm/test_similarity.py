@@ -213,3 +213,36 @@ def test_least_overlap_is_the_threshold():
             want = next((o for o in range(min(a, b) + 1) if 100 * o >= 75 * (a + b - o)), None)
             if want is not None:
                 assert t.least_overlap(a + b) == want and want >= a - t.prefix(a) + 1
+
+
+def test_one_id_may_name_several_vectors(spark):
+    rows = [(1, [1.0, 0.0, 0.0], 0), (1, [0.0, 1.0, 0.0], 0), (2, [0.99, 0.01, 0.0], 0), (3, [0.01, 0.99, 0.0], 0), (3, [0.0, 0.0, 1.0], 0), (3, [0.0, 0.0, 1.0], 0)]
+    got = lattice.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (3, 1, 3, True), (3, 1, 3, True)]
+
+
+def test_doubles_are_compared_as_doubles(spark):
+    """Cosines a hair above and below the bound, which single precision cannot tell apart."""
+    rows = []
+    for k in range(40):
+        c = 0.93 + (1e-10 if k % 2 else -1e-10)
+        axis = [0.0] * 8
+        axis[k % 8] = 1.0
+        other = [0.0] * 8
+        other[k % 8], other[(k + 1) % 8] = c, (1 - c * c) ** 0.5
+        rows += [(2 * k, axis, k), (2 * k + 1, other, k)]
+    got = {r["vec_id"]: r["n_links"] for r in lattice.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert not any(got[2 * k] or got[2 * k + 1] for k in range(0, 40, 2))
+    assert sum(got[2 * k] == got[2 * k + 1] == 1 for k in range(1, 40, 2)) >= 18
+
+
+@pytest.mark.parametrize("dim", [32, 64, 768])
+def test_recall_by_dimension(spark, dim):
+    rows = [r for r in _vectors(7, dim) if r[1] and len(r[1]) == dim and r[2] is not None and None not in r[1] and np.isfinite(r[1]).all() and any(r[1]) and r[0] is not None]
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    labels = np.array([r[2] for r in rows])
+    near = (x @ x.T >= 0.93) & (labels[:, None] == labels[None, :])
+    np.fill_diagonal(near, False)
+    got = {r["vec_id"]: r["n_links"] for r in lattice.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    assert sum(got.values()) >= 0.95 * near.sum() and all(got[r[0]] <= n for r, n in zip(rows, near.sum(axis=1)))

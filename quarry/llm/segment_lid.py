@@ -8,8 +8,8 @@ crosses a word boundary, so a text's log-probability is the sum over its words.
 The languages' posterior, all equal beforehand, gives prediction and score.
 
 The piece probabilities are fitted by expectation maximisation on a bounded
-sample of labelled texts, about ``Fit.docs`` per language, taken by a hash of the text;
-their words are counted by Spark, and what reaches the driver is bounded by the sample.
+sample of labelled texts, about ``Fit.docs`` per language, taken by a hash of the row;
+every word of theirs trains, long ones (as in scripts without spaces) cut between characters; words are counted by Spark, and what reaches the driver is bounded by the sample.
 Scoring reads every text whole, shuffles nothing, and keeps word scores of up to
 ``KNOWN_WORDS`` words per Python worker.
 
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import _powers, mix, text_slices, word_hashes, word_spans
 
 MARK = "▁"
-SHORT = 48            # bytes; longer words are scored one by one in logarithms, and do not train
+SHORT = 48            # bytes; longer words are scored one by one in logarithms, and train in cuts of so many
 BYTE_SCALE = 16.0     # keeps the forward values of short words within floating range
 KNOWN_WORDS = 400_000
 
@@ -162,11 +162,26 @@ def long_word(vocab: Vocabulary, word: bytes, theta: np.ndarray) -> np.ndarray:
     return value[-1]
 
 
+def cut_words(words: list[bytes], counts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The words in cuts of at most ``SHORT`` bytes, between characters, each with the counts of its word."""
+    cuts, owner = [], []
+    for i, w in enumerate(words):
+        at = 0
+        while at < len(w):
+            end = min(at + SHORT, len(w))
+            while end < len(w) and end > at + 1 and w[end] & 0xC0 == 0x80:
+                end -= 1
+            cuts.append(w[at:end])
+            owner.append(i)
+            at = end
+    return cuts, counts[owner]
+
+
 def fit(vocab: Vocabulary, words: list[bytes], counts: np.ndarray, how: Fit) -> np.ndarray:
     """Piece probabilities per language (pieces x languages) from word counts (words x languages)."""
-    short = [i for i, w in enumerate(words) if 0 < len(w) <= SHORT]
+    words, counts = cut_words(words, counts)
     theta = np.full((vocab.size, counts.shape[1]), 1.0 / vocab.size)
-    parts = [(Lattice(vocab, [words[i] for i in short[a : a + 5_000]]), counts[short[a : a + 5_000]]) for a in range(0, len(short), 5_000)]
+    parts = [(Lattice(vocab, words[a : a + 5_000]), counts[a : a + 5_000]) for a in range(0, len(words), 5_000)]
     for _ in range(how.rounds):
         expected = np.full_like(theta, how.prior)
         for lattice, c in parts:
@@ -188,14 +203,14 @@ class Model:
 
 
 def learn(labelled: DataFrame, vocabulary_path: str, how: Fit = Fit()) -> Model:
-    """Fit on ``labelled`` (text, lang): a sample of about ``how.docs`` texts per language, by a hash of the text.
+    """Fit on ``labelled`` (text, lang, and what else tells rows apart): a sample of about ``how.docs`` texts per language, by a hash of the row.
 
     Rows with a null text or language are left out.
     """
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
     chance = F.least(F.lit(1.0), F.lit(float(how.docs)) / F.col("n"))
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    draw = F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.join(F.broadcast(sizes), "lang").where(draw < chance)  # one row per language
     counted = (
         sample.select("lang", F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("word"))
@@ -296,7 +311,7 @@ def default_path() -> str:
 def identify_documents(docs: DataFrame, vocabulary_path: str | None = None, how: Fit = Fit()) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): learnt from the labelled documents outside the held-out fold."""
     path = vocabulary_path or default_path()
-    model = learn(docs.where(~held_out()).select("text", "lang"), path, how)
+    model = learn(docs.where(~held_out()).select("doc_id", "text", "lang"), path, how)
     found = identify(docs, model, more=[F.coalesce(held_out(), F.lit(False)).alias("held_out")])
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
@@ -304,6 +319,6 @@ def identify_documents(docs: DataFrame, vocabulary_path: str | None = None, how:
 def known_language(docs: DataFrame, least: float = 0.5, vocabulary_path: str | None = None, how: Fit = Fit()) -> DataFrame:
     """``docs`` without texts of no language (``und``) or whose best language has under ``least`` of the posterior."""
     path = vocabulary_path or default_path()
-    model = learn(docs.where(~held_out()).select("text", "lang"), path, how)
+    model = learn(docs.where(~held_out()).select("doc_id", "text", "lang"), path, how)
     found = identify(docs, model, more=[F.struct("*").alias("_row")])
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -264,3 +265,29 @@ def test_pipeline_on_odd_documents(spark, odd_documents, tmp_path):
             step = stage(spark, step, str(tmp_path))
             assert step.columns == docs.columns
         assert p.STAGES[-1][1](spark, step, str(tmp_path)).count() >= 0
+
+
+def test_scripts_without_spaces_are_learnt(spark):
+    """Whole paragraphs are one word there; they train and tell the languages apart."""
+    rng = random.Random(11)
+    scripts = {"zh": "的一是在不了有和人这中大为上个国我以要他时来用们生到作地于出就分对成会可主发年动同工也能下过子说产种面而方后多定行学法所民得经", "ja": "のにはをたがでてとしれさあるいもするなんかっまりらこよきじおえみけつわうどちせそふめほくげ日本語文章東京時間人間新聞言葉",
+               "th": "กขคงจชซญดตถทธนบปผพฟมยรลวศสหอะาิีึุูเแโใไ่้็์ฉฝฮณฐ", "en": ""}
+    words = "the of and to in is was he for it with as his on be at by had not are but from or have".split()
+    rows = []
+    for lang, chars in scripts.items():
+        for _ in range(90):
+            text = " ".join(rng.choice(words) for _ in range(40)) if lang == "en" else "".join(rng.choice(chars) for _ in range(rng.randint(60, 200)))
+            rows.append((len(rows), text, lang))
+    got = segment_lid.identify_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    want = {r[0]: r[2] for r in rows}
+    asked = [r for r in got if r["held_out"]]
+    assert len(asked) > 60 and {want[r["doc_id"]] for r in asked} == set(scripts)
+    for lang in scripts:
+        mine = [r for r in asked if want[r["doc_id"]] == lang]
+        assert sum(r["lang_pred"] == lang for r in mine) >= 0.95 * len(mine), lang
+
+
+def test_long_words_are_cut_between_characters():
+    cuts, counts = segment_lid.cut_words(["日本語".encode() * 20, b"short", b"x" * 100], np.arange(6.0).reshape(3, 2))
+    assert b"".join(cuts) == "日本語".encode() * 20 + b"short" + b"x" * 100 and all(len(c) <= segment_lid.SHORT for c in cuts)
+    assert [c.decode() for c in cuts] and counts[:, 0].tolist() == [0.0] * 4 + [2.0] + [4.0] * 3

@@ -19,9 +19,9 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,12 +38,18 @@ BOILERPLATE = frozenset("nav footer aside form menu button select option label f
 ROOTS = frozenset("html body article main".split())
 CLOSED_BY_BLOCK = frozenset({"p"})
 SAME_CLOSES = frozenset("li dt dd tr td th option".split())
-# Words of class, id and role that name parts around the article.
-BAD_WORDS = frozenset(
-    "ad ads advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments commentlist complementary "
-    "consent contentinfo cookie cookies copyright disqus dropdown footer form gdpr login masthead menu modal nav navbar navigation newsletter notice "
-    "notification pager pagination popup promo promoted promotion recommended related reply replies respond search share "
-    "sharing sidebar signup skip social sponsor sponsored subscribe subscription tagcloud toolbar topbar widget".split()
+# Words of class, id and role that name parts around the article. Reader comments stay that whatever is in them;
+# the parts of the second list are left again by an article or main element below them; the third's names also stand on
+# wrappers of articles, so they are one weight among the others.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
+PART_WORDS = frozenset(
+    "ad ads advert advertisement advertising adverts breadcrumb breadcrumbs complementary consent contentinfo cookie cookies copyright footer gdpr "
+    "login masthead menu modal nav navbar navigation newsletter pager pagination popup promo promoted promotion signup sponsor "
+    "sponsored subscribe subscription".split()
+)
+DOUBTFUL_WORDS = frozenset(
+    "alert banner dropdown form header notice notification recommended related search share sharing sidebar skip social tagcloud toolbar "
+    "topbar widget".split()
 )
 GOOD_WORDS = frozenset("article articlebody body content entry main post story text".split())
 QUALIFIERS = frozenset("has with no without show hide".split())
@@ -65,6 +71,7 @@ class Weights:
     copyright: float = -4.0
     good_word: float = 1.5
     bad_part: float = -25.0
+    doubtful_name: float = -6.0
     neighbours: float = 0.5
     siblings: float = 0.8
 
@@ -77,7 +84,24 @@ class Block:
     article: bool
     bad: bool
     good: bool
-    tags: frozenset = field(default_factory=frozenset)
+    doubtful: bool = False
+    heading: bool = False
+    listed: bool = False
+
+
+@dataclass
+class Open:
+    """An open element, with what holds for the text in it."""
+
+    name: str
+    number: int
+    bad: bool = False       # an element around the article, hidden, or reader comments
+    part: bool = False      # named as a part around the article
+    doubtful: bool = False
+    good: bool = False
+    article: bool = False
+    holder: int = 0         # number of the container that its blocks belong to
+    block: int = 0          # place in the stack of the innermost block element
 
 
 _TOKEN = re.compile(
@@ -90,9 +114,9 @@ _TOKEN = re.compile(
 _NAMES = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 
 
-def _names(attrs: str) -> tuple[bool, bool]:
-    """Whether class, id or role name a part around the article, or the article itself."""
-    bad = good = False
+def _names(attrs: str) -> tuple[bool, bool, bool, bool]:
+    """Whether class, id or role hide the element or name reader comments; a part around the article; perhaps such a part; the article."""
+    bad = part = doubtful = good = False
     for key, value in _NAMES.findall(attrs):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
@@ -102,17 +126,19 @@ def _names(attrs: str) -> tuple[bool, bool]:
                 words = [w for w in re.split(r"[^a-z]+", name) if w]
                 if not words or words[0] in QUALIFIERS:
                     continue
-                bad = bad or not BAD_WORDS.isdisjoint(words)
+                bad = bad or not COMMENT_WORDS.isdisjoint(words)
+                part = part or not PART_WORDS.isdisjoint(words) and words[0] not in GOOD_WORDS
+                doubtful = doubtful or not DOUBTFUL_WORDS.isdisjoint(words)
                 good = good or not GOOD_WORDS.isdisjoint(words)
-    return bad, good
+    return bad, part, doubtful and not good, good
 
 
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order, with white space collapsed and character references decoded."""
     out: list[Block] = []
-    # open elements: (name, number, bad, good, in article)
-    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
-    number = links = in_link = 0
+    stack = [Open("", 0)]
+    open_names: Counter[str] = Counter()
+    number = links = 0
     parts: list[str] = []
 
     def flush() -> None:
@@ -120,19 +146,22 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                holder = next((e for e in reversed(stack) if e[0] in BLOCK and e[0] != "p" and e[0] not in HEADINGS), stack[0])
-                top = stack[-1]
-                tags = frozenset(e[0] for e in stack)
-                out.append(Block(text, links, holder[1], top[4], top[2], top[3], tags))
+                e = stack[-1]
+                heading, listed = any(open_names[h] for h in HEADINGS), open_names["li"] > 0
+                out.append(Block(text, links, e.holder, e.article, e.bad or e.part, e.good, e.doubtful, heading, listed))
         parts, links = [], 0
 
     def text_of(s: str) -> None:
         nonlocal links
         if s:
             parts.append(s)
-            if in_link:
+            if open_names["a"]:
                 links += len(s.strip())
 
+    def close(size: int) -> None:
+        while len(stack) > size:
+            open_names[stack.pop().name] -= 1
+
     at = 0
     for m in _TOKEN.finditer(page):
         text_of(page[at : m.start()])
@@ -147,28 +176,37 @@ def blocks(page: str) -> list[Block]:
         if name in BLOCK:
             flush()
         if m["close"]:
-            if any(e[0] == name for e in stack):
-                while stack[-1][0] != name:
-                    stack.pop()
-                stack.pop()
-            in_link = sum(e[0] == "a" for e in stack)
+            if open_names[name]:
+                size = len(stack)
+                while stack[size - 1].name != name:
+                    size -= 1
+                close(size - 1)
             continue
         if name in VOID:
             continue
-        if name in BLOCK and stack[-1][0] in CLOSED_BY_BLOCK or name in SAME_CLOSES and stack[-1][0] == name:
-            stack.pop()
+        if name in BLOCK and stack[-1].name in CLOSED_BY_BLOCK or name in SAME_CLOSES and stack[-1].name == name:
+            close(len(stack) - 1)
         if name in BLOCK and name != "div" and name != "section":  # formatting left open inside a paragraph ends with it
-            open_p = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in BLOCK), 0)
-            if stack[open_p][0] in CLOSED_BY_BLOCK:
-                del stack[open_p:]
+            inner = stack[-1].block
+            if stack[inner].name in CLOSED_BY_BLOCK:
+                close(inner)
         number += 1
-        _, _, bad, good, article = stack[-1]
-        own_bad, own_good = _names(m["attrs"] or "") if name not in ROOTS else (False, True)
-        if name == "header" and not article:
-            own_bad = True
-        article = article or name in ("article", "main")
-        stack.append((name, number, bad or own_bad or name in BOILERPLATE, good or own_good and name not in ("html", "body"), article))
-        in_link += name == "a"
+        up = stack[-1]
+        bad, part, doubtful, good = _names(m["attrs"] or "") if name not in ROOTS else (False, False, False, True)
+        if name == "article":  # an article element may be a reader's comment
+            bad = _names(m["attrs"] or "")[0]
+        whole = name in ("article", "main")
+        reset = whole or good and not part
+        out_of = Open(
+            name, number, up.bad or bad or name in BOILERPLATE or name == "header" and not up.article, up.part and not whole or part,
+            up.doubtful and not reset or doubtful, up.good or good and name not in ("html", "body"), up.article or whole, up.holder, up.block,
+        )
+        if name in BLOCK:
+            out_of.block = len(stack)
+            if name != "p" and name not in HEADINGS:
+                out_of.holder = number
+        stack.append(out_of)
+        open_names[name] += 1
     text_of(page[at:])
     flush()
     return out
@@ -182,10 +220,10 @@ def odds(b: Block, w: Weights) -> float:
         s += w.sentence
     s += w.comma * min(3, b.text.count(","))
     s += w.article * b.article + w.good_word * (b.good and not b.article)
-    s += w.heading * (not b.tags.isdisjoint(HEADINGS)) + w.list_item * ("li" in b.tags)
+    s += w.heading * b.heading + w.list_item * b.listed
     if n < 200 and ("©" in b.text or "all rights reserved" in b.text.lower()) and not b.article:
         s += w.copyright
-    return s + w.bad_part * b.bad
+    return s + w.bad_part * b.bad + w.doubtful_name * b.doubtful
 
 
 def min_cut(unary: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:

@@ -238,3 +238,41 @@ def test_odd_page_rows(spark):
     got = sorted(map(str, (tuple(r) for r in page_text.extract(pages).collect())))
     assert got == sorted(map(str, [(1, "u", "", 0), (1, "u", "", 0), (None, None, "Some text, in it.", 17), (2, "u", "", 0)]))
     assert page_text.extract(pages.limit(0)).collect() == []
+
+
+STORY = (
+    "<p>The river had risen overnight, and by the morning the lower fields were under water. Farmers moved their animals to the hill, "
+    "while the town council opened the school as a shelter.</p><p>Nobody was hurt, the mayor said, although two bridges stay closed until "
+    "the engineers have checked them, which may take a week or more.</p>"
+)
+AROUND = (
+    '<div class="comments"><div class="comment"><p>I really liked this article, thanks for it. It helped me a lot, and my family too, more than '
+    'I could say here.</p></div></div><div class="ad">Buy now, best price in town, do not miss it. More words here, and more. And more, and more.</div>'
+)
+
+
+@pytest.mark.parametrize("name", [
+    "elementor-widget elementor-widget-text-editor", "content-sidebar-wrap", "post related-post-layout", "social-history", "layout-sidebar",
+])
+def test_names_on_wrappers_do_not_outweigh_the_article(name):
+    plain = page_text.main_text(f"<html><body><article>{STORY}</article></body></html>")
+    assert plain.count("\n\n") == 1
+    for body in (f'<div class="{name}"><article>{STORY}</article></div>', f'<article><div class="{name}">{STORY}</div></article>'):
+        assert page_text.main_text(f"<html><body><nav><a href='x'>Home</a></nav>{body}{AROUND}</body></html>") == plain
+
+
+def test_comments_and_named_parts_still_go():
+    plain = page_text.main_text(f"<html><body><article>{STORY}</article></body></html>")
+    comment = "<p>" + "I really liked this article, thanks for it. " * 8 + "</p>"
+    for part in (f'<div class="comment-list"><article class="comment-body">{comment}</article></div>', f'<section id="replies">{comment}</section>',
+                 f'<div class="ads">{comment}</div>', f'<div class="cookie-notice">{comment}</div>', f"<aside>{comment}</aside>", f"<div hidden>{comment}</div>"):
+        assert page_text.main_text(f"<html><body><article>{STORY}{part}</article></body></html>") == plain, part
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    begin = time.time()
+    page = "<div>" * 100_000 + "<b>" * 50_000 + STORY + "</div>" * 100_000
+    assert "Farmers moved" in page_text.main_text(page)
+    assert time.time() - begin < 30

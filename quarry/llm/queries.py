@@ -55,7 +55,7 @@ def op8_page_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op9_site_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Every document without the lines that over a tenth of its source's documents hold."""
+    """Every document without the lines that over one in 200 of its source's documents hold."""
     out = site_lines.drop_site_lines(read(spark, d, "documents"), F.col("source"), counts=("n_lines", "n_dropped"))
     return out.select("doc_id", "text", "n_lines", "n_dropped")
 

@@ -45,7 +45,7 @@ def boilerplate_lines(pages: DataFrame, ratio: float, min_pages: int) -> DataFra
 
 
 def drop_site_lines(
-    docs: DataFrame, host: Column, text_col: str = "text", ratio: float = 0.1, min_pages: int = 3,
+    docs: DataFrame, host: Column, text_col: str = "text", ratio: float = 0.005, min_pages: int = 3,
     counts: tuple[str, str] | None = None, broadcast_lines: int = BROADCAST_LINES,
 ) -> DataFrame:
     """``docs`` with the boilerplate lines of each host taken out of ``text_col``.
@@ -83,7 +83,7 @@ WITH lines AS (
 held AS (SELECT source, k, count(DISTINCT doc_id) AS n FROM lines WHERE k <> '' GROUP BY source, k),
 bad AS (
   SELECT h.source, h.k FROM held h JOIN totals t ON h.source IS NOT DISTINCT FROM t.source
-  WHERE h.n >= 3 AND h.n > 0.1 * t.total
+  WHERE h.n >= 3 AND h.n > 0.005 * t.total
 ), marked AS (
   SELECT l.*, b.k IS NOT NULL AS dropped
   FROM lines l LEFT JOIN bad b ON l.source IS NOT DISTINCT FROM b.source AND l.k = b.k

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Largest number of text bytes that one numpy pass handles; a longer single text is one pass of its own.
 SLICE_BYTES = 1 << 20
-CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# How a step that is stored runs: bounded Arrow batches, shuffle files removed at its end.
+STEP_CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,21 +29,33 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back, so that later steps never recompute it.
 
-    The folder belongs to the caller's ``spark.checkpoint.dir`` and is cleaned up with it. What the step shuffled goes
-    as soon as it is written.
+    The folder belongs to the caller's ``spark.checkpoint.dir`` and is cleaned up with it; ``released`` removes it earlier. While the
+    step runs, Arrow batches hold a bounded number of bytes, and what it shuffled goes as soon as it is written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEAN_UP, None)
-    spark.conf.set(CLEAN_UP, "true")
+    before = {k: spark.conf.get(k, None) for k in STEP_CONF}
     try:
-        df.write.parquet(path)
+        for k, v in STEP_CONF.items():
+            spark.conf.set(k, v)
+        df.write.option("compression", codec).parquet(path)
     finally:
-        spark.conf.set(CLEAN_UP, before) if before is not None else spark.conf.unset(CLEAN_UP)
-    return spark.read.schema(df.schema).parquet(path)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def released(*frames: DataFrame) -> None:
+    """Remove the files of tables from ``stored`` that no later step reads, in whichever file system they lie."""
+    for df in frames:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def fresh(df: DataFrame, *wanted: str) -> list[str]:

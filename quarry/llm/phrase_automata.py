@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
-from quarry.llm.common import _BASE, _SPACE, mix, stored, text_slices
+from quarry.llm.common import _BASE, _SPACE, mix, released, stored, text_slices
 from quarry.llm.word_bytes import as_strings, exact_hashes, join_words, ranges, spans
 
 DIGIT = 128
@@ -191,9 +191,9 @@ def first_documents(texts: pa.Array, least: pa.Array, most: pa.Array, shape: Pas
 
 
 def located(found: DataFrame, shape: Passages) -> DataFrame:
-    """(doc_id, tkey, starts): the first words of each document's windows that also start in a smaller one."""
+    """(doc_id, tkey, starts): the first words of each document's windows that also start in a smaller one. ``found`` is stored, and released."""
     distinct = found.groupBy("route", "phrase").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    distinct = stored(distinct.withColumn("pkey", F.xxhash64("phrase")), "passage-phrases")
+    distinct = stored(distinct.withColumn("pkey", F.xxhash64("phrase")), "passage-phrases", "zstd")
     total = distinct.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
     shards = max(1, -(-total // shape.shard_bytes))
     firsts_type = f"route long, pkey long, firsts array<{distinct.schema['least'].dataType.simpleString()}>"
@@ -208,10 +208,14 @@ def located(found: DataFrame, shape: Passages) -> DataFrame:
 
     dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(int(shards))))
     firsts = stored(dealt.groupBy("shard").applyInArrow(shard, firsts_type), "passage-firsts")
-    places = found.select("route", F.xxhash64("phrase").alias("pkey"), "doc_id", "tkey", "place").join(firsts, ["route", "pkey"])
+    placed = stored(found.select("route", F.xxhash64("phrase").alias("pkey"), "doc_id", "tkey", "place"), "passage-places")
+    released(distinct, found)
+    places = placed.join(firsts, ["route", "pkey"])
     later = F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("doc_id"), F.col("place") + i)), lambda x: x.isNotNull())
     places = places.select("doc_id", "tkey", later.alias("starts")).where(F.size("starts") > 0)
-    return places.groupBy("doc_id", "tkey").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    starts = stored(places.groupBy("doc_id", "tkey").agg(F.flatten(F.collect_list("starts")).alias("starts")), "passage-starts")
+    released(firsts, placed)
+    return starts
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shape: Passages = Passages()) -> DataFrame:
@@ -228,7 +232,10 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.collect_set("anchor").alias("marks"), F.collect_set(F.when(F.col("hot"), F.col("anchor"))).alias("hot")
     )
     keyed = rows.withColumn("tkey", F.xxhash64("text"))
-    found = stored(phrases(keyed.where("text IS NOT NULL").join(stored(marks, "passage-marks"), "doc_id"), shape), "passage-places")
+    marks = stored(marks, "passage-marks")
+    released(recurring)
+    found = stored(phrases(keyed.where("text IS NOT NULL").join(marks, "doc_id"), shape), "passage-found", "zstd")
+    released(marks)
     spans_of = located(found, shape)
     schema = StructType([rows.schema["doc_id"], *StructType.fromDDL(
         "n_words long, n_removed long, kept string, removed array<struct<start: bigint, end: bigint>>").fields])

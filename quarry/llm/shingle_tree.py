@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import mix, stored, text_slices, word_hashes, word_spans
+from quarry.llm.common import mix, released, stored, text_slices, word_hashes, word_spans
 from quarry.llm.components import components
 
 WORDS = 5
@@ -47,6 +47,8 @@ CHUNK = 512          # classes per chunk of a large bucket
 FINE = 2048          # groups of the finer counts that a pair is checked with before its sets are read
 SMALL = 8            # buckets of up to so many classes are one leaf: their pairs are bounded together
 LEAF = 16            # classes per R-tree leaf, and children per node
+SET_BYTES = 2 << 20  # sets and counts that a task gives at a time, or one larger set
+TOLD = 1_000_000     # pairs a task remembers to have given; beyond it a pair may come twice, and is made distinct later
 
 
 @dataclass(frozen=True)
@@ -223,20 +225,30 @@ def _counted(grams: np.ndarray, groups: int) -> bytes:
 def _sets(texts: DataFrame) -> DataFrame:
     """(class, n, counts, fine, grams): the set of each text, and its shingles per group, coarse and fine (one byte a group)."""
 
+    def out(sets: list[np.ndarray]) -> pa.RecordBatch:
+        counts, fine = ([_counted(g, k) for g in sets] for k in (GROUPS, FINE))
+        offsets = np.append(0, np.cumsum([len(g) for g in sets]))
+        grams = pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64)))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([class_key(g) for g in sets], pa.int64()), pa.array([len(g) for g in sets], pa.int64()),
+                pa.array(counts, pa.binary()), pa.array(fine, pa.binary()), grams.cast(pa.list_(pa.int64())),
+            ], ["class", "n", "counts", "fine", "grams"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: list[np.ndarray] = []
+        size = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                sets = [g for _, g in shingle_sets(batch.column(1).slice(at, 500)) if len(g)]
-                if not sets:
-                    continue
-                counts, fine = ([_counted(g, k) for g in sets] for k in (GROUPS, FINE))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([class_key(g) for g in sets], pa.int64()), pa.array([len(g) for g in sets], pa.int64()),
-                        pa.array(counts, pa.binary()), pa.array(fine, pa.binary()),
-                        pa.array([g.view(np.int64) for g in sets], pa.list_(pa.int64())),
-                    ], ["class", "n", "counts", "fine", "grams"],
-                )
+            for _, g in shingle_sets(batch.column(1)):
+                if len(g):
+                    sets.append(g)
+                    size += g.nbytes + GROUPS + FINE
+                if size > SET_BYTES:
+                    yield out(sets)
+                    sets, size = [], 0
+        if sets:
+            yield out(sets)
 
     # a class has one row here unless ids repeat; then its pairs are found twice, and made distinct later
     return texts.mapInArrow(run, "class long, n long, counts binary, fine binary, grams array<long>")
@@ -317,7 +329,7 @@ def _tree_pairs(units: DataFrame, t: Threshold) -> DataFrame:
                     told, told_of = np.zeros(0, np.uint64), tuple(group)
                 code = mix(pairs[:, 0].copy().view(np.uint64) ^ mix(pairs[:, 1].copy().view(np.uint64)))
                 new = ~np.isin(code, told)
-                pairs, told = pairs[new], np.concatenate([told, code[new]])
+                pairs, told = pairs[new], np.concatenate([told, code[new]])[-TOLD:]
             if len(pairs):
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
 
@@ -409,11 +421,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
             pairs = pairs.join(side.join(F.broadcast(asked) if few else asked, x, "left_semi"), x)
         return pairs
 
-    fine = joined(stored(pairs.distinct(), "shingle-pairs"), "fine").select("a", "n_a", "fine_a", "b", "n_b", "fine_b")
-    near = joined(stored(_bounded(fine, t).distinct(), "shingle-pairs"), "grams")
+    asked = stored(pairs.distinct(), "shingle-pairs")
+    fine = joined(asked, "fine").select("a", "n_a", "fine_a", "b", "n_b", "fine_b")
+    bounded = stored(_bounded(fine, t).distinct(), "shingle-pairs")
+    near = joined(bounded, "grams")
     both = F.size(F.array_intersect("grams_a", "grams_b"))
     union = F.col("n_a") + F.col("n_b") - both
-    return near.where(F.lit(t.whole) * both >= F.lit(t.part) * union).select("a", "b").distinct()
+    links = stored(near.where(F.lit(t.whole) * both >= F.lit(t.part) * union).select("a", "b").distinct(), "shingle-links")
+    released(asked, bounded)
+    return links
 
 
 def _joined_parts(buckets: DataFrame, links: DataFrame) -> DataFrame:
@@ -442,16 +458,20 @@ def near_documents(
         named.where("doc_id IS NOT NULL AND n > 0").groupBy("class").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "shingle-classes"
     )
     buckets = stored(shared_buckets(_prefixes(texts, common, t)), "shingle-buckets")
-    buckets = stored(told_apart(buckets), "shingle-buckets")
+    every = buckets
+    buckets = stored(told_apart(every), "shingle-buckets")
+    released(every)
     wanted = classes.join(buckets.select("class").distinct(), "class", "left_semi")
     sets = stored(_sets(_rereads(texts, wanted.select(F.col("rep").alias("doc_id")), broadcast_ids)), "shingle-sets")
 
     centre = buckets.groupBy("key").agg(F.min_by("class", F.xxhash64("class", "key")).alias("centre"))
     spokes = buckets.join(centre, "key").where("class <> centre").select(
         F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b"))
-    links = stored(_verified(spokes, sets, t), "shingle-links")
+    links = _verified(spokes, sets, t)
     mixed = stored(_joined_parts(buckets, links).join(sets.select("class", "n", "counts"), "class"), "shingle-mixed")
-    more = stored(_verified(_tree_pairs(_units(mixed), t), sets, t), "shingle-links")
+    released(buckets)
+    more = _verified(_tree_pairs(_units(mixed), t), sets, t)
+    released(mixed, sets)
 
     by_rep = links.union(more)
     for x in ("a", "b"):

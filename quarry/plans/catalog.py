@@ -160,6 +160,14 @@ def q_pct_days_high_above(spark, d):
     return px.pct_above(standins.prices(spark, d), "high", HIGH_ABOVE, "pct_days_high_above")
 
 
+def q_pct_days_high_above_half_even(spark, d):
+    return px.pct_above_half_even(standins.prices(spark, d), "high", HIGH_ABOVE, "pct_days_high_above")
+
+
+def q_eur_pct_high_above_half_even(spark, d):
+    return px.pct_above_half_even(_converted(spark, d), "high_eur", HIGH_ABOVE, "pct_days_high_eur_above")
+
+
 def q_max_high_by_year(spark, d):
     return px.extreme_by_year(standins.prices(spark, d), "high", "max", "max_high")
 
@@ -260,6 +268,10 @@ def q_parse_dates(spark, d):
     return walkthrough.parse_dates(table(spark, d, "orders"))
 
 
+def q_orders_by_status(spark, d):
+    return walkthrough.orders_by_status(table(spark, d, "orders"))
+
+
 def q_word_count(spark, d):
     return word_count(table(spark, d, "documents"), "text")
 
@@ -390,7 +402,7 @@ SURVEY_IDS: dict[str, tuple[str, ...]] = {
     "top10_items": ("M3", "A4", "O4"),
     "users_below_threshold": ("M4", "F9"),
     "spending_of_users_below": ("F9", "K6", "S11", "V1"),
-    "inferred_comma_separated": ("S2", "K1"),
+    "inferred_comma_separated": ("W1", "S2", "K1"),
     "headed_lines_income": ("S5", "F6", "F7"),
     "roundtrip_tuple_text": ("K2",),
     "stored_schema": ("K7", "W4"),
@@ -398,6 +410,9 @@ SURVEY_IDS: dict[str, tuple[str, ...]] = {
     "busiest_month_sales": ("L2", "J1"),
     "totals_of_all_sizes": ("A1", "A10"),
     "half_even_charges": ("X2",),
+    "pct_days_high_above_half_even": ("N6", "A9", "X2"),
+    "eur_pct_high_above_half_even": ("E6", "A9", "X2"),
+    "orders_by_status": ("W7", "S8", "S10"),
     "full_name": ("W2", "X8"),
     "conform_flat": ("W3", "P2", "P3", "P6", "P7", "X8"),
     "conform_nested": ("W5", "S7", "P11", "X9", "X10", "X11"),

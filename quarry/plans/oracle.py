@@ -9,6 +9,7 @@ plain SQL so the two engines share no code.
 from __future__ import annotations
 
 from quarry.plans import catalog as cat
+from quarry.plans.walkthrough import STATUS_ROWS
 
 WORD_SPLIT = r"[ \t\n\r\f]+"
 
@@ -160,6 +161,11 @@ def _half_even(x: str, digits: int) -> str:
     return f"CASE WHEN {x} < 0 THEN -1 ELSE 1 END * ({whole} + {up})::DOUBLE / {10**digits}"
 
 
+def _half_even_share(rel: str, cond: str, out: str) -> str:
+    share = f"CAST(COUNT(*) FILTER (WHERE {cond}) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * CAST(100 AS DOUBLE)"
+    return f"SELECT {_half_even('share', 2)} AS {out} FROM (SELECT {share} AS share FROM {rel})"
+
+
 def _month_sums(where: str) -> str:
     return (
         f"SELECT strftime(l_shipdate, '%Y-%m') AS ship_month, COUNT(*) AS lines, {_sum('l_quantity')} AS quantity, "
@@ -263,6 +269,7 @@ SQL: dict[str, str] = {
     "days_close_above": _px(f"SELECT * FROM prices WHERE close > {cat.CLOSE_ABOVE}"),
     "days_close_above_count": _px(f"SELECT COUNT(*) AS days FROM prices WHERE close > {cat.CLOSE_ABOVE}"),
     "pct_days_high_above": _px(f"SELECT {_share(f'high > {cat.HIGH_ABOVE}')} AS pct_days_high_above FROM prices"),
+    "pct_days_high_above_half_even": _px(_half_even_share("prices", f"high > {cat.HIGH_ABOVE}", "pct_days_high_above")),
     "max_high_by_year": _px(_by_year("prices", "high", "MAX", "max_high")),
     "mean_close_by_month": _px(_by_month("prices", "close", "mean_close")),
     # converted prices
@@ -275,6 +282,7 @@ SQL: dict[str, str] = {
     "eur_pct_high_above": _eur(
         f"SELECT {_share(f'high_eur > {cat.HIGH_ABOVE}')} AS pct_days_high_eur_above FROM converted"
     ),
+    "eur_pct_high_above_half_even": _eur(_half_even_share("converted", f"high_eur > {cat.HIGH_ABOVE}", "pct_days_high_eur_above")),
     "eur_max_high_by_year": _eur(_by_year("converted", "high_eur", "MAX", "max_high_eur")),
     "eur_min_high_by_year": _eur(_by_year("converted", "high_eur", "MIN", "min_high_eur")),
     "eur_mean_close_by_month": _eur(_by_month("converted", "close_eur", "mean_close_eur")),
@@ -293,6 +301,11 @@ SQL: dict[str, str] = {
     ),
     "users_below_threshold": f"SELECT * FROM ({_MEAN_BY_USER}) m WHERE mean_rating < {cat.RATING_BELOW}",
     # walkthrough
+    "orders_by_status": (
+        "SELECT s.status, s.meaning, COUNT(o.o_orderkey) AS orders FROM (VALUES "
+        + ", ".join(f"('{a}', '{b}')" for a, b in STATUS_ROWS)
+        + ") s(status, meaning) LEFT JOIN orders o ON o.o_orderstatus = s.status GROUP BY s.status, s.meaning"
+    ),
     "full_name": "SELECT c_custkey, c_name || ', ' || CAST(c_nationkey AS VARCHAR) AS full_name FROM customer",
     "conform_flat": _CONFORM_FLAT,
     "conform_nested": _CONFORM_NESTED,

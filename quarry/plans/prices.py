@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.dates import month_of, year_of
 from quarry.functions.money import exact_mean, round_half_up
+from quarry.functions.rounding import round_half_even
 from quarry.operators.relational import count_rows, rows_at_extreme, share_where
 
 
@@ -45,6 +46,12 @@ def pct_above(p: DataFrame, col: str, threshold: float, out: str) -> DataFrame:
     return share_where(p, F.col(col) > F.lit(threshold), out)
 
 
+def pct_above_half_even(p: DataFrame, col: str, threshold: float, out: str) -> DataFrame:
+    """The same share as a quotient of doubles times 100, rounded as Python rounds it: by its binary value, ties to even."""
+    share = F.count_if(F.col(col) > F.lit(threshold)).cast("double") / F.nullif(F.count(F.lit(1)), F.lit(0)).cast("double") * F.lit(100.0)
+    return p.agg(share.alias("share")).select(round_half_even("share").alias(out))
+
+
 def extreme_by_year(p: DataFrame, col: str, how: str, out: str) -> DataFrame:
     """(year, out): rounded max/min of ``col`` per calendar year."""
     agg = {"max": F.max, "min": F.min}[how]

@@ -18,11 +18,16 @@ from quarry.functions.text import join_name, part
 from quarry.operators.conform import composite_id, conform, unite
 from quarry.operators.replicate import midpoint, replicate
 from quarry.sources.delimited import join_fields, split_to_schema
+from quarry.sources.rows import rows_frame
 
 # The common party schema both sources are conformed to.
 PARTY_COLUMNS = ("datasetId", "name", "state", "type", "geoX", "geoY", "dateEnd", "county", "id")
 PARTY_TYPES = {"geoX": "double", "geoY": "double", "dateEnd": "string"}
 
+# Rows held by the driver, and their declared schema.
+STATUS_ROWS = (("F", "filled"), ("O", "open"), ("P", "in part"), ("X", "withdrawn"))
+STATUS_SCHEMA = "status STRING, meaning STRING"
+
 # Declared schema of the nested supplier documents.
 SUPPLIER_DOC_SCHEMA = StructType(
     [
@@ -198,3 +203,15 @@ def timed_steps(spark, data_dir: str, copies: int = COPIES, mode: str = "col") -
     marks.append(time.perf_counter())
     steps = ["load", "build", "clean", "transform", "action"]
     return {s: round((b - a) * 1000, 3) for s, a, b in zip(steps, marks, marks[1:])}
+
+
+def orders_by_status(orders: DataFrame, late_rows: list | tuple = ()) -> DataFrame:
+    """(status, meaning, orders): driver rows as a table under a declared schema, with the number of orders of each; 0 where none.
+
+    Orders are counted first, so a status with most of them is a row per task. ``late_rows`` may add to the list; an empty one
+    is an empty table of the same schema.
+    """
+    spark = orders.sparkSession
+    names = rows_frame(spark, STATUS_ROWS, STATUS_SCHEMA).union(rows_frame(spark, late_rows, STATUS_SCHEMA))
+    counts = orders.groupBy(F.col("o_orderstatus").alias("__status")).agg(F.count(F.lit(1)).alias("__n"))
+    return names.join(counts, F.col("status") == F.col("__status"), "left").select("status", "meaning", F.coalesce("__n", F.lit(0)).cast("long").alias("orders"))

@@ -23,7 +23,7 @@ from quarry.operators.wordcount import word_count
 from quarry.plans import prices as px
 from quarry.plans import ratings as rt
 from quarry.plans import retail, revenue, views
-from quarry.session import kept, require_ansi
+from quarry.session import ensure_checkpoint_dir, kept, remove_path, require_ansi
 from quarry.sinks import write_csv, write_tuple_text
 from quarry.sources.delimited import read_delimited, read_lines, read_split_text, read_typed
 
@@ -197,6 +197,7 @@ def main(argv: list[str]) -> int:
         for name, path in write_results(fn(spark, *argv[2:-1]), argv[-1]).items():
             print(f"{name}\t{path}")
     finally:
+        remove_path(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/kept")  # of this application alone
         spark.stop()
     return 0
 

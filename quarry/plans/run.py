@@ -29,7 +29,7 @@ from quarry.plans import prices as px
 from quarry.plans import ratings as rt
 from quarry.plans import retail, revenue, standins, walkthrough
 from quarry.plans.roundtrip import NULL
-from quarry.session import ensure_checkpoint_dir, kept, require_ansi
+from quarry.session import drop_kept, ensure_checkpoint_dir, kept, require_ansi
 from quarry.sinks import write_bucketed, write_csv
 from quarry.sources.delimited import read_delimited
 from quarry.sources.tables import table
@@ -79,6 +79,11 @@ class Shared:
             self._cache[name] = kept(df, name) if self._reliable else df
         return self._cache[name]
 
+    def release(self) -> None:
+        """Remove the files of the relations kept for this run."""
+        drop_kept(*self._cache.values())
+        self._cache.clear()
+
     @property
     def stays_income(self) -> DataFrame:
         """Stays left-joined to income once for all revenue questions."""
@@ -221,7 +226,7 @@ def run(
 ) -> dict[str, str]:
     """Write every selected result to ``out_dir/<name>`` (CSV with header).
 
-    Returns name -> path. Results are also registered as temp views under
+    Returns name -> path. The shared relations are removed when the run ends. Results are also registered as temp views under
     their names; SQL over the views (``VIEW_QUERIES``) is written the same way.
     ``colocate`` (a bucket count) first rewrites the order-keyed fact tables
     bucketed by order key (see ``colocated_table``).
@@ -233,27 +238,34 @@ def run(
     if unknown := [n for n in wanted if n not in OUTPUTS and n not in VIEW_QUERIES]:
         raise ValueError(f"no such result: {', '.join(unknown)}")
     written: dict[str, str] = {}
-    for name in wanted:
-        if name not in OUTPUTS:
-            continue
-        spec = OUTPUTS[name]
-        df = spec.build(shared)
-        path = os.path.join(out_dir, name)
-        write_csv(df, path, files=spec.files, by=spec.by, sort_within=spec.sort_within, null=NULL)
-        # the view reads the written result: SQL over it never recomputes the question
-        text = any(t == "string" for _, t in df.dtypes)
-        read_delimited(spark, path, header=True, schema=df.schema, null=NULL, multiline=text).createOrReplaceTempView(name)
-        written[name] = path
-    for name in wanted:
-        if name not in VIEW_QUERIES:
-            continue
-        view, sql, args = VIEW_QUERIES[name]
-        if view not in written:
-            spec = OUTPUTS[view]
-            spec.build(shared).createOrReplaceTempView(view)
-        path = os.path.join(out_dir, name)
-        write_csv(spark.sql(sql, args=args), path)
-        written[name] = path
+    helpers: list[str] = []
+    try:
+        for name in wanted:
+            if name not in OUTPUTS:
+                continue
+            spec = OUTPUTS[name]
+            df = spec.build(shared)
+            path = os.path.join(out_dir, name)
+            write_csv(df, path, files=spec.files, by=spec.by, sort_within=spec.sort_within, null=NULL)
+            # the view reads the written result: SQL over it never recomputes the question
+            text = any(t == "string" for _, t in df.dtypes)
+            read_delimited(spark, path, header=True, schema=df.schema, null=NULL, multiline=text).createOrReplaceTempView(name)
+            written[name] = path
+        for name in wanted:
+            if name not in VIEW_QUERIES:
+                continue
+            view, sql, args = VIEW_QUERIES[name]
+            if view not in written:
+                OUTPUTS[view].build(shared).createOrReplaceTempView(view)
+                helpers.append(view)
+            path = os.path.join(out_dir, name)
+            write_csv(spark.sql(sql, args=args), path)
+            written[name] = path
+    finally:
+        # what only this run read goes with it: views over questions not asked for, then the shared relations
+        for view in helpers:
+            spark.catalog.dropTempView(view)
+        shared.release()
     return written
 
 

@@ -80,7 +80,22 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kept/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._kept_at = path
+    return out
+
+
+def drop_kept(*frames: DataFrame) -> None:
+    """Remove the files of relations from ``kept`` once no question reads them; frames that were not kept are left alone."""
+    for df in frames:
+        if path := getattr(df, "_kept_at", None):
+            remove_path(df.sparkSession, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the caller's own, in whichever file system it lies."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def require_ansi(spark: SparkSession) -> None:

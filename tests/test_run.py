@@ -98,3 +98,15 @@ def test_unknown_results_are_refused(spark, scratch):
 def test_results_without_a_layout_are_written(spark, scratch):
     written = run(spark, SMOKE_DIR, scratch, ["lines_in_list", "conform_nested"], reliable=False)
     assert spark.table("lines_in_list").count() > 0 and set(written) == {"lines_in_list", "conform_nested"}
+
+
+def test_a_run_leaves_no_shared_relation_and_no_helper_view(spark, scratch):
+    from quarry.session import ensure_checkpoint_dir
+
+    kept_dir = os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), "kept")
+    before = set(os.listdir(kept_dir)) if os.path.exists(kept_dir) else set()
+    spark.catalog.dropTempView("mean_by_user")
+    written = run(spark, SMOKE_DIR, scratch, ["no_revenue", "eur_mean_close", "users_below_threshold"])
+    assert set(written) == {"no_revenue", "eur_mean_close", "users_below_threshold"}
+    assert set(os.listdir(kept_dir)) == before
+    assert "mean_by_user" not in {t.name for t in spark.catalog.listTables()}

@@ -41,3 +41,12 @@ def test_views_with_bound_parameters(spark):
     assert rows(views.query(spark, "SELECT user_id FROM ratings_view WHERE mean_rating < :t", t=4)) == [(1,)]
     # a parameter is a value, never SQL text
     assert views.query(spark, "SELECT count(*) FROM ratings_view WHERE :t = 'x OR 1=1'", t="1").first()[0] == 0
+
+
+def test_driver_rows_keep_statuses_without_orders(spark):
+    from quarry.plans.walkthrough import STATUS_ROWS, orders_by_status
+
+    orders = spark.createDataFrame([("F",), ("F",), ("P",), (None,), ("?",)], "o_orderstatus string")
+    got = {r["status"]: r["orders"] for r in orders_by_status(orders, [("Z", "late")]).collect()}
+    assert got == {"F": 2, "P": 1, "O": 0, "X": 0, "Z": 0}
+    assert orders_by_status(orders.limit(0)).count() == len(STATUS_ROWS)

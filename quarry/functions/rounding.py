@@ -3,8 +3,10 @@
 ``2.675`` is stored as 2.67499999999999982…, so it rounds to 2.67; ``0.125`` is stored exactly and its tie goes to
 the even 0.12. ``money.round_half_up`` reads the printed decimal instead (2.68 and 0.13).
 
-A double's part after the point is a whole number of 2^-90 (below that it is too small to matter for ten digits). Two
-64-bit steps take it out without rounding, decimals of whole numbers do the rest; all of it is SQL text, no Python per row.
+Scaled to whole steps a double is off by less than its last bit, so unless it comes that close to a half, the step is known and one
+division of whole numbers gives the result. Near a half the exact value decides: the part after the point is a whole number of
+2^-90 (below that it is too small to matter for ten digits); two 64-bit steps take it out without rounding, decimals of
+whole numbers do the rest. All of it is SQL text, no Python per row.
 """
 
 from __future__ import annotations
@@ -37,4 +39,7 @@ def round_half_even(name: str, digits: int = 2) -> Column:
     text = f"concat(CAST(CAST(w.whole + IF(w.up >= {scale}, 1BD, 0BD) AS DECIMAL(21,0)) AS STRING), '.', lpad(CAST(CAST(w.up % {scale} AS DECIMAL(11,0)) AS STRING), {max(digits, 1)}, '0'))"
     shown = let("t", parts, let("u", over, let("w", f"named_struct('whole', u.whole, 'up', {up})", f"CAST({text} AS DOUBLE)")))
     small = f"abs({v}) < 4503599627370496D"  # from 2^52 on doubles are whole numbers
-    return F.expr(f"CASE WHEN {small} THEN IF({v} < 0D, -1D, 1D) * {shown} ELSE {v} END")
+    x = f"(abs({v}) * 1E{digits}D)"
+    clear = f"{x} < 1E15D AND abs({x} - floor({x}) - 0.5D) > {x} * 1E-15D"
+    plain = f"CAST(floor({x}) + IF({x} - floor({x}) > 0.5D, 1L, 0L) AS DOUBLE) / 1E{digits}D"
+    return F.expr(f"CASE WHEN {clear} THEN IF({v} < 0D, -1D, 1D) * {plain} WHEN {small} THEN IF({v} < 0D, -1D, 1D) * {shown} ELSE {v} END")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import _powers, mix, text_slices, word_hashes, word_spans
+from quarry.llm.common import _powers, lean, mix, text_slices, word_hashes, word_spans
 
 MARK = "▁"
 SHORT = 48            # bytes; longer words are scored one by one in logarithms, and train in cuts of so many
@@ -294,7 +294,7 @@ def identify(
 
     kinds = dict(inputs.dtypes)
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in carried), "lang_pred string", "score double"])
-    return inputs.mapInArrow(run, schema)
+    return inputs.mapInArrow(lean(run), schema)
 
 
 def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:

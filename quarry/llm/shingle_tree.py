@@ -34,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import mix, released, stored, text_slices, word_hashes, word_spans
+from quarry.llm.common import lean, mix, released, stored, text_slices, word_hashes, word_spans
 from quarry.llm.components import components
 
 WORDS = 5
-GROUPS = 512         # coordinates of a count vector, one byte each
+GROUPS = 512         # coordinates of a count vector, half a byte or a byte each
 FULL = 255           # what a byte cannot exceed: such a coordinate bounds nothing
 SLOT_BITS = 20       # of the shingle sketch
 SKETCH_FAN_IN = 64   # sketches that one task adds up
@@ -135,7 +135,7 @@ def _profiles(texts: DataFrame, id_type: str) -> DataFrame:
             packed = zlib.compress(sketch.tobytes(), 1)
             yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([packed], pa.binary())], names)
 
-    return texts.mapInArrow(run, f"doc_id {id_type}, n long, class long, sketch binary")
+    return texts.mapInArrow(lean(run), f"doc_id {id_type}, n long, class long, sketch binary")
 
 
 def _sum_sketches(sketches: DataFrame) -> np.ndarray:
@@ -189,7 +189,7 @@ def _prefixes(texts: DataFrame, common: np.ndarray, t: Threshold) -> DataFrame:
         if size:
             yield out()
 
-    return texts.where("doc_id IS NOT NULL").mapInArrow(run, "key long, class long")
+    return texts.where("doc_id IS NOT NULL").mapInArrow(lean(run), "key long, class long")
 
 
 def shared_buckets(entries: DataFrame) -> DataFrame:
@@ -215,15 +215,29 @@ def shared_buckets(entries: DataFrame) -> DataFrame:
             held = (key[-1], owner[-1], bool(shared[-1]), bool(shared[-1]))
             yield pa.RecordBatch.from_arrays([pa.array(key[go]), pa.array(owner[go])], ["key", "class"])
 
-    return entries.repartition("key").sortWithinPartitions("key", "class").mapInArrow(run, "key long, class long")
+    return entries.repartition("key").sortWithinPartitions("key", "class").mapInArrow(lean(run), "key long, class long")
 
 
 def _counted(grams: np.ndarray, groups: int) -> bytes:
-    return np.minimum(np.bincount((grams & np.uint64(groups - 1)).astype(np.int64), minlength=groups), FULL).astype(np.uint8).tobytes()
+    """Shingles per group: half a byte each where all are below 16, else a byte each."""
+    counts = np.minimum(np.bincount((grams & np.uint64(groups - 1)).astype(np.int64), minlength=groups), FULL).astype(np.uint8)
+    return (counts[::2] << 4 | counts[1::2] if counts.max() < 16 else counts).tobytes()
+
+
+def _vectors(column: pa.ChunkedArray | pa.Array, groups: int) -> np.ndarray:
+    """The rows of ``_counted`` as a matrix of bytes."""
+    rows = column.to_pylist()
+    out = np.zeros((len(rows), groups), dtype=np.uint8)
+    size = np.array([len(r) for r in rows])
+    whole, half = np.flatnonzero(size == groups), np.flatnonzero(size == groups // 2)
+    out[whole] = np.frombuffer(b"".join(rows[i] for i in whole), np.uint8).reshape(-1, groups)
+    packed = np.frombuffer(b"".join(rows[i] for i in half), np.uint8).reshape(-1, groups // 2)
+    out[half, ::2], out[half, 1::2] = packed >> 4, packed & 15
+    return out
 
 
 def _sets(texts: DataFrame) -> DataFrame:
-    """(class, n, counts, fine, grams): the set of each text, and its shingles per group, coarse and fine (one byte a group)."""
+    """(class, n, counts, fine, grams): the set of each text, and its shingles per group, coarse and fine."""
 
     def out(sets: list[np.ndarray]) -> pa.RecordBatch:
         counts, fine = ([_counted(g, k) for g in sets] for k in (GROUPS, FINE))
@@ -251,7 +265,7 @@ def _sets(texts: DataFrame) -> DataFrame:
             yield out(sets)
 
     # a class has one row here unless ids repeat; then its pairs are found twice, and made distinct later
-    return texts.mapInArrow(run, "class long, n long, counts binary, fine binary, grams array<long>")
+    return texts.mapInArrow(lean(run), "class long, n long, counts binary, fine binary, grams array<long>")
 
 
 def told_apart(buckets: DataFrame) -> DataFrame:
@@ -336,7 +350,7 @@ def _tree_pairs(units: DataFrame, t: Threshold) -> DataFrame:
         def out(table: pa.Table) -> Iterator[pa.RecordBatch]:
             key = np.stack([table.column(c).to_numpy() for c in ("low", "i", "j", "key")], axis=1)
             owner, part, n, half = (table.column(c).to_numpy() for c in ("class", "component", "n", "half"))
-            vectors = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, GROUPS).astype(np.int32)
+            vectors = _vectors(table.column("counts"), GROUPS).astype(np.int32)
             vectors[vectors == FULL] = 1 << 20
             first = np.append(0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1)
             size = np.diff(np.append(first, len(key)))
@@ -380,7 +394,7 @@ def _tree_pairs(units: DataFrame, t: Threshold) -> DataFrame:
     # buckets of one family mostly have the same lowest class: chunk by chunk they come to one task, which gives a pair once
     columns = ["low", "i", "j", "key", "class", "component", "n", "half", "counts"]
     ordered = units.repartition("low", "i", "j").sortWithinPartitions("low", "i", "j", "key").select(*columns)
-    return ordered.mapInArrow(run, "a long, b long")
+    return ordered.mapInArrow(lean(run), "a long, b long")
 
 
 def _units(buckets: DataFrame) -> DataFrame:
@@ -401,13 +415,13 @@ def _bounded(pairs: DataFrame, t: Threshold) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                fine = [np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(-1, FINE) for c in (2, 5)]
+                fine = [_vectors(part.column(c), FINE) for c in (2, 5)]
                 bound = np.minimum(*fine).sum(axis=1, dtype=np.int64)
                 full = (fine[0] == FULL).any(axis=1) & (fine[1] == FULL).any(axis=1)
                 keep = full | (bound >= t.least_overlap(part.column(1).to_numpy() + part.column(4).to_numpy()))
                 yield pa.RecordBatch.from_arrays([pa.array(part.column(c).to_numpy()[keep]) for c in (0, 3)], ["a", "b"])
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return pairs.mapInArrow(lean(run), "a long, b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:

@@ -10,7 +10,8 @@ documents link when 100 * intersection >= 75 * union. Steps:
    shingle. The sketch steers cost only: the filter is exact under any order.
 3. Buckets with the same classes are one. Every class in a shared bucket gets its count vector: shingles per hash group. The sum of coordinate minima of two vectors bounds
    the sets' intersection from above.
-4. Each bucket's classes are compared with one of them, its centre, and links verified on the sets. Buckets whose classes
+4. Each bucket's classes are compared with one of them, its centre: by size, by finer counts, and what is left on the sets, which are
+   made again from the texts of these classes only. Buckets whose classes
    are by then of one component hold no further news. In the others the
    vectors are indexed in an R-tree (sort-tile leaves, nodes with coordinate maxima and least sizes); a descent over
    node pairs drops those whose bound is too low and members already joined, and what
@@ -26,7 +27,7 @@ not looked at.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,9 +46,10 @@ SKETCH_FAN_IN = 64   # sketches that one task adds up
 BROADCAST_IDS = 500_000  # document ids to reread, 8 bytes each; beyond it they are joined by a shuffle
 CHUNK = 512          # classes per chunk of a large bucket
 FINE = 2048          # groups of the finer counts that a pair is checked with before its sets are read
+PAIRS = 2000         # pairs whose vectors are compared at a time
 SMALL = 8            # buckets of up to so many classes are one leaf: their pairs are bounded together
 LEAF = 16            # classes per R-tree leaf, and children per node
-SET_BYTES = 2 << 20  # sets and counts that a task gives at a time, or one larger set
+SET_BYTES = 2 << 20  # sets or counts that a task gives at a time, or one larger set
 TOLD = 1_000_000     # pairs a task remembers to have given; beyond it a pair may come twice, and is made distinct later
 
 
@@ -236,36 +238,53 @@ def _vectors(column: pa.ChunkedArray | pa.Array, groups: int) -> np.ndarray:
     return out
 
 
+def _in_slices(rows: Iterator[tuple], nbytes: Callable[..., int], out: Callable[[list], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``SET_BYTES``, or of one larger row."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += nbytes(*row)
+        if size > SET_BYTES:
+            yield out(held)
+            held, size = [], 0
+    if held:
+        yield out(held)
+
+
+def _named_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+    for batch in batches:
+        for _, grams in shingle_sets(batch.column(1)):
+            if len(grams):
+                yield class_key(grams), grams
+
+
+# a class has one row in these two unless ids repeat; then its pairs are found twice, and made distinct later
+
+def _counts(texts: DataFrame) -> DataFrame:
+    """(class, n, counts, fine): size and shingles per group, coarse and fine, of the set of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((name, len(g), _counted(g, GROUPS), _counted(g, FINE)) for name, g in _named_sets(batches))
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        yield from _in_slices(rows, lambda _, n, counts, fine: len(counts) + len(fine), lambda held: pa.RecordBatch.from_arrays(
+            [pa.array(x, kind) for x, kind in zip(zip(*held), kinds)], ["class", "n", "counts", "fine"]))
+
+    return texts.mapInArrow(lean(run), "class long, n long, counts binary, fine binary")
+
+
 def _sets(texts: DataFrame) -> DataFrame:
-    """(class, n, counts, fine, grams): the set of each text, and its shingles per group, coarse and fine."""
+    """(class, n, grams): the set of each text."""
 
-    def out(sets: list[np.ndarray]) -> pa.RecordBatch:
-        counts, fine = ([_counted(g, k) for g in sets] for k in (GROUPS, FINE))
-        offsets = np.append(0, np.cumsum([len(g) for g in sets]))
-        grams = pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64)))
+    def out(held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        sizes = [len(g) for _, g in held]
+        grams = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes))), pa.array(np.concatenate([g for _, g in held]).view(np.int64)))
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array([class_key(g) for g in sets], pa.int64()), pa.array([len(g) for g in sets], pa.int64()),
-                pa.array(counts, pa.binary()), pa.array(fine, pa.binary()), grams.cast(pa.list_(pa.int64())),
-            ], ["class", "n", "counts", "fine", "grams"],
-        )
+            [pa.array([name for name, _ in held], pa.int64()), pa.array(sizes, pa.int64()), grams.cast(pa.list_(pa.int64()))], ["class", "n", "grams"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: list[np.ndarray] = []
-        size = 0
-        for batch in batches:
-            for _, g in shingle_sets(batch.column(1)):
-                if len(g):
-                    sets.append(g)
-                    size += g.nbytes + GROUPS + FINE
-                if size > SET_BYTES:
-                    yield out(sets)
-                    sets, size = [], 0
-        if sets:
-            yield out(sets)
+        yield from _in_slices(_named_sets(batches), lambda _, g: g.nbytes, out)
 
-    # a class has one row here unless ids repeat; then its pairs are found twice, and made distinct later
-    return texts.mapInArrow(lean(run), "class long, n long, counts binary, fine binary, grams array<long>")
+    return texts.mapInArrow(lean(run), "class long, n long, grams array<long>")
 
 
 def told_apart(buckets: DataFrame) -> DataFrame:
@@ -281,6 +300,13 @@ def told_apart(buckets: DataFrame) -> DataFrame:
 
 # ---- candidates -------------------------------------------------------------
 
+def allowed(a: np.ndarray, b: np.ndarray, sizes: np.ndarray, t: Threshold) -> np.ndarray:
+    """Which rows of two matrices of counts may be of linked sets, by the sum of coordinate minima and the sum of the sets' sizes."""
+    least = np.minimum(a, b)
+    full = (least == FULL).any(axis=1)  # as a byte cannot exceed it, there may be more
+    return full | (least.sum(axis=1, dtype=np.int64) >= t.least_overlap(sizes))
+
+
 class RTree:
     """Count vectors in sort-tile order; every node has its members' coordinate maxima and least set size."""
 
@@ -312,10 +338,9 @@ class RTree:
             if d < depth:
                 pairs = self._children(pairs, len(mine[1]) if d < len(self.levels) - 1 else 1, len(theirs[1]) if d < len(other.levels) - 1 else 1)
             keep = np.zeros(len(pairs), dtype=bool)
-            for a in range(0, len(pairs), 20_000):
-                i, j = pairs[a : a + 20_000].T
-                bound = np.minimum(mine[0][i], theirs[0][j]).sum(axis=1)
-                keep[a : a + 20_000] = bound >= t.least_overlap(mine[1][i] + theirs[1][j])
+            for a in range(0, len(pairs), PAIRS):
+                i, j = pairs[a : a + PAIRS].T
+                keep[a : a + PAIRS] = allowed(mine[0][i], theirs[0][j], mine[1][i] + theirs[1][j], t)
             pairs = pairs[keep]
         return self.order[pairs[:, 0]], other.order[pairs[:, 1]]
 
@@ -350,8 +375,7 @@ def _tree_pairs(units: DataFrame, t: Threshold) -> DataFrame:
         def out(table: pa.Table) -> Iterator[pa.RecordBatch]:
             key = np.stack([table.column(c).to_numpy() for c in ("low", "i", "j", "key")], axis=1)
             owner, part, n, half = (table.column(c).to_numpy() for c in ("class", "component", "n", "half"))
-            vectors = _vectors(table.column("counts"), GROUPS).astype(np.int32)
-            vectors[vectors == FULL] = 1 << 20
+            vectors = _vectors(table.column("counts"), GROUPS)
             first = np.append(0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1)
             size = np.diff(np.append(first, len(key)))
             room = np.repeat(first + size, size) - np.arange(len(key))  # members of the unit from here on
@@ -359,10 +383,10 @@ def _tree_pairs(units: DataFrame, t: Threshold) -> DataFrame:
             for step in range(1, SMALL):
                 a = np.flatnonzero(whole & (room > step))
                 a = a[part[a] != part[a + step]]
-                for c in range(0, len(a), 20_000):
-                    x = a[c : c + 20_000]
+                for c in range(0, len(a), PAIRS):
+                    x = a[c : c + PAIRS]
                     y = x + step
-                    keep = np.minimum(vectors[x], vectors[y]).sum(axis=1) >= t.least_overlap(n[x] + n[y])
+                    keep = allowed(vectors[x], vectors[y], n[x] + n[y], t)
                     if keep.any():
                         yield from fresh(key[x[0], :3], owner[x[keep]], owner[y[keep]], False)
             for r in (np.arange(f, f + m) for f, m in zip(first, size) if not whole[f]):
@@ -398,7 +422,7 @@ def _tree_pairs(units: DataFrame, t: Threshold) -> DataFrame:
 
 
 def _units(buckets: DataFrame) -> DataFrame:
-    """``buckets`` (key, class, ...) dealt as pairs (i, j) of chunks; ``half`` is 0 or 1, or 2 where i = j."""
+    """``buckets`` (key, class, component) dealt as pairs (i, j) of chunks; ``half`` is 0 or 1, or 2 where i = j."""
     sizes = buckets.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"), F.min("class").alias("low"))
     mine = F.pmod(F.xxhash64("class"), F.col("chunks")).cast("int")
     return (
@@ -413,36 +437,44 @@ def _bounded(pairs: DataFrame, t: Threshold) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, PAIRS):
+                part = batch.slice(at, PAIRS)
                 fine = [_vectors(part.column(c), FINE) for c in (2, 5)]
-                bound = np.minimum(*fine).sum(axis=1, dtype=np.int64)
-                full = (fine[0] == FULL).any(axis=1) & (fine[1] == FULL).any(axis=1)
-                keep = full | (bound >= t.least_overlap(part.column(1).to_numpy() + part.column(4).to_numpy()))
+                keep = allowed(*fine, part.column(1).to_numpy() + part.column(4).to_numpy(), t)
                 yield pa.RecordBatch.from_arrays([pa.array(part.column(c).to_numpy()[keep]) for c in (0, 3)], ["a", "b"])
 
     return pairs.mapInArrow(lean(run), "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
-    """The pairs (a, b) of classes that link: by the bound on the fine counts, then by the sets."""
+def _of_like_size(pairs: DataFrame, counts: DataFrame, t: Threshold) -> DataFrame:
+    """The distinct ``pairs`` (a, b) of classes whose sizes allow a link: no more than the smaller set can be in both."""
+    for x in ("a", "b"):
+        pairs = pairs.join(counts.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}")), x)
+    both = F.least("n_a", "n_b")
+    return pairs.where(F.lit(t.whole) * both >= F.lit(t.part) * (F.col("n_a") + F.col("n_b") - both)).select("a", "b").distinct()
 
-    def joined(pairs: DataFrame, column: str) -> DataFrame:
+
+def _verified(pairs: DataFrame, counts: DataFrame, reread: Callable[[DataFrame], DataFrame], t: Threshold) -> DataFrame:
+    """The pairs (a, b) of classes that link: by their sizes, by the bound on the fine counts, then by the sets, which ``reread`` gives."""
+
+    def joined(pairs: DataFrame, rows: DataFrame, column: str) -> DataFrame:
         few = pairs.count() <= BROADCAST_IDS
         for x in ("a", "b"):  # the columns are large: only those of classes in a pair move
-            side = sets.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col(column).alias(f"{column}_{x}"))
+            side = rows.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col(column).alias(f"{column}_{x}"))
             asked = pairs.select(x).distinct()
             pairs = pairs.join(side.join(F.broadcast(asked) if few else asked, x, "left_semi"), x)
         return pairs
 
-    asked = stored(pairs.distinct(), "shingle-pairs")
-    fine = joined(asked, "fine").select("a", "n_a", "fine_a", "b", "n_b", "fine_b")
+    asked = stored(_of_like_size(pairs, counts, t), "shingle-pairs")
+    fine = joined(asked, counts, "fine").select("a", "n_a", "fine_a", "b", "n_b", "fine_b")
     bounded = stored(_bounded(fine, t).distinct(), "shingle-pairs")
-    near = joined(bounded, "grams")
+    released(asked)
+    sets = stored(_sets(reread(bounded.select(F.col("a").alias("class")).union(bounded.select("b")).distinct())), "shingle-sets")
+    near = joined(bounded, sets, "grams")
     both = F.size(F.array_intersect("grams_a", "grams_b"))
     union = F.col("n_a") + F.col("n_b") - both
     links = stored(near.where(F.lit(t.whole) * both >= F.lit(t.part) * union).select("a", "b").distinct(), "shingle-links")
-    released(asked, bounded)
+    released(bounded, sets)
     return links
 
 
@@ -475,17 +507,21 @@ def near_documents(
     every = buckets
     buckets = stored(told_apart(every), "shingle-buckets")
     released(every)
-    wanted = classes.join(buckets.select("class").distinct(), "class", "left_semi")
-    sets = stored(_sets(_rereads(texts, wanted.select(F.col("rep").alias("doc_id")), broadcast_ids)), "shingle-sets")
+
+    def reread(wanted: DataFrame) -> DataFrame:
+        return _rereads(texts, classes.join(wanted, "class", "left_semi").select(F.col("rep").alias("doc_id")), broadcast_ids)
+
+    counts = stored(_counts(reread(buckets.select("class").distinct())), "shingle-counts")
 
     centre = buckets.groupBy("key").agg(F.min_by("class", F.xxhash64("class", "key")).alias("centre"))
     spokes = buckets.join(centre, "key").where("class <> centre").select(
         F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b"))
-    links = _verified(spokes, sets, t)
-    mixed = stored(_joined_parts(buckets, links).join(sets.select("class", "n", "counts"), "class"), "shingle-mixed")
+    links = _verified(spokes, counts, reread, t)
+    mixed = stored(_joined_parts(buckets, links), "shingle-mixed")
     released(buckets)
-    more = _verified(_tree_pairs(_units(mixed), t), sets, t)
-    released(mixed, sets)
+    units = _units(mixed).join(counts.select("class", "n", "counts"), "class")
+    more = _verified(_tree_pairs(units, t), counts, reread, t)
+    released(mixed, counts)
 
     by_rep = links.union(more)
     for x in ("a", "b"):

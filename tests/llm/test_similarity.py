@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -246,3 +247,44 @@ def test_recall_by_dimension(spark, dim):
     np.fill_diagonal(near, False)
     got = {r["vec_id"]: r["n_links"] for r in lattice.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
     assert sum(got.values()) >= 0.95 * near.sum() and all(got[r[0]] <= n for r, n in zip(rows, near.sum(axis=1)))
+
+
+def test_only_sets_of_pairs_within_the_bounds_are_stored(spark, monkeypatch):
+    """Texts that share a passage meet in buckets; neither their sets nor vectors once a bucket go to disk."""
+    kept, real = [], shingle_tree.stored
+
+    def stored(df, name, *rest):
+        out = real(df, name, *rest)
+        kept.append((name, set(out.columns), out.count()))
+        return out
+
+    monkeypatch.setattr(shingle_tree, "stored", stored)
+    rng = random.Random(2)
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(50 + 20 * (k % 12))) + " " + passage) for k in range(60)]
+    rows += [(100, rows[0][1] + " and one more"), (101, rows[1][1] + " and another")]
+    got = {r["doc_id"]: r["component_id"] for r in shingle_tree.near_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == _near(rows)[1] and got[100] == 0 and got[101] == 1
+    assert all(n <= 8 for name, columns, n in kept if "grams" in columns)
+    assert sum(bool(columns & {"counts", "fine"}) for _, columns, _ in kept) == 1
+
+
+def test_r_trees_compare_in_small_blocks():
+    v = np.full((512, shingle_tree.GROUPS), 3, dtype=np.uint8)
+    n = np.full(512, 3 * shingle_tree.GROUPS)
+    one, other = RTree(v, n), RTree(v, n)
+    tracemalloc.start()
+    a, _ = one.joined(other, Threshold())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(a) == 512 * 512 and peak < 32 << 20
+
+
+def test_counts_that_a_byte_cannot_hold_rule_nothing_out():
+    t = Threshold()
+    a = np.full((3, shingle_tree.GROUPS), 2, dtype=np.uint8)
+    b = a.copy()
+    a[1:, 7] = shingle_tree.FULL
+    b[1, 7] = shingle_tree.FULL
+    assert shingle_tree.allowed(a, b, np.full(3, 10**7), t).tolist() == [False, True, False]
+    assert RTree(a, np.full(3, 5 * 10**6)).joined(RTree(b, np.full(3, 5 * 10**6)), t)[0].tolist() == [1, 2]

@@ -11,8 +11,8 @@ id; every word that such a window covers is removed.
    phrase. Phrases are dealt by anchor, those of an anchor that more than ``hot`` rows hold by window, each window a
    phrase of its own, so that no anchor is a hot key. Equal phrases become one row with their least and largest id.
 3. **Compile.** Phrases are dealt to shards of about ``shard_bytes`` of text. A shard's words
-   become pairs of code points; its windows of more than one document become the patterns of automata of ``patterns`` windows each
-   (pyahocorasick), a pattern carrying the smallest document it starts in.
+   become pairs of code points; its windows of more than one document, joined where neighbours have one smallest document, become the
+   patterns of automata of the size of ``patterns`` windows each (pyahocorasick), a pattern carrying that document.
 4. **Stream.** Every phrase of the shard, from whichever documents, runs through the shard's automata, which name
    the smallest document for every window found. The places of the phrases in the documents are joined to that.
 
@@ -149,7 +149,8 @@ def first_documents(texts: pa.Array, least: pa.Array, most: pa.Array, shape: Pas
     """For every phrase, the smallest document that each of its windows starts in; null where no other document has the window.
 
     ``least`` and ``most`` are the smallest and the largest document that hold the phrase as a whole. Windows of one phrase in one
-    document are no patterns; the others become automata, through which all phrases are streamed.
+    document are no patterns; the others, joined where they follow each other in a phrase and have one smallest document, become automata,
+    through which all phrases are streamed.
     """
     width = shape.words
     words = pc.split_pattern(texts, " ")
@@ -165,28 +166,48 @@ def first_documents(texts: pa.Array, least: pa.Array, most: pa.Array, shape: Pas
     stream = points.tobytes().decode("utf-32-le", "surrogatepass")
     ids = pc.unique(pa.concat_arrays([least, most]))
     ids = ids.take(pc.sort_indices(ids))
-    low, high = (pc.index_in(x, ids).to_numpy().tolist() for x in (least, most))
-    first: dict[str, int] = {}
-    again: set[str] = set()
-    for at, size, a, b in zip(begin.tolist(), sizes.tolist(), low, high):
-        for k in range(at, at + size - width + 1):
-            window = stream[2 * k : 2 * (k + width)]
-            seen = first.setdefault(window, a)
-            if seen != a or a != b:
-                again.add(window)
-                if a < seen:
-                    first[window] = a
+    low, high = (pc.index_in(x, ids).to_numpy() for x in (least, most))
+    # windows by number, with their smallest and largest document
+    windows = sizes - width + 1
+    places = ranges(begin, windows)
+    owner = np.repeat(np.arange(len(sizes)), windows)
+    numbers: dict[str, int] = {}
+    window = np.array([numbers.setdefault(stream[2 * k : 2 * (k + width)], len(numbers)) for k in places.tolist()], dtype=np.int64)
+    first, last = np.full(len(numbers), len(ids), dtype=np.int64), np.full(len(numbers), -1, dtype=np.int64)
+    np.minimum.at(first, window, low[owner])
+    np.maximum.at(last, window, high[owner])
+    # neighbouring windows with one smallest document are one pattern, of at most as many windows as one run of ``gram`` words is in:
+    # so few lengths end at one place, also in texts that repeat themselves
+    most_windows = width - shape.gram + 1
+    again = np.flatnonzero(first[window] < last[window])
+    at, of, smallest = places[again], owner[again], first[window[again]]
+    new = np.append(True, (at[1:] != at[:-1] + 1) | (of[1:] != of[:-1]) | (smallest[1:] != smallest[:-1]))[: len(at)]
+    head = np.flatnonzero(new)
+    within = np.arange(len(at)) - np.repeat(head, np.diff(np.append(head, len(at))))
+    head = np.flatnonzero(within % most_windows == 0)
+    runs: dict[str, tuple[int, int]] = {}
+    for k, n, f in zip(at[head].tolist(), np.diff(np.append(head, len(at))).tolist(), smallest[head].tolist()):
+        runs[stream[2 * k : 2 * (k + n + width - 1)]] = n, f
     found = np.full(len(points), -1, dtype=np.int64)
-    patterns = list(again)
-    for cut in range(0, len(patterns), shape.patterns):
+    patterns, values = list(runs), np.array(list(runs.values()), dtype=np.int64).reshape(-1, 2)
+    # an automaton holds as many code points as ``shape.patterns`` windows
+    part = np.cumsum([len(x) for x in patterns]) // (2 * width * shape.patterns)
+    for cut in np.split(np.arange(len(patterns)), np.flatnonzero(np.diff(part)) + 1):
+        if not len(cut):
+            continue
         machine = ahocorasick.Automaton()
-        for pattern in patterns[cut : cut + shape.patterns]:
-            machine.add_word(pattern, first[pattern])
+        for k in cut.tolist():
+            machine.add_word(patterns[k], k)
         machine.make_automaton()
         hits = np.fromiter((x for hit in machine.iter(stream) for x in hit), dtype=np.int64).reshape(-1, 2)
-        found[(hits[:, 0] + 1) // 2 - width] = hits[:, 1]
-    firsts = found[ranges(begin, sizes - width + 1)]
-    offsets = np.append(0, np.cumsum(sizes - width + 1))
+        size, value = values[hits[:, 1]].T
+        start = (hits[:, 0] + 1) // 2 - (size + width - 1)
+        for n in range(1, most_windows + 1):
+            of_size = size == n
+            for k in range(n):
+                found[start[of_size] + k] = value[of_size]
+    firsts = found[places]
+    offsets = np.append(0, np.cumsum(windows))
     return pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), ids.take(pa.array(firsts, mask=firsts < 0)))
 
 
@@ -225,7 +246,7 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # at least two rows hold a recurring anchor; ``n`` rows decide how its phrases are dealt
-    held = anchors(rows, shape)
+    held = stored(anchors(rows, shape), "passage-held")  # read twice; made of every text
     recurring = held.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
     recurring = stored(recurring.where("low < high").select("anchor", (F.col("n") > shape.hot).alias("hot")), "passage-anchors")
     marks = held.join(recurring, "anchor").groupBy("doc_id").agg(
@@ -233,7 +254,7 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     keyed = rows.withColumn("tkey", F.xxhash64("text"))
     marks = stored(marks, "passage-marks")
-    released(recurring)
+    released(recurring, held)
     found = stored(phrases(keyed.where("text IS NOT NULL").join(marks, "doc_id"), shape), "passage-found", "zstd")
     released(marks)
     spans_of = located(found, shape)

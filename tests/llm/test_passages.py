@@ -119,3 +119,39 @@ def test_very_long_text(spark):
     got = {r["doc_id"]: r for r in drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[2]["n_removed"] == 60 and [tuple(x) for x in got[2]["removed"]] == [(50_000, 50_030), (140_000, 140_030)]
     assert phrase_automata.Passages().words == 13
+
+
+def test_neighbouring_windows_are_one_pattern(monkeypatch):
+    real, added = phrase_automata.ahocorasick.Automaton, []
+
+    class Counted:
+        def __init__(self):
+            self.machine = real()
+
+        def add_word(self, word, value):
+            added.append(word)
+            self.machine.add_word(word, value)
+
+        def __getattr__(self, name):
+            return getattr(self.machine, name)
+
+    monkeypatch.setattr(phrase_automata.ahocorasick, "Automaton", Counted)
+    words = [f"w{k}" for k in range(21)]
+    texts = [" ".join(words), " ".join(words[3:18]), " ".join(["so"] * 40), " ".join(["so"] * 55)]
+    got = first_documents(pa.array(texts), pa.array([4, 2, 7, 1]), pa.array([5, 2, 7, 9]), Passages())
+    assert got.to_pylist() == [[4] * 3 + [2] * 3 + [4] * 3, [2] * 3, [1] * 28, [1] * 43]
+    assert len(added) <= 6  # 10 windows of more than one document
+
+
+def test_anchors_are_made_once(spark, monkeypatch):
+    plans, real = {}, phrase_automata.stored
+
+    def stored(df, name, *rest):
+        plans[name] = df._jdf.queryExecution().toString()
+        return real(df, name, *rest)
+
+    monkeypatch.setattr(phrase_automata, "stored", stored)
+    rows = corpus(4)
+    got = drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert as_sets(got) == as_sets(brute(rows))
+    assert [name for name in ("passage-held", "passage-anchors", "passage-marks") if "MapInArrow" in plans.get(name, "")] == ["passage-held"]

@@ -18,8 +18,11 @@ from quarry.llm.queries import read
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known; texts without a letter or of no likely language go."""
-    return segment_lid.known_language(docs)
+    """Documents whose language is known; texts without a letter or of no likely language go.
+
+    Stored here, since whole texts go through Python: that step must run in bounded Arrow batches, whoever writes its rows.
+    """
+    return stored(segment_lid.known_language(docs), "language")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,5 +62,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over ``documents``; the last one's rows."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        out = stage(spark, docs, sf_dir)
+        docs = out if hasattr(out, "_stored_at") else stored(out, f"stage-{name}")
     return docs

@@ -30,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import _powers, lean, mix, text_slices, word_hashes, word_spans
+from quarry.llm.common import _powers, give_back, lean, mix, text_slices, word_hashes, word_spans
 
 MARK = "▁"
 SHORT = 48            # bytes; longer words are scored one by one in logarithms, and train in cuts of so many
 BYTE_SCALE = 16.0     # keeps the forward values of short words within floating range
 KNOWN_WORDS = 400_000
+LATTICE_WORDS = 4_000  # words of one forward pass when texts are scored; a pass takes some 3 kB a word at four languages
 
 
 @dataclass(frozen=True)
@@ -234,8 +235,8 @@ class WordScores:
     def _new(self, words: list[bytes]) -> np.ndarray:
         out = np.zeros((len(words), len(self.model.languages)))
         short = [i for i, w in enumerate(words) if len(w) <= SHORT]
-        for a in range(0, len(short), 20_000):
-            some = short[a : a + 20_000]
+        for a in range(0, len(short), LATTICE_WORDS):
+            some = short[a : a + LATTICE_WORDS]
             out[some] = Lattice(self.vocab, [words[i] for i in some]).log_probability(self.model.theta)
         for i, w in enumerate(words):
             if len(w) > SHORT:
@@ -274,6 +275,7 @@ def identify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = WordScores(model)
         for batch in batches:
+            give_back()  # what the vocabulary or the batch before took beside what is kept
             for a, b, data, offsets in text_slices(batch.column(0)):
                 part = batch.slice(a, b - a)
                 starts, ends, first = word_spans(data, offsets)

@@ -267,6 +267,47 @@ def test_pipeline_on_odd_documents(spark, odd_documents, tmp_path):
         assert p.STAGES[-1][1](spark, step, str(tmp_path)).count() >= 0
 
 
+def test_language_goes_through_python_in_bounded_batches(spark, monkeypatch):
+    import pyarrow as pa
+
+    import corpus_pipeline as p
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes], pa.int64())], ["n"])
+
+    monkeypatch.setattr(p.segment_lid, "known_language", lambda docs: docs.mapInArrow(sizes, "n long"))
+    docs = spark.range(4_000, numPartitions=1).selectExpr("id AS doc_id", "repeat('some text ', 800) AS text")
+    got = [r["n"] for r in p.language(spark, docs, "").collect()]
+    assert sum(got) > 30 << 20 and max(got) < 10 << 20
+
+
+def test_a_stage_that_stored_its_rows_is_not_stored_again(spark, monkeypatch, documents):
+    import corpus_pipeline as p
+
+    names, keep = [], p.stored
+    monkeypatch.setattr(p, "stored", lambda df, name: names.append(name) or keep(df, name))
+    monkeypatch.setattr(p, "STAGES", p.STAGES[:2])
+    rows = p.run(spark, "/root/testdata/sf0.001")
+    assert names == ["language", "stage-lines"] and 0 < rows.count() <= documents.count()
+
+
+def test_scoring_words_takes_bounded_memory(vocab):
+    import tracemalloc
+
+    rng = random.Random(5)
+    words = [bytes(rng.choices(b"abcdefghilmnorstu", k=rng.randint(3, 12))) for _ in range(20_000)]
+    theta = np.random.default_rng(0).random((vocab.size, 4))
+    scores = segment_lid.WordScores(segment_lid.Model(("a", "b", "c", "d"), theta / theta.sum(axis=0), segment_lid.default_path()))
+    tracemalloc.start()
+    try:
+        got = scores._new(words)
+        assert tracemalloc.get_traced_memory()[1] < 25e6  # 57e6 in one pass
+    finally:
+        tracemalloc.stop()
+    assert np.array_equal(got, Lattice(vocab, words).log_probability(scores.model.theta))
+
+
 def test_scripts_without_spaces_are_learnt(spark):
     """Whole paragraphs are one word there; they train and tell the languages apart."""
     rng = random.Random(11)

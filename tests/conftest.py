@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import decimal
 import os
 import sys
 
@@ -8,6 +9,9 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+# Expected sums are exact: the usual 28 digits round a 1e15 with sixteen places.
+decimal.getcontext().prec = 100
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 

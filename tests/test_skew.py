@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from quarry.functions.money import exact_sum
+from quarry.functions import limbs
+from quarry.functions.money import exact_state, exact_sum
 from quarry.plans import revenue
 from quarry.session import cluster_conf
 
@@ -58,6 +59,13 @@ def test_hot_group_is_combined_before_the_shuffle(spark):
     assert dict(agg.filter("k = 0").collect())[0] == 30_000 * 1.25
 
 
+def test_every_part_of_an_exact_sum_is_combined_before_the_shuffle(spark):
+    df = spark.range(90_000).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id / 7D AS v").repartition(6)
+    plan = df.groupBy("k").agg(exact_state("v").alias("s"))._jdf.queryExecution().sparkPlan()
+    partial = [n for n in str(plan.toString()).split("HashAggregate(") if "functions=[partial_" in n]
+    assert len(partial) == 1 and partial[0].count("partial_sum(") == len(limbs.FIELDS)
+
+
 def test_group_revenue_with_a_hot_city(spark):
     stays = spark.range(3000).select(
         F.col("id"), F.concat(F.lit("n"), F.col("id") % 7).alias("name"),

@@ -54,37 +54,42 @@ class Shape:
 
 def streams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """The byte streams of consecutive texts, each led by ``depth`` closing bytes: bytes, and where each text begins (n + 1 long)."""
-    n_texts, words = len(first) - 1, np.diff(first)
-    # one piece per word (with the byte after it) and one lead per text (an empty text's lead holds its close)
-    lead = np.full(n_texts, depth) + (words == 0)
-    text_of = np.repeat(np.arange(n_texts), words)
-    order = np.argsort(np.concatenate([np.arange(n_texts) * 2, text_of * 2 + 1]), kind="stable")
-    size = np.concatenate([lead, ends - starts + 1])[order]
-    source = np.concatenate([np.full(n_texts, -1), starts])[order]
-    at = np.cumsum(size) - size
-    out = np.full(int(size.sum()), CLOSE, dtype=np.uint8)
-    is_word = source >= 0
-    w_at, w_from, w_len = at[is_word], source[is_word], size[is_word] - 1
+    words = np.diff(first)
+    last = np.zeros(len(starts), dtype=bool)
+    last[first[1:][words > 0] - 1] = True
+    gaps = ends[~last]  # the byte after a word that another one of its text follows becomes a space
     low = lowered(data)
-    total = int(w_len.sum())
-    step = np.arange(total) - np.repeat(np.cumsum(w_len) - w_len, w_len)
-    out[np.repeat(w_at, w_len) + step] = low[np.repeat(w_from, w_len) + step]
-    out[w_at + w_len] = 0x20
-    bounds = np.append(at[~is_word], len(out))
-    out[bounds[1:] - 1] = CLOSE
+    low[gaps] = 0x20
+    kept = _covered(starts, ends, len(data))
+    kept[gaps] = True
+    size = np.append(0, np.cumsum(ends - starts + 1))[first]  # a text's words, each with the byte after it
+    bounds = size + np.append(0, np.cumsum(depth + (words == 0)))  # an empty text's lead holds its close
+    out = np.full(bounds[-1], CLOSE, dtype=np.uint8)
+    some = words > 0
+    out[_covered(bounds[:-1][some] + depth, bounds[1:][some] - 1, len(out))] = low[kept]
     return out, bounds
 
 
+def _covered(starts: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
+    """Which of ``length`` places lie in the given ranges, which do not overlap."""
+    steps = np.zeros(length + 1, dtype=np.int8)
+    steps[starts] = 1
+    steps[ends] -= 1
+    return np.cumsum(steps[:-1], dtype=np.int8).view(bool)
+
+
 def gram_codes(stream: np.ndarray, bounds: np.ndarray, depth: int) -> np.ndarray:
     """Per coded byte: the preceding bytes, latest highest, then the byte itself."""
     at = np.ones(len(stream), dtype=bool)
     for k in range(depth):
         at[bounds[:-1] + k] = False
-    place = np.flatnonzero(at)
-    wide = stream.astype(np.uint64)
-    code = wide[place]
-    for k in range(1, depth + 1):
-        code = code | (wide[place - k] << np.uint64(8 * (depth - k + 1)))
+    # eight bytes from every place on, the first lowest: the context of the byte ``depth`` places on, then that byte
+    padded = np.append(stream, np.zeros(8, np.uint8))
+    code = np.ndarray(max(len(stream) - depth, 0), "<u8", padded, strides=(1,))[at[depth:]]
+    byte = (code >> np.uint64(8 * depth)) & np.uint64(255)
+    code &= np.uint64((1 << 8 * depth) - 1)
+    code <<= np.uint64(8)
+    code |= byte
     return code
 
 
@@ -106,8 +111,10 @@ class Tally:
     def _merge(self) -> None:
         keys = np.concatenate([self.keys, *(k for k, _ in self.new)])
         counts = np.concatenate([self.counts, *(c for _, c in self.new)])
-        self.keys, back = np.unique(keys, return_inverse=True)
-        self.counts = np.bincount(back, weights=counts, minlength=len(self.keys)).astype(np.int64)
+        order = np.argsort(keys, kind="stable")  # the parts are sorted runs, which a stable sort merges
+        keys = keys[order]
+        kinds = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        self.keys, self.counts = keys[kinds], np.add.reduceat(counts[order], kinds) if len(keys) else counts
         self.new, self.size = [], 0
 
     def take(self) -> tuple[np.ndarray, np.ndarray]:
@@ -117,6 +124,48 @@ class Tally:
         return out
 
 
+class Places:
+    """Where 64-bit keys stand among distinct known ones: a table of slots, a key in the first free one from its own on.
+
+    Keys named first are met first, so the most frequent ones should lead.
+    """
+
+    def __init__(self, known: np.ndarray) -> None:
+        self.bits = max(1, (2 * len(known)).bit_length())
+        self.keys, self.place = np.zeros(1 << self.bits, np.uint64), np.full(1 << self.bits, -1, np.int32)
+        left, at = np.arange(len(known)), self._own(known)
+        while len(left):
+            free = np.flatnonzero(self.place[at] < 0)
+            slots, won = np.unique(at[free], return_index=True)
+            won = free[won]
+            self.place[slots], self.keys[slots] = left[won], known[left[won]]
+            lost = np.ones(len(left), dtype=bool)
+            lost[won] = False
+            left, at = left[lost], self._next(at[lost])
+
+    def _own(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def _next(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & ((1 << self.bits) - 1)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Each key's place among the known ones, or -1."""
+        at = self._own(keys)
+        out = self.place[at]
+        other = self.keys[at] != keys  # a free slot ends the search, whatever key it is compared with
+        more = np.flatnonzero(other & (out >= 0))
+        out[other] = -1
+        at = at[more]
+        while len(more):
+            at = self._next(at)
+            place, same = self.place[at], self.keys[at] == keys[more]
+            out[more[same]] = place[same]
+            go = ~same & (place >= 0)
+            more, at = more[go], at[go]
+        return out
+
+
 def counts(texts: DataFrame, depth: int) -> DataFrame:
     """(word, key, n): the counts of all (context, byte) grams and, where ``word``, of all tokens of ``texts`` (text)."""
 
@@ -324,18 +373,18 @@ def score(docs: DataFrame, held_out: Column, shape: Shape = Shape(), id_col: str
     pairs = stored(pairs.groupBy("key").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen")), "text-pairs")
     logs = stored(pair_logs(pairs, depth), "pair-logs")
     least_seen = by_heart(logs, shape.heart)
-    often_pairs = logs.where(F.col("seen") >= least_seen).select("key", "units").toArrow()  # at most ``heart``
-    pair_keys = often_pairs["key"].to_numpy().astype(np.int64).view(np.uint64)
-    by_key = np.argsort(pair_keys)
-    pair_keys, pair_units = pair_keys[by_key], often_pairs["units"].to_numpy()[by_key].astype(np.int64)
+    often_pairs = logs.where(F.col("seen") >= least_seen).select("key", "units", "seen").toArrow()  # at most ``heart``
+    order = np.argsort(-often_pairs["seen"].to_numpy())
+    pair_places = Places(often_pairs["key"].to_numpy()[order].astype(np.int64).view(np.uint64))
+    pair_units = np.append(often_pairs["units"].to_numpy()[order].astype(np.int64), 0)  # the last for pairs not among them
     vocabulary = counted.where("word").select("key", "n")
     train = vocabulary.agg(F.sum("n").alias("tokens"), F.count("*").alias("kinds")).first()
     tokens, kinds = train["tokens"] or 0, train["kinds"]
     least = max(1.0, shape.word_share * tokens)
     often = vocabulary.where(F.col("n") >= least).toPandas()  # at most 1 / word_share words
-    hashes = often["key"].to_numpy(dtype=np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    known, known_log = hashes[order], np.log10(often["n"].to_numpy(dtype=float)[order] + 0.1)
+    order = np.argsort(-often["n"].to_numpy(dtype=np.int64))
+    known = Places(often["key"].to_numpy(dtype=np.int64)[order].view(np.uint64))
+    known_log = np.log10(often["n"].to_numpy(dtype=float)[order] + 0.1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -348,15 +397,15 @@ def score(docs: DataFrame, held_out: Column, shape: Shape = Shape(), id_col: str
                 stream, bounds = streams(data, starts, ends, first, depth)
                 size = np.diff(bounds) - depth
                 codes = gram_codes(stream, bounds, depth)
-                at = np.minimum(np.searchsorted(pair_keys, codes), max(len(pair_keys) - 1, 0))
-                met = pair_keys[at] == codes if len(pair_keys) else np.zeros(len(codes), dtype=bool)
-                units = np.where(met, pair_units[at], 0) if len(pair_keys) else np.zeros(len(codes), np.int64)
-                units = np.add.reduceat(units, np.cumsum(size) - size)  # every text codes one byte at least
+                place = pair_places.find(codes)
+                strange = np.flatnonzero(place < 0)
+                begin = np.cumsum(size) - size
+                units = np.add.reduceat(pair_units[place], begin)  # every text codes one byte at least
                 words = np.append(word_hashes(data, starts, ends), np.full(n, END_WORD, dtype=np.uint64))
                 text = np.append(np.repeat(np.arange(n), np.diff(first)), np.arange(n))
-                place = np.minimum(np.searchsorted(known, words), max(len(known) - 1, 0))
-                hit = known[place] == words if len(known) else np.zeros(len(words), dtype=bool)
-                log_often = np.bincount(text[hit], weights=known_log[place[hit]], minlength=n) if len(known) else np.zeros(n)
+                place = known.find(words)
+                hit = place >= 0
+                log_often = np.bincount(text[hit], weights=known_log[place[hit]], minlength=n).astype(float)  # whole numbers without a hit
                 numbers = row + np.arange(n)
                 row += n
                 none = pa.nulls(n, pa.int64())
@@ -368,7 +417,7 @@ def score(docs: DataFrame, held_out: Column, shape: Shape = Shape(), id_col: str
                     ], fields,
                 )
                 # the other words and pairs, once per text with their number
-                for k, t, is_pair in ((words[~hit], text[~hit], False), (codes[~met], np.repeat(np.arange(n), size)[~met], True)):
+                for k, t, is_pair in ((words[~hit], text[~hit], False), (codes[strange], np.searchsorted(begin, strange, side="right") - 1, True)):
                     by = np.lexsort((k, t))
                     k, t = k[by], t[by]
                     new = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (t[1:] != t[:-1]))) if len(k) else np.zeros(0, np.int64)

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import lowered, stored, text_slices, word_hashes, word_spans
+from quarry.llm.common import lean, lowered, stored, text_slices, word_hashes, word_spans
 
 CLOSE = 0x0A      # closes a text, and stands before its first byte
 END_WORD = 0x5EED  # the end token's key among the word hashes
@@ -111,11 +111,11 @@ class Tally:
     def _merge(self) -> None:
         keys = np.concatenate([self.keys, *(k for k, _ in self.new)])
         counts = np.concatenate([self.counts, *(c for _, c in self.new)])
+        self.__init__()  # the parts go before the sort takes memory
         order = np.argsort(keys, kind="stable")  # the parts are sorted runs, which a stable sort merges
         keys = keys[order]
         kinds = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
         self.keys, self.counts = keys[kinds], np.add.reduceat(counts[order], kinds) if len(keys) else counts
-        self.new, self.size = [], 0
 
     def take(self) -> tuple[np.ndarray, np.ndarray]:
         self._merge()
@@ -189,7 +189,7 @@ def counts(texts: DataFrame, depth: int) -> DataFrame:
         yield from rows(grams, False)
         yield from rows(words, True)
 
-    parts = texts.select("text").mapInArrow(count, "word boolean, key long, n long")
+    parts = texts.select("text").mapInArrow(lean(count), "word boolean, key long, n long")
     return parts.groupBy("word", "key").agg(F.sum("n").alias("n"))
 
 
@@ -438,7 +438,7 @@ def score(docs: DataFrame, held_out: Column, shape: Shape = Shape(), id_col: str
         f"row long, doc_id {id_type}, held_out boolean, n_tokens long, n_often long, log_often double, units long, "
         "n_bytes long, word long, pair long, times long"
     )
-    scored = stored(rows.mapInArrow(run, schema), "text-scores")
+    scored = stored(rows.mapInArrow(lean(run), schema), "text-scores")
     rare = scored.where("word IS NOT NULL").select("row", "word", "times").join(
         vocabulary.where(F.col("n") < least).withColumnRenamed("key", "word").hint("merge"), "word", "left"
     ).groupBy("row").agg(

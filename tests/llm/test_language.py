@@ -284,6 +284,27 @@ def test_pairs_are_found_without_a_binary_search():
     assert least(places.find) < least(np.searchsorted) / 2
 
 
+def test_a_tally_merges_within_few_bytes_a_key(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(context_tree, "HELD_KEYS", 60_000)
+    rng, tally, want = np.random.default_rng(7), context_tree.Tally(), Counter()
+    tracemalloc.start()
+    try:
+        for _ in range(12):
+            keys = rng.integers(0, 50_000, 30_000).astype(np.uint64)
+            assert not tally.add(keys)
+        top = tracemalloc.get_traced_memory()[1]
+        got = dict(zip(*(x.tolist() for x in tally.take())))
+    finally:
+        tracemalloc.stop()
+    rng = np.random.default_rng(7)
+    for _ in range(12):
+        want.update(rng.integers(0, 50_000, 30_000).tolist())
+    assert got == want and [len(x) for x in tally.take()] == [0, 0]
+    assert top < 52 * 120_000  # at most twice as many keys are held
+
+
 # ---- the pipeline ------------------------------------------------------------------
 
 def test_pipeline_stages(spark, documents):

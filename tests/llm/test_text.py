@@ -10,6 +10,7 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quarry.llm import page_text, secrets, site_lines, spaced_seeds
 from quarry.llm.spaced_seeds import Overlap
@@ -88,6 +89,40 @@ def test_every_allowed_substitution_is_found(spark):
     assert {(r["doc_id"], r["item_id"]) for r in found} == {(d, d // 1000) for d, _ in rows}
 
 
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_a_long_document_that_repeats_items_fits_in_memory(spark, broadcast):
+    """300,000 hits of one document of 10,000 words; with its words in each they would be 24 GB."""
+    item = [f"w{k}" for k in range(20)]
+    items = spark.createDataFrame([(i, " ".join(item)) for i in range(10)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(item * 500)), (2, " ".join(item[:16])), (3, "nothing of it " * 50)], "doc_id long, text string")
+    found = spaced_seeds.overlaps(docs, items, Overlap(broadcast_seeds=broadcast)).collect()
+    assert sorted(map(tuple, found)) == [(1, i, 0, 20, 20) for i in range(10)] + [(2, i, 0, 16, 20) for i in range(10)]
+
+
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_texts_of_one_id_and_rows_that_repeat(spark, broadcast):
+    rows = [(None, " ".join(A))] * 3 + [(None, " ".join(A[:9]) + " x y"), (7, "x " * 9 + " ".join(A)), (7, " ".join(A[2:]))] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    items = spark.createDataFrame([*ITEMS, ITEMS[0], (1, " ".join(A[:14]))], "item_id long, text string")
+    found = spaced_seeds.overlaps(docs, items, Overlap(broadcast_seeds=broadcast)).collect()
+    assert sorted(map(tuple, found), key=str) == [(7, 1, 9, 18, 18), (None, 1, 0, 18, 18)]
+
+
+def test_seeds_beyond_a_broadcast_leave_few_document_seeds_to_shuffle(spark):
+    laid = spark.range(200_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 7 != 0, F.xxhash64("id")).alias("seed"))
+    seeds = spark.range(1, 5_000).select(F.xxhash64("id").alias("seed"))
+    left = {r[0] for r in spaced_seeds._marked(laid, seeds, 4_999, "doc_id").collect()}
+    assert {i for i in range(1, 5_000) if i % 7} <= left and len(left) < 20_000
+
+
+def test_documents_are_not_shuffled_for_few_hits(spark):
+    docs, items = spark.createDataFrame(DOCS, "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string")
+    few = spaced_seeds.decontaminated(docs, items)
+    assert "Exchange hashpartitioning" not in few._jdf.queryExecution().executedPlan().toString()
+    for kept in (few, spaced_seeds.decontaminated(docs, items, broadcast_ids=0)):
+        assert {r["doc_id"] for r in kept.collect()} == {3, 5, 6, 7, 8, 10}
+
+
 def test_overlaps_on_the_table(spark, documents):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     found = {(r["doc_id"], r["item_id"]) for r in spaced_seeds.overlaps(documents, items).collect()}
